@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.operators.slicing import join_null_safe
+from tablewright.sources.workspace import local_table
 
 QUARTILES = (0.25, 0.5, 0.75)
 # Up to this many rows the built-in exact percentile may hold a column's
@@ -36,7 +37,7 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, in_memory_rows
         basics += [
             F.count(v).alias(f"count_{i}"),
             F.avg(v).alias(f"mean_{i}"),
-            F.stddev_samp(v).alias(f"std_{i}"),
+            _spread(F.stddev_samp(v), v).alias(f"std_{i}"),
             F.min(v).alias(f"min_{i}"),
             F.max(v).alias(f"max_{i}"),
         ]
@@ -68,6 +69,11 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, in_memory_rows
     )
 
 
+def _spread(measure: Column, v: Column) -> Column:
+    """A variance or deviation of ``v``, exactly zero where all values are equal."""
+    return F.when(measure.isNotNull() & (F.min(v) == F.max(v)), F.lit(0.0)).otherwise(measure)
+
+
 def _value(name: str) -> Column:
     as_double = F.col(name).cast("double")
     return F.when(~F.isnan(as_double), as_double)
@@ -88,7 +94,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
     sketched = df.groupBy(*keys).agg(F.percentile_approx("_v", ranks, F.lit(20 * BINS)).alias("_cuts"))
     # a fixed number of cuts per key, pinned so that both passes agree
     pinned = sketched.withColumn("_cuts", F.array_distinct("_cuts"))
-    cuts = df.sparkSession.createDataFrame(pinned.collect(), pinned.schema)
+    cuts = local_table(df.sparkSession, pinned.collect(), pinned.schema)
     binned = join_null_safe(df, F.broadcast(cuts), keys).withColumn("_bin", _bin(F.col("_cuts"), F.col("_v"))).drop("_cuts")
     upto = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
     counts = (
@@ -141,10 +147,16 @@ def _bin(cuts: Column, value: Column) -> Column:
 
 
 def correlation(x: Column, y: Column) -> Column:
-    """Pearson's r over the rows where both are present; null if one is constant."""
+    """Pearson's r over the rows where both are present; null if one is constant.
+
+    A constant is told by its extremes: merged partial variances of equal
+    values need not come out as exactly zero.
+    """
     both = x.isNotNull() & y.isNotNull()
     a, b = F.when(both, x), F.when(both, y)
-    return F.try_divide(F.covar_pop(a, b), F.sqrt(F.var_pop(a)) * F.sqrt(F.var_pop(b)))
+    varies = (F.min(a) < F.max(a)) & (F.min(b) < F.max(b))
+    r = F.try_divide(F.covar_pop(a, b), F.sqrt(F.var_pop(a)) * F.sqrt(F.var_pop(b)))
+    return F.when(varies, r)
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -112,14 +112,15 @@ class OnlineTable:
 
     def mark(self) -> datetime:
         """Up to what time the table is filled."""
-        return datetime.fromisoformat(self.store._entry(None)["note"])
+        return datetime.fromisoformat(self.store.entry()["note"])
 
     def materialize_incremental(self, end: datetime) -> DataFrame:
         """Bring the table from its mark up to ``end``; a newer row is never replaced by an older one."""
-        recent = self._latest(_ntz(self.mark()), end)
-        both = self.store.read().unionByName(recent)
+        current = self.store.entry()
+        recent = self._latest(_ntz(datetime.fromisoformat(current["note"])), end)
+        both = self.store.read_entry(current).unionByName(recent)
         rows = pick_per_key(both, self.view.keys, [self.view.ts, *self.view.tie_break], "last")
-        self.store.write(rows, note=end.isoformat(sep=" "))
+        self.store.write(rows, note=end.isoformat(sep=" "), after=current)
         return self.read()
 
     def read(self) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tablewright.functions.scalars import argmax
 from tablewright.operators.slicing import join_null_safe
+from tablewright.sources.workspace import local_table
 
 # Hidden layers, seed, search steps, probability that counts as
 # reached, and size of the background sample.
@@ -171,7 +172,7 @@ def feature_attribution(
     sample = [tuple(float(v) for v in r) for r in background.select(*features).collect()]
     rows = [(i, *r) for i, r in enumerate(sample)]
     fields = ", ".join(["_b int", *[f"_b_{c} double" for c in features]])
-    table = df.sparkSession.createDataFrame(rows, fields)
+    table = local_table(df.sparkSession, rows, fields)
 
     base = df.select(unique, *[F.col(c).cast("double").alias(f"_x_{c}") for c in features])
     paired = join_null_safe(

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.functions.stats import t_p_value
+from tablewright.sources.workspace import local_table
 
 METRICS_SCHEMA = "model string, version_id bigint, metric string, value double, fingerprint string, prod boolean"
 # The accuracy assumed without a previous version, the accuracy
@@ -23,7 +24,11 @@ def moments(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> Da
     for i, c in enumerate(columns):
         v = F.col(c).cast("double")
         v = F.when(~F.isnan(v), v)
-        parts += [F.count(v).alias(f"n_{i}"), F.avg(v).alias(f"mean_{i}"), F.var_samp(v).alias(f"var_{i}")]
+        spread = F.var_samp(v)
+        # partial variances of equal values need not merge to exactly zero
+        exact = F.when(spread.isNotNull() & (F.min(v) == F.max(v)), F.lit(0.0)).otherwise(spread)
+        mean = F.when(F.min(v) == F.max(v), F.min(v)).otherwise(F.avg(v))
+        parts += [F.count(v).alias(f"n_{i}"), mean.alias(f"mean_{i}"), exact.alias(f"var_{i}")]
     wide = df.groupBy(*by).agg(*parts)
     cells = [
         F.struct(F.lit(c).alias("column_name"), *[F.col(f"{s}_{i}").alias(s) for s in ("n", "mean", "var")])
@@ -94,7 +99,7 @@ class MetricsLog:
         self, model: str, version_id: int, metrics: Mapping[str, float], fingerprint: str, prod: bool = False
     ) -> None:
         rows = [(model, version_id, name, float(v), fingerprint, prod) for name, v in metrics.items()]
-        self.append(self.spark.createDataFrame(rows, METRICS_SCHEMA).coalesce(1))
+        self.append(local_table(self.spark, rows, METRICS_SCHEMA).coalesce(1))
 
     def append(self, rows: DataFrame) -> None:
         names = [f.split()[0] for f in METRICS_SCHEMA.split(", ")]

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from tablewright.functions.scalars import hash_position, seeded_hash
 from tablewright.operators.ordering import sorted_codes
-from tablewright.operators.slicing import ROWS_PER_SLICE, join_null_safe, rank_cutoffs, row_number, small
+from tablewright.operators.slicing import ROWS_PER_SLICE, join_null_safe, pinned, rank_cutoffs, row_number
+from tablewright.sources.workspace import local_table
 
 # Fixed values of the training set: share of test rows, share of validation
 # rows among the rest, seed, batch size.
@@ -22,8 +23,8 @@ BATCH = 32
 
 def encode_labels(df: DataFrame, column: str, codes: DataFrame | None = None, name: str = "code") -> DataFrame:
     """Add the class number of a label; numbers follow the sorted labels."""
-    table = codes if codes is not None else sorted_codes(df, column)
-    table = small(table).select(F.col("label").alias(column), F.col("code").alias(name))
+    table = codes if codes is not None else pinned(sorted_codes(df, column))
+    table = table.select(F.col("label").alias(column), F.col("code").alias(name))
     return join_null_safe(df, table, [column])
 
 
@@ -70,7 +71,7 @@ def split_stratified(
     pool = df if among is None else df.where(among)
     hashed = pool.select(label, F.col(unique).alias("_id"), seeded_hash(F.col(unique), seed).alias("_hash"))
     edges = rank_cutoffs(hashed, [label], ["_hash", "_id"], hash_position(F.col("_hash")), taken, rows_per_slice)
-    joined = join_null_safe(df, small(edges), [label])
+    joined = join_null_safe(df, pinned(edges), [label])
     here = F.struct(seeded_hash(F.col(unique), seed).alias("_hash"), F.col(unique).alias("_id"))
     drawn = F.coalesce(here <= F.col("_cutoff"), F.lit(False))
     if among is not None:
@@ -139,7 +140,7 @@ class MinMax:
 
     def table(self, spark: SparkSession) -> DataFrame:
         rows = [(c, low, high) for c, (low, high) in self.bounds.items()]
-        return spark.createDataFrame(rows, "feature string, min double, max double")
+        return local_table(spark, rows, "feature string, min double, max double")
 
 
 def compare_predictions(

@@ -18,6 +18,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablewright.sources.workspace import local_table, stage
+
 # A key with more rows than this is cut.
 ROWS_PER_SLICE = 2_000_000
 # Bound on the number of hot keys, and on the cut points of one key; what is
@@ -85,7 +87,7 @@ def find_cuts(
         if not hot:
             return None
         largest = max(r["_n"] for r in hot)
-        hot_keys = df.sparkSession.createDataFrame([tuple(r[:-1]) for r in hot], flat.select(*keys).schema)
+        hot_keys = local_table(df.sparkSession, [tuple(r[:-1]) for r in hot], flat.select(*keys).schema)
         flat = join_null_safe(flat, F.broadcast(hot_keys), keys, "left_semi")
     parts = min(MAX_SLICES, math.ceil(largest / share))
     ranks = F.array(*[F.lit(i / parts) for i in range(1, parts)])
@@ -103,7 +105,7 @@ def find_cuts(
     # Pinned on the driver: an approximate percentile may differ when it is
     # computed again, and every later pass must see the same cuts.
     rows = thinned.collect()
-    table = df.sparkSession.createDataFrame(rows, thinned.schema)
+    table = local_table(df.sparkSession, rows, thinned.schema)
     return Cuts(keys, table)
 
 
@@ -176,16 +178,23 @@ def rank_cutoffs(
     """The row at a given rank of each key, as ``keys``, ``_cutoff`` struct.
 
     ``rank`` turns the row count of a key (a column) into the 1-based rank
-    wanted; keys whose rank is below 1 are left out. Rows are counted per
-    slice, and only the one slice that holds the rank is sorted; the table
-    itself is never shuffled.
+    wanted; keys whose rank is below 1 are left out. Only the key and order
+    columns are read. Where a key is too large for one task, rows are counted
+    per slice, which combines on the map side, and only the one slice that
+    holds the rank is shuffled and sorted.
     """
     keys = list(keys)
     flat = df.select(*keys, *[c for c in order_by if c not in keys], position.alias("_pos"))
     cuts = find_cuts(flat, keys, F.col("_pos"), rows_per_slice)
+    order = Window.partitionBy(*keys).orderBy(*order_by)
+    all_of = Window.partitionBy(*keys)
+    if cuts is None:
+        ranked = flat.withColumn("_at", F.row_number().over(order)).withColumn(
+            "_rank", rank(F.count(F.lit(1)).over(all_of)).cast("bigint")
+        )
+        return ranked.where(F.col("_at") == F.col("_rank")).select(*keys, F.struct(*order_by).alias("_cutoff"))
     sliced = with_slice(flat, cuts, F.col("_pos"))
     up_to = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, 0)
-    all_of = Window.partitionBy(*keys)
     target = (
         sliced.groupBy(*keys, "_slice")
         .agg(F.count(F.lit(1)).alias("_n"))
@@ -196,7 +205,6 @@ def rank_cutoffs(
         .select(*keys, "_slice", "_within")
     )
     inside = join_null_safe(sliced, target, [*keys, "_slice"], "inner")
-    order = Window.partitionBy(*keys).orderBy(*order_by)
     return (
         inside.withColumn("_at", F.row_number().over(order))
         .where(F.col("_at") == F.col("_within"))
@@ -216,3 +224,15 @@ def small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     sides and splits hot keys.
     """
     return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+
+
+def pinned(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
+    """A table of fitted values (class codes, cut-offs), computed exactly once.
+
+    Up to ``max_rows`` rows it becomes a local table with a broadcast hint;
+    a larger one is written to the shared folder and joined as it is.
+    """
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) <= max_rows:
+        return F.broadcast(local_table(df.sparkSession, rows, df.schema))
+    return stage(df, "fitted")

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tablewright.sources.workspace import new_dir
+from tablewright.sources.workspace import local_table, new_dir
 
 MANIFEST_SCHEMA = (
-    "version bigint, fingerprint string, n_rows bigint, path string, note string, created timestamp_ntz"
+    "version bigint, fingerprint string, n_rows bigint, path string, note string, "
+    "schema string, created timestamp_ntz"
 )
 
 
@@ -21,18 +25,22 @@ def fingerprint(df: DataFrame) -> DataFrame:
     and both combine on the map side, so one number per task is shuffled.
     The sum sees duplicates, which cancel out in the xor.
     """
-    columns = sorted(df.columns)
-    hashed = df.select(F.xxhash64(*columns).alias("h"))
-    return hashed.agg(
+    return df.agg(*_content(df.columns)).withColumn("fingerprint", F.md5(_mark(df.columns)))
+
+
+def _content(columns: Sequence[str]) -> list[Column]:
+    """Count, sum and xor of the row hashes, columns taken by name."""
+    row = F.xxhash64(*sorted(columns))
+    zero = F.lit(0).cast("decimal(38,0)")
+    return [
         F.count(F.lit(1)).alias("n_rows"),
-        F.coalesce(F.sum(F.col("h").cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)"))
-        .cast("string")
-        .alias("hash_sum"),
-        F.coalesce(F.bit_xor("h"), F.lit(0)).alias("hash_xor"),
-    ).withColumn(
-        "fingerprint",
-        F.md5(F.concat_ws("/", F.lit(",".join(columns)), F.col("n_rows"), F.col("hash_sum"), F.col("hash_xor"))),
-    )
+        F.coalesce(F.sum(row.cast("decimal(38,0)")), zero).cast("string").alias("hash_sum"),
+        F.coalesce(F.bit_xor(row), F.lit(0)).alias("hash_xor"),
+    ]
+
+
+def _mark(columns: Sequence[str]) -> Column:
+    return F.concat_ws("/", F.lit(",".join(sorted(columns))), F.col("n_rows"), F.col("hash_sum"), F.col("hash_xor"))
 
 
 class VersionedTable:
@@ -54,7 +62,8 @@ class VersionedTable:
     def history(self) -> DataFrame:
         return self.spark.read.schema(MANIFEST_SCHEMA).parquet(self._manifest)
 
-    def _entry(self, version: int | None):
+    def entry(self, version: int | None = None) -> Row:
+        """The manifest row of a version, by default of the current one."""
         rows = self.history()
         if version is not None:
             rows = rows.where(F.col("version") == version)
@@ -64,24 +73,30 @@ class VersionedTable:
             raise LookupError(f"no version {version} under {self.root}")
         return entry[0]
 
-    def _append(self, version: int, mark: str, n_rows: int, path: str, note: str) -> int:
-        row = self.spark.createDataFrame(
-            [(version, mark, n_rows, path, note)],
-            "version bigint, fingerprint string, n_rows bigint, path string, note string",
+    def _append(self, version: int, mark: str, n_rows: int, path: str, note: str, schema: str) -> int:
+        row = local_table(
+            self.spark,
+            [(version, mark, n_rows, path, note, schema)],
+            "version bigint, fingerprint string, n_rows bigint, path string, note string, schema string",
         ).withColumn("created", F.localtimestamp())
         row.coalesce(1).write.mode("append").parquet(self._manifest)
         return version
 
-    def write(self, df: DataFrame, note: str = "", first: bool = False) -> int:
+    def write(self, df: DataFrame, note: str = "", first: bool = False, after: Row | None = None) -> int:
         """Store ``df`` as the new current version; returns its number.
 
         ``df`` may read the current version: its files stay as they are.
+        ``after`` is the current entry where the caller has it at hand.
         """
-        version = 1 if first else self._entry(None)["version"] + 1
+        version = 1 if first else (after or self.entry())["version"] + 1
         path = new_dir(self.spark, "data")
-        df.write.parquet(path)
-        mark = fingerprint(self.spark.read.schema(df.schema).parquet(path)).first()
-        return self._append(version, mark["fingerprint"], mark["n_rows"], path, note)
+        seen = Observation()
+        # hashed while it is written, so the data is not read a second time
+        df.observe(seen, *_content(df.columns)).write.parquet(path)
+        content = seen.get
+        text = "/".join([",".join(sorted(df.columns)), *(str(content[c]) for c in ("n_rows", "hash_sum", "hash_xor"))])
+        mark = hashlib.md5(text.encode()).hexdigest()
+        return self._append(version, mark, content["n_rows"], path, note, df.schema.json())
 
     def create(self, df: DataFrame, note: str = "") -> VersionedTable:
         self.write(df, note, first=True)
@@ -89,22 +104,29 @@ class VersionedTable:
 
     def read(self, version: int | None = None) -> DataFrame:
         """The table as of ``version``, by default the current one."""
-        return self.spark.read.parquet(self._entry(version)["path"])
+        return self.read_entry(self.entry(version))
+
+    def read_entry(self, entry: Row) -> DataFrame:
+        schema = T.StructType.fromJson(json.loads(entry["schema"]))
+        return self.spark.read.schema(schema).parquet(entry["path"])
 
     def revert(self, version: int, note: str = "") -> int:
         """Make an old version current again, as a new version without a copy."""
-        old = self._entry(version)
+        old = self.entry(version)
         return self._append(
-            self._entry(None)["version"] + 1,
+            self.entry()["version"] + 1,
             old["fingerprint"],
             old["n_rows"],
             old["path"],
             note or f"revert to {version}",
+            old["schema"],
         )
 
     def rename_column(self, old: str, new: str) -> int:
         """Rename a column of the current version in place."""
-        return self.write(self.read().withColumnRenamed(old, new), note=f"rename {old} to {new}")
+        current = self.entry()
+        renamed = self.read_entry(current).withColumnRenamed(old, new)
+        return self.write(renamed, note=f"rename {old} to {new}", after=current)
 
 
 def diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -24,7 +24,9 @@ def refresh(
 ) -> DataFrame:
     """Stamp the incoming rows, upsert them, store a new version, refresh the serving table."""
     stamped = add_ingest_time(lowercase_columns(incoming), at)
-    target.write(upsert(target.read(), stamped, keys), note=f"refresh {at.isoformat(sep=' ')}")
+    current = target.entry()
+    merged = upsert(target.read_entry(current), stamped, keys)
+    target.write(merged, note=f"refresh {at.isoformat(sep=' ')}", after=current)
     if online is not None:
         view = online.view
         online.view = FeatureView(

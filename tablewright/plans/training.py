@@ -12,7 +12,7 @@ from tablewright.operators.columns import Rule, require_valid
 from tablewright.operators.joins import merge
 from tablewright.operators.ordering import sorted_codes
 from tablewright.operators.prep import MinMax, encode_labels, split
-from tablewright.operators.slicing import ROWS_PER_SLICE
+from tablewright.operators.slicing import ROWS_PER_SLICE, pinned
 from tablewright.sources.workspace import stage
 
 
@@ -36,7 +36,8 @@ def training_set(
     joined = stage(joined, "training-set")
     if rules:
         require_valid(joined, rules)
-    codes = stage(sorted_codes(joined, label), "codes")
-    parts = split(encode_labels(joined, label, codes), [unique], position, label, unique, rows_per_slice=rows_per_slice)
+    codes = pinned(sorted_codes(joined, label))
+    parts = split(joined, [unique], position, label, unique, rows_per_slice=rows_per_slice)
+    parts = encode_labels(parts, label, codes)
     scaler = MinMax.fit(parts.where(F.col("split") == "train"), features)
     return TrainingSet(scaler.transform(parts), codes, scaler)

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -41,3 +45,11 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     path = new_dir(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def local_table(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructType | str) -> DataFrame:
+    """A handful of driver-side rows as a table whose size the optimiser knows."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    records = [dict(zip(schema.names, r)) for r in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(records, schema=to_arrow_schema(schema)), schema)
