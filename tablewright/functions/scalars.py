@@ -44,11 +44,6 @@ def seeded_hash(unique: Column, seed: int) -> Column:
     return F.md5(F.concat_ws("/", unique.cast("string"), F.lit(str(seed))))
 
 
-def hash_position(hashed: Column) -> Column:
-    """The leading 60 bits of an md5 text as a whole number, in the same order."""
-    return F.conv(F.substring(hashed, 1, 15), 16, 10).cast("bigint")
-
-
 def allclose(a: Column, b: Column, rtol: float = 1e-5, atol: float = 1e-5) -> Column:
     """|a - b| <= atol + rtol * |b|; false if one is missing."""
     return F.coalesce(F.abs(a - b) <= F.lit(atol) + F.lit(rtol) * F.abs(b), F.lit(False))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from itertools import combinations
 
@@ -15,8 +16,8 @@ from tablewright.sources.workspace import local_table
 QUARTILES = (0.25, 0.5, 0.75)
 # Up to this many rows the built-in exact percentile may hold a column's
 # distinct values in one buffer; beyond it they are found by selection.
-EXACT_IN_MEMORY = 5_000_000
-BINS = 4096
+EXACT_IN_MEMORY = 1_000_000
+SKETCH = 100_000  # accuracy of the sketch that brackets a quantile
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -57,8 +58,7 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, in_memory_rows
     ]
     out = one.select(F.inline(F.array(*entries)))
     if not fits:
-        long = df.select(*[v.alias(c) for c, v in values.items()]).unpivot([], columns, "column_name", "value")
-        quartiles = exact_quantiles(long, ["column_name"], "value", QUARTILES)
+        quartiles = exact_quantiles(df, columns, QUARTILES)
         wide = quartiles.groupBy("column_name").agg(
             *[F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(f"q{j}") for j, p in enumerate(QUARTILES)]
         )
@@ -79,71 +79,76 @@ def _value(name: str) -> Column:
     return F.when(~F.isnan(as_double), as_double)
 
 
-def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
-    """Exact interpolated quantiles per key for data of any size.
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """Exact interpolated quantiles of columns of any size: (column_name, prob, quantile).
 
-    An approximate sketch per key cuts the value range into bins; exact
-    counts per bin tell which bins hold the wanted ranks; only those bins are
-    looked at value by value. Each pass combines on the map side, and no task
-    holds more than the distinct values of one bin. Meant for few keys, such
-    as the columns of a table.
+    A sketch gives for each quantile two values that bracket it closely; one
+    count says how many rows lie below the bracket; the few rows inside are
+    counted value by value to reach the exact rank. Three passes that combine
+    on the map side, and no task holds more than the distinct values of a
+    bracket. A bracket that misses its rank is widened and counted again.
     """
-    keys = list(keys)
-    df = df.select(*keys, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
-    ranks = F.array(*[F.lit(i / BINS) for i in range(1, BINS)])
-    sketched = df.groupBy(*keys).agg(F.percentile_approx("_v", ranks, F.lit(20 * BINS)).alias("_cuts"))
-    # a fixed number of cuts per key, pinned so that both passes agree
-    pinned = sketched.withColumn("_cuts", F.array_distinct("_cuts"))
-    cuts = local_table(df.sparkSession, pinned.collect(), pinned.schema)
-    binned = join_null_safe(df, F.broadcast(cuts), keys).withColumn("_bin", _bin(F.col("_cuts"), F.col("_v"))).drop("_cuts")
-    upto = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
-    counts = (
-        binned.groupBy(*keys, "_bin")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_upto", F.sum("_n").over(upto))
-        .withColumn("_total", F.sum("_n").over(Window.partitionBy(*keys)))
-    )
-    wanted = F.array(
-        *[
-            F.struct(F.lit(p).alias("prob"), side.alias("rank"), F.lit(i).alias("side"))
-            for p in probs
-            for i, side in enumerate(
-                (F.floor(F.lit(p) * (F.col("_total") - 1)), F.ceil(F.lit(p) * (F.col("_total") - 1)))
-            )
-        ]
-    )
-    # 0-based ranks; a bin holds those from (_upto - _n) up to _upto - 1
-    targets = (
-        counts.withColumn("_w", F.explode(wanted))
-        .where((F.col("_w.rank") < F.col("_upto")) & (F.col("_w.rank") >= F.col("_upto") - F.col("_n")))
-        .select(*keys, "_bin", "_w.prob", "_w.side", "_w.rank", (F.col("_upto") - F.col("_n")).alias("_before"), "_total")
-    )
-    needed = targets.select(*keys, "_bin").distinct()
-    in_bin = Window.partitionBy(*keys, "_bin").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    values = (
-        join_null_safe(binned, F.broadcast(needed), [*keys, "_bin"], "left_semi")  # two bins per probability
-        .groupBy(*keys, "_bin", "_v")
+    spark, columns, probs = df.sparkSession, list(columns), list(probs)
+    values = {c: _value(c) for c in columns}
+    width = 2.0 / SKETCH
+    bounds: dict[tuple[str, float], tuple[float, float, int, int]] = {}
+    todo = [(c, p) for c in columns for p in probs]
+    while todo:
+        marks = {}
+        for c, p in todo:
+            ends = F.array(F.lit(max(0.0, p - width)), F.lit(min(1.0, p + width)))
+            marks[c, p] = F.percentile_approx(values[c], ends, F.lit(SKETCH))
+        sketch = df.agg(*[m for m in marks.values()]).first()
+        ends = {k: e for k, e in zip(marks, sketch) if e is not None}
+        if not ends:
+            break
+        counted = []
+        for (c, _), (low, high) in ends.items():
+            v = values[c]
+            counted += [F.count(v), F.count_if(v < F.lit(low)), F.count_if(v <= F.lit(high))]
+        counts = df.agg(*[x.alias(f"_{i}") for i, x in enumerate(counted)]).first()
+        todo = []
+        for i, ((c, p), (low, high)) in enumerate(ends.items()):
+            n, below, upto = counts[3 * i : 3 * i + 3]
+            first, last = math.floor(p * (n - 1)), math.ceil(p * (n - 1))
+            if below <= first and last < upto:
+                bounds[c, p] = (low, high, below, n)
+            else:
+                todo.append((c, p))
+        width *= 4
+    if not bounds:
+        return local_table(spark, [], "column_name string, prob double, quantile double")
+    wanted = []
+    for (c, p), (_, _, below, n) in bounds.items():
+        at = p * (n - 1)
+        wanted += [(c, p, below, side, rank, at - math.floor(at)) for side, rank in enumerate((math.floor(at), math.ceil(at)))]
+    targets = local_table(spark, wanted, "column_name string, prob double, _below bigint, _side int, _rank bigint, _part double")
+    inside = {
+        (c, p): (values[c] >= F.lit(low)) & (values[c] <= F.lit(high)) for (c, p), (low, high, _, _) in bounds.items()
+    }
+    near = F.lit(False)
+    for condition in inside.values():
+        near = near | F.coalesce(condition, F.lit(False))
+    cells = [
+        F.when(condition, F.struct(F.lit(c).alias("column_name"), F.lit(p).alias("prob"), values[c].alias("_v")))
+        for (c, p), condition in inside.items()
+    ]
+    found = df.where(near).select(F.explode(F.array(*cells)).alias("_cell")).where(F.col("_cell").isNotNull())
+    rising = Window.partitionBy("column_name", "prob").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = (
+        found.select("_cell.*")
+        .groupBy("column_name", "prob", "_v")
         .agg(F.count(F.lit(1)).alias("_c"))
-        .withColumn("_last", F.sum("_c").over(in_bin))
-    )
-    hit = join_null_safe(values, F.broadcast(targets), [*keys, "_bin"], "inner").where(
-        (F.col("rank") < F.col("_before") + F.col("_last"))
-        & (F.col("rank") >= F.col("_before") + F.col("_last") - F.col("_c"))
+        .withColumn("_upto", F.sum("_c").over(rising))
     )
-    low, high = (F.max(F.when(F.col("side") == i, F.col("_v"))) for i in (0, 1))
-    part = F.col("prob") * (F.col("_total") - 1) - F.floor(F.col("prob") * (F.col("_total") - 1))
-    return (
-        hit.groupBy(*keys, "prob", "_total")
-        .agg(low.alias("_low"), high.alias("_high"))
-        .select(*keys, "prob", ((1 - part) * F.col("_low") + part * F.col("_high")).alias("quantile"))
+    # two ranks per quantile, a table of a few rows
+    hit = join_null_safe(ranked, F.broadcast(targets), ["column_name", "prob"], "inner").where(
+        (F.col("_rank") < F.col("_below") + F.col("_upto"))
+        & (F.col("_rank") >= F.col("_below") + F.col("_upto") - F.col("_c"))
     )
-
-
-def _bin(cuts: Column, value: Column) -> Column:
-    """Number of cuts below ``value``, in two steps of 64."""
-    coarse = F.filter(cuts, lambda x, i: (i % 64 == 63) & (x < value))
-    skip = F.size(coarse) * 64
-    return skip + F.size(F.filter(F.slice(cuts, skip + 1, F.lit(64)), lambda x: x < value))
+    low, high = (F.max(F.when(F.col("_side") == i, F.col("_v"))) for i in (0, 1))
+    part = F.max("_part")
+    return hit.groupBy("column_name", "prob").agg(((1 - part) * low + part * high).alias("quantile"))
 
 
 def correlation(x: Column, y: Column) -> Column:

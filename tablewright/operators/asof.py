@@ -66,6 +66,8 @@ def asof_join(
     order = [F.col("_ts"), F.col("_side"), F.col("_feature.rank")]
     seen = Window.partitionBy(*keys, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     carried = stream.withColumn("_match", F.last("_feature", ignorenulls=True).over(seen))
+    if unmatched == "drop_expired":
+        carried = carried.withColumn("_known", F.count("_feature").over(Window.partitionBy(*keys, "_slice")) > 0)
     if cuts is not None:
         carried = _carry_between_slices(carried, stream, keys, cuts)
     out = carried.where(F.col("_side") == 1)
@@ -75,8 +77,7 @@ def asof_join(
         valid = matched_ts >= F.col("_ts") - F.lit(ttl)
         out = out.withColumn("_match", F.when(valid, F.col("_match")))
     if unmatched == "drop_expired":
-        known = features.select(*keys).distinct().withColumn("_known", F.lit(True))
-        out = join_null_safe(out, known, keys).where(F.col("_match").isNotNull() | F.col("_known").isNull())
+        out = out.where(F.col("_match").isNotNull() | ~F.col("_known"))
     result: list[Column] = [F.col(f"_entity.{c}").alias(c) for c in entities.columns]
     if ts_alias:
         result.append(matched_ts.alias(ts_alias))
@@ -85,14 +86,18 @@ def asof_join(
 
 
 def _carry_between_slices(carried: DataFrame, stream: DataFrame, keys: list[str], cuts) -> DataFrame:
-    """Fill entity rows that precede the first feature row of their slice."""
+    """Add what the other slices of a key know: its last feature before, and whether it has any."""
     # bounded by find_cuts: the hot keys, then one row per slice of them
     stream = join_null_safe(stream, F.broadcast(cuts.table.select(*keys)), keys, "left_semi")
     newest = stream.groupBy(*keys, "_slice").agg(F.max_by("_feature", "_feature.rank").alias("_newest"))
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    carry = newest.withColumn("_carry", F.last("_newest", ignorenulls=True).over(before)).drop("_newest")
+    carry = newest.withColumn("_carry", F.last("_newest", ignorenulls=True).over(before))
+    carry = carry.withColumn("_any", F.count("_newest").over(Window.partitionBy(*keys)) > 0).drop("_newest")
     joined = join_null_safe(carried, F.broadcast(carry), [*keys, "_slice"])
-    return joined.withColumn("_match", F.coalesce("_match", "_carry")).drop("_carry")
+    joined = joined.withColumn("_match", F.coalesce("_match", "_carry"))
+    if "_known" in carried.columns:
+        joined = joined.withColumn("_known", F.col("_known") | F.coalesce("_any", F.lit(False)))
+    return joined.drop("_carry", "_any")
 
 
 def one_row_per_instant(df: DataFrame, keys: Sequence[str], ts: str, tie_break: Sequence[str]) -> DataFrame:

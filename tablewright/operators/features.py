@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.operators.asof import asof_join
+from tablewright.operators.incremental import upsert_unique
 from tablewright.operators.joins import lookup
-from tablewright.operators.ordering import latest_per_key, pick_per_key
+from tablewright.operators.ordering import latest_per_key
 from tablewright.operators.versions import VersionedTable
+from tablewright.sources.workspace import stage
 
 
 @dataclass(frozen=True)
@@ -118,8 +120,8 @@ class OnlineTable:
         """Bring the table from its mark up to ``end``; a newer row is never replaced by an older one."""
         current = self.store.entry()
         recent = self._latest(_ntz(datetime.fromisoformat(current["note"])), end)
-        both = self.store.read_entry(current).unionByName(recent)
-        rows = pick_per_key(both, self.view.keys, [self.view.ts, *self.view.tie_break], "last")
+        # both have unique keys, and whatever is recent lies after the mark
+        rows = upsert_unique(self.store.read_entry(current), stage(recent, "recent"), self.view.keys)
         self.store.write(rows, note=end.isoformat(sep=" "), after=current)
         return self.read()
 

@@ -7,17 +7,24 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.operators.joins import anti
+from tablewright.operators.joins import anti, require_unique
 from tablewright.operators.ordering import pick_per_key
 
 
-def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
+def upsert(
+    old: DataFrame, new: DataFrame, keys: Sequence[str], order_by: Sequence[str] = (), old_is_unique: bool = False
+) -> DataFrame:
     """``old`` and ``new`` together, one row per key, the new one winning.
 
     Columns are aligned by name, gaps are null. ``order_by`` decides between
     several rows of one source. One aggregate over the union: a key costs one
-    row per task however often it was loaded.
+    row per task however often it was loaded. If ``old`` is known to have
+    unique keys, as a table kept by upserts has, and the delivery is small,
+    ``old`` is not shuffled at all.
     """
+    if old_is_unique:
+        delivered = pick_per_key(new, keys, order_by, "last") if order_by else require_unique(new, keys)
+        return upsert_unique(old, delivered, keys)
     both = old.withColumn("_source", F.lit(0)).unionByName(
         new.withColumn("_source", F.lit(1)), allowMissingColumns=True
     )
@@ -26,7 +33,7 @@ def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], order_by: Sequen
 
 def upsert_unique(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The same where both sides have unique keys: old rows not replaced, plus new."""
-    return anti(old, new, keys).unionByName(new, allowMissingColumns=True)
+    return anti(old, new, keys, right_is_small=True).unionByName(new, allowMissingColumns=True)
 
 
 def new_rows(current: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:

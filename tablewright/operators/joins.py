@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.operators.slicing import join_null_safe, small
+from tablewright.operators.slicing import fits_broadcast, join_null_safe, small
 
 
 def _keys(on: str | Sequence[str]) -> list[str]:
@@ -59,14 +59,17 @@ def merge(
     return l.join(r, condition, how).drop(*[f"_right_{k}" for k in keys])
 
 
-def anti(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
+def anti(left: DataFrame, right: DataFrame, on: str | Sequence[str], right_is_small: bool = False) -> DataFrame:
     """Rows of ``left`` whose key does not occur in ``right``; null matches null.
 
     The right side is cut down to its distinct keys first. That combines on
-    the map side, so a key with many copies is shuffled once per task.
+    the map side, so a key with many copies is shuffled once per task. Where
+    ``right`` is expected to be small its size is checked, and if it is, the
+    left side stays where it is.
     """
     keys = _keys(on)
-    known = right.select(*keys).distinct()
+    known = right.select(*keys)
+    known = F.broadcast(known.distinct()) if right_is_small and fits_broadcast(known) else known.distinct()
     return join_null_safe(left, known, keys, "left_anti")
 
 

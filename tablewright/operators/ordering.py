@@ -52,46 +52,41 @@ def latest_artifact(objects: DataFrame, cutoff: Column, wanted: Sequence[str] |
 def first_seen_codes(df: DataFrame, column: str, order_by: Sequence[str]) -> DataFrame:
     """Number the values of a column by first appearance: (label, code).
 
-    The table is reduced to one row per value first; the single-task window
-    runs over the values of a category, not over the table.
+    The table is reduced to one row per value before values are numbered.
     """
     first = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("label")).agg(
         F.min(F.struct(*order_by)).alias("_first")
     )
-    code = F.row_number().over(Window.orderBy("_first", "label")).cast("bigint") - 1
-    return first.select("label", code.alias("code"))
+    flat = first.select("label", *[F.col(f"_first.{c}").alias(f"_o{i}") for i, c in enumerate(order_by)])
+    numbered = row_number(flat, [], [*[f"_o{i}" for i in range(len(order_by))], "label"], name="_at")
+    return numbered.select("label", (F.col("_at") - 1).alias("code"))
 
 
 def sorted_codes(df: DataFrame, column: str) -> DataFrame:
     """Number the values of a column by sorted order from 0: (label, code)."""
     labels = df.where(F.col(column).isNotNull()).select(F.col(column).alias("label")).distinct()
-    return labels.select("label", (F.row_number().over(Window.orderBy("label")).cast("bigint") - 1).alias("code"))
+    return row_number(labels, [], ["label"], name="_at").select("label", (F.col("_at") - 1).alias("code"))
 
 
 def unique_times(
     df: DataFrame, keys: Sequence[str], ts: str, tie_break: Sequence[str], step: int = 2,
-    rows_per_slice: int = ROWS_PER_SLICE, position: Column | None = None,
+    rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """Make times unique within a key by adding ``step`` microseconds per row.
 
     Only rows that share key and time are shifted, so the shift stays as
-    small as the number of copies. ``tie_break`` orders the copies; its first
-    column must be a whole number unless ``position`` is given.
+    small as the number of copies. ``tie_break`` orders the copies.
     """
-    where_at = position if position is not None else F.col(tie_break[0]).cast("bigint")
-    numbered = row_number(
-        df, [*keys, ts], [F.col(c) for c in tie_break], where_at, "_at", rows_per_slice
-    )
+    numbered = row_number(df, [*keys, ts], tie_break, name="_at", rows_per_slice=rows_per_slice)
     shifted = F.timestamp_micros(micros(ts) + F.lit(step) * (F.col("_at") - 1)).cast("timestamp_ntz")
     return numbered.withColumn(ts, shifted).drop("_at")
 
 
 def shift_by_position(
-    df: DataFrame, ts: str, order_by: Sequence[str], position: Column, step: int = 2,
-    rows_per_slice: int = ROWS_PER_SLICE,
+    df: DataFrame, ts: str, order_by: Sequence[str], step: int = 2, rows_per_slice: int = ROWS_PER_SLICE
 ) -> DataFrame:
     """Add ``step`` microseconds times the 0-based row number to every time."""
-    numbered = row_number(df, [], [F.col(c) for c in order_by], position, "_at", rows_per_slice)
+    numbered = row_number(df, [], order_by, name="_at", rows_per_slice=rows_per_slice)
     shifted = F.timestamp_micros(micros(ts) + F.lit(step) * (F.col("_at") - 1)).cast("timestamp_ntz")
     return numbered.withColumn(ts, shifted).drop("_at")
 
@@ -135,7 +130,7 @@ def identity_history(
     as its context, so no task needs a whole key.
     """
     flat = df.select(*keys, value, ts, unique)
-    numbered = row_number(flat, keys, [F.col(ts), F.col(unique)], micros(ts), "_at", rows_per_slice)
+    numbered = row_number(flat, keys, [ts, unique], name="_at", rows_per_slice=rows_per_slice)
     index = F.col("_at") - 1
     number = F.floor(index / block)
     in_tail = F.pmod(index, F.lit(block)) >= block - (n - 1)

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.functions.scalars import hash_position, seeded_hash
+from tablewright.functions.scalars import seeded_hash
 from tablewright.operators.ordering import sorted_codes
 from tablewright.operators.slicing import ROWS_PER_SLICE, join_null_safe, pinned, rank_cutoffs, row_number
 from tablewright.sources.workspace import local_table
@@ -34,8 +34,7 @@ def one_hot(code: Column, n_classes: int) -> Column:
 
 
 def split_ordered(
-    df: DataFrame, order_by: Sequence[str], position: Column, test_percent: int = TEST_PERCENT,
-    rows_per_slice: int = ROWS_PER_SLICE,
+    df: DataFrame, order_by: Sequence[str], test_percent: int = TEST_PERCENT, rows_per_slice: int = ROWS_PER_SLICE
 ) -> DataFrame:
     """Add ``is_test`` for the last rows in the given order.
 
@@ -45,7 +44,7 @@ def split_ordered(
     def train_rows(n: Column) -> Column:
         return n - F.floor((n * test_percent + 99) / 100)
 
-    found = rank_cutoffs(df, [], order_by, position, train_rows, rows_per_slice).collect()  # one row
+    found = rank_cutoffs(df, [], order_by, train_rows, rows_per_slice=rows_per_slice).collect()  # one row
     if not found:
         return df.withColumn("is_test", F.lit(True))
     edge = found[0]["_cutoff"]
@@ -70,7 +69,7 @@ def split_stratified(
 
     pool = df if among is None else df.where(among)
     hashed = pool.select(label, F.col(unique).alias("_id"), seeded_hash(F.col(unique), seed).alias("_hash"))
-    edges = rank_cutoffs(hashed, [label], ["_hash", "_id"], hash_position(F.col("_hash")), taken, rows_per_slice)
+    edges = rank_cutoffs(hashed, [label], ["_hash", "_id"], taken, rows_per_slice=rows_per_slice)
     joined = join_null_safe(df, pinned(edges), [label])
     here = F.struct(seeded_hash(F.col(unique), seed).alias("_hash"), F.col(unique).alias("_id"))
     drawn = F.coalesce(here <= F.col("_cutoff"), F.lit(False))
@@ -80,11 +79,11 @@ def split_stratified(
 
 
 def split(
-    df: DataFrame, order_by: Sequence[str], position: Column, label: str, unique: str, seed: int = SEED,
+    df: DataFrame, order_by: Sequence[str], label: str, unique: str, seed: int = SEED,
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """Add ``split``: the last rows are ``test``, a stratified share of the rest ``val``, else ``train``."""
-    marked = split_ordered(df, order_by, position, rows_per_slice=rows_per_slice)
+    marked = split_ordered(df, order_by, rows_per_slice=rows_per_slice)
     marked = split_stratified(
         marked, label, unique, seed=seed, among=~F.col("is_test"), rows_per_slice=rows_per_slice
     )
@@ -97,9 +96,7 @@ def shuffled(
 ) -> DataFrame:
     """A repeatable random order: adds ``position`` from 0 and its ``batch``."""
     hashed = df.withColumn("_hash", seeded_hash(F.col(unique), seed))
-    numbered = row_number(
-        hashed, [], [F.col("_hash"), F.col(unique)], hash_position(F.col("_hash")), "_at", rows_per_slice
-    )
+    numbered = row_number(hashed, [], ["_hash", unique], name="_at", rows_per_slice=rows_per_slice)
     position = F.col("_at") - 1
     return numbered.withColumn("position", position).withColumn(
         "batch", F.floor(position / batch)

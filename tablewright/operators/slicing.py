@@ -12,11 +12,12 @@ cut points only decide where the cuts lie.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewright.sources.workspace import local_table, stage
 
@@ -43,6 +44,24 @@ def micros(col: Column | str) -> Column:
     return F.unix_micros(col.cast("timestamp"))
 
 
+def order_position(df: DataFrame, column: str) -> Column:
+    """A whole number that never falls as the column rises, for cutting along it.
+
+    Text counts by its first seven bytes; values it cannot tell apart end up
+    in the same slice, which costs balance but not correctness.
+    """
+    kind = df.schema[column].dataType
+    col = F.col(column)
+    if isinstance(kind, T.StringType):
+        head = F.rpad(F.hex(F.substring(col.cast("binary"), 1, 7)), 14, "0")
+        return F.conv(head, 16, 10).cast("bigint")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return micros(col)
+    if isinstance(kind, (T.IntegralType, T.BooleanType)):
+        return col.cast("bigint")
+    raise TypeError(f"no position for {column}: {kind.simpleString()}")
+
+
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Equi-join on ``keys`` where null matches null; the left keys are kept.
 
@@ -133,17 +152,18 @@ def with_slice(df: DataFrame, cuts: Cuts | None, position: Column) -> DataFrame:
 def row_number(
     df: DataFrame,
     keys: Sequence[str],
-    order_by: Sequence[Column],
-    position: Column,
+    order_by: Sequence[str],
+    position: Column | None = None,
     name: str = "row_number",
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
-    """Number the rows of each key from 1 in the given order, exactly.
+    """Number the rows of each key from 1 in rising order, exactly.
 
     With no keys the whole table is one group. ``order_by`` must decide every
-    tie and start with the order of ``position``.
+    tie; ``position`` defaults to that of its first column.
     """
     keys = list(keys)
+    position = order_position(df, order_by[0]) if position is None else position
     cuts = find_cuts(df, keys, position, rows_per_slice)
     sliced = with_slice(df, cuts, position)
     window = Window.partitionBy(*keys, "_slice").orderBy(*order_by)
@@ -171,8 +191,8 @@ def rank_cutoffs(
     df: DataFrame,
     keys: Sequence[str],
     order_by: Sequence[str],
-    position: Column,
-    rank,
+    rank: Callable[[Column], Column],
+    position: Column | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """The row at a given rank of each key, as ``keys``, ``_cutoff`` struct.
@@ -184,6 +204,7 @@ def rank_cutoffs(
     holds the rank is shuffled and sorted.
     """
     keys = list(keys)
+    position = order_position(df, order_by[0]) if position is None else position
     flat = df.select(*keys, *[c for c in order_by if c not in keys], position.alias("_pos"))
     cuts = find_cuts(flat, keys, F.col("_pos"), rows_per_slice)
     order = Window.partitionBy(*keys).orderBy(*order_by)

@@ -20,12 +20,17 @@ def load(source: DataFrame, target: VersionedTable, note: str = "load") -> DataF
 
 
 def refresh(
-    target: VersionedTable, incoming: DataFrame, keys: Sequence[str], at: datetime, online: OnlineTable | None = None
+    target: VersionedTable, incoming: DataFrame, keys: Sequence[str], at: datetime, online: OnlineTable | None = None,
+    stored_is_unique: bool = False,
 ) -> DataFrame:
-    """Stamp the incoming rows, upsert them, store a new version, refresh the serving table."""
+    """Stamp the incoming rows, upsert them, store a new version, refresh the serving table.
+
+    After the first refresh the stored keys are unique; ``stored_is_unique``
+    then spares the stored table a shuffle.
+    """
     stamped = add_ingest_time(lowercase_columns(incoming), at)
     current = target.entry()
-    merged = upsert(target.read_entry(current), stamped, keys)
+    merged = upsert(target.read_entry(current), stamped, keys, old_is_unique=stored_is_unique)
     target.write(merged, note=f"refresh {at.isoformat(sep=' ')}", after=current)
     if online is not None:
         view = online.view

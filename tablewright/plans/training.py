@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.operators.columns import Rule, require_valid
@@ -25,7 +25,7 @@ class TrainingSet:
 
 def training_set(
     rankings: DataFrame, properties: DataFrame, on: str, label: str, features: Sequence[str], unique: str,
-    position: Column, rules: Sequence[Rule] = (), rows_per_slice: int = ROWS_PER_SLICE,
+    rules: Sequence[Rule] = (), rows_per_slice: int = ROWS_PER_SLICE,
 ) -> TrainingSet:
     """Merge, check, drop incomplete rows, encode, split and scale.
 
@@ -37,7 +37,7 @@ def training_set(
     if rules:
         require_valid(joined, rules)
     codes = pinned(sorted_codes(joined, label))
-    parts = split(joined, [unique], position, label, unique, rows_per_slice=rows_per_slice)
+    parts = split(joined, [unique], label, unique, rows_per_slice=rows_per_slice)
     parts = encode_labels(parts, label, codes)
     scaler = MinMax.fit(parts.where(F.col("split") == "train"), features)
     return TrainingSet(scaler.transform(parts), codes, scaler)

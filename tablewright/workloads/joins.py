@@ -209,6 +209,19 @@ def upsert_orders(spark, sf):
     return upsert(old, new, ["o_orderkey"])
 
 
+@query(
+    "upsert_unshuffled",
+    """
+    SELECT o_orderkey, o_custkey, o_orderdate,
+      CASE WHEN o_orderdate >= TIMESTAMP '1998-01-01' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice
+    FROM orders
+    """,
+)
+def upsert_unshuffled(spark, sf):
+    old, new = old_and_new(spark, sf)
+    return upsert(old, new, ["o_orderkey"], ["o_orderdate"], old_is_unique=True)
+
+
 @query(
     "diff_new_rows",
     "SELECT o_orderkey, o_custkey, o_totalprice + 1 AS o_totalprice, o_orderdate FROM orders "

@@ -79,7 +79,7 @@ def label_encode(spark, sf):
 )
 def row_position(spark, sf):
     rows = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
-    return o.shift_by_position(rows, "o_orderdate", ["o_orderkey"], F.col("o_orderkey"))
+    return o.shift_by_position(rows, "o_orderdate", ["o_orderkey"])
 
 
 @query(

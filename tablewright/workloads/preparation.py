@@ -41,10 +41,8 @@ def one_hot(spark, sf):
     """,
 )
 def split_ordered(spark, sf):
-    from tablewright.operators.slicing import micros
-
     rows = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
-    return prep.split_ordered(rows, ["o_orderdate", "o_orderkey"], micros("o_orderdate")).drop("o_orderdate")
+    return prep.split_ordered(rows, ["o_orderdate", "o_orderkey"]).drop("o_orderdate")
 
 
 @query(
@@ -155,7 +153,7 @@ def country_training_set(spark, sf):
         .selectExpr("c_custkey AS customer", "country", "c_acctbal AS balance", "nullif(c_custkey % 7, 3) AS score")
     )
     return training_set(
-        rankings, properties, "customer", "country", COUNTRY_FEATURES, "o_orderkey", F.col("o_orderkey"),
+        rankings, properties, "customer", "country", COUNTRY_FEATURES, "o_orderkey",
         rules=[Rule("country", not_null=True), Rule("score", low=0, high=6)],
     )
 
@@ -170,7 +168,7 @@ def country_training_set(spark, sf):
 )
 def split_scaled_ranges(spark, sf):
     rows = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
-    parts = prep.split(rows, ["o_orderkey"], F.col("o_orderkey"), "o_orderpriority", "o_orderkey")
+    parts = prep.split(rows, ["o_orderkey"], "o_orderpriority", "o_orderkey")
     fitted = prep.MinMax.fit(parts.where("split = 'train'"), ["o_totalprice"])
     return fitted.transform(parts).groupBy("split").agg(
         F.count(F.lit(1)).alias("n"), F.min("o_totalprice").alias("low"), F.max("o_totalprice").alias("high")

@@ -105,7 +105,7 @@ WITH ranked AS (
 @query("sink_splits", SPLIT_ORDERS + "SELECT o_orderkey, o_orderpriority, split FROM parted")
 def sink_splits(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
-    parts = split(orders, ["o_orderkey"], F.col("o_orderkey"), "o_orderpriority", "o_orderkey")
+    parts = split(orders, ["o_orderkey"], "o_orderpriority", "o_orderkey")
     path = new_dir(spark, "splits")
     write_parquet(parts, path, partition_by=["split"])
     return read_parquet(spark, path)

@@ -13,12 +13,16 @@ from tablewright.workloads.base import query, table
 def fingerprints(spark, sf):
     """The mark does not change with the row order, and does with the content."""
     rows = table(spark, sf, "lineitem")
-    plain = fingerprint(rows).selectExpr("1 AS j", "n_rows", "fingerprint AS a")
-    moved = fingerprint(rows.repartition(7, "l_suppkey")).selectExpr("1 AS j", "fingerprint AS b")
-    copied = fingerprint(rows.union(rows)).selectExpr("1 AS j", "fingerprint AS c")
-    both = plain.join(moved, "j").join(copied, "j")
-    return both.select(
-        "n_rows", (F.col("a") == F.col("b")).alias("same_after_shuffle"), (F.col("a") != F.col("c")).alias("changed_by_copy")
+    cases = {"plain": rows, "moved": rows.repartition(7, "l_suppkey"), "copied": rows.union(rows)}
+    marks = None
+    for name, df in cases.items():
+        mark = fingerprint(df).select(F.lit(name).alias("name"), "n_rows", "fingerprint")
+        marks = mark if marks is None else marks.union(mark)
+    of = {name: F.max(F.when(F.col("name") == name, F.col("fingerprint"))) for name in cases}
+    return marks.agg(
+        F.max(F.when(F.col("name") == "plain", F.col("n_rows"))).alias("n_rows"),
+        (of["plain"] == of["moved"]).alias("same_after_shuffle"),
+        (of["plain"] != of["copied"]).alias("changed_by_copy"),
     )
 
 

@@ -44,17 +44,26 @@ def test_exact_quantiles_at_many_probabilities(spark):
     values = [rng.gauss(0, 1) for _ in range(20_000)] + [0.25] * 9000
     df = spark.createDataFrame([("c", v) for v in values], "k string, v double").repartition(6)
     probs = [0.0, 0.001, 0.25, 0.5, 0.6180339, 0.99, 1.0]
-    got = {r["prob"]: r["quantile"] for r in aggs.exact_quantiles(df, ["k"], "v", probs).collect()}
+    got = {r["prob"]: r["quantile"] for r in aggs.exact_quantiles(df, ["v"], probs).collect()}
     for p in probs:
         assert math.isclose(got[p], float(np.quantile(values, p)), rel_tol=1e-9, abs_tol=1e-12), p
 
 
 def test_exact_quantiles_of_few_values(spark):
-    df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("b", 5.0), ("b", None)], "k string, v double")
-    out = aggs.exact_quantiles(df, ["k"], "v", [0.25, 0.5])
+    df = spark.createDataFrame([(1.0, 5.0, None), (2.0, None, None)], "a double, b double, c double")
+    out = aggs.exact_quantiles(df, ["a", "b", "c"], [0.25, 0.5])
     assert rows(out) == [("a", 0.25, 1.25), ("a", 0.5, 1.5), ("b", 0.25, 5.0), ("b", 0.5, 5.0)]
 
 
+def test_a_bracket_that_misses_is_widened(spark, monkeypatch):
+    monkeypatch.setattr(aggs, "SKETCH", 20)
+    values = [float(i * i) for i in range(5000)]
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(8)
+    probs = [0.1, 0.5, 0.77]
+    got = {r["prob"]: r["quantile"] for r in aggs.exact_quantiles(df, ["v"], probs).collect()}
+    assert all(math.isclose(got[p], float(np.quantile(values, p)), rel_tol=1e-12) for p in probs)
+
+
 def test_correlation_agrees_with_pandas(spark):
     frame, df = sample(spark)
     cols = ["x", "y", "z", "one"]

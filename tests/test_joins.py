@@ -101,3 +101,13 @@ def test_new_rows(spark):
     current = spark.createDataFrame([(1,), (2,)], "id bigint")
     incoming = spark.createDataFrame([(2, "x"), (3, "y")], "id bigint, v string")
     assert rows(new_rows(current, incoming, ["id"])) == [(3, "y")]
+
+
+def test_upsert_into_unique_table_does_not_shuffle_it(spark):
+    old = spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, v string")
+    new = spark.createDataFrame([(2, 1, "c"), (2, 2, "d"), (3, 1, "e")], "id bigint, t bigint, v string")
+    out = upsert(old, new, ["id"], ["t"], old_is_unique=True)
+    assert rows(out.select("id", "v")) == [(1, "a"), (2, "d"), (3, "e")]
+    assert "SortMergeJoin" not in out._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(ValueError):
+        upsert(old, new, ["id"], old_is_unique=True)

@@ -56,7 +56,7 @@ def test_unique_times_shift_only_copies(spark):
 def test_shift_by_position(spark):
     df = spark.createDataFrame([(i, T0) for i in range(100)], "id bigint, ts timestamp_ntz").repartition(3)
     for limit in (9, 1000):
-        out = o.shift_by_position(df, "ts", ["id"], F.col("id"), rows_per_slice=limit)
+        out = o.shift_by_position(df, "ts", ["id"], rows_per_slice=limit)
         assert {r["id"]: r["ts"] for r in out.collect()} == {i: T0 + timedelta(microseconds=2 * i) for i in range(100)}
 
 

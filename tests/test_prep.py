@@ -32,7 +32,7 @@ def test_one_hot(spark):
 @pytest.mark.parametrize("n", [1, 4, 5, 1001])
 def test_split_ordered_sizes(spark, n, limit):
     df = spark.range(n).repartition(3)
-    out = prep.split_ordered(df, ["id"], F.col("id"), rows_per_slice=limit)
+    out = prep.split_ordered(df, ["id"], rows_per_slice=limit)
     test_ids = sorted(r["id"] for r in out.collect() if r["is_test"])
     n_test = -(-n * 20 // 100)
     assert test_ids == list(range(n - n_test, n))
@@ -41,7 +41,7 @@ def test_split_ordered_sizes(spark, n, limit):
 @pytest.mark.parametrize("limit", [60, 10_000])
 def test_split_is_disjoint_complete_and_stratified(spark, limit):
     data, df = labelled(spark)
-    out = {r["id"]: r["split"] for r in prep.split(df, ["id"], F.col("id"), "y", "id", rows_per_slice=limit).collect()}
+    out = {r["id"]: r["split"] for r in prep.split(df, ["id"], "y", "id", rows_per_slice=limit).collect()}
     assert sorted(out) == [i for i, _, _ in data]
     assert [i for i, s in sorted(out.items()) if s == "test"] == list(range(800, 1000))
     groups = defaultdict(list)
@@ -87,7 +87,7 @@ def test_training_set(spark):
     rankings = spark.createDataFrame([(i, f"s{i % 9}", ["TR", "CH"][i % 2]) for i in range(100)], "id bigint, song string, country string")
     songs = spark.createDataFrame([(f"s{i}", float(i), None if i == 4 else i) for i in range(8)], "song string, tempo double, key bigint")
     made = training_set(
-        rankings, songs, "song", "country", ["tempo", "key"], "id", F.col("id"), [Rule("tempo", low=0, high=8)]
+        rankings, songs, "song", "country", ["tempo", "key"], "id", [Rule("tempo", low=0, high=8)]
     )
     complete = [i for i in range(100) if i % 9 not in (4, 8)]
     got = {r["id"]: r for r in made.table.collect()}
@@ -98,4 +98,4 @@ def test_training_set(spark):
     n_test = -(-len(complete) * 20 // 100)
     assert [i for i in complete if got[i]["split"] == "test"] == complete[-n_test:]
     with pytest.raises(ValueError):
-        training_set(rankings, songs, "song", "country", ["tempo"], "id", F.col("id"), [Rule("tempo", high=2)])
+        training_set(rankings, songs, "song", "country", ["tempo"], "id", [Rule("tempo", high=2)])

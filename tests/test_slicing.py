@@ -5,7 +5,7 @@ from collections import defaultdict
 
 from pyspark.sql import functions as F
 
-from tablewright.operators.slicing import find_cuts, rank_cutoffs, row_number, small, with_slice
+from tablewright.operators.slicing import find_cuts, order_position, rank_cutoffs, row_number, small, with_slice
 from tests.conftest import rows
 
 
@@ -62,22 +62,22 @@ def test_many_cuts_use_the_two_step_search(spark):
 
 def test_row_number_per_key(spark):
     data, df = skewed(spark)
-    order = [F.col("pos"), F.col("id")]
+    order = ["pos", "id"]
     for limit in (150, 10_000):
-        out = row_number(df, ["k"], order, F.col("pos"), rows_per_slice=limit)
+        out = row_number(df, ["k"], order, rows_per_slice=limit)
         assert rows(out.select("id", "row_number")) == expected_numbers(data)
 
 
 def test_row_number_of_the_whole_table(spark):
     data, df = skewed(spark)
-    out = row_number(df, [], [F.col("pos"), F.col("id")], F.col("pos"), rows_per_slice=100)
+    out = row_number(df, [], ["pos", "id"], rows_per_slice=100)
     assert rows(out.select("id", "row_number")) == expected_numbers(data, keyed=False)
 
 
 def test_rank_cutoffs(spark):
     data, df = skewed(spark)
     for limit in (120, 10_000):
-        found = rank_cutoffs(df, ["k"], ["pos", "id"], F.col("pos"), lambda n: F.floor(n / 5), rows_per_slice=limit)
+        found = rank_cutoffs(df, ["k"], ["pos", "id"], lambda n: F.floor(n / 5), rows_per_slice=limit)
         got = {r["k"]: (r["_cutoff"]["pos"], r["_cutoff"]["id"]) for r in found.collect()}
         groups = defaultdict(list)
         for i, k, p in data:
@@ -94,5 +94,19 @@ def test_small_is_checked(spark):
 
 def test_empty_table(spark):
     df = spark.createDataFrame([], "id bigint, k string, pos bigint")
-    assert rows(row_number(df, ["k"], [F.col("pos")], F.col("pos"))) == []
-    assert rows(rank_cutoffs(df, ["k"], ["pos"], F.col("pos"), lambda n: n)) == []
+    assert rows(row_number(df, ["k"], ["pos"])) == []
+    assert rows(rank_cutoffs(df, ["k"], ["pos"], lambda n: n)) == []
+
+
+def test_positions_never_fall(spark):
+    words = ["", "a", "aa", "aaaaaaaa", "aaaaaaab", "b", "z", "é", "日本"]
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    got = [tuple(r) for r in df.select("w", order_position(df, "w")).orderBy("w").collect()]
+    assert [p for _, p in got] == sorted(p for _, p in got) and len({p for _, p in got}) >= 7
+
+
+def test_text_is_numbered_in_slices(spark):
+    words = [f"w{i * 7919 % 1000:04d}" for i in range(1000)]
+    df = spark.createDataFrame([(w,) for w in words], "w string").repartition(3)
+    out = row_number(df, [], ["w"], rows_per_slice=60)
+    assert rows(out) == [(w, n) for n, w in enumerate(sorted(words), 1)]
