@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,8 +15,11 @@ from tablewright.sources.workspace import local_table
 QUARTILES = (0.25, 0.5, 0.75)
 # Up to this many rows the built-in exact percentile may hold a column's
 # distinct values in one buffer; beyond it they are found by selection.
-EXACT_IN_MEMORY = 1_000_000
-SKETCH = 100_000  # accuracy of the sketch that brackets a quantile
+EXACT_IN_MEMORY = 100_000
+# Accuracy of the sketch that brackets a quantile: enough that a bracket holds
+# about BRACKET_ROWS rows, within what a sketch's memory allows.
+SKETCH_LEAST, SKETCH_MOST = 10_000, 500_000
+BRACKET_ROWS = 1_000_000
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -29,12 +31,13 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, in_memory_rows
     """One row per numeric column: count, mean, std, min, quartiles, max.
 
     Quartiles are exact with linear interpolation. Null and NaN are missing.
+    They are found apart from the plain sums, which then stay in generated
+    code and combine on the map side.
     """
     columns = list(columns or numeric_columns(df))
-    values = {c: _value(c) for c in columns}
     basics = []
     for i, c in enumerate(columns):
-        v = values[c]
+        v = _value(c)
         basics += [
             F.count(v).alias(f"count_{i}"),
             F.avg(v).alias(f"mean_{i}"),
@@ -42,28 +45,25 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, in_memory_rows
             F.min(v).alias(f"min_{i}"),
             F.max(v).alias(f"max_{i}"),
         ]
-    fits = df.count() <= in_memory_rows
-    if fits:
-        for i, c in enumerate(columns):
-            basics.append(F.percentile(values[c], F.array(*map(F.lit, QUARTILES))).alias(f"q_{i}"))
     fields = ["count", "mean", "std", "min", "max"]
-    one = df.agg(*basics)
     entries = [
-        F.struct(
-            F.lit(c).alias("column_name"),
-            *[F.col(f"{f}_{i}").alias(f) for f in fields],
-            *([F.col(f"q_{i}")[j].alias(f"q{j}") for j in range(3)] if fits else []),
-        )
+        F.struct(F.lit(c).alias("column_name"), *[F.col(f"{f}_{i}").alias(f) for f in fields])
         for i, c in enumerate(columns)
     ]
-    out = one.select(F.inline(F.array(*entries)))
-    if not fits:
-        quartiles = exact_quantiles(df, columns, QUARTILES)
-        wide = quartiles.groupBy("column_name").agg(
+    out = df.agg(*basics).select(F.inline(F.array(*entries)))
+    if df.count() <= in_memory_rows:
+        ranks = F.array(*map(F.lit, QUARTILES))
+        one = df.agg(*[F.percentile(_value(c), ranks).alias(f"q_{i}") for i, c in enumerate(columns)])
+        cells = [
+            F.struct(F.lit(c).alias("column_name"), *[F.col(f"q_{i}")[j].alias(f"q{j}") for j in range(3)])
+            for i, c in enumerate(columns)
+        ]
+        wide = one.select(F.inline(F.array(*cells)))
+    else:
+        wide = exact_quantiles(df, columns, QUARTILES).groupBy("column_name").agg(
             *[F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(f"q{j}") for j, p in enumerate(QUARTILES)]
         )
-        out = join_null_safe(out, F.broadcast(wide), ["column_name"])  # one row per column
-    return out.select(
+    return join_null_safe(out, F.broadcast(wide), ["column_name"]).select(  # one row per column
         "column_name", "count", "mean", "std", "min", F.col("q0").alias("p25"), F.col("q1").alias("p50"),
         F.col("q2").alias("p75"), "max",
     )
@@ -90,16 +90,21 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     """
     spark, columns, probs = df.sparkSession, list(columns), list(probs)
     values = {c: _value(c) for c in columns}
-    width = 2.0 / SKETCH
+    accuracy = max(SKETCH_LEAST, min(SKETCH_MOST, 4 * df.count() // BRACKET_ROWS))
+    width = 2.0 / accuracy
     bounds: dict[tuple[str, float], tuple[float, float, int, int]] = {}
     todo = [(c, p) for c in columns for p in probs]
     while todo:
-        marks = {}
+        marks = []  # one sketch per column, asked for both ends of every bracket
+        for c in dict.fromkeys(c for c, _ in todo):
+            ends = [F.lit(min(1.0, max(0.0, p + side))) for k, p in todo if k == c for side in (-width, width)]
+            marks.append(F.percentile_approx(values[c], F.array(*ends), F.lit(accuracy)).alias(c))
+        sketch = df.agg(*marks).first().asDict()
+        ends, at = {}, dict.fromkeys(sketch, 0)
         for c, p in todo:
-            ends = F.array(F.lit(max(0.0, p - width)), F.lit(min(1.0, p + width)))
-            marks[c, p] = F.percentile_approx(values[c], ends, F.lit(SKETCH))
-        sketch = df.agg(*[m for m in marks.values()]).first()
-        ends = {k: e for k, e in zip(marks, sketch) if e is not None}
+            if sketch[c] is not None:
+                ends[c, p] = (sketch[c][at[c]], sketch[c][at[c] + 1])
+                at[c] += 2
         if not ends:
             break
         counted = []
@@ -151,39 +156,73 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     return hit.groupBy("column_name", "prob").agg(((1 - part) * low + part * high).alias("quantile"))
 
 
-def correlation(x: Column, y: Column) -> Column:
-    """Pearson's r over the rows where both are present; null if one is constant.
+def correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> dict[tuple[str, str], float | None]:
+    """Pearson's r of pairs of columns over the rows where both are present.
 
-    A constant is told by its extremes: merged partial variances of equal
-    values need not come out as exactly zero.
+    The first pass takes mean, extremes and gaps of every column, the second
+    the products of deviations. Columns without gaps share their sums; a pair
+    with gaps gets sums over its own rows. A constant, told by its extremes
+    and not by a variance that may miss zero by a rounding, has no r (None).
     """
-    both = x.isNotNull() & y.isNotNull()
-    a, b = F.when(both, x), F.when(both, y)
-    varies = (F.min(a) < F.max(a)) & (F.min(b) < F.max(b))
-    r = F.try_divide(F.covar_pop(a, b), F.sqrt(F.var_pop(a)) * F.sqrt(F.var_pop(b)))
-    return F.when(varies, r)
+    columns = list(dict.fromkeys(c for pair in pairs for c in pair))
+    values = {c: _value(c) for c in columns}
+    first = [F.count(F.lit(1)).alias("_n")]
+    for i, c in enumerate(columns):
+        v = values[c]
+        first += [F.count(v).alias(f"n{i}"), F.avg(v).alias(f"m{i}"), F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}")]
+    stats = df.agg(*first).first()
+    at = {c: i for i, c in enumerate(columns)}
+    varies = {c: stats[f"n{i}"] > 0 and stats[f"lo{i}"] < stats[f"hi{i}"] for c, i in at.items()}
+    whole = {c: stats[f"n{i}"] == stats["_n"] for c, i in at.items()}
+    used = [(x, y) for x, y in pairs if varies[x] and varies[y]]
+    deviations = {c: values[c] - F.lit(stats[f"m{i}"]) for c, i in at.items() if varies[c]}
+    sums: dict[str, Column] = {}
+
+    def total(name: str, value: Column) -> str:
+        sums.setdefault(name, F.sum(value).alias(name))
+        return name
+
+    parts = {}
+    for x, y in used:
+        a, b = deviations[x], deviations[y]
+        i, j = at[x], at[y]
+        if whole[x] and whole[y]:
+            names = [total(f"s{i}", a), total(f"s{j}", b), total(f"p{i}_{i}", a * a), total(f"p{j}_{j}", b * b)]
+            parts[x, y] = (*names, total("p{}_{}".format(*sorted((i, j))), a * b), None)
+            continue
+        both = a.isNotNull() & b.isNotNull()
+        tag = f"{i}_{j}"
+        own = {"a": F.when(both, a), "b": F.when(both, b)}
+        names = [total(f"{k}{tag}", v) for k, v in own.items()] + [total(f"{k}{k}{tag}", v * v) for k, v in own.items()]
+        parts[x, y] = (*names, total(f"ab{tag}", own["a"] * own["b"]), tag)
+        sums[f"n{tag}"] = F.count_if(both).alias(f"n{tag}")
+        for k, v in own.items():
+            sums[f"{k}lo{tag}"], sums[f"{k}hi{tag}"] = F.min(v).alias(f"{k}lo{tag}"), F.max(v).alias(f"{k}hi{tag}")
+    row = df.agg(*sums.values()).first() if sums else None
+    out: dict[tuple[str, str], float | None] = dict.fromkeys(pairs)
+    for pair, (sa, sb, saa, sbb, sab, tag) in parts.items():
+        n = row[f"n{tag}"] if tag else stats["_n"]
+        if not n or (tag and any(row[f"{k}lo{tag}"] == row[f"{k}hi{tag}"] for k in "ab")):
+            continue
+        spread = math.sqrt(row[saa] - row[sa] ** 2 / n) * math.sqrt(row[sbb] - row[sb] ** 2 / n)
+        out[pair] = 1.0 if pair[0] == pair[1] else (row[sab] - row[sa] * row[sb] / n) / spread
+    return out
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """All pairwise correlations as (x, y, r), from one pass over the table."""
-    cols = {c: _value(c) for c in columns}
-    pairs = [(c, c) for c in columns] + list(combinations(columns, 2))
-    one = df.agg(*[correlation(cols[x], cols[y]).alias(f"r{i}") for i, (x, y) in enumerate(pairs)])
-    cells = []
-    for i, (x, y) in enumerate(pairs):
-        # a column against itself is 1 unless it is constant
-        r = F.col(f"r{i}") if x != y else F.when(F.col(f"r{i}").isNotNull(), F.lit(1.0))
-        for a, b in {(x, y), (y, x)}:
-            cells.append(F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), r.alias("r")))
-    return one.select(F.inline(F.array(*cells)))
+    """All pairwise correlations as (x, y, r)."""
+    columns = list(columns)
+    found = correlations(df, [(x, y) for i, x in enumerate(columns) for y in columns[i:]])
+    cells = [(a, b, r) for (x, y), r in found.items() for a, b in sorted({(x, y), (y, x)})]
+    return local_table(df.sparkSession, cells, "x string, y string, r double")
 
 
 def corr_target(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
     """Correlation of every column with ``target``, strongest first."""
-    cols = {c: _value(c) for c in columns}
-    one = df.agg(*[correlation(cols[c], cols[target]).alias(f"r{i}") for i, c in enumerate(columns)])
-    cells = [F.struct(F.lit(c).alias("column_name"), F.col(f"r{i}").alias("r")) for i, c in enumerate(columns)]
-    return one.select(F.inline(F.array(*cells))).orderBy(F.desc_nulls_last("r"), "column_name")
+    found = correlations(df, [(c, target) for c in columns])
+    cells = [(c, r) for (c, _), r in found.items()]
+    table = local_table(df.sparkSession, cells, "column_name string, r double")
+    return table.orderBy(F.desc_nulls_last("r"), "column_name")
 
 
 def group_mean(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:

@@ -96,7 +96,7 @@ def group_mean_all(spark, sf):
     "JOIN part ON l_partkey = p_partkey GROUP BY p_name",
 )
 def group_mean(spark, sf):
-    rows = table(spark, sf, "lineitem").selectExpr("l_partkey", "round(l_extendedprice * 100) AS popularity")
+    rows = table(spark, sf, "lineitem").selectExpr("l_partkey", "rint(l_extendedprice * 100) AS popularity")
     names = table(spark, sf, "part").select("p_partkey", "p_name")
     joined = rows.join(names, F.col("l_partkey") == F.col("p_partkey"))
     return aggs.group_mean(joined, ["p_name"], ["popularity"])
@@ -208,7 +208,7 @@ def minmax_fit(spark, sf):
 )
 def background(spark, sf):
     rows = table(spark, sf, "orders").selectExpr(
-        "o_orderkey", "round(o_totalprice * 100) AS price_cents", "CAST(o_custkey AS DOUBLE) AS custkey"
+        "o_orderkey", "rint(o_totalprice * 100) AS price_cents", "CAST(o_custkey AS DOUBLE) AS custkey"
     )
     return background_mean(rows, ["o_orderkey"], ["price_cents", "custkey"])
 

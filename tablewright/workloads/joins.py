@@ -22,7 +22,7 @@ GROUP BY p_name ORDER BY popularity DESC, p_name LIMIT 10
 @query("top_items_of_period", TOP_ITEMS)
 def top_items_of_period(spark, sf):
     rankings = table(spark, sf, "lineitem").selectExpr(
-        "l_partkey AS item", "l_shipdate", "round(l_extendedprice * 100) AS popularity"
+        "l_partkey AS item", "l_shipdate", "rint(l_extendedprice * 100) AS popularity"
     )
     properties = table(spark, sf, "part").selectExpr("p_partkey AS item", "p_name")
     return top_items(

@@ -96,7 +96,7 @@ def ts_unique_shift(spark, sf):
 
 
 def cents(spark, sf):
-    return table(spark, sf, "events").selectExpr("event_id", "ts", "event_type", "round(value * 100) AS cents")
+    return table(spark, sf, "events").selectExpr("event_id", "ts", "event_type", "rint(value * 100) AS cents")
 
 
 @query(

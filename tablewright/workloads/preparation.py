@@ -144,7 +144,7 @@ COUNTRY_FEATURES = ["price_cents", "balance", "score"]
 
 def country_training_set(spark, sf):
     rankings = table(spark, sf, "orders").selectExpr(
-        "o_orderkey", "o_custkey AS customer", "round(o_totalprice * 100) AS price_cents"
+        "o_orderkey", "o_custkey AS customer", "rint(o_totalprice * 100) AS price_cents"
     )
     nations = table(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("country"))
     properties = (

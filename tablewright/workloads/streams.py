@@ -32,7 +32,7 @@ def materialized(spark, sf):
     """,
 )
 def identity(spark, sf):
-    rows = live_events(spark, sf).selectExpr("event_id", "ts", "event_type", "round(value * 100) AS cents")
+    rows = live_events(spark, sf).selectExpr("event_id", "ts", "event_type", "rint(value * 100) AS cents")
     return stream_identity(rows, ["event_type"], "cents", "ts", "event_id", new_dir(spark, "stream"))
 
 
@@ -49,8 +49,8 @@ def identity(spark, sf):
     """,
 )
 def drift(spark, sf):
-    live = live_events(spark, sf).where("event_type = 'purchase'").selectExpr("ts", "round(value * 100) AS cents")
-    reference = table(spark, sf, "events").where("event_type <> 'purchase'").selectExpr("round(value * 100) AS cents")
+    live = live_events(spark, sf).where("event_type = 'purchase'").selectExpr("ts", "rint(value * 100) AS cents")
+    reference = table(spark, sf, "events").where("event_type <> 'purchase'").selectExpr("rint(value * 100) AS cents")
     out = stream_drift(live, reference, "ts", ["cents"], "1 day", "2 days", new_dir(spark, "stream"))
     return out.select(
         "window_start", "column_name", "n_ref", "n_live", "mean_ref", "mean_live", F.round("t", 6).alias("t")

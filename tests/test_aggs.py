@@ -56,7 +56,7 @@ def test_exact_quantiles_of_few_values(spark):
 
 
 def test_a_bracket_that_misses_is_widened(spark, monkeypatch):
-    monkeypatch.setattr(aggs, "SKETCH", 20)
+    monkeypatch.setattr(aggs, "SKETCH_LEAST", 20)
     values = [float(i * i) for i in range(5000)]
     df = spark.createDataFrame([(v,) for v in values], "v double").repartition(8)
     probs = [0.1, 0.5, 0.77]
