@@ -129,6 +129,8 @@ def identity_history(
     work, and the last ``n - 1`` rows of a block are copied into the next one
     as its context, so no task needs a whole key.
     """
+    if block < n:
+        raise ValueError("a block must hold at least one frame")
     flat = df.select(*keys, value, ts, unique)
     numbered = row_number(flat, keys, [ts, unique], name="_at", rows_per_slice=rows_per_slice)
     index = F.col("_at") - 1

@@ -104,6 +104,24 @@ def join_asof(spark, sf):
     )
 
 
+@query(
+    "join_asof_hot_keys",
+    ENTITIES
+    + """
+    , m AS (SELECT e.event_id, e.user_id, e.ts, f.feature_ts, f.feature
+            FROM e ASOF LEFT JOIN f ON e.user_id = f.user_id AND e.ts >= f.feature_ts)
+    SELECT event_id, user_id, ts, feature FROM m WHERE feature_ts IS NOT NULL OR user_id NOT IN (SELECT user_id FROM f)
+    """,
+)
+def join_asof_hot_keys(spark, sf):
+    """The same join with a slice size at which most users are cut along time."""
+    entities, history = entities_and_history(spark, sf)
+    return asof_join(
+        entities, history, ["user_id"], "ts", "feature_ts", ["feature"], ["feature_id"], unmatched="drop_expired",
+        rows_per_slice=25,
+    )
+
+
 @query(
     "join_asof_ttl",
     ENTITIES

@@ -123,6 +123,21 @@ def identity_history(spark, sf):
     return o.identity_history(cents(spark, sf), ["event_type"], "cents", "ts", "event_id")
 
 
+@query(
+    "identity_history_sliced",
+    """
+    SELECT event_type, ts, event_id, avg(round(value * 100)) OVER (
+      PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 255 PRECEDING AND CURRENT ROW) AS mean_value
+    FROM events
+    """,
+)
+def identity_history_sliced(spark, sf):
+    """The same with every event type cut into slices and blocks."""
+    return o.identity_history(
+        cents(spark, sf), ["event_type"], "cents", "ts", "event_id", block=512, rows_per_slice=100
+    )
+
+
 @query("sort_by", "SELECT event_id, ts, value FROM events ORDER BY value DESC, event_id")
 def sort_by(spark, sf):
     return table(spark, sf, "events").select("event_id", "ts", "value").orderBy(F.desc("value"), "event_id")

@@ -59,6 +59,20 @@ def split_stratified(spark, sf):
     )
 
 
+@query(
+    "split_stratified_hot_classes",
+    """
+    SELECT event_id, event_type, row_number() OVER (PARTITION BY event_type ORDER BY
+        md5(concat_ws('/', CAST(event_id AS VARCHAR), '42')), event_id)
+      <= (count(*) OVER (PARTITION BY event_type) * 20 + 50) // 100 AS is_val FROM events
+    """,
+)
+def split_stratified_hot_classes(spark, sf):
+    """The same with every class cut into slices, of which one is sorted."""
+    rows = table(spark, sf, "events").select("event_id", "event_type")
+    return prep.split_stratified(rows, "event_type", "event_id", rows_per_slice=50)
+
+
 @query(
     "shuffle_seeded",
     """
