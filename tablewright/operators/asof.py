@@ -8,7 +8,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.operators.slicing import ROWS_PER_SLICE, find_cuts, join_null_safe, micros, with_slice
+from tablewright.operators.slicing import ROWS_PER_SLICE, Cuts, join_null_safe, order_positions, slices
 
 
 def asof_join(
@@ -37,7 +37,9 @@ def asof_join(
     Both sides are put into one ordered stream per key and the last feature
     seen is carried forward: one shuffle, no pairs. A key too large for one
     task is cut along time into slices, and the last feature before each
-    slice, one row per slice, is joined back.
+    slice, one row per slice, is joined back. An instant too large is cut
+    further: feature rows along the tie-break, entity rows by their hash,
+    since all of them get the same match.
     """
     if unmatched not in ("null", "drop_expired"):
         raise ValueError(unmatched)
@@ -47,6 +49,7 @@ def asof_join(
         *keys,
         F.col(feature_ts).alias("_ts"),
         F.lit(0).alias("_side"),
+        _tie_position(features, tie_break).alias("_order"),
         F.struct(
             F.struct(*order_fields).alias("rank"),
             *[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)],
@@ -56,20 +59,20 @@ def asof_join(
         *keys,
         F.col(entity_ts).alias("_ts"),
         F.lit(1).alias("_side"),
+        F.xxhash64(*entities.columns).alias("_order"),
         F.struct(*entities.columns).alias("_entity"),
     )
     stream = feature_rows.unionByName(entity_rows, allowMissingColumns=True)
-    position = micros("_ts")
-    cuts = find_cuts(stream.select(*keys, "_ts"), keys, position, rows_per_slice)
-    stream = with_slice(stream, cuts, position)
+    stream, names, cuts = slices(stream, keys, ["_ts", "_side", "_order"], rows_per_slice)
 
     order = [F.col("_ts"), F.col("_side"), F.col("_feature.rank")]
-    seen = Window.partitionBy(*keys, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    here = Window.partitionBy(*keys, *names)
+    seen = here.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     carried = stream.withColumn("_match", F.last("_feature", ignorenulls=True).over(seen))
     if unmatched == "drop_expired":
-        carried = carried.withColumn("_known", F.count("_feature").over(Window.partitionBy(*keys, "_slice")) > 0)
+        carried = carried.withColumn("_known", F.count("_feature").over(here) > 0)
     if cuts is not None:
-        carried = _carry_between_slices(carried, stream, keys, cuts)
+        carried = _carry_between_slices(carried, stream, keys, names, cuts)
     out = carried.where(F.col("_side") == 1)
 
     matched_ts = F.col("_match.rank.ts")
@@ -85,15 +88,24 @@ def asof_join(
     return out.select(*result)
 
 
-def _carry_between_slices(carried: DataFrame, stream: DataFrame, keys: list[str], cuts) -> DataFrame:
+def _tie_position(features: DataFrame, tie_break: Sequence[str]) -> Column:
+    try:
+        return order_positions(features, tie_break)[0]
+    except TypeError:  # nothing to cut along
+        return F.lit(0).cast("bigint")
+
+
+def _carry_between_slices(
+    carried: DataFrame, stream: DataFrame, keys: list[str], names: list[str], cuts: Cuts
+) -> DataFrame:
     """Add what the other slices of a key know: its last feature before, and whether it has any."""
     # bounded by find_cuts: the hot keys, then one row per slice of them
     stream = join_null_safe(stream, F.broadcast(cuts.table.select(*keys)), keys, "left_semi")
-    newest = stream.groupBy(*keys, "_slice").agg(F.max_by("_feature", "_feature.rank").alias("_newest"))
-    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    newest = stream.groupBy(*keys, *names).agg(F.max_by("_feature", "_feature.rank").alias("_newest"))
+    before = Window.partitionBy(*keys).orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
     carry = newest.withColumn("_carry", F.last("_newest", ignorenulls=True).over(before))
     carry = carry.withColumn("_any", F.count("_newest").over(Window.partitionBy(*keys)) > 0).drop("_newest")
-    joined = join_null_safe(carried, F.broadcast(carry), [*keys, "_slice"])
+    joined = join_null_safe(carried, F.broadcast(carry), [*keys, *names])
     joined = joined.withColumn("_match", F.coalesce("_match", "_carry"))
     if "_known" in carried.columns:
         joined = joined.withColumn("_known", F.col("_known") | F.coalesce("_any", F.lit(False)))

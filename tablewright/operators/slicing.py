@@ -27,6 +27,7 @@ ROWS_PER_SLICE = 2_000_000
 # sent to the driver or broadcast below is bounded by it.
 MAX_SLICES = 4096
 _BUCKETS = 65_536  # of the first, coarse count
+TEXT_STEPS = 5
 _FAN = 64  # cut points are searched in two steps of at most 64 comparisons
 
 
@@ -44,22 +45,29 @@ def micros(col: Column | str) -> Column:
     return F.unix_micros(col.cast("timestamp"))
 
 
-def order_position(df: DataFrame, column: str) -> Column:
-    """A whole number that never falls as the column rises, for cutting along it.
+def order_positions(df: DataFrame, order_by: Sequence[str]) -> list[Column]:
+    """Whole numbers to cut along, one after the other, that never fall as the order rises.
 
-    Text counts by its first seven bytes; values it cannot tell apart end up
-    in the same slice, which costs balance but not correctness.
+    A number or time is one step. Text is read seven bytes at a time and ends
+    the list, since no number of steps is sure to tell two texts apart.
     """
-    kind = df.schema[column].dataType
-    col = F.col(column)
-    if isinstance(kind, T.StringType):
-        head = F.rpad(F.hex(F.substring(col.cast("binary"), 1, 7)), 14, "0")
-        return F.conv(head, 16, 10).cast("bigint")
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return micros(col)
-    if isinstance(kind, (T.IntegralType, T.BooleanType)):
-        return col.cast("bigint")
-    raise TypeError(f"no position for {column}: {kind.simpleString()}")
+    out: list[Column] = []
+    for name in order_by:
+        kind, col = df.schema[name].dataType, F.col(name)
+        if isinstance(kind, T.StringType):
+            for at in range(1, 1 + 7 * TEXT_STEPS, 7):
+                part = F.rpad(F.hex(F.substring(col.cast("binary"), at, 7)), 14, "0")
+                out.append(F.conv(part, 16, 10).cast("bigint"))
+            break
+        if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+            out.append(micros(col))
+        elif isinstance(kind, (T.IntegralType, T.BooleanType)):
+            out.append(col.cast("bigint"))
+        else:
+            break
+    if not out:
+        raise TypeError(f"cannot cut along {list(order_by)}")
+    return out
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
@@ -119,7 +127,9 @@ def find_cuts(
     step = F.greatest(F.lit(1), F.floor(F.lit(largest) / F.col("_n")))
     thinned = found.select(
         *keys,
-        F.array_distinct(F.filter("_cuts", lambda x, i: (i + 1) % step == 0)).alias("_cuts"),
+        F.coalesce(
+            F.array_distinct(F.filter("_cuts", lambda x, i: (i + 1) % step == 0)), F.array().cast("array<bigint>")
+        ).alias("_cuts"),
     )
     # Pinned on the driver: an approximate percentile may differ when it is
     # computed again, and every later pass must see the same cuts.
@@ -129,59 +139,82 @@ def find_cuts(
 
 
 def _slice_number(cuts: Column, position: Column) -> Column:
-    """How many cut points lie below ``position``, by a two-step search."""
+    """Twice the number of cuts below ``position``, plus one if it is itself a cut.
+
+    The cuts are searched in two steps. An odd number thus belongs to a
+    single position; missing ones come first, under -1.
+    """
     coarse = F.filter(cuts, lambda x, i: (i % _FAN == _FAN - 1) & (x < position))
     skip = F.size(coarse) * _FAN
-    fine = F.filter(F.slice(cuts, skip + 1, F.lit(_FAN)), lambda x: x < position)
-    return skip + F.size(fine)
+    below = skip + F.size(F.filter(F.slice(cuts, skip + 1, F.lit(_FAN)), lambda x: x < position))
+    is_cut = F.try_element_at(cuts, below + 1).eqNullSafe(position)
+    return F.when(position.isNull(), -1).otherwise(2 * below + is_cut.cast("int"))
 
 
-def with_slice(df: DataFrame, cuts: Cuts | None, position: Column) -> DataFrame:
-    """Add ``_slice``: 0 for ordinary keys, the slice number for hot ones."""
+def with_slice(df: DataFrame, cuts: Cuts | None, position: Column, name: str = "_slice") -> DataFrame:
+    """Add the slice number: 0 for ordinary keys, in the order of ``position`` for hot ones."""
     if cuts is None:
-        return df.withColumn("_slice", F.lit(0))
+        return df.withColumn(name, F.lit(0))
     if cuts.keys:
         joined = join_null_safe(df, F.broadcast(cuts.table), cuts.keys)  # bounded, see find_cuts
     else:
         only = cuts.table.collect()[0]["_cuts"]
-        joined = df.withColumn("_cuts", F.array(*[F.lit(int(x)) for x in only]))
-    number = F.coalesce(_slice_number(F.col("_cuts"), position), F.lit(0))
-    return joined.withColumn("_slice", F.when(F.col("_cuts").isNull(), 0).otherwise(number)).drop("_cuts")
+        joined = df.withColumn("_cuts", F.array(*[F.lit(int(x)) for x in only]).cast("array<bigint>"))
+    number = F.when(F.col("_cuts").isNull(), 0).otherwise(_slice_number(F.col("_cuts"), position))
+    return joined.withColumn(name, number).drop("_cuts")
+
+
+def slices(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], rows_per_slice: int = ROWS_PER_SLICE
+) -> tuple[DataFrame, list[str], Cuts | None]:
+    """Add the columns that number the slices of hot keys along ``order_by``.
+
+    Where one position of the first column alone holds too many rows, such as
+    a day with a large share of the table, it is cut along the next column,
+    and so on. Returns the table, the names of the added columns (in order)
+    and the first cuts; no columns and None if no key is hot.
+    """
+    names: list[str] = []
+    first: Cuts | None = None
+    for level, position in enumerate(order_positions(df, order_by)):
+        whole = df if not names else df.where(F.pmod(F.col(names[-1]), F.lit(2)) == 1)
+        cuts = find_cuts(whole, [*keys, *names], position, rows_per_slice)
+        if cuts is None:
+            break
+        first = first or cuts
+        df = with_slice(df, cuts, position, f"_slice{level}")
+        names.append(f"_slice{level}")
+    return df, names, first
 
 
 def row_number(
     df: DataFrame,
     keys: Sequence[str],
     order_by: Sequence[str],
-    position: Column | None = None,
     name: str = "row_number",
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """Number the rows of each key from 1 in rising order, exactly.
 
     With no keys the whole table is one group. ``order_by`` must decide every
-    tie; ``position`` defaults to that of its first column.
+    tie.
     """
     keys = list(keys)
-    position = order_position(df, order_by[0]) if position is None else position
-    cuts = find_cuts(df, keys, position, rows_per_slice)
-    sliced = with_slice(df, cuts, position)
-    window = Window.partitionBy(*keys, "_slice").orderBy(*order_by)
+    sliced, names, cuts = slices(df, keys, order_by, rows_per_slice)
+    window = Window.partitionBy(*keys, *names).orderBy(*order_by)
     local = sliced.withColumn(name, F.row_number().over(window).cast("bigint"))
     if cuts is None:
-        return local.drop("_slice")
+        return local
     # Rows before each slice: a handful of numbers per hot key.
-    counts = with_slice(df.select(*keys, position.alias("_pos")), cuts, F.col("_pos"))
-    if keys:
-        counts = join_null_safe(counts, F.broadcast(cuts.table.select(*keys)), keys, "left_semi")
-    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*keys).orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
+    hot = join_null_safe(sliced, F.broadcast(cuts.table.select(*keys)), keys, "left_semi") if keys else sliced
     offsets = (
-        counts.groupBy(*keys, "_slice")
+        hot.groupBy(*keys, *names)
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
         .drop("_n")
     )
-    joined = join_null_safe(local, F.broadcast(offsets), [*keys, "_slice"])  # one row per slice of a hot key
+    joined = join_null_safe(local, F.broadcast(offsets), [*keys, *names])  # one row per slice of a hot key
     return joined.select(
         *df.columns, (F.col(name) + F.coalesce(F.col("_before"), F.lit(0))).alias(name)
     )
@@ -192,7 +225,6 @@ def rank_cutoffs(
     keys: Sequence[str],
     order_by: Sequence[str],
     rank: Callable[[Column], Column],
-    position: Column | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """The row at a given rank of each key, as ``keys``, ``_cutoff`` struct.
@@ -204,9 +236,8 @@ def rank_cutoffs(
     holds the rank is shuffled and sorted.
     """
     keys = list(keys)
-    position = order_position(df, order_by[0]) if position is None else position
-    flat = df.select(*keys, *[c for c in order_by if c not in keys], position.alias("_pos"))
-    cuts = find_cuts(flat, keys, F.col("_pos"), rows_per_slice)
+    flat = df.select(*dict.fromkeys([*keys, *order_by]))
+    sliced, names, cuts = slices(flat, keys, order_by, rows_per_slice)
     order = Window.partitionBy(*keys).orderBy(*order_by)
     all_of = Window.partitionBy(*keys)
     if cuts is None:
@@ -214,18 +245,17 @@ def rank_cutoffs(
             "_rank", rank(F.count(F.lit(1)).over(all_of)).cast("bigint")
         )
         return ranked.where(F.col("_at") == F.col("_rank")).select(*keys, F.struct(*order_by).alias("_cutoff"))
-    sliced = with_slice(flat, cuts, F.col("_pos"))
-    up_to = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, 0)
+    up_to = Window.partitionBy(*keys).orderBy(*names).rowsBetween(Window.unboundedPreceding, 0)
     target = (
-        sliced.groupBy(*keys, "_slice")
+        sliced.groupBy(*keys, *names)
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_upto", F.sum("_n").over(up_to))
         .withColumn("_rank", rank(F.sum("_n").over(all_of)).cast("bigint"))
         .where((F.col("_rank") >= 1) & (F.col("_upto") >= F.col("_rank")) & (F.col("_upto") - F.col("_n") < F.col("_rank")))
         .withColumn("_within", F.col("_rank") - (F.col("_upto") - F.col("_n")))
-        .select(*keys, "_slice", "_within")
+        .select(*keys, *names, "_within")
     )
-    inside = join_null_safe(sliced, target, [*keys, "_slice"], "inner")
+    inside = join_null_safe(sliced, pinned(target), [*keys, *names], "inner")  # one row per key
     return (
         inside.withColumn("_at", F.row_number().over(order))
         .where(F.col("_at") == F.col("_within"))

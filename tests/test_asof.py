@@ -140,3 +140,13 @@ def test_agrees_with_join_and_rank(spark, left, right, ttl):
     window = timedelta(seconds=ttl) if ttl else None
     plan_b = asof_join(e, f, ["k"], "ts", "fts", ["v"], ["created"], ttl=window).select("id", "v")
     assert rows(plan_a) == rows(plan_b)
+
+
+@pytest.mark.parametrize("unmatched", ["null", "drop_expired"])
+def test_a_hot_instant_is_cut_too(spark, unmatched):
+    rng = random.Random(12)
+    when = lambda: 50 if rng.random() < 0.5 else rng.randrange(100)
+    entities = [(i, "hot" if i % 3 else "b", when()) for i in range(900)]
+    features = [("hot", when(), c, c) for c in range(600)]
+    want = brute(entities, features, None, unmatched)
+    assert joined(spark, entities, features, rows_per_slice=30, unmatched=unmatched) == want

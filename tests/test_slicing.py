@@ -5,7 +5,7 @@ from collections import defaultdict
 
 from pyspark.sql import functions as F
 
-from tablewright.operators.slicing import find_cuts, order_position, rank_cutoffs, row_number, small, with_slice
+from tablewright.operators.slicing import find_cuts, order_positions, rank_cutoffs, row_number, slices, small, with_slice
 from tests.conftest import rows
 
 
@@ -57,7 +57,7 @@ def test_many_cuts_use_the_two_step_search(spark):
     points = cuts.table.first()["_cuts"]
     assert len(points) > 128
     got = {r["pos"]: r["_slice"] for r in with_slice(df, cuts, F.col("pos")).collect()}
-    assert all(got[p] == sum(c < p for c in points) for _, p in data)
+    assert all(got[p] == 2 * sum(c < p for c in points) + (p in points) for _, p in data)
 
 
 def test_row_number_per_key(spark):
@@ -101,7 +101,7 @@ def test_empty_table(spark):
 def test_positions_never_fall(spark):
     words = ["", "a", "aa", "aaaaaaaa", "aaaaaaab", "b", "z", "é", "日本"]
     df = spark.createDataFrame([(w,) for w in words], "w string")
-    got = [tuple(r) for r in df.select("w", order_position(df, "w")).orderBy("w").collect()]
+    got = [tuple(r) for r in df.select("w", order_positions(df, ["w"])[0]).orderBy("w").collect()]
     assert [p for _, p in got] == sorted(p for _, p in got) and len({p for _, p in got}) >= 7
 
 
@@ -110,3 +110,29 @@ def test_text_is_numbered_in_slices(spark):
     df = spark.createDataFrame([(w,) for w in words], "w string").repartition(3)
     out = row_number(df, [], ["w"], rows_per_slice=60)
     assert rows(out) == [(w, n) for n, w in enumerate(sorted(words), 1)]
+
+
+def test_one_position_with_most_rows_is_cut_along_the_next_column(spark):
+    rng = random.Random(11)
+    days = [None if (u := rng.random()) < 0.3 else 7 if u < 0.7 else rng.randrange(20) for _ in range(2000)]
+    data = [(i * 37 % 2000, "hot" if i % 3 else f"k{i % 50}", d) for i, d in enumerate(days)]
+    df = spark.createDataFrame(data, "id bigint, k string, day bigint").repartition(4)
+    limit = 40
+    sliced, names, _ = slices(df, ["k"], ["day", "id"], limit)
+    assert names == ["_slice0", "_slice1"]
+    largest = sliced.groupBy("k", *names).count().agg({"count": "max"}).first()[0]
+    assert largest <= 4 * limit
+    order = lambda r: (r[2] is not None, r[2] or 0, r[0])  # noqa: E731  (nulls first)
+    groups = defaultdict(list)
+    for r in data:
+        groups[r[1]].append(r)
+    want = sorted(((r[0], n) for g in groups.values() for n, r in enumerate(sorted(g, key=order), 1)), key=repr)
+    out = row_number(df, ["k"], ["day", "id"], rows_per_slice=limit)
+    assert rows(out.select("id", "row_number")) == want
+    whole = row_number(df, [], ["day", "id"], rows_per_slice=limit)
+    assert rows(whole.select("id", "row_number")) == sorted(
+        ((r[0], n) for n, r in enumerate(sorted(data, key=order), 1)), key=repr
+    )
+    found = rank_cutoffs(df, ["k"], ["day", "id"], lambda n: F.ceil(n / 2), rows_per_slice=limit)
+    got = {r["k"]: tuple(r["_cutoff"]) for r in found.collect()}
+    assert got == {k: (lambda r: (r[2], r[0]))(sorted(g, key=order)[-(-len(g) // 2) - 1]) for k, g in groups.items()}
