@@ -6,10 +6,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tablewright.workloads import ORACLES, QUERIES
 from tools.check_queries import TABLES, canonical
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 # Checked by properties in their own tests, not by SQL.
 NO_SQL = {
     "list_objects", "train_classifier", "score_batch", "counterfactual_search", "feature_attribution",
