@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tablewright.llm import mixing, sharding
+from tablewright.llm import exact_dedup, mixing, quality_rules, sharding
 from tablewright.llm.base import documents, query
 
 
@@ -16,3 +17,14 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_mixing")
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir).select("doc_id", "source"), "source", ["doc_id"])
+
+
+@query("op3_exact_dedup", exact_dedup.ORACLE)
+def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_groups(documents(spark, sf_dir), "doc_id", "text").drop("n_chunks")
+
+
+@query("op9_quality_rules", quality_rules.ORACLE)
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rates = {f"{r}_rate": F.round(f"{r}_rate", 9) for r in quality_rules.RULES}
+    return quality_rules.judge(documents(spark, sf_dir), "doc_id", "text", "source").withColumns(rates)
