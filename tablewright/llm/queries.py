@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import exact_dedup, mixing, quality_rules, sharding
+from tablewright.llm import exact_dedup, mixing, packing, quality_rules, sharding
 from tablewright.llm.base import documents, query
 
 
@@ -28,3 +29,9 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rates = {f"{r}_rate": F.round(f"{r}_rate", 9) for r in quality_rules.RULES}
     return quality_rules.judge(documents(spark, sf_dir), "doc_id", "text", "source").withColumns(rates)
+
+
+@query("op6_packing")
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.packed(documents(spark, sf_dir), "doc_id", "text", public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.piece_digests(pieces)
