@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import exact_dedup, mixing, packing, quality_rules, sharding
+from tablewright.llm import exact_dedup, language_id, mixing, packing, quality_rules, sharding
 from tablewright.llm.base import documents, query
 
 
@@ -35,3 +35,8 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.packed(documents(spark, sf_dir), "doc_id", "text", public_tokenizers.path("byte_bpe_50k.json"))
     return packing.piece_digests(pieces)
+
+
+@query("op7_language_id")
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(documents(spark, sf_dir))
