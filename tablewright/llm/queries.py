@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import exact_dedup, language_id, mixing, packing, quality_rules, sharding
+from tablewright.llm import exact_dedup, language_id, mixing, packing, quality_rules, sharding, suffix_dedup
 from tablewright.llm.base import documents, query
 
 
@@ -40,3 +40,8 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_language_id")
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(documents(spark, sf_dir))
+
+
+@query("op8_suffix_dedup")
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(suffix_dedup.cut_repeats(documents(spark, sf_dir), "doc_id", "text"))
