@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import exact_dedup, language_id, mixing, packing, quality_rules, sharding, suffix_dedup
+from tablewright.llm import exact_dedup, language_id, mixing, ngram_join, packing, quality_rules, sharding, suffix_dedup
 from tablewright.llm.base import documents, query
 
 
@@ -45,3 +45,8 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_suffix_dedup")
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digests(suffix_dedup.cut_repeats(documents(spark, sf_dir), "doc_id", "text"))
+
+
+@query("op1_ngram_join")
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(documents(spark, sf_dir), "doc_id", "text")
