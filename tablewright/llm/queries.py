@@ -6,8 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import exact_dedup, language_id, mixing, ngram_join, packing, quality_rules, sharding, suffix_dedup
-from tablewright.llm.base import documents, query
+from tablewright.llm import (
+    exact_dedup,
+    language_id,
+    license_scan,
+    mixing,
+    ngram_join,
+    packing,
+    quality_classifier,
+    quality_rules,
+    sharding,
+    suffix_dedup,
+)
+from tablewright.llm.base import documents, labels, query
 
 
 @query("op5_sharding", sharding.oracle())
@@ -50,3 +61,16 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_ngram_join")
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(documents(spark, sf_dir), "doc_id", "text")
+
+
+@query("op4_quality_classifier")
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = quality_classifier.co_train(docs, labels(spark, sf_dir))
+    scored = quality_classifier.score(docs, model, ["doc_id"])
+    return scored.withColumn("kept", F.col("score") >= quality_classifier.THRESHOLD)
+
+
+@query("op2_license_scan")
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.best_license(license_scan.scan(documents(spark, sf_dir), "doc_id", "text"))
