@@ -1,22 +1,24 @@
 """Removing passages that an earlier document has already, by suffix sorting.
 
 Passages of ``WIDTH`` bytes are compared across the whole corpus. So that
-equal ones meet in one task, each passage belongs to the smallest hash of the
-short byte strings in it; neighbours in a text mostly share that hash, and a
-run of them travels as one segment of text. A task first takes out segments it
-holds several times, then ships the rest, packed by bucket of their hash.
-
-In a bucket, the segments whose hash several documents have are sorted in two
-stages: only suffixes smaller than their successor are sorted directly; the
-others follow by scanning the buckets of first bytes in order, since a suffix
-larger than its successor is ordered by its first byte and the place of that
-successor. Neighbours in the sorted order with a common prefix of ``WIDTH``
-bytes are equal passages; all but those of the smallest document go.
+equal ones meet in one task, each passage belongs to its anchor, the smallest
+hash of the short byte strings in it; neighbours in a text mostly share their
+anchor, and a run of them travels as one segment of text.
+
+Documents are dealt into groups of bounded size, and anchors into buckets. A
+first round trip tells each group which of its anchors other documents have as
+well; only segments with such an anchor are sent, packed by bucket. In a
+bucket, segments are sorted in two stages: only suffixes smaller than their
+successor are sorted directly; the others follow by scanning the buckets of
+first bytes in order, since a suffix larger than its successor is ordered by
+its first byte and the place of that successor. Neighbours in the sorted order
+with a common prefix of ``WIDTH`` bytes are equal passages; all but those of
+the smallest document go.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,18 +26,33 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.textbytes import INVERSE, Texts, batches_of, mixed, powers
+from tablewright.llm.textbytes import INVERSE, Texts, mixed, powers, slices
 
 WIDTH = 50
 ANCHOR = 16  # bytes of the strings whose smallest hash a passage belongs to
-FLUSH_BYTES = 16 << 20  # text of which a task holds segments before it sends them
-BUCKET_BYTES = 32 << 20  # of segments in a bucket
-SORT_BYTES = 8 << 20  # of segments sorted at once, more only for a single hash
-SPREAD = 4  # segments are about so many times the text
+GROUP_BYTES = 8 << 20  # text of a group of documents; there are as many buckets
+SORT_BYTES = 8 << 20  # of segments sorted at once, more only for a single anchor
 
-_COLUMNS = ["ids", "texts", "starts", "lengths", "anchors"]
-_DUPLICATES = ["dup_ids", "dup_texts", "dup_from", "dup_to"]
-_BLOBS = ", ".join(f"{c} binary" for c in [*_COLUMNS, "body", *_DUPLICATES])
+_SEGMENT = ["rows", "ids", "starts", "lengths", "anchors"]
+_SPAN = ["rows", "begin", "end"]
+
+
+def _compress(raw: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(raw)
+
+
+def _decompress(blob: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(blob)
+
+
+def _pack(values: np.ndarray) -> bytes:
+    """Whole numbers as the compressed differences of neighbours, wide enough for them."""
+    steps = np.diff(values, prepend=values.dtype.type(0))
+    return _compress(steps.tobytes())
+
+
+def _unpack(blob: bytes, kind=np.int64) -> np.ndarray:
+    return np.cumsum(np.frombuffer(_decompress(blob), kind), dtype=kind)
 
 
 def anchors(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -80,52 +97,129 @@ def _smallest_of_equal(keys: list[np.ndarray], ids: np.ndarray) -> tuple[np.ndar
     return ~larger, larger
 
 
-def _segments(buckets: int, flush_bytes: int):
-    """Segments of a task's documents, one row per bucket and flush."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = zstandard.ZstdCompressor(level=1)
-        held: list[tuple] = []
-        size = 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            nonlocal held, size
-            if held:
-                ids, texts, starts, lengths, low, keys = (np.concatenate([h[i] for h in held]) for i in range(6))
-                first, larger = _smallest_of_equal([keys, low, lengths], ids)
-                to = mixed(low) % np.uint64(buckets)
-                raw = [h[6] for h in held]
-                piece = np.repeat(np.arange(len(held)), [len(h[0]) for h in held])
-                at = np.concatenate([h[7] for h in held])
-                order = np.argsort(to, kind="stable")
-                edges = np.append(np.flatnonzero(np.diff(to[order].astype(np.int64), prepend=-1)), len(order))
-                for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
-                    rows = order[a:b]
-                    send, dup = rows[first[rows]], rows[larger[rows]]
-                    body = b"".join(
-                        [raw[p][x : x + m] for p, x, m in zip(piece[send].tolist(), at[send].tolist(), lengths[send].tolist())]
-                    )
-                    columns = [x[send].tobytes() for x in (ids, texts, starts, lengths, low)]
-                    columns.append(packer.compress(body))
-                    columns += [x.tobytes() for x in (ids[dup], texts[dup], starts[dup], starts[dup] + lengths[dup])]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([int(to[rows[0]])], pa.int64()), *[pa.array([c], pa.binary()) for c in columns]],
-                        names=["bucket", *_COLUMNS, "body", *_DUPLICATES],
-                    )
-            held, size = [], 0
-
-        for batch, texts in batches_of(batches, "_text"):
-            start, count, low = anchors(texts)
+class _Group:
+    """The documents of one group, in the order of their ids, with the anchors of their segments."""
+
+    def __init__(self, table: pa.Table, buckets: int, spell: bool):
+        order = np.lexsort((np.asarray(table.column("_mark")), np.asarray(table.column("_order"))))
+        self.table = table.take(pa.array(order))
+        ids = np.asarray(self.table.column("_order"))
+        found: list[tuple] = []
+        self.raw: list[bytes] = []
+        for part in slices(self.table.column("_text")):
+            start, count, low = anchors(part)
             length = count + WIDTH - 1
-            doc = np.searchsorted(texts.offsets, start, "right") - 1
-            ids = np.asarray(batch.column("_order"))[doc]
-            marks = np.asarray(batch.column("_mark"))[doc]
-            keys = texts.spans_hash(texts.prefix(), start, start + length)
-            held.append((ids, marks, start - texts.offsets[doc], length, low, keys, texts.data.tobytes(), start))
-            size += len(texts.data)
-            if size >= flush_bytes:
-                yield from flush()
-        yield from flush()
+            doc = np.searchsorted(part.offsets, start, "right") - 1
+            keys = part.spans_hash(part.prefix(), start, start + length) if spell else low
+            piece = np.full(len(start), len(self.raw))
+            self.raw.append(part.data.tobytes() if spell else b"")
+            found.append((doc + part.first, start - part.offsets[doc], length, low, keys, piece, start))
+        none = np.zeros(0, np.int64)
+        columns = [np.concatenate(x) for x in zip(*found)] if found else [none] * 7
+        self.rows, self.starts, self.lengths, low, self.keys, self.piece, self.at = columns
+        spread = mixed(low.astype(np.uint64))
+        self.anchors = (spread >> np.uint64(32)).astype(np.int64)
+        self.buckets = (spread % np.uint64(buckets)).astype(np.int64)
+        self.ids = ids[self.rows] if len(self.rows) else none
+
+    def by_bucket(self) -> Iterator[tuple[int, np.ndarray]]:
+        """Each bucket with its segments, by anchor and document."""
+        order = np.lexsort((self.rows, self.anchors, self.buckets))
+        edges = np.flatnonzero(np.diff(self.buckets[order], prepend=-1)).tolist()
+        for a, b in zip(edges, [*edges[1:], len(order)]):
+            yield int(self.buckets[order[a]]), order[a:b]
+
+    def distinct(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Flags of the first segment of every anchor, and for each anchor whether several ids have it."""
+        head = np.diff(self.anchors[rows], prepend=-1) != 0
+        at = np.flatnonzero(head)
+        ids = self.ids[rows]
+        return head, np.minimum.reduceat(ids, at) != np.maximum.reduceat(ids, at)
+
+
+def _announce(buckets: int):
+    """The anchors of a group, one row per bucket, with flags of those that several of its documents have."""
+
+    def run(table: pa.Table) -> pa.Table:
+        group = _Group(table, buckets, spell=False)
+        out: dict[str, list] = {"anchor_bucket": [], "bucket": [], "anchors": [], "several": []}
+        for bucket, rows in group.by_bucket():
+            head, several = group.distinct(rows)
+            out["anchor_bucket"].append(bucket)
+            out["bucket"].append(table.column("bucket")[0].as_py())
+            out["anchors"].append(_pack(group.anchors[rows][head]))
+            out["several"].append(np.packbits(several).tobytes())
+        return pa.table(out, schema=pa.schema(
+            [("anchor_bucket", pa.int64()), ("bucket", pa.int64()), ("anchors", pa.binary()), ("several", pa.binary())]
+        ))
+
+    return run
+
+
+def _answer(table: pa.Table) -> pa.Table:
+    """For each group, flags of its anchors that several documents of the corpus have."""
+    lists = [_unpack(b) for b in table.column("anchors").to_pylist()]
+    several = [np.unpackbits(np.frombuffer(b, np.uint8), count=len(x)) for b, x in zip(table.column("several").to_pylist(), lists)]
+    values, inverse, count = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
+    shared = count > 1
+    np.logical_or.at(shared, inverse, np.concatenate(several).astype(bool))
+    flags = np.split(shared[inverse], np.cumsum([len(x) for x in lists])[:-1])
+    return pa.table(
+        {
+            "bucket": table.column("bucket"),
+            "anchor_bucket": table.column("anchor_bucket"),
+            "shared": pa.array([np.packbits(f).tobytes() for f in flags], pa.binary()),
+        }
+    )
+
+
+def _smallest_of_equal(keys: list[np.ndarray], ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Flags of the rows with the smallest id among rows of equal keys, and of the rows with a larger id."""
+    n = len(ids)
+    order = np.lexsort([ids, *keys])
+    head = np.ones(n, bool)
+    head[1:] = False
+    for k in keys:
+        s = k[order]
+        head[1:] |= s[1:] != s[:-1]
+    group = np.cumsum(head) - 1
+    smallest = ids[order][head][group]
+    larger = np.zeros(n, bool)
+    larger[order] = ids[order] > smallest
+    return ~larger, larger
+
+
+def _send(buckets: int):
+    """The segments of a group whose anchor is shared, one row per bucket.
+
+    Of segments that are equal in the group only the smallest id's are sent;
+    the others are known to go, and travel as spans.
+    """
+
+    def run(table: pa.Table, answers: pa.Table) -> pa.Table:
+        names = ["anchor_bucket", "bucket", *_SEGMENT, "body", *[f"known_{c}" for c in _SPAN]]
+        kinds = [pa.int64(), pa.int64(), *[pa.binary()] * (len(names) - 2)]
+        out: list[list] = []
+        shared = dict(zip(answers.column("anchor_bucket").to_pylist(), answers.column("shared").to_pylist()))
+        if len(table):
+            group = _Group(table, buckets, spell=True)
+            own = table.column("bucket")[0].as_py()
+            for bucket, rows in group.by_bucket():
+                head, several = group.distinct(rows)
+                flags = np.unpackbits(np.frombuffer(shared[bucket], np.uint8), count=len(several)).astype(bool)
+                rows = rows[flags[np.cumsum(head) - 1]]
+                if not len(rows):
+                    continue
+                first, larger = _smallest_of_equal([group.keys[rows], group.anchors[rows], group.lengths[rows]], group.ids[rows])
+                send, known = np.sort(rows[first]), np.sort(rows[larger])
+                body = b"".join([
+                    group.raw[p][a : a + n]
+                    for p, a, n in zip(group.piece[send].tolist(), group.at[send].tolist(), group.lengths[send].tolist())
+                ])
+                segment = [x[send] for x in (group.rows, group.ids, group.starts, group.lengths, group.anchors)]
+                spans = [group.rows[known], group.starts[known], group.starts[known] + group.lengths[known]]
+                out.append([bucket, own, *map(_pack, segment), _compress(body), *map(_pack, spans)])
+        return pa.table([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=names)
 
     return run
 
@@ -250,53 +344,49 @@ def repeated(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, ids: np.
     return np.searchsorted(starts, first, "right") - 1, first, stop + WIDTH - 1
 
 
-def _find(buckets: int, sort_bytes: int):
-    """Spans of one bucket that smaller documents have too, packed by the bucket of the document."""
+def _find(sort_bytes: int):
+    """Spans of one bucket's segments that smaller documents have too, one row per group of documents."""
+
+    def run(table: pa.Table) -> pa.Table:
+        def joined(name: str, kind=np.int64) -> np.ndarray:
+            return np.concatenate([_unpack(b, kind) for b in table.column(name).to_pylist()])
 
-    def run(group: pa.Table) -> pa.Table:
-        def column(name: str, kind=np.int64) -> np.ndarray:
-            return np.frombuffer(b"".join(group.column(name).to_pylist()), kind)
+        def groups(name: str) -> np.ndarray:
+            return np.repeat(np.asarray(table.column("bucket")), [len(_unpack(b)) for b in table.column(name).to_pylist()])
 
-        unpacker = zstandard.ZstdDecompressor()
-        ids, texts, starts, lengths = (column(c) for c in _COLUMNS[:4])
-        low = column("anchors", np.uint64)
-        data = np.frombuffer(b"".join(unpacker.decompress(b) for b in group.column("body").to_pylist()), np.uint8)
-        found = [tuple(column(c) for c in _DUPLICATES)]
+        rows, ids, starts, lengths, low = (joined(c) for c in _SEGMENT)
+        owner = groups("rows")
+        data = np.frombuffer(b"".join(_decompress(b) for b in table.column("body").to_pylist()), np.uint8)
+        found = [(groups("known_rows"), *(joined(f"known_{c}") for c in _SPAN))]
         offset = np.cumsum(lengths) - lengths
-        # only hashes that several documents have
         order = np.argsort(low, kind="stable")
-        head = np.ones(len(low), bool)
-        head[1:] = low[order][1:] != low[order][:-1]
-        at = np.flatnonzero(head)
-        if len(at):
-            size = np.diff(np.append(at, len(low)))
-            shared = np.minimum.reduceat(ids[order], at) != np.maximum.reduceat(ids[order], at)
-            order = order[np.repeat(shared, size)]
-            used = np.cumsum(np.add.reduceat(lengths[order], np.cumsum(size[shared]) - size[shared])) if shared.any() else at[:0]
-            size = size[shared]
-            part = used // sort_bytes
-            cuts = np.append(0, np.cumsum(size)[np.flatnonzero(np.diff(part, append=-1))]) if len(size) else [0]
+        size = np.diff(np.append(np.flatnonzero(np.diff(low[order], prepend=-1)), len(low)))
+        # whole anchors are sorted together, as many as fit
+        if len(size):
+            ends = np.cumsum(size)
+            part = (np.cumsum(lengths[order])[ends - 1] - 1) // sort_bytes
+            cuts = [0, *ends[np.flatnonzero(np.diff(part, append=-1))].tolist()]
             for a, b in zip(cuts[:-1], cuts[1:]):
-                rows = order[a:b]
-                texts_of = Texts(*_gather(data, offset[rows], lengths[rows]))
-                keys = texts_of.spans_hash(texts_of.prefix(), texts_of.offsets[:-1], texts_of.offsets[1:])
-                first, larger = _smallest_of_equal([keys, low[rows], lengths[rows]], ids[rows])
-                dup = rows[larger]
-                found.append((ids[dup], texts[dup], starts[dup], starts[dup] + lengths[dup]))
-                rows = rows[first]
-                piece, where = _gather(data, offset[rows], lengths[rows])
-                which, begin, end = repeated(piece, where[:-1], lengths[rows], ids[rows])
-                shift = starts[rows[which]] - where[:-1][which]
-                found.append((ids[rows[which]], texts[rows[which]], begin + shift, end + shift))
-        ids, texts, begin, end = (np.concatenate(x) for x in zip(*found))
-        to = document_bucket(texts, buckets)
-        order = np.argsort(to, kind="stable")
-        edges = np.flatnonzero(np.diff(to[order], prepend=-1)).tolist()
-        rows = [order[a:b] for a, b in zip(edges, [*edges[1:], len(order)])]
+                some = order[a:b]
+                data_of, where = _gather(data, offset[some], lengths[some])
+                texts = Texts(data_of, where)
+                keys = texts.spans_hash(texts.prefix(), where[:-1], where[1:])
+                first, larger = _smallest_of_equal([keys, low[some], lengths[some]], ids[some])
+                known = some[larger]
+                found.append((owner[known], rows[known], starts[known], starts[known] + lengths[known]))
+                some = some[first]
+                data_of, where = _gather(data, offset[some], lengths[some])
+                which, begin, end = repeated(data_of, where[:-1], lengths[some], ids[some])
+                shift = starts[some[which]] - where[:-1][which]
+                found.append((owner[some[which]], rows[some[which]], begin + shift, end + shift))
+        owner, *spans = (np.concatenate(x) for x in zip(*found))
+        order = np.lexsort((spans[1], spans[0], owner))
+        edges = np.flatnonzero(np.diff(owner[order], prepend=-1)).tolist()
+        parts = [order[a:b] for a, b in zip(edges, [*edges[1:], len(order)])]
         return pa.table(
             {
-                "bucket": pa.array([int(to[r[0]]) for r in rows], pa.int64()),
-                **{c: pa.array([x[r].tobytes() for r in rows], pa.binary()) for c, x in zip(_DUPLICATES, (ids, texts, begin, end))},
+                "bucket": pa.array([int(owner[p[0]]) for p in parts], pa.int64()),
+                **{c: pa.array([_pack(x[p]) for p in parts], pa.binary()) for c, x in zip(_SPAN, spans)},
             }
         )
 
@@ -310,23 +400,21 @@ def _gather(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[
     return np.frombuffer(out, np.uint8), np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
 
 
-def document_bucket(marks, buckets: int):
-    return marks % buckets  # the remainder is not negative
-
-
 def _cut(docs: pa.Table, spans: pa.Table) -> pa.Table:
-    """The documents of one bucket without the spans found for them."""
-    ids, marks, begin, end = (np.frombuffer(b"".join(spans.column(c).to_pylist()), np.int64) for c in _DUPLICATES)
-    order = np.lexsort((begin, marks, ids))
-    ids, marks, begin, end = ids[order], marks[order], begin[order], end[order]
-    keys = np.rec.fromarrays([ids, marks], names="a,b")
-    wanted = np.rec.fromarrays([np.asarray(docs.column("_order")), np.asarray(docs.column("_mark"))], names="a,b")
-    low, high = np.searchsorted(keys, wanted, "left").tolist(), np.searchsorted(keys, wanted, "right").tolist()
+    """The documents of one group without the spans found for them."""
+    none = np.zeros(0, np.int64)
+    rows, begin, end = (np.concatenate([none, *map(_unpack, spans.column(c).to_pylist())]) for c in _SPAN)
+    order = np.lexsort((begin, rows))
+    rows, begin, end = rows[order], begin[order], end[order]
+    order = np.lexsort((np.asarray(docs.column("_mark")), np.asarray(docs.column("_order"))))
+    docs = docs.take(pa.array(order))
+    edges = np.searchsorted(rows, np.arange(len(docs) + 1)).tolist()
     removed, kept, sizes = [], [], []
     for i, text in enumerate(docs.column("_text").to_pylist()):
         raw = text.encode() if text else b""
         runs: list[list[int]] = []
-        for a, b in zip(begin[low[i] : high[i]].tolist(), end[low[i] : high[i]].tolist()):
+        part = slice(edges[i], edges[i + 1])
+        for a, b in zip(begin[part].tolist(), end[part].tolist()):
             if runs and a <= runs[-1][1]:
                 runs[-1][1] = max(runs[-1][1], b)
             else:
@@ -338,20 +426,19 @@ def _cut(docs: pa.Table, spans: pa.Table) -> pa.Table:
         sizes.append(len(raw))
         removed.append([{"from": a, "to": b} for a, b in runs])
         kept.append(b"".join([*rest, raw[at:]]))
-    spans_type = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
+    kind = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
     return pa.table(
         {
             "_id": docs.column("_id"),
             "n_bytes": pa.array(sizes, pa.int64()),
-            "spans": pa.array(removed, spans_type),
+            "spans": pa.array(removed, kind),
             "kept": pa.array(kept, pa.binary()),
         }
     )
 
 
 def cut_repeats(
-    docs: DataFrame, id_column: str, text: str, bucket_bytes: int = BUCKET_BYTES, flush_bytes: int = FLUSH_BYTES,
-    sort_bytes: int = SORT_BYTES,
+    docs: DataFrame, id_column: str, text: str, group_bytes: int = GROUP_BYTES, sort_bytes: int = SORT_BYTES
 ) -> DataFrame:
     """id, n_bytes, the removed spans (bytes from, to) and the kept bytes of every row.
 
@@ -362,25 +449,32 @@ def cut_repeats(
     are not compared with each other. Ids are whole numbers. Other columns are
     not read. An empty table gives an empty one.
 
-    A hash that many documents share reaches its bucket once per flush of a
-    task, whatever the number of copies. Sorting is exact; segments are equal
-    to the task if both their 64-bit hash and that of their anchor agree.
+    The shuffle that deals documents into groups is used three times. An
+    anchor that many documents share reaches its bucket as one segment per
+    group, whatever the number of copies. Sorting is exact; whole segments
+    count as equal if their 64-bit hashes, their anchors and lengths agree.
     """
     flat = docs.select(
         F.col(id_column).alias("_id"),
         F.coalesce(F.col(id_column).cast("bigint"), F.lit(-(2**63)).cast("bigint")).alias("_order"),
-        F.xxhash64(text).alias("_mark"),
         F.col(text).alias("_text"),
-    )
+    ).withColumn("_mark", F.xxhash64("_order", "_text"))
     total = flat.agg(F.sum(F.octet_length("_text")).alias("n")).first()["n"] or 0
-    buckets = max(1, -(-total * SPREAD // bucket_bytes))
-    segments = flat.drop("_id").mapInArrow(_segments(buckets, flush_bytes), f"bucket bigint, {_BLOBS}")
-    spans = segments.groupBy("bucket").applyInArrow(
-        _find(buckets, sort_bytes), "bucket bigint, " + ", ".join(f"{c} binary" for c in _DUPLICATES)
+    buckets = max(1, -(-total // group_bytes))
+    grouped = flat.withColumn("bucket", F.pmod("_mark", F.lit(buckets))).groupBy("bucket")
+    announced = grouped.applyInArrow(
+        _announce(buckets), "anchor_bucket bigint, bucket bigint, anchors binary, several binary"
+    )
+    answers = announced.groupBy("anchor_bucket").applyInArrow(_answer, "bucket bigint, anchor_bucket bigint, shared binary")
+    binaries = ", ".join(f"{c} binary" for c in [*_SEGMENT, "body", *[f"known_{c}" for c in _SPAN]])
+    segments = grouped.cogroup(answers.groupBy("bucket")).applyInArrow(
+        _send(buckets), f"anchor_bucket bigint, bucket bigint, {binaries}"
+    )
+    spans = segments.groupBy("anchor_bucket").applyInArrow(
+        _find(sort_bytes), "bucket bigint, " + ", ".join(f"{c} binary" for c in _SPAN)
     )
-    placed = flat.withColumn("bucket", F.pmod("_mark", F.lit(buckets)))
     kind = flat.schema["_id"].dataType.simpleString()
-    out = placed.groupBy("bucket").cogroup(spans.groupBy("bucket")).applyInArrow(
+    out = grouped.cogroup(spans.groupBy("bucket")).applyInArrow(
         _cut, f"_id {kind}, n_bytes bigint, spans array<struct<from:bigint,to:bigint>>, kept binary"
     )
     return out.withColumnRenamed("_id", id_column)
