@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tablewright.session import configure
 
@@ -47,3 +48,18 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def keep_rows(docs: DataFrame, id_column: str, mark: Column, keys: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id and ``mark`` are among ``keys`` (id, mark); of rows equal in both, one.
+
+    A missing id matches a missing one. One shuffle of the rows serves both.
+    """
+    wanted = keys.toDF("__key_id", "__key_mark").distinct()
+    filled = F.coalesce(F.col("__key_id").cast("string"), F.lit("-"))
+    wanted = wanted.select(filled.alias("__row_id"), F.col("__key_mark").alias("__row_mark"))
+    marked = docs.withColumns(
+        {"__row_id": F.coalesce(F.col(id_column).cast("string"), F.lit("-")), "__row_mark": mark}
+    )
+    kept = marked.join(wanted, ["__row_id", "__row_mark"], "left_semi")
+    return kept.dropDuplicates(["__row_id", "__row_mark"]).select(*docs.columns)

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.llm.base import keep_rows
 from tablewright.llm.textbytes import INVERSE, Texts, batches_of, powers
 from tablewright.sources.workspace import stage
 
@@ -159,6 +160,15 @@ def exact_groups(
     )
 
 
+def without_copies(
+    docs: DataFrame, id_column: str, text: str, normalise: Callable[[Column], Column] = lambda c: c
+) -> DataFrame:
+    """``docs`` with one row of each set of equal texts, the one with the largest id; all columns stay as they are."""
+    groups = exact_groups(docs, id_column, text, normalise)
+    mark = F.sha2(F.coalesce(normalise(F.col(text)), F.lit("")), 256)
+    return keep_rows(docs, id_column, mark, groups.where("kept").select(id_column, "text_sha256"))
+
+
 ORACLE = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
   doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256

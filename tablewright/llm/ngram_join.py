@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.llm.base import keep_rows
 from tablewright.llm.components import components
 from tablewright.llm.textbytes import Texts, batches_of, lower_ascii, mixed, windows
 from tablewright.operators.ranges import row_number_in_key
@@ -186,11 +187,12 @@ def _indexed(like: Similarity):
             at = np.arange(0, (len(texts) + 1) * POINT, POINT, dtype=np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("_id"), batch.column("_order"), pa.array(size, pa.int64()), pa.array(first), pa.array(second),
+                    *[batch.column(c) for c in ("_id", "_order", "_mark")],
+                    pa.array(size, pa.int64()), pa.array(first), pa.array(second),
                     pa.ListArray.from_arrays(pa.array(at), pa.array(points(sets, where))),
                     pa.ListArray.from_arrays(pa.array(per_doc), pa.array(keys[order], pa.int64())),
                 ],
-                names=["_id", "_order", "n", "mark1", "mark2", "point", "keys"],
+                names=["_id", "_order", "_mark", "n", "mark1", "mark2", "point", "keys"],
             )
 
     return run
@@ -246,13 +248,14 @@ class _Search:
         flat = docs.select(
             F.col(id_column).alias("_id"),
             F.coalesce(F.col(id_column).cast("bigint"), F.lit(NO_ID)).alias("_order"),
+            F.xxhash64(text).alias("_mark"),
             F.col(text).alias("_text"),
         )
         kind = flat.schema["_id"].dataType.simpleString()
         self.indexed = stage(
             flat.mapInArrow(
                 _indexed(like),
-                f"_id {kind}, _order bigint, n bigint, mark1 bigint, mark2 bigint, point array<int>, keys array<bigint>",
+                f"_id {kind}, _order bigint, _mark bigint, n bigint, mark1 bigint, mark2 bigint, point array<int>, keys array<bigint>",
             ),
             "indexed",
         )
@@ -329,6 +332,21 @@ class _Search:
         )
 
 
+def _with_components(docs: DataFrame, id_column: str, text: str, like: Similarity) -> DataFrame:
+    """_id, _order, _mark, n and _component of every row."""
+    search = _Search(docs, id_column, text, like)
+    found = components(search.links(search.star(None)))
+    for step in (search.star, search.leaves):
+        more = search.links(step(found))
+        tied = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        found = components(tied.unionByName(more))
+    named = search.nodes.drop("point").join(found, "node", "left").select(
+        "n", "mark1", "mark2", F.coalesce("component", "node").alias("_named")
+    )
+    result = search.indexed.drop("point", "keys").join(named, ["n", "mark1", "mark2"], "left")
+    return result.select("_id", "_order", "_mark", "n", F.coalesce("_named", "_order").alias("_component"))
+
+
 def near_duplicates(docs: DataFrame, id_column: str, text: str, like: Similarity = Similarity()) -> DataFrame:
     """id, n_shingles, component_id of every row; a component is named by its smallest id.
 
@@ -341,18 +359,18 @@ def near_duplicates(docs: DataFrame, id_column: str, text: str, like: Similarity
     numbers. Other columns are not read. An empty table gives an empty one.
     Sets are compared by 64-bit hashes of their n-grams.
     """
-    search = _Search(docs, id_column, text, like)
-    found = components(search.links(search.star(None)))
-    for step in (search.star, search.leaves):
-        more = search.links(step(found))
-        tied = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        found = components(tied.unionByName(more))
-    named = search.nodes.drop("point").join(found, "node", "left").select(
-        "n", "mark1", "mark2", F.coalesce("component", "node").alias("_component")
-    )
-    result = search.indexed.select("_id", "_order", "n", "mark1", "mark2").join(named, ["n", "mark1", "mark2"], "left")
-    component = F.coalesce("_component", "_order")
-    return result.select(
+    return _with_components(docs, id_column, text, like).select(
         F.col("_id").alias(id_column), F.col("n").alias("n_shingles"),
-        F.when(component != NO_ID, component).alias("component_id"),
+        F.when(F.col("_component") != NO_ID, F.col("_component")).alias("component_id"),
     )
+
+
+def without_near_duplicates(docs: DataFrame, id_column: str, text: str, like: Similarity = Similarity()) -> DataFrame:
+    """``docs`` with one row of each component, the one with the smallest id; all columns stay as they are.
+
+    Documents without words all stay. Rows equal in id and text count as one.
+    """
+    found = stage(_with_components(docs, id_column, text, like), "components")
+    first = found.where("n > 0").groupBy("_component").agg(F.min(F.struct("_order", "_mark", "_id")).alias("_f"))
+    keys = first.select("_f._id", "_f._mark").unionByName(found.where("n = 0").select("_id", "_mark"))
+    return keep_rows(docs, id_column, F.xxhash64(text), keys)
