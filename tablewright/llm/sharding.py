@@ -77,12 +77,18 @@ class Permutation:
     def walks(self, spark: SparkSession) -> int:
         """The most passes any number needs: the longest walk over cells beyond n, plus one.
 
-        Those cells are fewer than ``a``; they are followed as a table until
-        all have come back.
+        Those cells are fewer than ``a``; they are followed as a table. Each
+        walk that leads back has a cell that arrives in every step until its
+        longest does, so when none arrives, what is left are cycles among
+        themselves, which no number ever enters.
         """
         cells, passes = spark.range(self.n, self.a * self.b), 1
-        while not cells.isEmpty():
+        left = self.a * self.b - self.n
+        while left:
             cells = cells.select(F.expr(self._pass("id")).alias("id")).where(F.col("id") >= self.n)
+            before, left = left, cells.count()
+            if left == before:
+                break
             passes += 1
         return passes
 
