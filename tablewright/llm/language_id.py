@@ -50,8 +50,9 @@ def letters_of(text: str) -> np.ndarray:
         return np.zeros(0, np.uint32)
     out = np.where(letter, points, np.uint32(0))
     keep = letter.copy()
-    keep[1:] |= letter[:-1]
-    return np.concatenate([[0], out[keep], [0]]).astype(np.uint32)
+    keep[1:] |= letter[:-1]  # the first of a run of others
+    body = out[keep]  # begins with a letter
+    return np.concatenate([[0], body, [0] if body[-1] else []]).astype(np.uint32)
 
 
 def grams(letters: np.ndarray, n: int) -> np.ndarray:

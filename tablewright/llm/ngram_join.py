@@ -260,17 +260,17 @@ class _Search:
             "indexed",
         )
         filled = self.indexed.where("n > 0")
-        classes = filled.groupBy("n", "mark1", "mark2").agg(F.min("_order").alias("node"), F.first("point").alias("point"))
-        self.nodes = stage(classes, "nodes")  # documents with equal sets are one node
-        self.of = self.indexed.select("_order", "n", "mark1", "mark2").join(
-            self.nodes.drop("point"), ["n", "mark1", "mark2"]
-        ).select("_order", "node").distinct()
+        classes = filled.groupBy("n", "mark1", "mark2").agg(F.min("_order").alias("_first"), F.first("point").alias("point"))
+        # documents with equal sets are one node; ids may be shared, so they do not name it
+        node = F.xxhash64("n", "mark1", "mark2")
+        self.nodes = stage(classes.withColumn("node", node), "nodes")
+        self.of = filled.select("_order", node.alias("node")).distinct()
         postings = self.indexed.select(F.explode("keys").alias("key"), "_order")
         several = postings.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
         members = postings.join(several, "key").join(self.of, "_order").select("key", "node").distinct()
         self.members = stage(self._open(members, "node"), "members")
         asked = self.members.select("node").distinct().join(self.nodes.drop("point", "n"), "node")
-        texts = flat.select(F.col("_order").alias("node"), "_text").join(asked, "node")
+        texts = flat.select(F.col("_order").alias("_first"), "_text").join(asked, "_first")
         self.sets = stage(texts.mapInArrow(_sets(like.words), "node bigint, set binary").dropDuplicates(["node"]), "sets")
 
     @staticmethod
@@ -333,18 +333,18 @@ class _Search:
 
 
 def _with_components(docs: DataFrame, id_column: str, text: str, like: Similarity) -> DataFrame:
-    """_id, _order, _mark, n and _component of every row."""
+    """_id, _order, _mark, n, _group and _component (its smallest id) of every row; without words, the group is missing."""
     search = _Search(docs, id_column, text, like)
     found = components(search.links(search.star(None)))
     for step in (search.star, search.leaves):
         more = search.links(step(found))
         tied = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
         found = components(tied.unionByName(more))
-    named = search.nodes.drop("point").join(found, "node", "left").select(
-        "n", "mark1", "mark2", F.coalesce("component", "node").alias("_named")
-    )
+    grouped = search.nodes.drop("point").join(found, "node", "left").withColumn("_group", F.coalesce("component", "node"))
+    smallest = grouped.groupBy("_group").agg(F.min("_first").alias("_named"))
+    named = grouped.select("n", "mark1", "mark2", "_group").join(smallest, "_group")
     result = search.indexed.drop("point", "keys").join(named, ["n", "mark1", "mark2"], "left")
-    return result.select("_id", "_order", "_mark", "n", F.coalesce("_named", "_order").alias("_component"))
+    return result.select("_id", "_order", "_mark", "n", "_group", F.coalesce("_named", "_order").alias("_component"))
 
 
 def near_duplicates(docs: DataFrame, id_column: str, text: str, like: Similarity = Similarity()) -> DataFrame:
@@ -371,6 +371,6 @@ def without_near_duplicates(docs: DataFrame, id_column: str, text: str, like: Si
     Documents without words all stay. Rows equal in id and text count as one.
     """
     found = stage(_with_components(docs, id_column, text, like), "components")
-    first = found.where("n > 0").groupBy("_component").agg(F.min(F.struct("_order", "_mark", "_id")).alias("_f"))
+    first = found.where("n > 0").groupBy("_group").agg(F.min(F.struct("_order", "_mark", "_id")).alias("_f"))
     keys = first.select("_f._id", "_f._mark").unionByName(found.where("n = 0").select("_id", "_mark"))
     return keep_rows(docs, id_column, F.xxhash64(text), keys)
