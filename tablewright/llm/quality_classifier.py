@@ -21,6 +21,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewright.llm.quality_rules import MEASURES, _sums, measure
 from tablewright.llm.textbytes import Texts, batches_of
@@ -31,6 +32,8 @@ POOL_ROWS = 20_000  # unlabelled rows that may get pseudo-labels
 ROUNDS = 3
 PER_ROUND = 400  # most pseudo-labels of a class that a view gives in a round
 CERTAIN = 0.95
+STEPS = 30  # most steps of a fit
+FIT_TASKS = 4
 CALIBRATION_SHARE = 5  # one labelled row in so many calibrates
 THRESHOLD = 0.5
 
@@ -103,10 +106,9 @@ def _content(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch, texts in batches_of(batches, "_text"):
         view = content_view(texts)
         at = np.arange(0, view.size + 1, CONTENT, dtype=np.int32) if view.size else np.zeros(len(texts) + 1, np.int32)
-        columns = [batch.column(c) for c in batch.schema.names if c != "_text"]
-        names = [c for c in batch.schema.names if c != "_text"]
+        content = pa.ListArray.from_arrays(pa.array(at), pa.array(view.ravel()))
         yield pa.RecordBatch.from_arrays(
-            [*columns, pa.ListArray.from_arrays(pa.array(at), pa.array(view.ravel()))], names=[*names, "_content"]
+            [batch.column("__row"), batch.column("__metadata"), content], names=["__row", "__metadata", "__content"]
         )
 
 
@@ -129,7 +131,7 @@ def _fit(rows: DataFrame, features: str, ridge: float = 1e-3) -> Logistic:
     if len(classes) < 2:
         width = len((rows.select(features).first() or [[]])[0])
         return Logistic(np.zeros(width), 3.0 if 1 in classes or not classes else -3.0)
-    model = LogisticRegression(featuresCol="_v", labelCol="label", regParam=ridge, maxIter=60).fit(
+    model = LogisticRegression(featuresCol="_v", labelCol="label", regParam=ridge, maxIter=STEPS).fit(
         rows.select(array_to_vector(F.col(features).cast("array<double>")).alias("_v"), F.col("label").cast("double"))
     )
     return Logistic(model.coefficients.toArray(), float(model.intercept))
@@ -152,11 +154,16 @@ class CoTrained:
 
 
 def _views(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` with both views of each row."""
-    flat = docs.select(*keep, metadata_columns(F.col("source"), F.col("lang"), F.col("n_chars")).alias("_metadata"),
-                       F.col("text").alias("_text"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in flat.schema.fields if f.name != "_text")
-    return flat.mapInArrow(_content, f"{kinds}, _content array<float>")
+    """The columns ``keep`` of each row as ``__row``, and both its views."""
+    flat = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in keep]).alias("__row"),
+        metadata_columns(F.col("source"), F.col("lang"), F.col("n_chars")).alias("__metadata"),
+        F.col("text").alias("_text"),
+    )
+    floats = T.ArrayType(T.FloatType())
+    return flat.mapInArrow(
+        _content, T.StructType([flat.schema["__row"], T.StructField("__metadata", floats), T.StructField("__content", floats)])
+    )
 
 
 def clear_labels(labels: DataFrame, label: str = "quality") -> DataFrame:
@@ -183,8 +190,10 @@ def co_train(
     pool = others.orderBy(chosen, "doc_id").limit(pool_rows).withColumn("label", F.lit(None).cast("int"))
     wanted = stage(sample.unionByName(pool), "sample")
     # bounded: labelled_rows + pool_rows rows of two numbers
-    rows = _views(docs.join(F.broadcast(wanted), "doc_id"), ["doc_id", "label"]).dropDuplicates(["doc_id"])
-    rows = stage(rows, "views")
+    needed = docs.select("doc_id", "text", "source", "lang", "n_chars")
+    rows = _views(needed.join(F.broadcast(wanted), "doc_id"), ["doc_id", "label"])
+    rows = rows.select("__row.*", "__content", "__metadata").dropDuplicates(["doc_id"])
+    rows = stage(rows, "views").coalesce(FIT_TASKS)  # bounded, and read again for every step of every fit
     spare = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(CALIBRATION_SHARE)) == 0
     known, held = rows.where("label IS NOT NULL").where(~spare), rows.where("label IS NOT NULL").where(spare)
     pool = rows.where("label IS NULL").drop("label")
@@ -192,17 +201,17 @@ def co_train(
     models: dict[str, Logistic] = {}
     for turn in range(rounds + 1):
         for view, more in extra.items():
-            training = known.select("label", f"_{view}")
+            training = known.select("label", f"__{view}")
             if more is not None:
-                training = training.unionByName(pool.join(F.broadcast(more), "doc_id").select("label", f"_{view}"))
-            models[view] = _fit(training, f"_{view}")
+                training = training.unionByName(pool.join(F.broadcast(more), "doc_id").select("label", f"__{view}"))
+            models[view] = _fit(training, f"__{view}")
         if turn == rounds:
             break
         given = {}
         for view, other in (("content", "metadata"), ("metadata", "content")):
             had = extra[other]
             free = pool if had is None else pool.join(F.broadcast(had), "doc_id", "left_anti")
-            p = 1 / (1 + F.exp(-models[view].column(f"_{view}")))
+            p = 1 / (1 + F.exp(-models[view].column(f"__{view}")))
             judged = free.select("doc_id", p.alias("p"))
             sure = [
                 judged.where(F.col("p") >= CERTAIN).orderBy(F.desc("p"), "doc_id").limit(per_round).select(
@@ -213,7 +222,7 @@ def co_train(
             found = sure[0].unionByName(sure[1])
             given[other] = stage(found if had is None else had.unionByName(found), "pseudo")
         extra = given
-    logits = held.select("label", F.array(models["content"].column("_content"), models["metadata"].column("_metadata")).alias("z"))
+    logits = held.select("label", F.array(models["content"].column("__content"), models["metadata"].column("__metadata")).alias("z"))
     joined = _fit(logits, "z")
     if not joined.weights.any():
         joined = Logistic(np.array([1.0, 0.0]), 0.0)  # nothing to calibrate on: the content view alone
@@ -231,7 +240,7 @@ def score(docs: DataFrame, model: CoTrained, keep: list[str] | None = None) -> D
     added = ["content_logit", "metadata_logit", "score"]
     keep = [c for c in (docs.columns if keep is None else keep) if c not in added]
     seen = _views(docs, keep).select(
-        *keep, model.content.column("_content").alias("content_logit"),
-        model.metadata.column("_metadata").alias("metadata_logit"),
+        "__row.*", model.content.column("__content").alias("content_logit"),
+        model.metadata.column("__metadata").alias("metadata_logit"),
     )
     return seen.withColumn("score", model.score())
