@@ -13,12 +13,12 @@ from tablewright.operators.slicing import join_null_safe
 from tablewright.sources.workspace import local_table
 
 QUARTILES = (0.25, 0.5, 0.75)
-# Up to this many rows the built-in exact percentile may hold a column's
-# distinct values in one buffer; beyond it they are found by selection.
-EXACT_IN_MEMORY = 100_000
-# Accuracy of the sketch that brackets a quantile: enough that a bracket holds
-# about BRACKET_ROWS rows, within what a sketch's memory allows.
-SKETCH_LEAST, SKETCH_MOST = 10_000, 500_000
+# The sketch that brackets a quantile: its size, and how far (in ranks, as a
+# share) the ends of the bracket are put from the wanted rank.
+SKETCH_SIZE, SKETCH_WIDTH = 4096, 0.002
+# Sketches meet in so many groups first, then in one.
+SKETCH_GROUPS = 64
+# A bracket with more rows is bracketed again.
 BRACKET_ROWS = 1_000_000
 
 
@@ -27,12 +27,13 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
-def describe(df: DataFrame, columns: Sequence[str] | None = None, in_memory_rows: int = EXACT_IN_MEMORY) -> DataFrame:
+def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One row per numeric column: count, mean, std, min, quartiles, max.
 
-    Quartiles are exact with linear interpolation. Null and NaN are missing.
-    They are found apart from the plain sums, which then stay in generated
-    code and combine on the map side.
+    Quartiles are exact with linear interpolation, found in the same way for
+    tables of every size. Null and NaN are missing. Quartiles are found apart
+    from the plain sums, which then stay in generated code and combine on the
+    map side.
     """
     columns = list(columns or numeric_columns(df))
     basics = []
@@ -51,19 +52,10 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, in_memory_rows
         for i, c in enumerate(columns)
     ]
     out = df.agg(*basics).select(F.inline(F.array(*entries)))
-    if df.count() <= in_memory_rows:
-        ranks = F.array(*map(F.lit, QUARTILES))
-        one = df.agg(*[F.percentile(_value(c), ranks).alias(f"q_{i}") for i, c in enumerate(columns)])
-        cells = [
-            F.struct(F.lit(c).alias("column_name"), *[F.col(f"q_{i}")[j].alias(f"q{j}") for j in range(3)])
-            for i, c in enumerate(columns)
-        ]
-        wide = one.select(F.inline(F.array(*cells)))
-    else:
-        wide = exact_quantiles(df, columns, QUARTILES).groupBy("column_name").agg(
-            *[F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(f"q{j}") for j, p in enumerate(QUARTILES)]
-        )
-    return join_null_safe(out, F.broadcast(wide), ["column_name"]).select(  # one row per column
+    wide = exact_quantiles(df, columns, QUARTILES).groupBy("column_name").agg(
+        *[F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(f"q{j}") for j, p in enumerate(QUARTILES)]
+    )
+    return join_null_safe(out, wide, ["column_name"]).select(
         "column_name", "count", "mean", "std", "min", F.col("q0").alias("p25"), F.col("q1").alias("p50"),
         F.col("q2").alias("p75"), "max",
     )
@@ -79,48 +71,77 @@ def _value(name: str) -> Column:
     return F.when(~F.isnan(as_double), as_double)
 
 
+def _sketched(df: DataFrame, asked: dict[str, tuple[Column, list[float]]]) -> dict[str, list[float]]:
+    """Approximate quantiles of named values: one mergeable sketch each, merged in two steps."""
+    salted = df.groupBy((F.spark_partition_id() % SKETCH_GROUPS).alias("_group")).agg(
+        *[F.kll_sketch_agg_double(v, SKETCH_SIZE).alias(name) for name, (v, _) in asked.items()],
+        *[F.count(v).alias(f"n_{name}") for name, (v, _) in asked.items()],
+    )
+    merged = salted.agg(
+        *[F.kll_merge_agg_double(F.when(F.col(f"n_{name}") > 0, F.col(name))).alias(name) for name in asked],
+        *[F.sum(f"n_{name}").alias(f"n_{name}") for name in asked],
+    )
+    ranks = {name: F.array(*map(F.lit, probs)) for name, (_, probs) in asked.items()}
+    row = merged.select(
+        *[F.when(F.col(f"n_{name}") > 0, F.kll_sketch_get_quantile_double(name, r)).alias(name) for name, r in ranks.items()]
+    ).first()
+    return {name: row[name] for name in asked if row[name] is not None}
+
+
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """Exact interpolated quantiles of columns of any size: (column_name, prob, quantile).
 
-    A sketch gives for each quantile two values that bracket it closely; one
-    count says how many rows lie below the bracket; the few rows inside are
-    counted value by value to reach the exact rank. Three passes that combine
-    on the map side, and no task holds more than the distinct values of a
-    bracket. A bracket that misses its rank is widened and counted again.
+    A sketch gives for each quantile two values that bracket it; one count
+    says how many rows lie below the bracket and in it. A bracket that misses
+    its rank is widened, one with too many rows is bracketed again inside, and
+    the few rows of the last one are counted value by value to reach the exact
+    rank. All passes combine on the map side, and no task holds more than the
+    distinct values of a bracket.
     """
     spark, columns, probs = df.sparkSession, list(columns), list(probs)
     values = {c: _value(c) for c in columns}
-    accuracy = max(SKETCH_LEAST, min(SKETCH_MOST, 4 * df.count() // BRACKET_ROWS))
-    width = 2.0 / accuracy
+    pairs = [(c, p) for c in columns for p in probs]
+    name = {pair: f"q{i}" for i, pair in enumerate(pairs)}
     bounds: dict[tuple[str, float], tuple[float, float, int, int]] = {}
-    todo = [(c, p) for c in columns for p in probs]
+    inside_of = dict.fromkeys(pairs, 0)
+    width = dict.fromkeys(pairs, SKETCH_WIDTH)
+    todo = pairs
     while todo:
-        marks = []  # one sketch per column, asked for both ends of every bracket
-        for c in dict.fromkeys(c for c, _ in todo):
-            ends = [F.lit(min(1.0, max(0.0, p + side))) for k, p in todo if k == c for side in (-width, width)]
-            marks.append(F.percentile_approx(values[c], F.array(*ends), F.lit(accuracy)).alias(c))
-        sketch = df.agg(*marks).first().asDict()
-        ends, at = {}, dict.fromkeys(sketch, 0)
+        asked, read = {}, {}
         for c, p in todo:
-            if sketch[c] is not None:
-                ends[c, p] = (sketch[c][at[c]], sketch[c][at[c] + 1])
-                at[c] += 2
-        if not ends:
+            v, near = values[c], p
+            shared = (c, p) not in bounds
+            if not shared:  # again, among the rows of its bracket
+                low, high, below, n = bounds[c, p]
+                v, near = F.when(v.between(F.lit(low), F.lit(high)), v), (p * (n - 1) - below) / inside_of[c, p]
+            ends = [min(1.0, max(0.0, near + side)) for side in (-width[c, p], width[c, p])]
+            key = f"c{columns.index(c)}" if shared else name[c, p]  # one sketch of a whole column serves all its quantiles
+            asked.setdefault(key, (v, []))[1].extend(ends)
+            read[c, p] = (key, len(asked[key][1]) - 2)
+        sketch = _sketched(df, asked)
+        found = {pair: sketch[key][at : at + 2] for pair, (key, at) in read.items() if key in sketch}
+        if not found:
             break
         counted = []
-        for (c, _), (low, high) in ends.items():
+        for (c, _), (low, high) in found.items():
             v = values[c]
             counted += [F.count(v), F.count_if(v < F.lit(low)), F.count_if(v <= F.lit(high))]
         counts = df.agg(*[x.alias(f"_{i}") for i, x in enumerate(counted)]).first()
         todo = []
-        for i, ((c, p), (low, high)) in enumerate(ends.items()):
+        for i, ((c, p), (low, high)) in enumerate(found.items()):
             n, below, upto = counts[3 * i : 3 * i + 3]
             first, last = math.floor(p * (n - 1)), math.ceil(p * (n - 1))
-            if below <= first and last < upto:
-                bounds[c, p] = (low, high, below, n)
-            else:
+            had = inside_of[c, p]
+            if not (below <= first and last < upto):
+                width[c, p] *= 4
+                todo.append((c, p))
+                continue
+            if had and upto - below >= had:
+                continue  # equal values cannot be told apart further
+            bounds[c, p], inside_of[c, p] = (low, high, below, n), upto - below
+            if upto - below > BRACKET_ROWS and low < high:
+                width[c, p] = SKETCH_WIDTH
                 todo.append((c, p))
-        width *= 4
     if not bounds:
         return local_table(spark, [], "column_name string, prob double, quantile double")
     wanted = []
@@ -147,7 +168,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
         .withColumn("_upto", F.sum("_c").over(rising))
     )
     # two ranks per quantile, a table of a few rows
-    hit = join_null_safe(ranked, F.broadcast(targets), ["column_name", "prob"], "inner").where(
+    hit = join_null_safe(ranked, targets, ["column_name", "prob"], "inner").where(
         (F.col("_rank") < F.col("_below") + F.col("_upto"))
         & (F.col("_rank") >= F.col("_below") + F.col("_upto") - F.col("_c"))
     )
@@ -175,37 +196,40 @@ def correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> dict[tuple[
     varies = {c: stats[f"n{i}"] > 0 and stats[f"lo{i}"] < stats[f"hi{i}"] for c, i in at.items()}
     whole = {c: stats[f"n{i}"] == stats["_n"] for c, i in at.items()}
     used = [(x, y) for x, y in pairs if varies[x] and varies[y]]
-    deviations = {c: values[c] - F.lit(stats[f"m{i}"]) for c, i in at.items() if varies[c]}
+    # a pair with gaps has means of its own, over the rows where both are there
+    both = {
+        (x, y): values[x].isNotNull() & values[y].isNotNull() for x, y in used if not (whole[x] and whole[y])
+    }
+    means = {(x, y): (stats[f"m{at[x]}"], stats[f"m{at[y]}"], stats["_n"]) for x, y in used}
+    if both:
+        own = []
+        for (x, y), here in both.items():
+            a, b = F.when(here, values[x]), F.when(here, values[y])
+            own += [F.avg(a), F.avg(b), F.count_if(here), F.min(a), F.max(a), F.min(b), F.max(b)]
+        row = df.agg(*[v.alias(f"_{i}") for i, v in enumerate(own)]).first()
+        for i, pair in enumerate(both):
+            a, b, n, a_low, a_high, b_low, b_high = row[7 * i : 7 * i + 7]
+            means[pair] = (a, b, n)
+            if not n or a_low == a_high or b_low == b_high:
+                used.remove(pair)
     sums: dict[str, Column] = {}
-
-    def total(name: str, value: Column) -> str:
-        sums.setdefault(name, F.sum(value).alias(name))
-        return name
-
     parts = {}
     for x, y in used:
-        a, b = deviations[x], deviations[y]
+        a, b = values[x] - F.lit(means[x, y][0]), values[y] - F.lit(means[x, y][1])
         i, j = at[x], at[y]
-        if whole[x] and whole[y]:
-            names = [total(f"s{i}", a), total(f"s{j}", b), total(f"p{i}_{i}", a * a), total(f"p{j}_{j}", b * b)]
-            parts[x, y] = (*names, total("p{}_{}".format(*sorted((i, j))), a * b), None)
-            continue
-        both = a.isNotNull() & b.isNotNull()
-        tag = f"{i}_{j}"
-        own = {"a": F.when(both, a), "b": F.when(both, b)}
-        names = [total(f"{k}{tag}", v) for k, v in own.items()] + [total(f"{k}{k}{tag}", v * v) for k, v in own.items()]
-        parts[x, y] = (*names, total(f"ab{tag}", own["a"] * own["b"]), tag)
-        sums[f"n{tag}"] = F.count_if(both).alias(f"n{tag}")
-        for k, v in own.items():
-            sums[f"{k}lo{tag}"], sums[f"{k}hi{tag}"] = F.min(v).alias(f"{k}lo{tag}"), F.max(v).alias(f"{k}hi{tag}")
+        here, tag = both.get((x, y)), f"_{i}_{j}" if (x, y) in both else ""
+        names = [f"s{i}{tag}", f"s{j}{tag}y" if tag else f"s{j}", f"p{i}_{i}{tag}", f"p{j}_{j}{tag}y" if tag else f"p{j}_{j}"]
+        names.append("p{}_{}".format(*sorted((i, j))) + (f"{tag}xy" if tag else ""))
+        for key, value in zip(names, (a, b, a * a, b * b, a * b)):
+            sums.setdefault(key, F.sum(value if here is None else F.when(here, value)).alias(key))
+        parts[x, y] = names
     row = df.agg(*sums.values()).first() if sums else None
     out: dict[tuple[str, str], float | None] = dict.fromkeys(pairs)
-    for pair, (sa, sb, saa, sbb, sab, tag) in parts.items():
-        n = row[f"n{tag}"] if tag else stats["_n"]
-        if not n or (tag and any(row[f"{k}lo{tag}"] == row[f"{k}hi{tag}"] for k in "ab")):
-            continue
-        spread = math.sqrt(row[saa] - row[sa] ** 2 / n) * math.sqrt(row[sbb] - row[sb] ** 2 / n)
-        out[pair] = 1.0 if pair[0] == pair[1] else (row[sab] - row[sa] * row[sb] / n) / spread
+    for pair, names in parts.items():
+        sa, sb, saa, sbb, sab = (row[k] for k in names)
+        n = means[pair][2]
+        spread = math.sqrt(max(saa - sa**2 / n, 0.0)) * math.sqrt(max(sbb - sb**2 / n, 0.0))
+        out[pair] = 1.0 if pair[0] == pair[1] else (sab - sa * sb / n) / spread if spread else None
     return out
 
 
@@ -239,18 +263,23 @@ def accuracy(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     return df.agg(F.try_divide(F.count_if(hit), F.count(F.lit(1))).alias("accuracy"))
 
 
-def confusion_matrix(df: DataFrame, actual: str, predicted: str, classes: DataFrame) -> DataFrame:
-    """Count per (actual, predicted) over all classes, absent pairs as 0.
+def confusion_matrix(
+    df: DataFrame, actual: str, predicted: str, classes: Sequence[int | str] | None = None
+) -> DataFrame:
+    """Count per (actual, predicted), a missing class as a class of its own.
 
-    ``classes`` has one column ``label``. The grid comes from the classes, so
-    a class that the data does not show still has its row and column.
+    Only pairs that occur have a row. With a declared list of ``classes``, all
+    pairs of them do, absent ones as 0: as many rows as the list's square.
     """
     counts = df.groupBy(F.col(actual).alias("actual"), F.col(predicted).alias("predicted")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    every = classes.agg(F.collect_set("label").alias("all"))  # the k class labels
-    grid = every.select(F.explode("all").alias("actual"), "all").select("actual", F.explode("all").alias("predicted"))
-    return join_null_safe(grid, counts, ["actual", "predicted"]).withColumn("n", F.coalesce("n", F.lit(0)))
+    if classes is None:
+        return counts
+    schema = f"actual {counts.schema['actual'].dataType.simpleString()}, predicted {counts.schema['predicted'].dataType.simpleString()}"
+    grid = local_table(df.sparkSession, [(a, p) for a in classes for p in classes], schema)
+    absent = join_null_safe(grid, counts, ["actual", "predicted"], "left_anti")
+    return counts.unionByName(absent.withColumn("n", F.lit(0).cast("bigint")))
 
 
 def precision_recall(df: DataFrame, actual: str, predicted: str) -> DataFrame:
@@ -294,8 +323,7 @@ def binary_precision_recall(df: DataFrame, truth: Column, score: Column, thresho
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """Balanced weight per class: rows / (classes * rows of the class)."""
-    counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    # over the classes, one row each
-    every = Window.partitionBy(F.lit(1))
-    weight = F.sum("n").over(every) / (F.count(F.lit(1)).over(every) * F.col("n"))
-    return counts.select(F.col(label).alias("label"), "n", weight.alias("weight"))
+    counts = df.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    total = counts.agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("classes")).first()  # two numbers
+    weight = F.lit(total["rows"] or 0) / (F.lit(total["classes"]) * F.col("n"))
+    return counts.select("label", "n", weight.alias("weight"))

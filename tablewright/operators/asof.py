@@ -8,7 +8,8 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.operators.slicing import ROWS_PER_SLICE, Cuts, join_null_safe, order_positions, slices
+from tablewright.operators.ranges import in_order
+from tablewright.operators.slicing import ROWS_PER_SLICE, join_null_safe
 
 
 def asof_join(
@@ -34,11 +35,11 @@ def asof_join(
     key has feature rows but none of them is valid at its time). ``ts_alias``
     keeps the matched feature time under that name.
 
-    Both sides are put into one ordered stream per key and the last feature
-    seen is carried forward: one shuffle, no pairs. A key too large for one
-    task is cut along time into slices, and the last feature before each
-    slice, one row per slice, is joined back. An instant too large is cut
-    further: feature rows along the tie-break, entity rows by their hash,
+    Both sides are put into one ordered stream by a range exchange, and the
+    last feature seen is carried forward: no pairs. Inside a partition that is
+    a window; a key that fills several partitions gets the last feature of the
+    earlier ones, one row per partition and key, joined back. An instant may
+    be as large as it likes: entity rows of it are told apart by their hash,
     since all of them get the same match.
     """
     if unmatched not in ("null", "drop_expired"):
@@ -49,30 +50,27 @@ def asof_join(
         *keys,
         F.col(feature_ts).alias("_ts"),
         F.lit(0).alias("_side"),
-        _tie_position(features, tie_break).alias("_order"),
         F.struct(
             F.struct(*order_fields).alias("rank"),
             *[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)],
         ).alias("_feature"),
-    )
+    ).withColumn("_rank", F.col("_feature.rank"))
     entity_rows = entities.select(
         *keys,
         F.col(entity_ts).alias("_ts"),
         F.lit(1).alias("_side"),
-        F.xxhash64(*entities.columns).alias("_order"),
+        F.xxhash64(*entities.columns).alias("_spread"),
         F.struct(*entities.columns).alias("_entity"),
     )
     stream = feature_rows.unionByName(entity_rows, allowMissingColumns=True)
-    stream, names, cuts = slices(stream, keys, ["_ts", "_side", "_order"], rows_per_slice)
+    stream = in_order(stream, [*keys, "_ts", "_side", "_rank", "_spread"], rows_per_slice)
 
-    order = [F.col("_ts"), F.col("_side"), F.col("_feature.rank")]
-    here = Window.partitionBy(*keys, *names)
-    seen = here.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    here = Window.partitionBy("_part", *keys)
+    seen = here.orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
     carried = stream.withColumn("_match", F.last("_feature", ignorenulls=True).over(seen))
     if unmatched == "drop_expired":
         carried = carried.withColumn("_known", F.count("_feature").over(here) > 0)
-    if cuts is not None:
-        carried = _carry_between_slices(carried, stream, keys, names, cuts)
+    carried = _carry_between_partitions(carried, stream, keys)
     out = carried.where(F.col("_side") == 1)
 
     matched_ts = F.col("_match.rank.ts")
@@ -88,24 +86,25 @@ def asof_join(
     return out.select(*result)
 
 
-def _tie_position(features: DataFrame, tie_break: Sequence[str]) -> Column:
-    try:
-        return order_positions(features, tie_break)[0]
-    except TypeError:  # nothing to cut along
-        return F.lit(0).cast("bigint")
-
+def _carry_between_partitions(carried: DataFrame, stream: DataFrame, keys: list[str]) -> DataFrame:
+    """Add what the other partitions of a key know: its last feature before, and whether it has any.
 
-def _carry_between_slices(
-    carried: DataFrame, stream: DataFrame, keys: list[str], names: list[str], cuts: Cuts
-) -> DataFrame:
-    """Add what the other slices of a key know: its last feature before, and whether it has any."""
-    # bounded by find_cuts: the hot keys, then one row per slice of them
-    stream = join_null_safe(stream, F.broadcast(cuts.table.select(*keys)), keys, "left_semi")
-    newest = stream.groupBy(*keys, *names).agg(F.max_by("_feature", "_feature.rank").alias("_newest"))
-    before = Window.partitionBy(*keys).orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
-    carry = newest.withColumn("_carry", F.last("_newest", ignorenulls=True).over(before))
-    carry = carry.withColumn("_any", F.count("_newest").over(Window.partitionBy(*keys)) > 0).drop("_newest")
-    joined = join_null_safe(carried, F.broadcast(carry), [*keys, *names])
+    Only the first and the last key of a partition can go on in another one,
+    so the table joined back has two rows per partition at most.
+    """
+    newest = stream.groupBy("_part", *keys).agg(
+        F.max_by("_feature", F.when(F.col("_feature").isNotNull(), F.col("_pos"))).alias("_newest")
+    )
+    all_of = Window.partitionBy(*keys)
+    before = all_of.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carry = (
+        newest.withColumn("_parts", F.count(F.lit(1)).over(all_of))
+        .withColumn("_carry", F.last("_newest", ignorenulls=True).over(before))
+        .withColumn("_any", F.count("_newest").over(all_of) > 0)
+        .where("_parts > 1")
+        .drop("_parts", "_newest")
+    )
+    joined = join_null_safe(carried, carry, ["_part", *keys])
     joined = joined.withColumn("_match", F.coalesce("_match", "_carry"))
     if "_known" in carried.columns:
         joined = joined.withColumn("_known", F.col("_known") | F.coalesce("_any", F.lit(False)))

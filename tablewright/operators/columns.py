@@ -5,15 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
-from itertools import chain
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Up to this many values a mapping is an in-line expression, beyond it a join.
-INLINE_MAPPING = 64
-
 
 def lowercase_columns(df: DataFrame) -> DataFrame:
     """All column names in lower case; names that would collide are an error."""
@@ -58,21 +54,29 @@ def in_time_range(df: DataFrame, ts: str, start: datetime, end: datetime) -> Dat
     return df.where((F.col(ts) >= low) & (F.col(ts) < high))
 
 
-def replace_values(df: DataFrame, column: str, mapping: Mapping) -> DataFrame:
-    """Replace the values found in ``mapping``; the others stay.
+def replace_values(
+    df: DataFrame, column: str, mapping: Mapping, to: str | None = None, unmapped: str = "keep"
+) -> DataFrame:
+    """Replace the values found in ``mapping``; a missing value may be mapped as well.
 
-    The result takes the type of the mapping's values unless a value that has
-    no replacement needs the old one.
+    ``to`` is the result's type, by default the column's own. Values without a
+    replacement stay if ``unmapped`` is ``"keep"`` (cast to the type, missing
+    where they cannot be) or become missing if it is ``"null"``. The mapping
+    joins as a table of its own, whatever its size.
     """
+    if unmapped not in ("keep", "null"):
+        raise ValueError(unmapped)
+    kind = to or df.schema[column].dataType.simpleString()
+    source = df.schema[column].dataType.simpleString()
     if not mapping:
-        return df
-    if len(mapping) <= INLINE_MAPPING:
-        table = F.create_map(*[F.lit(v) for v in chain.from_iterable(mapping.items())])
-        return df.withColumn(column, F.coalesce(F.element_at(table, F.col(column)), F.col(column)))
-    spark = df.sparkSession
-    pairs = spark.createDataFrame(list(mapping.items()), ["_from", "_to"])
-    joined = df.join(pairs, df[column] == pairs["_from"], "left")
-    return joined.withColumn(column, F.coalesce(F.col("_to"), F.col(column))).select(*df.columns)
+        return df.withColumn(column, F.col(column).cast(kind))
+    values = T.StructType.fromDDL(f"_to {kind}")["_to"].dataType
+    schema = T.StructType([T.StructField("_from", df.schema[column].dataType), T.StructField("_to", values)])
+    pairs = df.sparkSession.createDataFrame(list(mapping.items()), schema).withColumn("_known", F.lit(True))
+    joined = df.join(pairs, F.col(column).eqNullSafe(F.col("_from")), "left")
+    rest = F.col(column).try_cast(kind) if source != kind else F.col(column)
+    other = rest if unmapped == "keep" else F.lit(None).cast(kind)
+    return joined.withColumn(column, F.when(F.col("_known"), F.col("_to")).otherwise(other)).select(*df.columns)
 
 
 def unpivot(df: DataFrame, ids: Sequence[str], values: Sequence[str], to: str = "double") -> DataFrame:

@@ -109,7 +109,7 @@ class OnlineTable:
         rows = latest_per_key(
             self.view.table(), self.view.keys, self.view.ts, self.view.tie_break, _ntz(start), _ntz(end)
         )
-        self.store.write(rows, note=end.isoformat(sep=" "), first=True)
+        self.store.write(rows, note=end.isoformat(sep=" "))
         return self.read()
 
     def mark(self) -> datetime:
@@ -121,7 +121,7 @@ class OnlineTable:
         current = self.store.entry()
         recent = self._latest(_ntz(datetime.fromisoformat(current["note"])), end)
         # both have unique keys, and whatever is recent lies after the mark
-        rows = upsert_unique(self.store.read_entry(current), stage(recent, "recent"), self.view.keys)
+        rows = upsert_unique(self.store.read_entry(current), recent, self.view.keys)
         self.store.write(rows, note=end.isoformat(sep=" "), after=current)
         return self.read()
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.operators.slicing import fits_broadcast, join_null_safe, small
+from tablewright.operators.slicing import join_null_safe
 
 
 def _keys(on: str | Sequence[str]) -> list[str]:
@@ -59,35 +59,31 @@ def merge(
     return l.join(r, condition, how).drop(*[f"_right_{k}" for k in keys])
 
 
-def anti(left: DataFrame, right: DataFrame, on: str | Sequence[str], right_is_small: bool = False) -> DataFrame:
+def anti(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Rows of ``left`` whose key does not occur in ``right``; null matches null.
 
     The right side is cut down to its distinct keys first. That combines on
     the map side, so a key with many copies is shuffled once per task. Where
-    ``right`` is expected to be small its size is checked, and if it is, the
-    left side stays where it is.
+    the optimiser finds them small, the left side stays where it is.
     """
     keys = _keys(on)
-    known = right.select(*keys)
-    known = F.broadcast(known.distinct()) if right_is_small and fits_broadcast(known) else known.distinct()
-    return join_null_safe(left, known, keys, "left_anti")
+    return join_null_safe(left, right.select(*keys).distinct(), keys, "left_anti")
 
 
 def lookup(keys_df: DataFrame, snapshot: DataFrame, on: str | Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Stored values for the given keys, in the order of ``columns``; a miss is null.
 
-    A request for few keys is broadcast against the snapshot's scan: an inner
-    join finds the hits without moving the snapshot, and the misses are
-    added from the request side.
+    A first join finds the hits, without moving the snapshot where the
+    optimiser finds the request small; the misses are added from the request.
     """
     keys = _keys(on)
     wanted = snapshot.select(*keys, *columns)
     request = keys_df.select(*keys)
-    hits = join_null_safe(wanted, small(request.distinct()), keys, "left_semi")
+    hits = join_null_safe(wanted, request.distinct(), keys, "left_semi")
     return join_null_safe(request, hits, keys).select(*keys, *columns)
 
 
 def decode(df: DataFrame, codes: DataFrame, code: str, label: str = "label") -> DataFrame:
     """Add the label of a class number from a ``(label, code)`` table."""
-    table = small(codes.select(F.col("code").alias("_code"), F.col("label").alias(label)))
+    table = codes.select(F.col("code").alias("_code"), F.col("label").alias(label))
     return df.join(table, F.col(code) == F.col("_code"), "left").drop("_code")

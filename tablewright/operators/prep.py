@@ -7,8 +7,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewright.functions.scalars import seeded_hash
+from tablewright.operators.joins import require_unique
 from tablewright.operators.ordering import sorted_codes
 from tablewright.operators.slicing import ROWS_PER_SLICE, join_null_safe, pinned, rank_cutoffs, row_number
 from tablewright.sources.workspace import local_table
@@ -44,12 +46,14 @@ def split_ordered(
     def train_rows(n: Column) -> Column:
         return n - F.floor((n * test_percent + 99) / 100)
 
-    found = rank_cutoffs(df, [], order_by, train_rows, rows_per_slice=rows_per_slice).collect()  # one row
+    types = {c: df.schema[c].dataType for c in order_by}
+    # times travel as text: a driver's own time zone would shift them
+    carried = [c for c in order_by if isinstance(types[c], T.DatetimeType)]
+    edges = rank_cutoffs(df, [], order_by, train_rows, rows_per_slice=rows_per_slice).select("_cutoff.*")
+    found = edges.withColumns({c: F.col(c).cast("string") for c in carried}).collect()  # one row
     if not found:
         return df.withColumn("is_test", F.lit(True))
-    edge = found[0]["_cutoff"]
-    types = {f.name: f.dataType for f in df.schema.fields}
-    last_train = F.struct(*[F.lit(edge[c]).cast(types[c]).alias(c) for c in order_by])
+    last_train = F.struct(*[F.lit(found[0][c]).cast(types[c]).alias(c) for c in order_by])
     return df.withColumn("is_test", F.struct(*order_by) > last_train)
 
 
@@ -145,20 +149,27 @@ def compare_predictions(
 ) -> DataFrame:
     """Rows whose two arrays are not equal within tolerance: keys, position, a, b.
 
-    A row or an element missing on one side counts as different. Arrays are
+    An element missing on one side counts as different. A row that only one
+    side has is reported even if its array is empty or missing, and so is a
+    missing array beside one that is there: with a missing position if there
+    is no element to show. Keys must be unique on both sides. Arrays are
     compared inside the row; only elements that differ become rows.
     """
+    a, b = require_unique(a, keys), require_unique(b, keys)
     left = a.select(*keys, F.col(values).alias("_a"), F.lit(True).alias("_in_a"))
-    right = b.select(*[F.col(k).alias(f"_right_{k}") for k in keys], F.col(values).alias("_b"))
+    right = b.select(*[F.col(k).alias(f"_right_{k}") for k in keys], F.col(values).alias("_b"), F.lit(True).alias("_in_b"))
     condition = F.lit(True)
     for k in keys:
         condition = condition & F.col(k).eqNullSafe(F.col(f"_right_{k}"))
+    none = F.array().cast("array<double>")
     both = left.join(right, condition, "full_outer").select(
         *[F.when(F.col("_in_a"), F.col(k)).otherwise(F.col(f"_right_{k}")).alias(k) for k in keys],
-        F.coalesce("_a", F.array().cast("array<double>")).alias("_a"),
-        F.coalesce("_b", F.array().cast("array<double>")).alias("_b"),
+        F.coalesce("_a", none).alias("_a"),
+        F.coalesce("_b", none).alias("_b"),
+        (F.col("_in_a").isNull() | F.col("_in_b").isNull() | (F.col("_a").isNull() != F.col("_b").isNull())).alias("_one_sided"),
     )
-    zipped = both.select(*keys, F.posexplode(F.arrays_zip("_a", "_b")).alias("position", "pair"))
+    zipped = both.select(*keys, "_one_sided", F.posexplode_outer(F.arrays_zip("_a", "_b")).alias("position", "pair"))
     x, y = F.col("pair._a"), F.col("pair._b")
     close = F.coalesce(F.abs(x - y) <= F.lit(atol) + F.lit(rtol) * F.abs(y), F.lit(False))
-    return zipped.where(~close).select(*keys, "position", x.alias("a"), y.alias("b"))
+    shown = F.when(F.col("position").isNull(), F.col("_one_sided")).otherwise(~close)
+    return zipped.where(shown).select(*keys, "position", x.alias("a"), y.alias("b"))

@@ -1,42 +1,21 @@
-"""Ordered work on groups of any size.
+"""Row numbers and ranks within keys of any size, and null-safe joins.
 
-A window over a key sends every row of that key to one task. That is right
-for most keys and wrong for one that holds a large share of the table. The
-helpers here find such keys first and cut each of them, along the order the
-window needs, into slices of bounded size. The slices are numbered in order,
-so a result for the whole key is the result inside the slice plus a summary
-of the slices before it. Nothing is dropped and nothing is approximate: the
-cut points only decide where the cuts lie.
+Ordered work rests on the range exchange of ``ranges``: no task needs a whole
+key, and any orderable type works in any place of the order.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tablewright.sources.workspace import local_table, stage
+from tablewright.operators.ranges import ROWS_PER_PART, global_row_number, row_number_in_key
+from tablewright.sources.workspace import stage
 
-# A key with more rows than this is cut.
-ROWS_PER_SLICE = 2_000_000
-# Bound on the number of hot keys, and on the cut points of one key; what is
-# sent to the driver or broadcast below is bounded by it.
-MAX_SLICES = 4096
-_BUCKETS = 65_536  # of the first, coarse count
-TEXT_STEPS = 5
-_FAN = 64  # cut points are searched in two steps of at most 64 comparisons
-
-
-@dataclass(frozen=True)
-class Cuts:
-    """Cut points of the hot keys: ``keys``, ``_cuts array<bigint>``."""
-
-    keys: tuple[str, ...]
-    table: DataFrame
+# Rows of one sorted partition.
+ROWS_PER_SLICE = ROWS_PER_PART
 
 
 def micros(col: Column | str) -> Column:
@@ -45,31 +24,6 @@ def micros(col: Column | str) -> Column:
     return F.unix_micros(col.cast("timestamp"))
 
 
-def order_positions(df: DataFrame, order_by: Sequence[str]) -> list[Column]:
-    """Whole numbers to cut along, one after the other, that never fall as the order rises.
-
-    A number or time is one step. Text is read seven bytes at a time and ends
-    the list, since no number of steps is sure to tell two texts apart.
-    """
-    out: list[Column] = []
-    for name in order_by:
-        kind, col = df.schema[name].dataType, F.col(name)
-        if isinstance(kind, T.StringType):
-            for at in range(1, 1 + 7 * TEXT_STEPS, 7):
-                part = F.rpad(F.hex(F.substring(col.cast("binary"), at, 7)), 14, "0")
-                out.append(F.conv(part, 16, 10).cast("bigint"))
-            break
-        if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-            out.append(micros(col))
-        elif isinstance(kind, (T.IntegralType, T.BooleanType)):
-            out.append(col.cast("bigint"))
-        else:
-            break
-    if not out:
-        raise TypeError(f"cannot cut along {list(order_by)}")
-    return out
-
-
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Equi-join on ``keys`` where null matches null; the left keys are kept.
 
@@ -85,108 +39,6 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_right_{k}" for k in keys])
 
 
-def find_cuts(
-    df: DataFrame, keys: Sequence[str], position: Column, rows_per_slice: int = ROWS_PER_SLICE
-) -> Cuts | None:
-    """Cut points for the keys that hold more rows than one task should sort.
-
-    ``position`` is a bigint that rises with the window's order. Returns None
-    if no key needs cutting. Rows are counted per hash bucket of the key
-    first: that combines to a few thousand numbers per task, and a key cannot
-    be larger than its bucket. Only the keys of oversized buckets are counted
-    one by one. Each hot key keeps a number of cuts in proportion to its size.
-    """
-    keys = tuple(keys)
-    flat = df.select(*keys, position.alias("_pos"))
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(_BUCKETS)) if keys else F.lit(0)
-    sizes = flat.groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))
-    total = F.sum("_n").alias("total")
-    whole = sizes.agg(total, F.max("_n").alias("largest")).first()
-    share = max(rows_per_slice, math.ceil((whole["total"] or 0) / MAX_SLICES))
-    if not whole["largest"] or whole["largest"] <= share:
-        return None
-    largest = whole["largest"]
-    if keys:
-        # fewer than MAX_SLICES buckets, and then keys, can exceed the share
-        crowded = [r["_bucket"] for r in sizes.where(F.col("_n") > share).select("_bucket").collect()]
-        flat = flat.where(bucket.isin(crowded))
-        hot = flat.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > share).collect()
-        if not hot:
-            return None
-        largest = max(r["_n"] for r in hot)
-        hot_keys = local_table(df.sparkSession, [tuple(r[:-1]) for r in hot], flat.select(*keys).schema)
-        flat = join_null_safe(flat, F.broadcast(hot_keys), keys, "left_semi")
-    parts = min(MAX_SLICES, math.ceil(largest / share))
-    ranks = F.array(*[F.lit(i / parts) for i in range(1, parts)])
-    found = flat.groupBy(*keys).agg(
-        F.percentile_approx("_pos", ranks, F.lit(max(10_000, 10 * parts))).alias("_cuts"),
-        F.count(F.lit(1)).alias("_n"),
-    )
-    # A smaller hot key keeps every step-th cut, so that all cuts together
-    # stay within a small multiple of MAX_SLICES.
-    step = F.greatest(F.lit(1), F.floor(F.lit(largest) / F.col("_n")))
-    thinned = found.select(
-        *keys,
-        F.coalesce(
-            F.array_distinct(F.filter("_cuts", lambda x, i: (i + 1) % step == 0)), F.array().cast("array<bigint>")
-        ).alias("_cuts"),
-    )
-    # Pinned on the driver: an approximate percentile may differ when it is
-    # computed again, and every later pass must see the same cuts.
-    rows = thinned.collect()
-    table = local_table(df.sparkSession, rows, thinned.schema)
-    return Cuts(keys, table)
-
-
-def _slice_number(cuts: Column, position: Column) -> Column:
-    """Twice the number of cuts below ``position``, plus one if it is itself a cut.
-
-    The cuts are searched in two steps. An odd number thus belongs to a
-    single position; missing ones come first, under -1.
-    """
-    coarse = F.filter(cuts, lambda x, i: (i % _FAN == _FAN - 1) & (x < position))
-    skip = F.size(coarse) * _FAN
-    below = skip + F.size(F.filter(F.slice(cuts, skip + 1, F.lit(_FAN)), lambda x: x < position))
-    is_cut = F.try_element_at(cuts, below + 1).eqNullSafe(position)
-    return F.when(position.isNull(), -1).otherwise(2 * below + is_cut.cast("int"))
-
-
-def with_slice(df: DataFrame, cuts: Cuts | None, position: Column, name: str = "_slice") -> DataFrame:
-    """Add the slice number: 0 for ordinary keys, in the order of ``position`` for hot ones."""
-    if cuts is None:
-        return df.withColumn(name, F.lit(0))
-    if cuts.keys:
-        joined = join_null_safe(df, F.broadcast(cuts.table), cuts.keys)  # bounded, see find_cuts
-    else:
-        only = cuts.table.collect()[0]["_cuts"]
-        joined = df.withColumn("_cuts", F.array(*[F.lit(int(x)) for x in only]).cast("array<bigint>"))
-    number = F.when(F.col("_cuts").isNull(), 0).otherwise(_slice_number(F.col("_cuts"), position))
-    return joined.withColumn(name, number).drop("_cuts")
-
-
-def slices(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], rows_per_slice: int = ROWS_PER_SLICE
-) -> tuple[DataFrame, list[str], Cuts | None]:
-    """Add the columns that number the slices of hot keys along ``order_by``.
-
-    Where one position of the first column alone holds too many rows, such as
-    a day with a large share of the table, it is cut along the next column,
-    and so on. Returns the table, the names of the added columns (in order)
-    and the first cuts; no columns and None if no key is hot.
-    """
-    names: list[str] = []
-    first: Cuts | None = None
-    for level, position in enumerate(order_positions(df, order_by)):
-        whole = df if not names else df.where(F.pmod(F.col(names[-1]), F.lit(2)) == 1)
-        cuts = find_cuts(whole, [*keys, *names], position, rows_per_slice)
-        if cuts is None:
-            break
-        first = first or cuts
-        df = with_slice(df, cuts, position, f"_slice{level}")
-        names.append(f"_slice{level}")
-    return df, names, first
-
-
 def row_number(
     df: DataFrame,
     keys: Sequence[str],
@@ -194,30 +46,16 @@ def row_number(
     name: str = "row_number",
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
-    """Number the rows of each key from 1 in rising order, exactly.
+    """Number the rows of each key from 1 in rising order, exactly; missing values come first.
 
     With no keys the whole table is one group. ``order_by`` must decide every
     tie.
     """
-    keys = list(keys)
-    sliced, names, cuts = slices(df, keys, order_by, rows_per_slice)
-    window = Window.partitionBy(*keys, *names).orderBy(*order_by)
-    local = sliced.withColumn(name, F.row_number().over(window).cast("bigint"))
-    if cuts is None:
-        return local
-    # Rows before each slice: a handful of numbers per hot key.
-    before = Window.partitionBy(*keys).orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
-    hot = join_null_safe(sliced, F.broadcast(cuts.table.select(*keys)), keys, "left_semi") if keys else sliced
-    offsets = (
-        hot.groupBy(*keys, *names)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        .drop("_n")
-    )
-    joined = join_null_safe(local, F.broadcast(offsets), [*keys, *names])  # one row per slice of a hot key
-    return joined.select(
-        *df.columns, (F.col(name) + F.coalesce(F.col("_before"), F.lit(0))).alias(name)
-    )
+    if keys:
+        numbered = row_number_in_key(df, keys, order_by, "_row0", rows_per_slice)
+    else:
+        numbered = global_row_number(df, order_by, "_row0", rows_per_slice)
+    return numbered.select(*df.columns, (F.col("_row0") + 1).alias(name))
 
 
 def rank_cutoffs(
@@ -231,59 +69,16 @@ def rank_cutoffs(
 
     ``rank`` turns the row count of a key (a column) into the 1-based rank
     wanted; keys whose rank is below 1 are left out. Only the key and order
-    columns are read. Where a key is too large for one task, rows are counted
-    per slice, which combines on the map side, and only the one slice that
-    holds the rank is shuffled and sorted.
+    columns are read and sorted.
     """
     keys = list(keys)
     flat = df.select(*dict.fromkeys([*keys, *order_by]))
-    sliced, names, cuts = slices(flat, keys, order_by, rows_per_slice)
-    order = Window.partitionBy(*keys).orderBy(*order_by)
-    all_of = Window.partitionBy(*keys)
-    if cuts is None:
-        ranked = flat.withColumn("_at", F.row_number().over(order)).withColumn(
-            "_rank", rank(F.count(F.lit(1)).over(all_of)).cast("bigint")
-        )
-        return ranked.where(F.col("_at") == F.col("_rank")).select(*keys, F.struct(*order_by).alias("_cutoff"))
-    up_to = Window.partitionBy(*keys).orderBy(*names).rowsBetween(Window.unboundedPreceding, 0)
-    target = (
-        sliced.groupBy(*keys, *names)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_upto", F.sum("_n").over(up_to))
-        .withColumn("_rank", rank(F.sum("_n").over(all_of)).cast("bigint"))
-        .where((F.col("_rank") >= 1) & (F.col("_upto") >= F.col("_rank")) & (F.col("_upto") - F.col("_n") < F.col("_rank")))
-        .withColumn("_within", F.col("_rank") - (F.col("_upto") - F.col("_n")))
-        .select(*keys, *names, "_within")
-    )
-    inside = join_null_safe(sliced, pinned(target), [*keys, *names], "inner")  # one row per key
-    return (
-        inside.withColumn("_at", F.row_number().over(order))
-        .where(F.col("_at") == F.col("_within"))
-        .select(*keys, F.struct(*order_by).alias("_cutoff"))
-    )
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = 100_000) -> bool:
-    """Whether a table has at most ``max_rows`` rows (reads no more than that)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
+    numbered = row_number(flat, keys, order_by, "_at", rows_per_slice)
+    sizes = numbered.groupBy(*keys).agg(F.max("_at").alias("_n"))
+    wanted = sizes.select(*keys, rank(F.col("_n")).cast("bigint").alias("_at")).where("_at >= 1")
+    return join_null_safe(numbered, wanted, [*keys, "_at"], "left_semi").select(*keys, F.struct(*order_by).alias("_cutoff"))
 
-def small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """``df`` with a broadcast hint if it is proven small, else unchanged.
 
-    Beyond the bound the join is left to the optimiser, which shuffles both
-    sides and splits hot keys.
-    """
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
-
-
-def pinned(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """A table of fitted values (class codes, cut-offs), computed exactly once.
-
-    Up to ``max_rows`` rows it becomes a local table with a broadcast hint;
-    a larger one is written to the shared folder and joined as it is.
-    """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) <= max_rows:
-        return F.broadcast(local_table(df.sparkSession, rows, df.schema))
+def pinned(df: DataFrame) -> DataFrame:
+    """A table of fitted values (class codes, cut-offs), computed exactly once and written to the shared folder."""
     return stage(df, "fitted")

@@ -6,6 +6,7 @@ import hashlib
 import json
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,12 +26,38 @@ def fingerprint(df: DataFrame) -> DataFrame:
     and both combine on the map side, so one number per task is shuffled.
     The sum sees duplicates, which cancel out in the xor.
     """
-    return df.agg(*_content(df.columns)).withColumn("fingerprint", F.md5(_mark(df.columns)))
+    return df.agg(*_content(df.schema)).withColumn("fingerprint", F.md5(_mark(df.columns)))
 
 
-def _content(columns: Sequence[str]) -> list[Column]:
+def row_hash(schema: T.StructType, columns: Sequence[str]) -> Column:
+    """A hash of the named columns of a row.
+
+    The engine's hash skips missing values, so each column goes in with a flag
+    that says whether it is there; a value that moves between columns changes
+    the hash. Maps are hashed as their entries in the order of the keys.
+    """
+    parts: list[Column] = []
+    for name in sorted(columns):
+        value = _hashable(F.col(f"`{name}`"), schema[name].dataType)
+        parts += [F.col(f"`{name}`").isNull(), value]
+    return F.xxhash64(*parts)
+
+
+def _hashable(value: Column, kind: T.DataType) -> Column:
+    """The value with maps, at any depth, as lists of entries; missing parts of it are marked."""
+    if isinstance(kind, T.MapType):
+        entries = F.array_sort(F.map_entries(value), lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0))
+        return F.transform(entries, lambda e: F.struct(e["key"], e["value"].isNull(), _hashable(e["value"], kind.valueType)))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: F.struct(x.isNull(), _hashable(x, kind.elementType)))
+    if isinstance(kind, T.StructType):
+        return F.struct(*[part for f in kind.fields for part in (value[f.name].isNull(), _hashable(value[f.name], f.dataType))])
+    return value
+
+
+def _content(schema: T.StructType) -> list[Column]:
     """Count, sum and xor of the row hashes, columns taken by name."""
-    row = F.xxhash64(*sorted(columns))
+    row = row_hash(schema, schema.names)
     zero = F.lit(0).cast("decimal(38,0)")
     return [
         F.count(F.lit(1)).alias("n_rows"),
@@ -82,30 +109,49 @@ class VersionedTable:
         row.coalesce(1).write.mode("append").parquet(self._manifest)
         return version
 
-    def write(self, df: DataFrame, note: str = "", first: bool = False, after: Row | None = None) -> int:
+    def newest(self) -> int:
+        """The number of the current version, 0 if there is none."""
+        try:
+            return self.entry()["version"]
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+        except LookupError:
+            pass
+        return 0
+
+    def write(self, df: DataFrame, note: str = "", after: Row | None = None) -> int:
         """Store ``df`` as the new current version; returns its number.
 
-        ``df`` may read the current version: its files stay as they are.
-        ``after`` is the current entry where the caller has it at hand.
+        The first version is 1, later ones follow the newest. ``df`` may read
+        the current version: its files stay as they are. ``after`` is the
+        current entry where the caller has it at hand.
         """
-        version = 1 if first else (after or self.entry())["version"] + 1
+        version = (after["version"] if after else self.newest()) + 1
         path = new_dir(self.spark, "data")
         seen = Observation()
         # hashed while it is written, so the data is not read a second time
-        df.observe(seen, *_content(df.columns)).write.parquet(path)
+        df.observe(seen, *_content(df.schema)).write.parquet(path)
         content = seen.get
         text = "/".join([",".join(sorted(df.columns)), *(str(content[c]) for c in ("n_rows", "hash_sum", "hash_xor"))])
         mark = hashlib.md5(text.encode()).hexdigest()
         return self._append(version, mark, content["n_rows"], path, note, df.schema.json())
 
     def create(self, df: DataFrame, note: str = "") -> VersionedTable:
-        self.write(df, note, first=True)
+        self.write(df, note)
         return self
 
     def read(self, version: int | None = None) -> DataFrame:
         """The table as of ``version``, by default the current one."""
         return self.read_entry(self.entry(version))
 
+    def read_mark(self, mark: str) -> DataFrame:
+        """The newest version whose content has this fingerprint."""
+        found = self.history().where(F.col("fingerprint") == mark).orderBy(F.desc("version")).limit(1).collect()
+        if not found:
+            raise LookupError(f"no version with fingerprint {mark} under {self.root}")
+        return self.read_entry(found[0])
+
     def read_entry(self, entry: Row) -> DataFrame:
         schema = T.StructType.fromJson(json.loads(entry["schema"]))
         return self.spark.read.schema(schema).parquet(entry["path"])
@@ -139,7 +185,7 @@ def diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
         rest = [c for c in sorted(df.columns) if c not in keys]
         return df.select(
             *[F.col(k).alias(f"{name}_{k}") for k in keys],
-            F.xxhash64(*[F.col(c) for c in rest]).alias(f"{name}_hash") if rest else F.lit(0).alias(f"{name}_hash"),
+            (row_hash(df.schema, rest) if rest else F.lit(0)).alias(f"{name}_hash"),
             F.lit(True).alias(f"{name}_here"),
         )
 

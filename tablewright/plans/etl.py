@@ -15,27 +15,26 @@ from tablewright.operators.versions import VersionedTable
 
 def load(source: DataFrame, target: VersionedTable, note: str = "load") -> DataFrame:
     """Lower-case the column names and make the result the current version."""
-    target.write(lowercase_columns(source), note, first=True)
+    target.write(lowercase_columns(source), note)
     return target.read()
 
 
 def refresh(
     target: VersionedTable, incoming: DataFrame, keys: Sequence[str], at: datetime, online: OnlineTable | None = None,
-    stored_is_unique: bool = False,
+    stored_is_unique: bool = False, order_by: Sequence[str] = (),
 ) -> DataFrame:
     """Stamp the incoming rows, upsert them, store a new version, refresh the serving table.
 
-    After the first refresh the stored keys are unique; ``stored_is_unique``
-    then spares the stored table a shuffle.
+    ``order_by`` decides between incoming rows of one key; without it such a
+    delivery is an error. After the first refresh the stored keys are unique;
+    ``stored_is_unique`` then spares the stored table a shuffle.
     """
     stamped = add_ingest_time(lowercase_columns(incoming), at)
     current = target.entry()
-    merged = upsert(target.read_entry(current), stamped, keys, old_is_unique=stored_is_unique)
+    merged = upsert(target.read_entry(current), stamped, keys, order_by, old_is_unique=stored_is_unique)
     target.write(merged, note=f"refresh {at.isoformat(sep=' ')}", after=current)
     if online is not None:
         view = online.view
-        online.view = FeatureView(
-            view.name, view.keys, view.ts, view.schema, target.read(), view.created, view.ttl
-        )
-        online.materialize_incremental(at)
+        fresh = FeatureView(view.name, view.keys, view.ts, view.schema, target.read(), view.created, view.ttl)
+        OnlineTable(target.spark, fresh, online.store.root).materialize_incremental(at)
     return target.read()

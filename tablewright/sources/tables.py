@@ -43,12 +43,14 @@ def read_parquet(
     return df
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
     """Read CSV with a header and a declared schema.
 
-    Quotes inside a field are doubled, an empty field is null, and a value
-    that does not fit its type fails the read. ``multi_line`` allows line
-    breaks inside fields at the price of unsplittable files.
+    Quotes inside a field are doubled, an empty field is null, blanks belong
+    to the text, and a value that does not fit its type fails the read. Fields
+    may hold line breaks, so a file is one task; where none does,
+    ``multi_line=False`` lets large files be split, and a line break in a
+    field would then pass for the end of a row.
     """
     return (
         spark.read.schema(schema)
@@ -59,6 +61,9 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: b
         .option("mode", "FAILFAST")
         .option("enforceSchema", False)
         .option("multiLine", multi_line)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]")
         .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]")
         .csv(path)
     )
@@ -71,6 +76,9 @@ def write_csv(df: DataFrame, path: str) -> None:
         .option("quote", '"')
         .option("escape", '"')
         .option("nullValue", "")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
         .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
         .csv(path)
     )

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tablewright.operators.monitor import moments, welch
 from tablewright.operators.ordering import last_rows, pick_per_key
-from tablewright.operators.slicing import join_null_safe
+from tablewright.operators.slicing import join_null_safe, pinned
 
 
 def file_stream(
@@ -78,15 +78,16 @@ def stream_drift(
     """Mean shift of each time window of live rows against fixed reference rows.
 
     Rows later than the watermark are dropped. Only a window's moments are
-    kept as state; the reference's moments are one row per column.
+    kept as state; the reference is read once, for one row of moments per
+    column.
     """
-    fixed = moments(reference, columns).select(
+    fixed = pinned(moments(reference, columns).select(
         "column_name", F.col("n").alias("n_ref"), F.col("mean").alias("mean_ref"), F.col("var").alias("var_ref")
-    )
+    ))
     by_window = moments_by_window(live, ts, columns, window, watermark)
 
     def batch(rows: DataFrame, _: int) -> DataFrame:
-        return welch(join_null_safe(rows, F.broadcast(fixed), ["column_name"], "inner"))
+        return welch(join_null_safe(rows, fixed, ["column_name"], "inner"))
 
     run_available(by_window, out, "update", batch)
     latest = pick_per_key(changes(live.sparkSession, out), ["window_start", "column_name"], ["batch_id"], "last")

@@ -30,8 +30,8 @@ def describe_t(spark, sf):
 
 @query("describe_large", DESCRIBE)
 def describe_large(spark, sf):
-    """The same with quartiles found as for a table of any size."""
-    out = aggs.describe(line_features(spark, sf), LINE_FEATURES, in_memory_rows=0)
+    """The same over more partitions: quartiles are found alike at every size."""
+    out = aggs.describe(line_features(spark, sf).repartition(16), LINE_FEATURES)
     return out.withColumn("std", F.round("std", 3))
 
 
@@ -122,15 +122,15 @@ def group_mean_null_keys(spark, sf):
 
 
 def vector_predictions(spark, sf):
-    """Embedding rows as predictions: the class is the largest of the first ten values."""
+    """Embedding rows as predictions: the class is the largest value's place."""
     return table(spark, sf, "embeddings").select(
-        F.col("label").cast("bigint").alias("actual"), argmax(F.slice("embedding", 1, 10)).alias("predicted")
+        F.col("label").cast("bigint").alias("actual"), argmax("embedding").alias("predicted")
     )
 
 
 VECTORS = """
 WITH p AS (SELECT CAST(label AS BIGINT) AS actual,
-  CAST(list_position(embedding[1:10], list_max(embedding[1:10])) - 1 AS BIGINT) AS predicted FROM embeddings)
+  CAST(list_position(embedding, list_max(embedding)) - 1 AS BIGINT) AS predicted FROM embeddings)
 """
 
 
@@ -142,16 +142,43 @@ def accuracy(spark, sf):
 @query(
     "confusion_matrix",
     VECTORS
-    + """, c AS (SELECT DISTINCT actual AS label FROM p UNION SELECT DISTINCT predicted FROM p)
+    + "SELECT actual, predicted, count(*) AS n FROM p GROUP BY actual, predicted",
+)
+def confusion_matrix(spark, sf):
+    return aggs.confusion_matrix(vector_predictions(spark, sf), "actual", "predicted")
+
+
+@query(
+    "confusion_matrix_declared",
+    VECTORS
+    + """, c AS (SELECT unnest(range(64)) AS label)
     SELECT a.label AS actual, b.label AS predicted, count(p.actual) AS n
     FROM c a CROSS JOIN c b LEFT JOIN p ON p.actual = a.label AND p.predicted = b.label
     GROUP BY a.label, b.label
     """,
 )
-def confusion_matrix(spark, sf):
-    rows = vector_predictions(spark, sf)
-    classes = rows.select(F.explode(F.array("actual", "predicted")).alias("label")).distinct()
-    return aggs.confusion_matrix(rows, "actual", "predicted", classes)
+def confusion_matrix_declared(spark, sf):
+    """All pairs of the classes that a vector's places name."""
+    return aggs.confusion_matrix(vector_predictions(spark, sf), "actual", "predicted", list(range(64)))
+
+
+GAPS = """
+WITH l AS (SELECT l_quantity + CASE WHEN l_linenumber = 1 THEN 1e9 ELSE 0 END AS a,
+  CASE WHEN l_linenumber > 1 THEN l_extendedprice END AS b, l_discount AS c FROM lineitem),
+cells AS (SELECT 'a' AS x, 'b' AS y, corr(a, b) AS r FROM l WHERE b IS NOT NULL
+  UNION ALL SELECT 'b', 'c', corr(b, c) FROM l WHERE b IS NOT NULL)
+SELECT x, y, round(r, 6) AS r FROM cells UNION ALL SELECT y, x, round(r, 6) FROM cells
+"""
+
+
+@query("corr_matrix_gaps", GAPS)
+def corr_matrix_gaps(spark, sf):
+    """A column whose unpaired rows lie far from the paired ones."""
+    rows = table(spark, sf, "lineitem").selectExpr(
+        "l_quantity + IF(l_linenumber = 1, 1e9D, 0D) AS a", "IF(l_linenumber > 1, l_extendedprice, NULL) AS b", "l_discount AS c"
+    )
+    out = aggs.corr_matrix(rows, ["a", "b", "c"]).withColumn("r", F.round("r", 6))
+    return out.where("(x = 'b') <> (y = 'b')")
 
 
 @query(

@@ -140,6 +140,19 @@ def replace(spark, sf):
     return replace_values(rows, "event_type", {"view": "seen", "click": "chosen", "purchase": "bought"})
 
 
+@query(
+    "replace_values_number",
+    """
+    SELECT n_nationkey, CASE n_name WHEN 'FRANCE' THEN 1 WHEN 'GERMANY' THEN 2 WHEN 'CHINA' THEN 3 END AS n_name
+    FROM nation
+    """,
+)
+def replace_number(spark, sf):
+    """Text to whole numbers where most values have none."""
+    rows = table(spark, sf, "nation").select("n_nationkey", "n_name")
+    return replace_values(rows, "n_name", {"FRANCE": 1, "GERMANY": 2, "CHINA": 3}, to="int", unmapped="null")
+
+
 @query(
     "first_row",
     "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' ORDER BY o_orderkey LIMIT 1",

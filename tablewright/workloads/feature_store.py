@@ -101,6 +101,15 @@ def materialize_incremental(spark, sf):
     return online.materialize_incremental(END)
 
 
+@query("materialize_again", LATEST.format("2024-01-15"))
+def materialize_again(spark, sf):
+    """Filled anew after an incremental step: the table is what the new call says."""
+    online = OnlineTable(spark, all_events(spark, sf))
+    online.materialize(START, MIDDLE)
+    online.materialize_incremental(END)
+    return online.materialize(START, MIDDLE)
+
+
 @query(
     "online_features",
     f"SELECT c_custkey AS user_id, value, event_type FROM customer LEFT JOIN ({LATEST.format('2024-01-15')}) "
@@ -120,6 +129,16 @@ def etl_load(spark, sf):
     return etl.load(source, VersionedTable(spark))
 
 
+@query("etl_load_again", "SELECT o_orderkey, o_custkey, o_totalprice + 3 AS o_totalprice FROM orders")
+def etl_load_again(spark, sf):
+    """The newest of four loads is the current one."""
+    target = VersionedTable(spark)
+    for i in range(4):
+        source = table(spark, sf, "orders").selectExpr("o_orderkey", "o_custkey", f"o_totalprice + {i} AS o_totalprice")
+        loaded = etl.load(source, target)
+    return loaded
+
+
 @query(
     "etl_upsert",
     """

@@ -56,11 +56,11 @@ def load_rule():
 @query(
     "score_foreign",
     """
-    SELECT p_partkey, CASE WHEN CAST(p_size AS DOUBLE) > 25 THEN 1 ELSE 0 END::BIGINT AS predicted FROM part
+    SELECT p_partkey, CASE WHEN CAST(p_size AS DOUBLE) > p_retailprice / 40 THEN 1 ELSE 0 END::BIGINT AS predicted FROM part
     """,
 )
 def score_foreign(spark, sf):
-    rows = table(spark, sf, "part").selectExpr("p_partkey", "CAST(p_size AS DOUBLE) AS size", "25.0D AS price")
+    rows = table(spark, sf, "part").selectExpr("p_partkey", "CAST(p_size AS DOUBLE) AS size", "p_retailprice / 40 AS price")
     return m.predict(rows, m.foreign_scorer(load_rule, FEATURES)).select("p_partkey", "predicted")
 
 

@@ -79,7 +79,7 @@ def quality_gate(spark, sf):
 @query(
     "metrics_log",
     """
-    WITH m AS (SELECT CAST(label AS BIGINT) AS version_id, count(*) FILTER (embedding[1] > 0) / count(*) AS accuracy,
+    WITH m AS (SELECT CAST(label AS BIGINT) AS version_id, count(*) FILTER (list_sum(embedding) > 0) / count(*) AS accuracy,
                CAST(count(*) AS DOUBLE) AS n FROM embeddings GROUP BY label)
     SELECT 'vectors' AS model, version_id, 'accuracy' AS metric, accuracy AS value,
       md5(CAST(version_id AS VARCHAR)) AS fingerprint, version_id % 2 = 0 AS prod FROM m
@@ -88,7 +88,7 @@ def quality_gate(spark, sf):
 )
 def metrics_log(spark, sf):
     measured = table(spark, sf, "embeddings").groupBy(F.col("label").cast("bigint").alias("version_id")).agg(
-        (F.count_if(F.col("embedding")[0] > 0) / F.count(F.lit(1))).alias("accuracy"),
+        (F.count_if(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double")) > 0) / F.count(F.lit(1))).alias("accuracy"),
         F.count(F.lit(1)).cast("double").alias("rows"),
     )
     log = monitor.MetricsLog(spark, new_dir(spark, "metrics"))

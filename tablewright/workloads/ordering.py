@@ -5,6 +5,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from tablewright.operators import ordering as o
+from tablewright.operators.slicing import row_number
 from tablewright.workloads.base import query, table
 
 PICK = "SELECT l_partkey, l_shipdate, l_orderkey, l_linenumber FROM lineitem QUALIFY row_number() OVER " \
@@ -159,3 +160,29 @@ def top_k(spark, sf):
 @query("head_n", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 5000")
 def head_n(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice").orderBy("o_orderkey").limit(5000)
+
+
+@query(
+    "label_encode_decimal",
+    """
+    SELECT CAST(l_tax AS DECIMAL(10, 2)) AS label, dense_rank() OVER (ORDER BY CAST(l_tax AS DECIMAL(10, 2))) - 1 AS code
+    FROM lineitem GROUP BY 1
+    """,
+)
+def label_encode_decimal(spark, sf):
+    return o.sorted_codes(table(spark, sf, "lineitem").selectExpr("CAST(l_tax AS DECIMAL(10, 2)) AS tax"), "tax")
+
+
+@query(
+    "row_position_by_url",
+    """
+    SELECT page_id, row_number() OVER (ORDER BY 'https://a-long-prefix-that-all-rows-share.example/' || url, page_id) AS at
+    FROM pages
+    """,
+)
+def row_position_by_url(spark, sf):
+    """Texts that differ only behind a long common beginning."""
+    rows = table(spark, sf, "pages").selectExpr(
+        "page_id", "concat('https://a-long-prefix-that-all-rows-share.example/', url) AS url"
+    )
+    return row_number(rows, [], ["url", "page_id"], "at").select("page_id", "at")

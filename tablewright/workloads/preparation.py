@@ -187,3 +187,35 @@ def split_scaled_ranges(spark, sf):
     return fitted.transform(parts).groupBy("split").agg(
         F.count(F.lit(1)).alias("n"), F.min("o_totalprice").alias("low"), F.max("o_totalprice").alias("high")
     )
+
+
+@query(
+    "compare_predictions_one_sided",
+    """
+    SELECT o_orderkey, CAST(CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE 0 END AS INT) AS position,
+      CASE WHEN o_orderkey % 3 = 1 THEN o_totalprice END AS a, CASE WHEN o_orderkey % 3 = 2 THEN o_totalprice END AS b
+    FROM orders
+    """,
+)
+def compare_one_sided(spark, sf):
+    """Rows that one side has: some with an element, some with an empty array."""
+    orders = table(spark, sf, "orders")
+    none = F.array().cast("array<double>")
+    a = orders.where("o_orderkey % 3 <> 2").select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 3 == 1, F.array("o_totalprice")).otherwise(none).alias("v")
+    )
+    b = orders.where("o_orderkey % 3 = 2").select("o_orderkey", F.array("o_totalprice").alias("v"))
+    return prep.compare_predictions(a, b, ["o_orderkey"], "v")
+
+
+@query(
+    "split_ordered_by_price",
+    """
+    SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice, o_orderkey) > count(*) OVER ()
+      - (count(*) OVER () * 20 + 99) // 100 AS is_test FROM orders
+    """,
+)
+def split_by_price(spark, sf):
+    """An order that begins with a double."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    return prep.split_ordered(orders, ["o_totalprice", "o_orderkey"]).select("o_orderkey", "is_test")

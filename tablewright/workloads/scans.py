@@ -7,16 +7,14 @@ from tablewright.functions.payload import request, response, response_data
 from tablewright.operators.features import FeatureView, OnlineTable
 from tablewright.operators.prep import split
 from tablewright.operators.versions import VersionedTable
-from tablewright.sources.tables import list_objects, read_csv, read_parquet, write_csv, write_parquet
+from tablewright.sources.tables import read_csv, read_parquet, write_csv, write_parquet
 from tablewright.sources.workspace import new_dir
 from tablewright.workloads.base import query, table
 
 
-@query("scan_parquet", "SELECT l_orderkey, l_partkey, l_extendedprice, l_shipdate FROM lineitem")
+@query("scan_parquet", "SELECT * FROM lineitem")
 def scan_parquet(spark, sf):
-    return read_parquet(
-        spark, f"{sf}/lineitem.parquet", columns=["l_orderkey", "l_partkey", "l_extendedprice", "l_shipdate"]
-    )
+    return read_parquet(spark, f"{sf}/lineitem.parquet")
 
 
 ORDERS_CSV = T.StructType(
@@ -35,7 +33,7 @@ ORDERS_CSV = T.StructType(
 def scan_csv(spark, sf):
     path = new_dir(spark, "csv")
     write_csv(table(spark, sf, "orders"), path)
-    return read_csv(spark, path, ORDERS_CSV)
+    return read_csv(spark, path, ORDERS_CSV, multi_line=False)  # no field holds a line break
 
 
 @query("sink_csv", "SELECT doc_id, lang, source, n_chars, text FROM documents")
@@ -43,7 +41,27 @@ def sink_csv(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars", "text")
     path = new_dir(spark, "csv")
     write_csv(docs, path)
-    return read_csv(spark, path, docs.schema, multi_line=True)  # texts hold line breaks
+    return read_csv(spark, path, docs.schema)
+
+
+@query(
+    "sink_csv_times",
+    """
+    SELECT event_id, ts + to_microseconds(event_id % 1000 * 2) AS ts, '  ' || event_type || ' ' AS event_type
+    FROM events
+    """,
+)
+def sink_csv_times(spark, sf):
+    """Times that differ by microseconds, and blanks around texts, come back as they were."""
+    rows = table(spark, sf, "events").select(
+        "event_id",
+        F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp")) + F.col("event_id") % 1000 * 2)
+        .cast("timestamp_ntz").alias("ts"),
+        F.concat(F.lit("  "), "event_type", F.lit(" ")).alias("event_type"),
+    )
+    path = new_dir(spark, "csv")
+    write_csv(rows, path)
+    return read_csv(spark, path, rows.schema, multi_line=False)
 
 
 @query("sink_parquet", "SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderstatus FROM orders")
@@ -80,11 +98,6 @@ def rewrite_in_place(spark, sf):
     return stored.read()
 
 
-@query("list_objects")
-def list_tables(spark, sf):
-    return list_objects(spark, sf, "*.parquet")
-
-
 SPLIT_ORDERS = """
 WITH ranked AS (
   SELECT *, row_number() OVER (ORDER BY o_orderkey) AS rn, count(*) OVER () AS n FROM orders

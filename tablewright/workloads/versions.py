@@ -70,6 +70,29 @@ def snapshot_revert(spark, sf):
     return stored.read()
 
 
+@query(
+    "snapshot_diff_nulls",
+    "SELECT o_orderkey, 'changed' AS change FROM orders WHERE o_orderkey % 3 = 0",
+)
+def snapshot_diff_nulls(spark, sf):
+    """A value moves from one missing column to another."""
+    orders = table(spark, sf, "orders").selectExpr("o_orderkey", "o_custkey AS a", "CAST(NULL AS BIGINT) AS b")
+    moved = orders.selectExpr(
+        "o_orderkey", "IF(o_orderkey % 3 = 0, NULL, a) AS a", "IF(o_orderkey % 3 = 0, a, NULL) AS b"
+    )
+    return diff(orders, moved, ["o_orderkey"])
+
+
+@query(
+    "snapshot_read_mark",
+    "SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderkey % 10 <> 0",
+)
+def snapshot_read_mark(spark, sf):
+    """A version found by the fingerprint of its content."""
+    stored = two_versions(spark, sf)
+    return stored.read_mark(stored.entry(1)["fingerprint"])
+
+
 @query(
     "snapshot_diff",
     """

@@ -25,10 +25,9 @@ def sample(spark, n=2000, seed=5):
     return pd.DataFrame(data, columns=names), df.repartition(4)
 
 
-@pytest.mark.parametrize("in_memory", [10_000, 10])
-def test_describe_agrees_with_pandas(spark, in_memory):
+def test_describe_agrees_with_pandas(spark):
     frame, df = sample(spark)
-    got = {r["column_name"]: r for r in aggs.describe(df, in_memory_rows=in_memory).collect()}
+    got = {r["column_name"]: r for r in aggs.describe(df).collect()}
     want = frame[["id", "x", "y", "z", "one"]].astype(float).describe().T
     assert set(got) == set(want.index)
     for name, r in got.items():
@@ -55,8 +54,9 @@ def test_exact_quantiles_of_few_values(spark):
     assert rows(out) == [("a", 0.25, 1.25), ("a", 0.5, 1.5), ("b", 0.25, 5.0), ("b", 0.5, 5.0)]
 
 
-def test_a_bracket_that_misses_is_widened(spark, monkeypatch):
-    monkeypatch.setattr(aggs, "SKETCH_LEAST", 20)
+@pytest.mark.parametrize("setting", [("SKETCH_WIDTH", 1e-6), ("BRACKET_ROWS", 30), ("SKETCH_SIZE", 16)])
+def test_a_bracket_that_misses_or_is_too_wide_is_searched_again(spark, monkeypatch, setting):
+    monkeypatch.setattr(aggs, *setting)
     values = [float(i * i) for i in range(5000)]
     df = spark.createDataFrame([(v,) for v in values], "v double").repartition(8)
     probs = [0.1, 0.5, 0.77]
@@ -86,11 +86,20 @@ def test_group_mean_drops_missing_keys(spark):
         assert all(math.isclose(r[c], want.loc[k, c]) for c in ["y", "z", "flag"])
 
 
-def test_confusion_matrix_has_every_class(spark):
-    df = spark.createDataFrame([(0, 0), (0, 1), (1, 1)], "actual bigint, predicted bigint")
-    classes = spark.createDataFrame([(0,), (1,), (2,)], "label bigint")
-    got = {(r["actual"], r["predicted"]): r["n"] for r in aggs.confusion_matrix(df, "actual", "predicted", classes).collect()}
-    assert len(got) == 9 and got[0, 0] == got[0, 1] == got[1, 1] == 1 and sum(got.values()) == 3
+def test_confusion_matrix_has_every_declared_class(spark):
+    df = spark.createDataFrame([(0, 0), (0, 1), (1, 1), (None, 1), (1, 9)], "actual bigint, predicted bigint")
+    got = {(r["actual"], r["predicted"]): r["n"] for r in aggs.confusion_matrix(df, "actual", "predicted", [0, 1, 2]).collect()}
+    assert len(got) == 11 and got[0, 0] == got[0, 1] == got[1, 1] == got[None, 1] == got[1, 9] == 1 and sum(got.values()) == 5
+    sparse = aggs.confusion_matrix(df, "actual", "predicted").collect()
+    assert len(sparse) == 5 and sum(r["n"] for r in sparse) == 5
+
+
+def test_correlation_where_unpaired_rows_lie_far_off(spark):
+    data = [(1e12 + i, None) for i in range(50)] + [(float(i), float(i % 7)) for i in range(200)]
+    df = spark.createDataFrame(data, "a double, b double")
+    want = pd.DataFrame(data, columns=["a", "b"]).corr().loc["a", "b"]
+    got = {(r["x"], r["y"]): r["r"] for r in aggs.corr_matrix(df, ["a", "b"]).collect()}
+    assert math.isclose(got["a", "b"], want, rel_tol=1e-9) and got["a", "a"] == 1.0
 
 
 def test_accuracy_precision_recall(spark):

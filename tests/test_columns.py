@@ -43,11 +43,18 @@ def test_nan_becomes_null_and_dropna_takes_both(spark):
     assert rows(df.dropna("any")) == [(3, 1.0)]
 
 
-def test_replace_inline_and_joined(spark):
+def test_replace_is_alike_for_short_and_long_mappings(spark):
     df = spark.createDataFrame([("a",), ("b",), (None,)], "v string")
     assert rows(c.replace_values(df, "v", {"a": "x"})) == [("b",), ("x",), (None,)]
     many = {f"k{i}": str(i) for i in range(200)} | {"a": "x"}
     assert rows(c.replace_values(df, "v", many)) == [("b",), ("x",), (None,)]
+    for mapping in ({"a": 1, None: 0}, {**{f"k{i}": i for i in range(200)}, "a": 1, None: 0}):
+        out = c.replace_values(df, "v", mapping, to="int", unmapped="null")
+        assert out.dtypes == [("v", "int")] and rows(out) == [(0,), (1,), (None,)]
+        assert rows(c.replace_values(df, "v", mapping, to="int")) == [(0,), (1,), (None,)]
+    numbers = spark.createDataFrame([(1,), (2,)], "v int")
+    assert c.replace_values(numbers, "v", {1: 5}).dtypes == [("v", "int")]
+    assert rows(c.replace_values(numbers, "v", {1: 5})) == [(2,), (5,)]
 
 
 def test_validate(spark):

@@ -12,7 +12,7 @@ from tools.check_queries import TABLES, canonical
 SF = "/root/testdata/sf0.001"
 # Checked by properties in their own tests, not by SQL.
 NO_SQL = {
-    "list_objects", "train_classifier", "score_batch", "counterfactual_search", "feature_attribution",
+    "train_classifier", "score_batch", "counterfactual_search", "feature_attribution",
     "entity_key_only_predict", "drift_p_value", "fingerprint_value",
 }
 

@@ -1,11 +1,13 @@
 """Ordered work on hot keys gives the same result as on ordinary ones."""
 
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from tablewright.operators.slicing import find_cuts, order_positions, rank_cutoffs, row_number, slices, small, with_slice
+from tablewright.operators.ranges import in_order
+from tablewright.operators.slicing import rank_cutoffs, row_number
 from tests.conftest import rows
 
 
@@ -29,35 +31,26 @@ def expected_numbers(data, keyed=True):
     )
 
 
-def test_no_cuts_for_ordinary_keys(spark):
-    _, df = skewed(spark)
-    assert find_cuts(df, ["k"], F.col("pos")) is None
-
-
-def test_cuts_only_for_hot_keys_and_slices_are_ordered(spark):
+def test_partitions_follow_the_order_and_grow_with_the_rows(spark):
     data, df = skewed(spark)
-    cuts = find_cuts(df, ["k"], F.col("pos"), rows_per_slice=150)
-    hot = {r["k"] for r in cuts.table.collect()}
-    assert hot == {"hot", None}
-    sliced = [tuple(r) for r in with_slice(df, cuts, F.col("pos")).select("k", "pos", "_slice").collect()]
-    assert {s for k, _, s in sliced if k not in hot} == {0}
-    for key in hot:
-        seen = sorted((p, s) for k, p, s in sliced if k == key)
-        assert [s for _, s in seen] == sorted(s for _, s in seen)
-        sizes = defaultdict(int)
-        for _, s in seen:
-            sizes[s] += 1
-        assert len(sizes) > 2 and max(sizes.values()) < 0.6 * len(seen)
-
-
-def test_many_cuts_use_the_two_step_search(spark):
-    data = [(i, i * 3) for i in range(5000)]
-    df = spark.createDataFrame(data, "id bigint, pos bigint")
-    cuts = find_cuts(df, [], F.col("pos"), rows_per_slice=20)
-    points = cuts.table.first()["_cuts"]
-    assert len(points) > 128
-    got = {r["pos"]: r["_slice"] for r in with_slice(df, cuts, F.col("pos")).collect()}
-    assert all(got[p] == 2 * sum(c < p for c in points) + (p in points) for _, p in data)
+    staged = in_order(df, ["k", "pos", "id"], rows_per_part=100)
+    got = sorted((r["_part"], r["_pos"], r["k"] is not None, r["k"] or "", r["pos"], r["id"]) for r in staged.collect())
+    assert [r[2:] for r in got] == sorted(r[2:] for r in got) and len(got) == len(data)
+    sizes = Counter(r[0] for r in got)
+    assert len(sizes) >= 25 and max(sizes.values()) < 300  # a hot key lies in many
+    assert all(sorted(r[1] for r in got if r[0] == p) == list(range(n)) for p, n in sizes.items())
+
+
+def test_any_orderable_type_in_any_place(spark):
+    rng = random.Random(4)
+    data = [(i, rng.choice([None, -1.5, 0.0, 2.25]), Decimal(rng.randrange(9)) / 4, "same prefix " * 9 + str(rng.randrange(99)))
+            for i in range(700)]
+    df = spark.createDataFrame(data, "id bigint, d double, m decimal(10,2), t string").repartition(5)
+    for order in (["d", "id"], ["m", "t", "id"], ["t", "d", "m", "id"]):
+        at = [["id", "d", "m", "t"].index(c) for c in order]
+        want = sorted(data, key=lambda r: [(r[i] is not None, r[i]) if r[i] is not None else (False,) for i in at])
+        out = row_number(df, [], order, rows_per_slice=60)
+        assert rows(out.select("id", "row_number")) == sorted(((r[0], n) for n, r in enumerate(want, 1)), key=repr)
 
 
 def test_row_number_per_key(spark):
@@ -86,25 +79,12 @@ def test_rank_cutoffs(spark):
         assert got == want
 
 
-def test_small_is_checked(spark):
-    df = spark.range(50)
-    assert "broadcast" in small(df, 50)._jdf.queryExecution().analyzed().toString().lower()
-    assert "broadcast" not in small(df, 49)._jdf.queryExecution().analyzed().toString().lower()
-
-
 def test_empty_table(spark):
     df = spark.createDataFrame([], "id bigint, k string, pos bigint")
     assert rows(row_number(df, ["k"], ["pos"])) == []
     assert rows(rank_cutoffs(df, ["k"], ["pos"], lambda n: n)) == []
 
 
-def test_positions_never_fall(spark):
-    words = ["", "a", "aa", "aaaaaaaa", "aaaaaaab", "b", "z", "é", "日本"]
-    df = spark.createDataFrame([(w,) for w in words], "w string")
-    got = [tuple(r) for r in df.select("w", order_positions(df, ["w"])[0]).orderBy("w").collect()]
-    assert [p for _, p in got] == sorted(p for _, p in got) and len({p for _, p in got}) >= 7
-
-
 def test_text_is_numbered_in_slices(spark):
     words = [f"w{i * 7919 % 1000:04d}" for i in range(1000)]
     df = spark.createDataFrame([(w,) for w in words], "w string").repartition(3)
@@ -112,16 +92,12 @@ def test_text_is_numbered_in_slices(spark):
     assert rows(out) == [(w, n) for n, w in enumerate(sorted(words), 1)]
 
 
-def test_one_position_with_most_rows_is_cut_along_the_next_column(spark):
+def test_one_position_with_most_rows(spark):
     rng = random.Random(11)
     days = [None if (u := rng.random()) < 0.3 else 7 if u < 0.7 else rng.randrange(20) for _ in range(2000)]
     data = [(i * 37 % 2000, "hot" if i % 3 else f"k{i % 50}", d) for i, d in enumerate(days)]
     df = spark.createDataFrame(data, "id bigint, k string, day bigint").repartition(4)
     limit = 40
-    sliced, names, _ = slices(df, ["k"], ["day", "id"], limit)
-    assert names == ["_slice0", "_slice1"]
-    largest = sliced.groupBy("k", *names).count().agg({"count": "max"}).first()[0]
-    assert largest <= 4 * limit
     order = lambda r: (r[2] is not None, r[2] or 0, r[0])  # noqa: E731  (nulls first)
     groups = defaultdict(list)
     for r in data:

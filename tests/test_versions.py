@@ -130,3 +130,26 @@ def test_etl_load_and_refresh(spark):
     assert rows(online.read().select("id", "v", "event_timestamp")) == want
     etl.refresh(stored, new, ["id"], D2, online)
     assert rows(stored.read().select("id", "v", "event_timestamp")) == want
+
+
+def test_marks_see_missing_values_and_maps(spark):
+    a = spark.createDataFrame([(1, 7, None, {"x": 1, "y": None})], "id int, a int, b int, m map<string,int>")
+    b = spark.createDataFrame([(1, None, 7, {"y": None, "x": 1})], "id int, a int, b int, m map<string,int>")
+    c = spark.createDataFrame([(1, 7, None, {"y": 1, "x": None})], "id int, a int, b int, m map<string,int>")
+    marks = {fingerprint(df).first()["fingerprint"] for df in (a, b, c)}
+    assert len(marks) == 3
+    assert rows(diff(a, b, ["id"])) == [(1, "changed")] and rows(diff(a, c, ["id"])) == [(1, "changed")]
+    assert rows(diff(a, a.select("m", "b", "a", "id"), ["id"])) == []
+    stored = VersionedTable(spark).create(a)
+    assert stored.read().first()["m"] == {"x": 1, "y": None}
+    stored.write(b)
+    assert stored.read_mark(fingerprint(a).first()["fingerprint"]).first()["a"] == 7
+    with pytest.raises(LookupError):
+        stored.read_mark("none")
+
+
+def test_every_write_gets_the_next_number(spark):
+    df = spark.createDataFrame([(1,)], "id int")
+    stored = VersionedTable(spark)
+    assert [stored.write(df) for _ in range(3)] == [1, 2, 3]
+    assert stored.newest() == 3 and VersionedTable(spark).newest() == 0
