@@ -269,9 +269,7 @@ class _Search:
         several = postings.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
         members = postings.join(several, "key").join(self.of, "_order").select("key", "node").distinct()
         self.members = stage(self._open(members, "node"), "members")
-        asked = self.members.select("node").distinct().join(self.nodes.drop("point", "n"), "node")
-        texts = flat.select(F.col("_order").alias("_first"), "_text").join(asked, "_first")
-        self.sets = stage(texts.mapInArrow(_sets(like.words), "node bigint, set binary").dropDuplicates(["node"]), "sets")
+        self.texts = flat.select(F.col("_order").alias("_first"), "_text")
 
     @staticmethod
     def _open(members: DataFrame, label: str) -> DataFrame:
@@ -289,13 +287,20 @@ class _Search:
         """The pairs (a, b) that pass the bound and the threshold."""
         percent = self.like.percent
         one, two = self.nodes.select("node", "n", "point").alias("p"), self.nodes.select("node", "n", "point").alias("q")
-        close = (
+        close = stage(
             pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
             .join(one, F.col("a") == F.col("p.node")).join(two, F.col("b") == F.col("q.node"))
-            .where(_may_link("p", "q", percent)).select("a", "b")
+            .where(_may_link("p", "q", percent)).select("a", "b"),
+            "close",
         )
-        full = close.join(self.sets.select(F.col("node").alias("a"), F.col("set").alias("set_a")), "a").join(
-            self.sets.select(F.col("node").alias("b"), F.col("set").alias("set_b")), "b"
+        # the full sets of the documents that are left, from their texts
+        left = close.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        asked = stage(left.join(self.nodes.drop("point", "n"), "node"), "asked")
+        texts = self.texts.join(asked, "_first")
+        sets = texts.mapInArrow(_sets(self.like.words), "node bigint, set binary").dropDuplicates(["node"])
+        sets = stage(sets, "sets")
+        full = close.join(sets.select(F.col("node").alias("a"), F.col("set").alias("set_a")), "a").join(
+            sets.select(F.col("node").alias("b"), F.col("set").alias("set_b")), "b"
         )
         return full.mapInArrow(_verified(percent), "a bigint, b bigint")
 
