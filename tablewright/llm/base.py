@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -50,6 +51,16 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def release(spark: SparkSession) -> None:
+    """Let the shuffle files of finished steps go, whose tables nobody holds any more.
+
+    They are removed when the driver collects its garbage, which by itself it
+    does too rarely for a job of many steps.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def keep_rows(docs: DataFrame, id_column: str, mark: Column, keys: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose id and ``mark`` are among ``keys`` (id, mark); of rows equal in both, one.
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.base import keep_rows
+from tablewright.llm.base import keep_rows, release
 from tablewright.llm.components import components
 from tablewright.llm.textbytes import Texts, batches_of, lower_ascii, mixed, windows
 from tablewright.operators.ranges import row_number_in_key
@@ -269,6 +269,8 @@ class _Search:
         several = postings.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
         members = postings.join(several, "key").join(self.of, "_order").select("key", "node").distinct()
         self.members = stage(self._open(members, "node"), "members")
+        del postings, several, members
+        release(docs.sparkSession)
         self.texts = flat.select(F.col("_order").alias("_first"), "_text")
 
     @staticmethod
@@ -297,8 +299,8 @@ class _Search:
         left = close.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         asked = stage(left.join(self.nodes.drop("point", "n"), "node"), "asked")
         texts = self.texts.join(asked, "_first")
-        sets = texts.mapInArrow(_sets(self.like.words), "node bigint, set binary").dropDuplicates(["node"])
-        sets = stage(sets, "sets")
+        # two rows that share id and set give a link twice, which does no harm
+        sets = texts.mapInArrow(_sets(self.like.words), "node bigint, set binary")
         full = close.join(sets.select(F.col("node").alias("a"), F.col("set").alias("set_a")), "a").join(
             sets.select(F.col("node").alias("b"), F.col("set").alias("set_b")), "b"
         )
@@ -341,10 +343,13 @@ def _with_components(docs: DataFrame, id_column: str, text: str, like: Similarit
     """_id, _order, _mark, n, _group and _component (its smallest id) of every row; without words, the group is missing."""
     search = _Search(docs, id_column, text, like)
     found = components(search.links(search.star(None)))
+    release(docs.sparkSession)
     for step in (search.star, search.leaves):
         more = search.links(step(found))
         tied = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
         found = components(tied.unionByName(more))
+        del more, tied
+        release(docs.sparkSession)
     grouped = search.nodes.drop("point").join(found, "node", "left").withColumn("_group", F.coalesce("component", "node"))
     smallest = grouped.groupBy("_group").agg(F.min("_first").alias("_named"))
     named = grouped.select("n", "mark1", "mark2", "_group").join(smallest, "_group")
