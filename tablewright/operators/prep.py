@@ -139,6 +139,11 @@ class MinMax:
             {c: F.col(c) * F.lit((high - low) or 1.0) + F.lit(low) for c, (low, high) in self.bounds.items()}
         )
 
+    @classmethod
+    def load(cls, stored: DataFrame) -> MinMax:
+        """What ``table`` wrote: one row per feature."""
+        return cls({r["feature"]: (r["min"], r["max"]) for r in stored.select("feature", "min", "max").collect()})
+
     def table(self, spark: SparkSession) -> DataFrame:
         rows = [(c, low, high) for c, (low, high) in self.bounds.items()]
         return local_table(spark, rows, "feature string, min double, max double")

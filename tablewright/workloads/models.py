@@ -85,3 +85,72 @@ def entity_key_only_predict(spark, sf):
     keys = table(spark, sf, "lineitem").selectExpr("l_partkey AS p_partkey").distinct()
     found = lookup(keys, snapshot, "p_partkey", FEATURES)
     return m.predict(scaler.transform(found), m.scorer(model)).select("p_partkey", "predicted")
+
+
+def linear_parts(spark, sf):
+    """Scaled part rows and two class probabilities by a fixed linear rule of them."""
+    parts = table(spark, sf, "part").selectExpr("p_partkey", "CAST(p_size AS DOUBLE) AS size", "p_retailprice AS price")
+    scaled = MinMax.fit(parts, FEATURES).transform(parts)
+
+    def score(df):
+        p = 0.25 * F.col("size") + 0.75 * F.col("price")
+        return df.withColumn("probabilities", F.array(1 - p, p))
+
+    return scaled, score
+
+
+LINEAR = """
+WITH raw AS (SELECT p_partkey, CAST(p_size AS DOUBLE) AS size, p_retailprice AS price FROM part),
+b AS (SELECT min(size) AS s0, max(size) AS s1, min(price) AS p0, max(price) AS p1 FROM raw),
+x AS (SELECT p_partkey, (size - s0) / (s1 - s0) AS size, (price - p0) / (p1 - p0) AS price FROM raw, b)
+"""
+
+
+@query(
+    "attribution_linear",
+    LINEAR
+    + """, g AS (SELECT avg(size) AS size, avg(price) AS price FROM (SELECT * FROM x ORDER BY p_partkey LIMIT 100))
+    SELECT p_partkey, k AS class_index, f AS feature,
+      round((2 * k - 1) * CASE WHEN f = 'size' THEN 0.25 * (x.size - g.size) ELSE 0.75 * (x.price - g.price) END, 6)
+        AS contribution
+    FROM x, g, (VALUES (0), (1)) AS c(k), (VALUES ('size'), ('price')) AS n(f)
+    """,
+)
+def attribution_linear(spark, sf):
+    """Of a linear rule, a feature's share is its weight times the distance from the background's mean."""
+    scaled, score = linear_parts(spark, sf)
+    background = m.background_sample(scaled, ["p_partkey"], FEATURES)
+    out = m.feature_attribution(scaled, "p_partkey", FEATURES, score, background, 2)
+    return out.select("p_partkey", "class_index", "feature", (F.round("contribution", 6) + 0.0).alias("contribution"))
+
+
+@query(
+    "score_linear",
+    LINEAR
+    + """SELECT p_partkey, CASE WHEN 0.25 * size + 0.75 * price > 0.5 THEN 1 ELSE 0 END AS predicted,
+      round(0.25 * size + 0.75 * price, 9) AS probability FROM x""",
+)
+def score_linear(spark, sf):
+    scaled, score = linear_parts(spark, sf)
+    out = m.predict(scaled, score)
+    return out.select("p_partkey", "predicted", F.round(F.col("probabilities")[1], 9).alias("probability"))
+
+
+@query(
+    "counterfactual_validity",
+    LINEAR
+    + """SELECT p_partkey, true AS inside, true AS reached, 0.25 * size + 0.75 * price >= 0.3 AS unchanged FROM x""",
+)
+def counterfactual_validity(spark, sf):
+    """Every proposal stays inside the domain and reaches the threshold; rows that had reached it stay as they are."""
+    scaled, score = linear_parts(spark, sf)
+    found = m.counterfactual_search(scaled, "p_partkey", FEATURES, score, class_index=1)
+    wide = found.groupBy("p_partkey").agg(
+        F.min(F.col("proposed").between(0, 1)).alias("inside"),
+        F.max(F.when(F.col("feature") == "size", F.col("proposed"))).alias("size"),
+        F.max(F.when(F.col("feature") == "price", F.col("proposed"))).alias("price"),
+        F.min(F.col("difference") == 0).alias("unchanged"),
+    )
+    return score(wide).select(
+        "p_partkey", "inside", (F.col("probabilities")[1] >= m.REACHED).alias("reached"), "unchanged"
+    )

@@ -5,7 +5,8 @@ from pyspark.sql import types as T
 
 from tablewright.functions.payload import request, response, response_data
 from tablewright.operators.features import FeatureView, OnlineTable
-from tablewright.operators.prep import split
+from tablewright.operators.ordering import sorted_codes
+from tablewright.operators.prep import MinMax, encode_labels, split
 from tablewright.operators.versions import VersionedTable
 from tablewright.sources.tables import read_csv, read_parquet, write_csv, write_parquet
 from tablewright.sources.workspace import new_dir
@@ -124,6 +125,50 @@ def sink_splits(spark, sf):
     return read_parquet(spark, path)
 
 
+def stored_training(spark, sf):
+    """Splits, scaler and class codes written side by side; returns their folder."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    path = new_dir(spark, "training")
+    write_parquet(split(orders, ["o_orderkey"], "o_orderpriority", "o_orderkey"), f"{path}/splits")
+    train = read_parquet(spark, f"{path}/splits").where("split = 'train'")
+    write_parquet(MinMax.fit(train, ["o_totalprice"]).table(spark), f"{path}/scaler")
+    write_parquet(sorted_codes(train, "o_orderpriority"), f"{path}/codes")
+    return path
+
+
+@query(
+    "sink_fitted",
+    SPLIT_ORDERS
+    + """SELECT 'o_totalprice' AS name, min(o_totalprice) AS low, max(o_totalprice) AS high FROM parted WHERE split = 'train'
+    UNION ALL SELECT o_orderpriority, rank() OVER (ORDER BY o_orderpriority) - 1, NULL FROM parted
+    WHERE split = 'train' GROUP BY o_orderpriority""",
+)
+def sink_fitted(spark, sf):
+    """The stored parameters: the scaler's bounds, and the number of every class."""
+    path = stored_training(spark, sf)
+    scaler = read_parquet(spark, f"{path}/scaler").selectExpr("feature AS name", "min AS low", "max AS high")
+    codes = read_parquet(spark, f"{path}/codes").selectExpr("label AS name", "CAST(code AS DOUBLE) AS low", "CAST(NULL AS DOUBLE) AS high")
+    return scaler.unionByName(codes)
+
+
+@query(
+    "load_and_scale",
+    SPLIT_ORDERS
+    + """, t AS (SELECT min(o_totalprice) AS low, max(o_totalprice) AS high FROM parted WHERE split = 'train'),
+    c AS (SELECT o_orderpriority, rank() OVER (ORDER BY o_orderpriority) - 1 AS code FROM parted
+      WHERE split = 'train' GROUP BY o_orderpriority)
+    SELECT o_orderkey, round((o_totalprice - low) / (high - low), 9) AS scaled, code
+    FROM orders LEFT JOIN c USING (o_orderpriority), t""",
+)
+def load_and_scale(spark, sf):
+    """A serving job that knows only what was stored."""
+    path = stored_training(spark, sf)
+    scaler = MinMax.load(read_parquet(spark, f"{path}/scaler"))
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    coded = encode_labels(scaler.transform(orders), "o_orderpriority", read_parquet(spark, f"{path}/codes"))
+    return coded.select("o_orderkey", F.round("o_totalprice", 9).alias("scaled"), "code")
+
+
 @query(
     "online_sink",
     """
