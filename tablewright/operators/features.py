@@ -15,7 +15,6 @@ from tablewright.operators.incremental import upsert_unique
 from tablewright.operators.joins import lookup
 from tablewright.operators.ordering import latest_per_key
 from tablewright.operators.versions import VersionedTable
-from tablewright.sources.workspace import stage
 
 
 @dataclass(frozen=True)

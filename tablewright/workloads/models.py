@@ -4,7 +4,6 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tablewright.operators import models as m
-from tablewright.operators.features import FeatureView, OnlineTable
 from tablewright.operators.joins import lookup
 from tablewright.operators.ordering import sorted_codes
 from tablewright.operators.prep import MinMax, encode_labels

@@ -1,7 +1,5 @@
 """Per-key picks, numbering, moving frames, sorting and top-k."""
 
-from datetime import datetime
-
 from pyspark.sql import functions as F
 
 from tablewright.operators import ordering as o

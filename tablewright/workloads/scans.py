@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.functions.payload import request, response, response_data
-from tablewright.operators.features import FeatureView, OnlineTable
 from tablewright.operators.ordering import sorted_codes
 from tablewright.operators.prep import MinMax, encode_labels, split
 from tablewright.operators.versions import VersionedTable
