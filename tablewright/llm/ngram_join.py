@@ -255,7 +255,8 @@ class _Search:
         self.indexed = stage(
             flat.mapInArrow(
                 _indexed(like),
-                f"_id {kind}, _order bigint, _mark bigint, n bigint, mark1 bigint, mark2 bigint, point array<int>, keys array<bigint>",
+                f"_id {kind}, _order bigint, _mark bigint, n bigint, mark1 bigint, mark2 bigint, "
+                "point array<int>, keys array<bigint>",
             ),
             "indexed",
         )

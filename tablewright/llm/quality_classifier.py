@@ -18,7 +18,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
