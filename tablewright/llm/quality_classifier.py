@@ -7,7 +7,8 @@ its verdict, to the other one's training set. In the end both are calibrated
 together on labelled rows that neither was trained on: a logistic model of the
 two log-odds gives the score of every document.
 
-Training runs on a bounded sample; every document is scored.
+Training runs on a bounded sample, which the driver holds as a few megabytes of
+numbers; every document is scored where it is.
 """
 
 from __future__ import annotations
@@ -17,8 +18,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,8 +31,7 @@ POOL_ROWS = 20_000  # unlabelled rows that may get pseudo-labels
 ROUNDS = 3
 PER_ROUND = 400  # most pseudo-labels of a class that a view gives in a round
 CERTAIN = 0.95
-STEPS = 30  # most steps of a fit
-FIT_TASKS = 4
+STEPS = 30  # most Newton steps of a fit
 CALIBRATION_SHARE = 5  # one labelled row in so many calibrates
 THRESHOLD = 0.5
 
@@ -119,22 +117,44 @@ class Logistic:
     weights: np.ndarray
     intercept: float
 
+    def logit(self, x: np.ndarray) -> np.ndarray:
+        return x @ self.weights + self.intercept
+
     def column(self, features: str) -> Column:
         weights = F.array(*[F.lit(float(w)) for w in self.weights])
         product = F.zip_with(features, weights, lambda x, w: x * w)
         return F.aggregate(product, F.lit(self.intercept), lambda s, x: s + x)
 
 
-def _fit(rows: DataFrame, features: str, ridge: float = 1e-3) -> Logistic:
-    """A logistic model of ``label`` by the ``features`` array; a constant if only one class is there."""
-    classes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if len(classes) < 2:
-        width = len((rows.select(features).first() or [[]])[0])
-        return Logistic(np.zeros(width), 3.0 if 1 in classes or not classes else -3.0)
-    model = LogisticRegression(featuresCol="_v", labelCol="label", regParam=ridge, maxIter=STEPS).fit(
-        rows.select(array_to_vector(F.col(features).cast("array<double>")).alias("_v"), F.col("label").cast("double"))
-    )
-    return Logistic(model.coefficients.toArray(), float(model.intercept))
+def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> Logistic:
+    """A logistic model of 0/1 labels, by Newton steps on standardised features; a constant if only one class is there."""
+    if not len(y) or y.min() == y.max():
+        return Logistic(np.zeros(x.shape[1]), 3.0 if not len(y) or y[0] == 1 else -3.0)
+    mean, scale = x.mean(axis=0), x.std(axis=0)
+    used = scale > 1e-9
+    z = np.column_stack([(x[:, used] - mean[used]) / scale[used], np.ones(len(x))])
+    penalty = np.full(z.shape[1], ridge * len(y))
+    penalty[-1] = 1e-9  # not on the intercept
+    w = np.zeros(z.shape[1])
+
+    def loss(w: np.ndarray) -> float:
+        t = z @ w
+        return float(np.logaddexp(0, t).sum() - t @ y + (penalty * w * w).sum() / 2)
+
+    now = loss(w)
+    for _ in range(STEPS):
+        p = 1 / (1 + np.exp(-np.clip(z @ w, -40, 40)))
+        gradient = z.T @ (p - y) + penalty * w
+        step = np.linalg.solve((z.T * np.maximum(p * (1 - p), 1e-9)) @ z + np.diag(penalty), gradient)
+        size = 1.0
+        while size > 1e-6 and (after := loss(w - size * step)) > now:
+            size /= 2
+        w, gain, now = w - size * step, now - after, min(after, now)
+        if gain < 1e-9 * len(y):
+            break
+    weights = np.zeros(x.shape[1])
+    weights[used] = w[:-1] / scale[used]
+    return Logistic(weights, float(w[-1] - weights[used] @ mean[used]))
 
 
 @dataclass(frozen=True)
@@ -189,41 +209,44 @@ def co_train(
     others = docs.select("doc_id").where("doc_id IS NOT NULL").distinct().join(F.broadcast(sample), "doc_id", "left_anti")
     pool = others.orderBy(chosen, "doc_id").limit(pool_rows).withColumn("label", F.lit(None).cast("int"))
     wanted = stage(sample.unionByName(pool), "sample")
-    # bounded: labelled_rows + pool_rows rows of two numbers
+    # bounded: labelled_rows + pool_rows rows of two numbers, then as many rows of both views
     needed = docs.select("doc_id", "text", "source", "lang", "n_chars")
     rows = _views(needed.join(F.broadcast(wanted), "doc_id"), ["doc_id", "label"])
-    rows = rows.select("__row.*", "__content", "__metadata").dropDuplicates(["doc_id"])
-    rows = stage(rows, "views").coalesce(FIT_TASKS)  # bounded, and read again for every step of every fit
     spare = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(CALIBRATION_SHARE)) == 0
-    known, held = rows.where("label IS NOT NULL").where(~spare), rows.where("label IS NOT NULL").where(spare)
-    pool = rows.where("label IS NULL").drop("label")
-    extra: dict[str, DataFrame | None] = {"content": None, "metadata": None}
+    sample = rows.select("__row.*", "__content", "__metadata", spare.alias("spare")).dropDuplicates(["doc_id"]).toArrow()
+    return _exchange(sample.sort_by("doc_id"), rounds, per_round)
+
+
+def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    flat = column.combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 1))
+
+
+def _exchange(sample: pa.Table, rounds: int, per_round: int) -> CoTrained:
+    """The rounds of co-training over the sample's rows, which come in the order of their ids."""
+    views = {"content": _matrix(sample.column("__content")), "metadata": _matrix(sample.column("__metadata"))}
+    label = sample.column("label").to_pandas().to_numpy(dtype=np.float64)  # nan where there is none
+    spare = sample.column("spare").to_numpy().astype(bool)
+    known, held, pool = ~np.isnan(label) & ~spare, ~np.isnan(label) & spare, np.isnan(label)
+    given = {view: np.full(len(label), np.nan) for view in views}  # pseudo-labels in each view's training set
     models: dict[str, Logistic] = {}
     for turn in range(rounds + 1):
-        for view, more in extra.items():
-            training = known.select("label", f"__{view}")
-            if more is not None:
-                training = training.unionByName(pool.join(F.broadcast(more), "doc_id").select("label", f"__{view}"))
-            models[view] = _fit(training, f"__{view}")
+        for view, x in views.items():
+            y = np.where(known, label, given[view])
+            models[view] = _fit(x[~np.isnan(y)], y[~np.isnan(y)])
         if turn == rounds:
             break
-        given = {}
+        found = {}
         for view, other in (("content", "metadata"), ("metadata", "content")):
-            had = extra[other]
-            free = pool if had is None else pool.join(F.broadcast(had), "doc_id", "left_anti")
-            p = 1 / (1 + F.exp(-models[view].column(f"__{view}")))
-            judged = free.select("doc_id", p.alias("p"))
-            sure = [
-                judged.where(F.col("p") >= CERTAIN).orderBy(F.desc("p"), "doc_id").limit(per_round).select(
-                    "doc_id", F.lit(1).alias("label")),
-                judged.where(F.col("p") <= 1 - CERTAIN).orderBy("p", "doc_id").limit(per_round).select(
-                    "doc_id", F.lit(0).alias("label")),
-            ]
-            found = sure[0].unionByName(sure[1])
-            given[other] = stage(found if had is None else had.unionByName(found), "pseudo")
-        extra = given
-    logits = held.select("label", F.array(models["content"].column("__content"), models["metadata"].column("__metadata")).alias("z"))
-    joined = _fit(logits, "z")
+            p = 1 / (1 + np.exp(-np.clip(models[view].logit(views[view]), -40, 40)))
+            free = pool & np.isnan(given[other])
+            found[other] = given[other].copy()
+            for verdict, sure in ((1.0, p), (0.0, 1 - p)):
+                rows = np.flatnonzero(free & (sure >= CERTAIN))
+                found[other][rows[np.argsort(-sure[rows], kind="stable")][:per_round]] = verdict
+        given = found
+    z = np.column_stack([models[view].logit(x) for view, x in views.items()])
+    joined = _fit(z[held], label[held])
     if not joined.weights.any():
         joined = Logistic(np.array([1.0, 0.0]), 0.0)  # nothing to calibrate on: the content view alone
     return CoTrained(models["content"], models["metadata"], joined)
