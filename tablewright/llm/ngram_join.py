@@ -127,6 +127,24 @@ def points(sets: np.ndarray, where: np.ndarray) -> np.ndarray:
     return np.bincount(doc * POINT + group, minlength=n * POINT).astype(np.int32)
 
 
+def fine_points(sets: np.ndarray, where: np.ndarray) -> list[bytes]:
+    """Counts in a power of two of groups, about one for four n-grams, a byte each; 255 stands for that many or more."""
+    group = mixed(sets ^ np.uint64(0x2545F4914F6CDD1D)).astype(np.int64)
+    out = []
+    for a, b in zip(where[:-1].tolist(), where[1:].tolist()):
+        size = max(16, 1 << ((b - a) // 4).bit_length())
+        out.append(np.minimum(np.bincount(group[a:b] & (size - 1), minlength=size), 255).astype(np.uint8).tobytes())
+    return out
+
+
+def most_shared(a: bytes, b: bytes) -> int:
+    """The sum of the smaller counts; the finer point is folded onto the groups of the coarser."""
+    x, y = (np.frombuffer(v, np.uint8).astype(np.int64) for v in (a, b))
+    x[x == 255], y[y == 255] = 1 << 40, 1 << 40
+    size = min(len(x), len(y))
+    return int(np.minimum(x.reshape(-1, size).sum(axis=0), y.reshape(-1, size).sum(axis=0)).sum())
+
+
 def block_keys(sets: np.ndarray, where: np.ndarray, like: Similarity, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Text and key of every block that is sent, for the texts that are wanted."""
     size = np.diff(where)
@@ -190,9 +208,10 @@ def _indexed(like: Similarity):
                     *[batch.column(c) for c in ("_id", "_order", "_mark")],
                     pa.array(size, pa.int64()), pa.array(first), pa.array(second),
                     pa.ListArray.from_arrays(pa.array(at), pa.array(points(sets, where))),
+                    pa.array(fine_points(sets, where), pa.binary()),
                     pa.ListArray.from_arrays(pa.array(per_doc), pa.array(keys[order], pa.int64())),
                 ],
-                names=["_id", "_order", "_mark", "n", "mark1", "mark2", "point", "keys"],
+                names=["_id", "_order", "_mark", "n", "mark1", "mark2", "point", "fine", "keys"],
             )
 
     return run
@@ -218,6 +237,21 @@ def _sets(words: int):
     return run
 
 
+def _bounded(percent: int):
+    """The pairs whose fine points allow the overlap that the sizes ask for."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            least = percent * (np.asarray(batch.column("n_a")) + np.asarray(batch.column("n_b")))
+            shared = [
+                most_shared(x.as_py(), y.as_py()) for x, y in zip(batch.column("fine_a"), batch.column("fine_b"))
+            ]
+            keep = np.flatnonzero((100 + percent) * np.array(shared, np.int64) >= least)
+            yield batch.select(["a", "b"]).take(pa.array(keep))
+
+    return run
+
+
 def _verified(percent: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -256,12 +290,14 @@ class _Search:
             flat.mapInArrow(
                 _indexed(like),
                 f"_id {kind}, _order bigint, _mark bigint, n bigint, mark1 bigint, mark2 bigint, "
-                "point array<int>, keys array<bigint>",
+                "point array<int>, fine binary, keys array<bigint>",
             ),
             "indexed",
         )
         filled = self.indexed.where("n > 0")
-        classes = filled.groupBy("n", "mark1", "mark2").agg(F.min("_order").alias("_first"), F.first("point").alias("point"))
+        classes = filled.groupBy("n", "mark1", "mark2").agg(
+            F.min("_order").alias("_first"), F.first("point").alias("point"), F.first("fine").alias("fine")
+        )
         # documents with equal sets are one node; ids may be shared, so they do not name it
         node = F.xxhash64("n", "mark1", "mark2")
         self.nodes = stage(classes.withColumn("node", node), "nodes")
@@ -290,15 +326,18 @@ class _Search:
         """The pairs (a, b) that pass the bound and the threshold."""
         percent = self.like.percent
         one, two = self.nodes.select("node", "n", "point").alias("p"), self.nodes.select("node", "n", "point").alias("q")
-        close = stage(
+        near = (
             pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
             .join(one, F.col("a") == F.col("p.node")).join(two, F.col("b") == F.col("q.node"))
-            .where(_may_link("p", "q", percent)).select("a", "b"),
-            "close",
+            .where(_may_link("p", "q", percent)).select("a", "b")
         )
+        # coarse points bound long documents loosely; the fine ones are longer and meet fewer pairs
+        fine = [self.nodes.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("fine").alias(f"fine_{c}")) for c in "ab"]
+        close = near.join(fine[0], "a").join(fine[1], "b").mapInArrow(_bounded(percent), "a bigint, b bigint")
+        close = stage(close, "close")
         # the full sets of the documents that are left, from their texts
         left = close.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        asked = stage(left.join(self.nodes.drop("point", "n"), "node"), "asked")
+        asked = stage(left.join(self.nodes.select("node", "_first", "mark1", "mark2"), "node"), "asked")
         texts = self.texts.join(asked, "_first")
         # two rows that share id and set give a link twice, which does no harm
         sets = texts.mapInArrow(_sets(self.like.words), "node bigint, set binary")
@@ -351,10 +390,10 @@ def _with_components(docs: DataFrame, id_column: str, text: str, like: Similarit
         found = components(tied.unionByName(more))
         del more, tied
         release(docs.sparkSession)
-    grouped = search.nodes.drop("point").join(found, "node", "left").withColumn("_group", F.coalesce("component", "node"))
+    grouped = search.nodes.drop("point", "fine").join(found, "node", "left").withColumn("_group", F.coalesce("component", "node"))
     smallest = grouped.groupBy("_group").agg(F.min("_first").alias("_named"))
     named = grouped.select("n", "mark1", "mark2", "_group").join(smallest, "_group")
-    result = search.indexed.drop("point", "keys").join(named, ["n", "mark1", "mark2"], "left")
+    result = search.indexed.drop("point", "fine", "keys").join(named, ["n", "mark1", "mark2"], "left")
     return result.select("_id", "_order", "_mark", "n", "_group", F.coalesce("_named", "_order").alias("_component"))
 
 

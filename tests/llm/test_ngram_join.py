@@ -7,7 +7,16 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tablewright.llm.ngram_join import Similarity, block_keys, near_duplicates, points, shingle_sets, without_near_duplicates
+from tablewright.llm.ngram_join import (
+    Similarity,
+    block_keys,
+    fine_points,
+    most_shared,
+    near_duplicates,
+    points,
+    shingle_sets,
+    without_near_duplicates,
+)
 from tablewright.llm.textbytes import slices
 from tests.llm.conftest import words
 
@@ -64,11 +73,12 @@ def test_linked_documents_share_a_key_and_pass_the_bound(like):
     for d, k in zip(docs.tolist(), keys.tolist()):
         held[d].add(k)
     point = points(sets, where).reshape(len(texts), -1)
+    fine = fine_points(sets, where)
     own = [set(sets[a:b].tolist()) for a, b in zip(where, where[1:])]
     linked = 0
     for a, b in combinations(range(len(texts)), 2):
         both = len(own[a] & own[b])
-        assert np.minimum(point[a], point[b]).sum() >= both
+        assert np.minimum(point[a], point[b]).sum() >= both and most_shared(fine[a], fine[b]) >= both
         if own[a] != own[b] and 100 * both >= like.percent * len(own[a] | own[b]):
             linked += 1
             assert held[a] & held[b], (texts[a], texts[b])
