@@ -1,17 +1,24 @@
 """Licences in documents, by the Dice coefficient of word bigrams.
 
 Texts are normalised (A-Z in lower case, anything but letters and digits is a
-blank) and cut into units: every line, every paragraph and the whole text. A
-unit is compared with the licence templates as multisets of word bigrams;
-twice the shared ones, divided by all of both, must reach the threshold. That
-needs sizes within a factor of each other, which prunes most templates, and
-enough bigrams that occur in any template at all, which prunes most units
-without comparing them.
+blank). A run of words is compared with the licence templates as multisets of
+word bigrams; twice the shared ones, divided by all of both, must reach the
+threshold. That needs sizes within a factor of each other, which prunes most
+templates, and enough bigrams that occur in the template at all, which prunes
+most runs without comparing them.
+
+Every line, every paragraph and the whole text are compared as units. Beside
+them every window of words is, wherever it begins and ends, across lines and
+paragraphs. A window's coefficient grows when an end that the template lacks
+is taken off, so the best windows begin and end with bigrams of the template,
+and only windows between such bigrams have to be looked at.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+import heapq
+from bisect import bisect_right
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator, Mapping
 
 import numpy as np
@@ -143,6 +150,14 @@ class Templates:
         self.bags.sort(key=lambda t: t[:2])
         self.sizes = np.array([n for n, _, _ in self.bags])
         self.known = np.array(sorted({g for _, _, bag in self.bags for g in bag}), np.uint64)
+        # of each known bigram, the templates that hold it, and how often
+        index = {g: i for i, g in enumerate(self.known.tolist())}
+        held = sorted((index[g], k, n) for k, (_, _, bag) in enumerate(self.bags) for g, n in bag.items())
+        gram, self.held_by, self.held = np.array(held, np.int64).reshape(-1, 3).T
+        self.holders = np.searchsorted(gram, np.arange(len(self.known) + 1))
+        # fewest bigrams that a window shares, and most that it has
+        self.least = np.ceil(self.sizes * threshold / (2 - threshold) - 1e-9).astype(np.int64)
+        self.most = np.floor(self.sizes * (2 - threshold) / threshold + 1e-9).astype(np.int64)
 
     def within(self, size: int) -> slice:
         """The templates whose size allows the threshold: a factor of (2 - t) / t at most."""
@@ -161,26 +176,99 @@ class Templates:
         return out
 
 
+def windows(at: np.ndarray, hit: np.ndarray, ends: np.ndarray, templates: Templates) -> Iterator[tuple[int, float, int, int]]:
+    """(template, coefficient, first bigram, last bigram) of the best windows that match.
+
+    ``hit`` are the places of known bigrams and ``at`` their numbers, ``ends``
+    the place after the last bigram of the text of each. The window with the
+    largest coefficient is taken (then the first, then the shortest), then the
+    best of those that share no word with it, and so on, for every template.
+    """
+    count = np.diff(templates.holders)[at]
+    where = np.repeat(templates.holders[at] - np.append(0, np.cumsum(count)[:-1]), count) + np.arange(count.sum())
+    kind, often = templates.held_by[where], templates.held[where]
+    place, gram, end = np.repeat(hit, count), np.repeat(at, count), np.repeat(ends, count)
+    # a bigram counts unless its window holds it as often before it as the template does
+    order = np.lexsort((place, gram, kind))
+    kind, place, gram, end, often = kind[order], place[order], gram[order], end[order], often[order]
+    before = np.arange(len(kind)) - often
+    same = (before >= 0) & (kind[before] == kind) & (gram[before] == gram)
+    back = np.where(same, place[np.maximum(before, 0)], -1)
+    order = np.lexsort((place, kind))
+    kind, place, end, back = kind[order], place[order], end[order], back[order]
+    width = int(place.max(initial=0)) + int(templates.most.max(initial=0)) + 2
+    key = kind * width + place
+    reach = np.searchsorted(key, kind * width + np.minimum(place + templates.most[kind], end))
+    enough = reach - np.arange(len(kind)) >= templates.least[kind]
+
+    def best(i: int, stop: int) -> tuple[float, int, int] | None:
+        """The best window from the i-th bigram on whose last bigram is before ``stop``."""
+        to = min(int(reach[i]), int(np.searchsorted(key, kind[i] * width + stop)))
+        if to - i < templates.least[kind[i]]:
+            return None
+        shared = np.cumsum(back[i:to] < place[i])
+        dice = 2 * shared / (templates.sizes[kind[i]] + place[i:to] - place[i] + 1)
+        top = int(dice.argmax())
+        return (-float(dice[top]), i, i + top) if dice[top] >= templates.threshold else None
+
+    # windows meet only in the same text and template
+    groups: dict[tuple[int, int], list[tuple[float, int, int]]] = defaultdict(list)
+    for i in np.flatnonzero(enough).tolist():
+        if found := best(i, int(end[i])):
+            groups[int(kind[i]), int(end[i])].append(found)
+    for (k, _), heap in groups.items():
+        heapq.heapify(heap)
+        taken: list[tuple[int, int]] = []  # bigrams from and to, in order; those next to each other share a word
+        while heap:
+            dice, i, j = heapq.heappop(heap)
+            a, b = int(place[i]), int(place[j])
+            after = bisect_right(taken, a + 1, key=lambda w: w[0])
+            if after and a <= taken[after - 1][1] + 1:
+                continue
+            if after < len(taken) and taken[after][0] <= b + 1:
+                if found := best(i, taken[after][0] - 1):
+                    heapq.heappush(heap, found)
+                continue
+            taken.insert(after, (a, b))
+            yield k, -dice, a, b
+
+
 def matches(texts: Texts, templates: Templates) -> Iterator[tuple[int, str, float, int, int]]:
-    """(text, licence, coefficient, first byte, byte after the last) of every unit that matches."""
-    words, start, _ = normalised_words(texts)
+    """(text, licence, coefficient, first byte, byte after the last) of every unit that matches, and of better windows."""
+    words, start, first = normalised_words(texts)
     grams = bigrams(words)
-    if not len(grams):
+    if not len(grams) or not len(templates.known):
         return
-    at = np.searchsorted(templates.known, grams)
-    hit = templates.known[np.minimum(at, len(templates.known) - 1)] == grams
+    at = np.minimum(np.searchsorted(templates.known, grams), len(templates.known) - 1)
+    hit = templates.known[at] == grams
     hits = np.concatenate([[0], np.cumsum(hit)])
+
+    def span(doc: int, a: int, b: int) -> tuple[int, int]:
+        """Bytes of the words from ``a`` to before ``b``."""
+        base = int(texts.offsets[doc])
+        stop = int(start[b]) if b < len(start) else len(texts.data)
+        stop = min(stop, int(texts.offsets[doc + 1]))
+        text = texts.data[start[a] : stop].tobytes().rstrip(b" \t\n\v\f\r")
+        return int(start[a]) - base, int(start[a]) - base + len(text)
+
     a, b, doc = units(texts, start)
     size, shared = b - a - 1, hits[b - 1] - hits[a]
     t = templates.threshold
     least = np.maximum(templates.sizes[0], size * t / (2 - t))  # of a template that could match
+    found = defaultdict(list)  # words from, to before, and coefficient of the units by text and licence
     for i in np.flatnonzero(2 * np.minimum(shared, size) >= t * (size + least) - 1e-9).tolist():
         for name, dice in templates.compare(grams[a[i] : b[i] - 1]):
-            base = int(texts.offsets[doc[i]])
-            stop = int(start[b[i]]) if b[i] < len(start) else len(texts.data)
-            stop = min(stop, int(texts.offsets[doc[i] + 1]))
-            text = texts.data[start[a[i]] : stop].tobytes().rstrip(b" \t\n\v\f\r")
-            yield int(doc[i]), name, dice, int(start[a[i]]) - base, int(start[a[i]]) - base + len(text)
+            found[int(doc[i]), name].append((int(a[i]), int(b[i]), dice))
+            yield int(doc[i]), name, dice, *span(int(doc[i]), int(a[i]), int(b[i]))
+
+    # the last word of a text begins no bigram
+    text_of = np.searchsorted(first, np.arange(len(grams)), "right") - 1
+    hit &= np.arange(len(grams)) + 1 < first[text_of + 1]
+    places = np.flatnonzero(hit)
+    for k, dice, x, y in windows(at[places], places, first[text_of[places] + 1] - 1, templates):
+        name, of = templates.bags[k][1], int(text_of[x])
+        if not any(u <= y + 1 and x < v and d >= dice for u, v, d in found.get((of, name), ())):
+            yield of, name, dice, *span(of, x, y + 2)
 
 
 def _scanner(texts_of: dict[str, str], threshold: float):
@@ -203,7 +291,9 @@ def scan(
 ) -> DataFrame:
     """id and matches (licence, dice, bytes from and to) of every row, with an empty list where nothing matches.
 
-    All units of the whole text are looked at. A missing or empty text matches
+    All units of the whole text are looked at, and all windows of words; of
+    windows that share words the best is reported, if no unit there is as good.
+    A missing or empty text matches
     nothing, as does a unit of fewer than two words. Rows that share an id are
     scanned each, a missing id is passed on. Other columns are not read. An
     empty table gives an empty one.

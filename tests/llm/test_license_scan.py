@@ -1,9 +1,12 @@
+import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
-from tablewright.llm.license_scan import TEMPLATES, THRESHOLD, best_license, scan
+from tablewright.llm.license_scan import TEMPLATES, THRESHOLD, Templates, best_license, matches, scan
+from tablewright.llm.textbytes import Texts
 
 
 def bag(text):
@@ -58,3 +61,64 @@ def test_messy_documents(messy, empty):
     rows = best_license(scan(messy, "doc_id", "text")).collect()
     assert len(rows) == messy.count() and all(r["license"] is None and r["n_matches"] == 0 for r in rows)
     assert scan(empty, "doc_id", "text").count() == 0
+
+
+def found_in(texts, templates, threshold=THRESHOLD):
+    raw = [t.encode() for t in texts]
+    offsets = np.cumsum([0, *map(len, raw)])
+    whole = Texts(np.frombuffer(b"".join(raw), np.uint8), offsets)
+    return [(d, name, dice, raw[d][a:b].decode()) for d, name, dice, a, b in matches(whole, Templates(templates, threshold))]
+
+
+def brute_windows(words, template, threshold):
+    """(coefficient, first word, word after the last) of the best windows, each sharing no word with a better one."""
+    t = bag(template)
+    all_windows = []
+    for a in range(len(words)):
+        for b in range(a + 2, len(words) + 1):
+            u = Counter(zip(words[a:b], words[a + 1 : b]))
+            dice = 2 * sum((u & t).values()) / (b - a - 1 + sum(t.values()))
+            if dice >= threshold:
+                all_windows.append((-dice, a, b))
+    taken = []
+    for dice, a, b in sorted(all_windows):
+        if all(b <= x or y <= a for _, x, y in taken):
+            taken.append((dice, a, b))
+    return {(round(-dice, 9), " ".join(words[a:b])) for dice, a, b in taken}
+
+
+def test_windows_against_brute_force():
+    r = random.Random(4)
+    several = 0
+    for case in range(200):
+        templates = {"one": "a b c a b d e f", "two": "d e f a a a b", "three": "b c"}
+        words = [r.choice("abcdefx") for _ in range(r.randrange(2, 30))]
+        for _ in range(r.randrange(3)):
+            at = r.randrange(len(words))
+            words[at:at] = r.choice(list(templates.values())).split()
+        # a text on either side, so that nothing may cross into it
+        found = found_in(["a b c", " ".join(words), "d e f"], templates, 0.7)
+        for name, template in templates.items():
+            wanted = brute_windows(words, template, 0.7)
+            # the one line is a unit as well, reported even where a window in it is better
+            unit = 2 * sum((bag(" ".join(words)) & bag(template)).values()) / (len(words) - 1 + sum(bag(template).values()))
+            if unit >= 0.7:
+                wanted.add((round(unit, 9), " ".join(words)))
+            assert {(round(dice, 9), text) for d, n, dice, text in found if d == 1 and n == name} == wanted
+            several += len(wanted) > 1
+    assert several > 5
+
+
+@pytest.mark.parametrize("name", ["MIT", "BSD-2-Clause", "Apache-2.0-header", "GPL-3.0-header"])
+def test_several_paragraphs_among_other_text(name):
+    words = TEMPLATES[name].split()
+    third = len(words) // 3
+    text = "\n\n".join(" ".join(words[i : i + third + 1]) for i in range(0, len(words), third + 1))
+    prose = "\n".join(f"line {i} of some other prose" for i in range(400))
+    got = [(n, dice, span) for _, n, dice, span in found_in([f"{prose}\n\n{text}\n\n{prose}"], TEMPLATES) if n == name]
+    assert [(n, dice, span.split()) for n, dice, span in got] == [(name, 1.0, words)]
+
+
+def test_notice_inside_a_line():
+    text = "It was made over several years and shared with all. Released under the MIT License. Then came more " + "words " * 90
+    assert ("MIT-notice", 1.0, "Released under the MIT License.") in {x[1:] for x in found_in([text], TEMPLATES)}
