@@ -12,6 +12,12 @@ them every window of words is, wherever it begins and ends, across lines and
 paragraphs. A window's coefficient grows when an end that the template lacks
 is taken off, so the best windows begin and end with bigrams of the template,
 and only windows between such bigrams have to be looked at.
+
+Versions and variants of a licence differ in few words, so their texts match
+each other's templates. Some words must therefore stand in a match, or must
+not: a window that breaks its template's rule is none, and a unit is marked as
+one that is not named. A match inside that of a much larger template belongs
+to the larger text.
 """
 
 from __future__ import annotations
@@ -26,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.llm import license_texts
 from tablewright.llm.textbytes import Texts, batches_of, lower_ascii, mixed
 
 THRESHOLD = 0.8
@@ -79,6 +86,10 @@ was not distributed with this file, You can obtain one at https://mozilla.org/MP
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "BSD-3-Clause": "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
 }
+_MORE, RULES = license_texts.build(TEMPLATES)
+TEMPLATES |= _MORE
+# Templates whose sizes are within this factor are looked for together.
+BUCKET = 1.25
 
 _WORD = np.zeros(256, bool)
 _WORD[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
@@ -150,14 +161,22 @@ class Templates:
         self.bags.sort(key=lambda t: t[:2])
         self.sizes = np.array([n for n, _, _ in self.bags])
         self.known = np.array(sorted({g for _, _, bag in self.bags for g in bag}), np.uint64)
-        # of each known bigram, the templates that hold it, and how often
-        index = {g: i for i, g in enumerate(self.known.tolist())}
-        held = sorted((index[g], k, n) for k, (_, _, bag) in enumerate(self.bags) for g, n in bag.items())
-        gram, self.held_by, self.held = np.array(held, np.int64).reshape(-1, 3).T
-        self.holders = np.searchsorted(gram, np.arange(len(self.known) + 1))
         # fewest bigrams that a window shares, and most that it has
         self.least = np.ceil(self.sizes * threshold / (2 - threshold) - 1e-9).astype(np.int64)
         self.most = np.floor(self.sizes * (2 - threshold) / threshold + 1e-9).astype(np.int64)
+        self.size_of = {name: n for n, name, _ in self.bags}
+        self.rules = {name: RULES.get(name) for name, text in texts.items() if TEMPLATES.get(name) == text}
+        index = {g: i for i, g in enumerate(self.known.tolist())}
+        self.buckets = []
+        low = 0
+        for high in range(1, len(self.bags) + 1):
+            if high < len(self.bags) and self.sizes[high] <= BUCKET * self.sizes[low]:
+                continue
+            # of each known bigram, the templates of the bucket that hold it, and how often
+            held = sorted((index[g], k, n) for k in range(low, high) for g, n in self.bags[k][2].items())
+            gram, of, often = np.array(held, np.int64).reshape(-1, 3).T
+            self.buckets.append((low, high, np.searchsorted(gram, np.arange(len(self.known) + 1)), of, often))
+            low = high
 
     def within(self, size: int) -> slice:
         """The templates whose size allows the threshold: a factor of (2 - t) / t at most."""
@@ -184,9 +203,24 @@ def windows(at: np.ndarray, hit: np.ndarray, ends: np.ndarray, templates: Templa
     largest coefficient is taken (then the first, then the shortest), then the
     best of those that share no word with it, and so on, for every template.
     """
-    count = np.diff(templates.holders)[at]
-    where = np.repeat(templates.holders[at] - np.append(0, np.cumsum(count)[:-1]), count) + np.arange(count.sum())
-    kind, often = templates.held_by[where], templates.held[where]
+    for low, high, holders, held_by, held in templates.buckets:
+        # only runs of bigrams that are long and dense enough for a template of these sizes
+        inside = np.flatnonzero(holders[at + 1] > holders[at])
+        if len(inside) < max(templates.least[low], 1):
+            continue
+        place = hit[inside]
+        reach = np.searchsorted(place, np.minimum(place + templates.most[high - 1], ends[inside]))
+        good = np.flatnonzero(reach - np.arange(len(place)) >= templates.least[low])
+        depth = np.bincount(good, minlength=len(place) + 1) - np.bincount(reach[good], minlength=len(place) + 1)
+        use = inside[np.cumsum(depth[:-1]) > 0]
+        if len(use):
+            yield from _best_windows(at[use], hit[use], ends[use], templates, holders, held_by, held)
+
+
+def _best_windows(at, hit, ends, templates: Templates, holders, held_by, held) -> Iterator[tuple[int, float, int, int]]:
+    count = holders[at + 1] - holders[at]
+    where = np.repeat(holders[at] - np.append(0, np.cumsum(count)[:-1]), count) + np.arange(count.sum())
+    kind, often = held_by[where], held[where]
     place, gram, end = np.repeat(hit, count), np.repeat(at, count), np.repeat(ends, count)
     # a bigram counts unless its window holds it as often before it as the template does
     order = np.lexsort((place, gram, kind))
@@ -233,8 +267,32 @@ def windows(at: np.ndarray, hit: np.ndarray, ends: np.ndarray, templates: Templa
             yield k, -dice, a, b
 
 
-def matches(texts: Texts, templates: Templates) -> Iterator[tuple[int, str, float, int, int]]:
-    """(text, licence, coefficient, first byte, byte after the last) of every unit that matches, and of better windows."""
+def matches(texts: Texts, templates: Templates) -> Iterator[tuple[int, str, float, int, int, bool]]:
+    """(text, licence, coefficient, first byte, byte after the last, named) of every unit that matches, and of better windows."""
+    found: dict[int, list[tuple[str, float, int, int, bool]]] = defaultdict(list)
+    for doc, *match in _all_matches(texts, templates):
+        found[doc].append(tuple(match))
+    for doc, of in found.items():
+        for match in outermost(of, templates):
+            yield doc, *match
+
+
+def outermost(found: list[tuple[str, float, int, int, bool]], templates: Templates) -> list[tuple[str, float, int, int, bool]]:
+    """Without the matches inside a named one of a template too large to be near theirs."""
+    large = sorted((a, b, templates.size_of[name]) for name, _, a, b, named in found if named)
+    a, b, size = np.array(large, np.int64).reshape(-1, 3).T
+    longest = int((b - a).max(initial=0))
+    near = (2 - templates.threshold) / templates.threshold
+    out = []
+    for match in found:
+        name, _, x, y, _ = match
+        s = slice(int(np.searchsorted(a, y - longest)), int(np.searchsorted(a, x, "right")))
+        if not ((b[s] >= y) & (b[s] - a[s] > y - x) & (size[s] > near * templates.size_of[name])).any():
+            out.append(match)
+    return out
+
+
+def _all_matches(texts: Texts, templates: Templates) -> Iterator[tuple[int, str, float, int, int, bool]]:
     words, start, first = normalised_words(texts)
     grams = bigrams(words)
     if not len(grams) or not len(templates.known):
@@ -251,6 +309,11 @@ def matches(texts: Texts, templates: Templates) -> Iterator[tuple[int, str, floa
         text = texts.data[start[a] : stop].tobytes().rstrip(b" \t\n\v\f\r")
         return int(start[a]) - base, int(start[a]) - base + len(text)
 
+    def named(name: str, doc: int, x: int, y: int) -> bool:
+        base = int(texts.offsets[doc])
+        rule = templates.rules.get(name)
+        return rule is None or license_texts.agrees(rule, texts.data[base + x : base + y].tobytes().decode(errors="replace"))
+
     a, b, doc = units(texts, start)
     size, shared = b - a - 1, hits[b - 1] - hits[a]
     t = templates.threshold
@@ -259,7 +322,8 @@ def matches(texts: Texts, templates: Templates) -> Iterator[tuple[int, str, floa
     for i in np.flatnonzero(2 * np.minimum(shared, size) >= t * (size + least) - 1e-9).tolist():
         for name, dice in templates.compare(grams[a[i] : b[i] - 1]):
             found[int(doc[i]), name].append((int(a[i]), int(b[i]), dice))
-            yield int(doc[i]), name, dice, *span(int(doc[i]), int(a[i]), int(b[i]))
+            x, y = span(int(doc[i]), int(a[i]), int(b[i]))
+            yield int(doc[i]), name, dice, x, y, named(name, int(doc[i]), x, y)
 
     # the last word of a text begins no bigram
     text_of = np.searchsorted(first, np.arange(len(grams)), "right") - 1
@@ -268,19 +332,21 @@ def matches(texts: Texts, templates: Templates) -> Iterator[tuple[int, str, floa
     for k, dice, x, y in windows(at[places], places, first[text_of[places] + 1] - 1, templates):
         name, of = templates.bags[k][1], int(text_of[x])
         if not any(u <= y + 1 and x < v and d >= dice for u, v, d in found.get((of, name), ())):
-            yield of, name, dice, *span(of, x, y + 2)
+            x, y = span(of, x, y + 2)
+            if named(name, of, x, y):
+                yield of, name, dice, x, y, True
 
 
 def _scanner(texts_of: dict[str, str], threshold: float):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         templates = Templates(texts_of, threshold)
         kind = pa.list_(
-            pa.struct([("license", pa.string()), ("dice", pa.float64()), ("from", pa.int64()), ("to", pa.int64())])
+            pa.struct([("license", pa.string()), ("dice", pa.float64()), ("from", pa.int64()), ("to", pa.int64()), ("named", pa.bool_())])
         )
         for batch, texts in batches_of(batches, "_text"):
             found: list[list[dict]] = [[] for _ in range(len(texts))]
-            for doc, name, dice, a, b in matches(texts, templates):
-                found[doc].append({"license": name, "dice": dice, "from": a, "to": b})
+            for doc, name, dice, a, b, named in matches(texts, templates):
+                found[doc].append({"license": name, "dice": dice, "from": a, "to": b, "named": named})
             yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(found, kind)], names=["_id", "matches"])
 
     return run
@@ -289,11 +355,12 @@ def _scanner(texts_of: dict[str, str], threshold: float):
 def scan(
     docs: DataFrame, id_column: str, text: str, templates: Mapping[str, str] | None = None, threshold: float = THRESHOLD
 ) -> DataFrame:
-    """id and matches (licence, dice, bytes from and to) of every row, with an empty list where nothing matches.
+    """id and matches (licence, dice, bytes from and to, named) of every row, with an empty list where nothing matches.
 
     All units of the whole text are looked at, and all windows of words; of
     windows that share words the best is reported, if no unit there is as good.
-    A missing or empty text matches
+    Where ``named`` is false, the words that tell versions and variants apart
+    speak against the licence. A missing or empty text matches
     nothing, as does a unit of fewer than two words. Rows that share an id are
     scanned each, a missing id is passed on. Other columns are not read. An
     empty table gives an empty one.
@@ -302,19 +369,20 @@ def scan(
     kind = flat.schema["_id"].dataType.simpleString()
     out = flat.mapInArrow(
         _scanner(dict(templates or TEMPLATES), threshold),
-        f"_id {kind}, matches array<struct<license:string,dice:double,from:bigint,to:bigint>>",
+        f"_id {kind}, matches array<struct<license:string,dice:double,from:bigint,to:bigint,named:boolean>>",
     )
     return out.withColumnRenamed("_id", id_column)
 
 
 def best_license(scanned: DataFrame, id_column: str = "doc_id") -> DataFrame:
-    """id, the licence with the largest coefficient (then the first by name), it, where it stands, and the number of matches."""
+    """id, the licence with the largest coefficient (then the first by name), it, where it stands, and the number of matches, of those that are named."""
+    named = F.filter("matches", lambda m: m["named"])
     ordered = F.array_sort(
-        F.transform("matches", lambda m: F.struct(
+        F.transform(named, lambda m: F.struct(
             (-m["dice"]).alias("d"), m["license"].alias("n"), m["from"].alias("a"), m["to"].alias("b")))
     )
     best = F.try_element_at(ordered, F.lit(1))
     return scanned.select(
         id_column, best["n"].alias("license"), F.round(-best["d"], 6).alias("dice"), best["a"].alias("license_from"),
-        best["b"].alias("license_to"), F.size("matches").alias("n_matches"),
+        best["b"].alias("license_to"), F.size(named).alias("n_matches"),
     )

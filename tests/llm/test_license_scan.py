@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from tablewright.llm.license_scan import TEMPLATES, THRESHOLD, Templates, best_license, matches, scan
+from tablewright.llm.license_scan import TEMPLATES, THRESHOLD, Templates, _all_matches, best_license, matches, scan
 from tablewright.llm.textbytes import Texts
 
 
@@ -63,11 +63,11 @@ def test_messy_documents(messy, empty):
     assert scan(empty, "doc_id", "text").count() == 0
 
 
-def found_in(texts, templates, threshold=THRESHOLD):
+def found_in(texts, templates, threshold=THRESHOLD, of=matches):
     raw = [t.encode() for t in texts]
     offsets = np.cumsum([0, *map(len, raw)])
     whole = Texts(np.frombuffer(b"".join(raw), np.uint8), offsets)
-    return [(d, name, dice, raw[d][a:b].decode()) for d, name, dice, a, b in matches(whole, Templates(templates, threshold))]
+    return [(d, name, dice, raw[d][a:b].decode()) for d, name, dice, a, b, _ in of(whole, Templates(templates, threshold))]
 
 
 def brute_windows(words, template, threshold):
@@ -97,7 +97,7 @@ def test_windows_against_brute_force():
             at = r.randrange(len(words))
             words[at:at] = r.choice(list(templates.values())).split()
         # a text on either side, so that nothing may cross into it
-        found = found_in(["a b c", " ".join(words), "d e f"], templates, 0.7)
+        found = found_in(["a b c", " ".join(words), "d e f"], templates, 0.7, _all_matches)
         for name, template in templates.items():
             wanted = brute_windows(words, template, 0.7)
             # the one line is a unit as well, reported even where a window in it is better
@@ -122,3 +122,44 @@ def test_several_paragraphs_among_other_text(name):
 def test_notice_inside_a_line():
     text = "It was made over several years and shared with all. Released under the MIT License. Then came more " + "words " * 90
     assert ("MIT-notice", 1.0, "Released under the MIT License.") in {x[1:] for x in found_in([text], TEMPLATES)}
+
+
+def best_in(text):
+    whole = Texts(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text.encode())]))
+    found = [(-dice, name) for _, name, dice, _, _, named in matches(whole, Templates(TEMPLATES, THRESHOLD)) if named]
+    return min(found)[1] if found else None
+
+
+@pytest.mark.parametrize("text, name", [
+    ("This work is licensed under the GNU General Public License, version 2.", "GPL-2.0-notice"),
+    ("This work is licensed under the GNU General Public License, version 3.", "GPL-3.0"),
+    ("This work is licensed under the GNU Lesser General Public License, version 2.1.", "LGPL-2.1-notice"),
+    ("This work is licensed under the GNU General Public License, version 9.", None),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "CC-BY-NC-4.0-notice"),
+    ("This work is licensed under a Creative Commons Attribution-Share Alike 3.0 Unported License.", "CC-BY-SA-3.0-notice"),
+    ("This work is licensed under the Creative Commons Attribution 3.0 United States License.", "CC-BY-3.0-ported"),
+    ("Licensed under CC BY 4.0.", "CC-BY-4.0-short"), ("Licensed under CC BY-ND 7.0.", None),
+    ("Licensed under the GPLv2.", "GPL-2.0-brief"), ("Licensed under the law of the land", None),
+    ("Licensed under the Apache License, Version 2.0.", "Apache-2.0"), ("Licensed under the Apache License, Version 7.0.", None),
+])
+def test_versions_and_variants_are_told_apart(text, name):
+    assert best_in(f"Some prose about it. {text} And so on.") == name
+
+
+def test_headers_and_texts_near_others():
+    agpl = TEMPLATES["GPL-3.0-header"].replace("GNU\nGeneral", "GNU Affero\nGeneral").replace("GNU General", "GNU Affero General")
+    assert "Affero" in agpl and best_in(agpl) == "AGPL-3.0-header"
+    assert best_in(TEMPLATES["GPL-3.0-header"].replace("version 3", "version 2")) == "GPL-2.0-header"
+    clause = "3. Neither the name of the University nor the names of its contributors may be used to endorse or promote products\n"
+    clause += "derived from this software without specific prior written permission.\n"
+    first, last = TEMPLATES["BSD-2-Clause"].split("THIS SOFTWARE IS")
+    assert best_in(f"{first}\n\n{clause}\n\nTHIS SOFTWARE IS{last}") == "BSD-3-Clause-text"
+    assert best_in(TEMPLATES["BSD-2-Clause"]) == "BSD-2-Clause"
+
+
+@pytest.mark.parametrize("name", ["Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "AGPL-3.0", "MPL-2.0", "CC-BY-SA-4.0", "CC-BY-NC-3.0"])
+def test_full_texts_with_parts_missing(name):
+    lines = TEMPLATES[f"{name}-text"].split("\n")
+    text = "\n".join(lines[: len(lines) * 9 // 10])
+    prose = "\n".join(f"line {i} of some other prose" for i in range(300))
+    assert best_in(f"{prose}\n{text}\n{prose}") == f"{name}-text"
