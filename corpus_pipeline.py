@@ -45,9 +45,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in sequences of 1024 tokens, with a checksum of their ids."""
-    prepare(spark)
-    return packing.piece_digests(packing.packed(docs, "doc_id", "text", public_tokenizers.path(TOKENIZER)))
+    """The pieces of all documents in sequences of 1024 tokens, with a checksum of their ids.
+
+    Sequences are numbered along the mixture. Written files do not keep the
+    order of their rows when they are read, but it follows from the rows.
+    """
+    mixed = mix_sources(spark, docs, sf_dir)
+    return packing.piece_digests(packing.packed(mixed, "doc_id", "text", public_tokenizers.path(TOKENIZER), ordered=True))
 
 
 STAGES = [

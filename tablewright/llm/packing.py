@@ -112,7 +112,16 @@ def pack(lengths: np.ndarray, length: int = LENGTH) -> list[tuple[int, int, int,
     return pieces
 
 
-def _packer(path: str, length: int, group_tokens: int, group_docs: int):
+def in_order(pieces: list[tuple[int, int, int, int, int]]) -> list[tuple[int, int, int, int, int]]:
+    """The pieces with the sequences numbered by the mean place of their tokens' documents in the group."""
+    doc, _, tokens, seq, _ = (np.array(x, np.int64) for x in zip(*pieces))
+    place = np.bincount(seq, weights=doc * tokens) / np.bincount(seq, weights=tokens)
+    number = np.empty(len(place), np.int64)
+    number[np.argsort(place, kind="stable")] = np.arange(len(place))
+    return [(d, start, n, int(number[s]), offset) for d, start, n, s, offset in pieces]
+
+
+def _packer(path: str, length: int, group_tokens: int, group_docs: int, ordered: bool):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path)
         sequence = TaskContext.get().partitionId() << 40
@@ -125,6 +134,8 @@ def _packer(path: str, length: int, group_tokens: int, group_docs: int):
             if ids:
                 lengths = np.array([len(x) for x in ids], np.int64)
                 pieces = pack(lengths, length)
+                if ordered:
+                    pieces = in_order(pieces)
                 doc, start, tokens, seq, offset = (np.array(x, np.int64) for x in zip(*pieces))
                 per_doc = pa.concat_arrays(names)
                 for at in range(0, len(pieces), 2048):  # bounded batches out
@@ -161,7 +172,7 @@ def _packer(path: str, length: int, group_tokens: int, group_docs: int):
 
 def packed(
     docs: DataFrame, id_column: str, text: str, tokenizer: str, length: int = LENGTH, group_tokens: int = GROUP_TOKENS,
-    group_docs: int = GROUP_DOCS,
+    group_docs: int = GROUP_DOCS, ordered: bool = False,
 ) -> DataFrame:
     """The pieces of all documents: id, start, length, ids, doc_tokens, sequence_id, offset.
 
@@ -170,12 +181,15 @@ def packed(
     piece, offsets in a sequence are gapless, a missing document id is passed
     on, and rows that share an id are packed each. Other columns are not read.
     An empty table gives an empty one. ``sequence_id`` depends on how the
-    table is split into tasks.
+    table is split into tasks. With ``ordered``, the rows come in an order
+    across partitions and inside them, and sequences are numbered along it:
+    groups follow each other, and the sequences of a group do by the mean
+    place of their documents.
     """
     flat = docs.select(F.col(id_column).alias("_id"), F.col(text).alias("_text"))
     kind = flat.schema["_id"].dataType.simpleString()
     out = flat.mapInArrow(
-        _packer(tokenizer, length, group_tokens, group_docs),
+        _packer(tokenizer, length, group_tokens, group_docs, ordered),
         f"_id {kind}, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint",
     )
     return out.withColumnRenamed("_id", id_column)

@@ -1,7 +1,10 @@
 """The stages after one another, each held against its definition on its own input."""
 
+from collections import Counter
+
 import corpus_pipeline
-from tablewright.llm.base import documents, labels
+from tablewright.llm import mixing
+from tablewright.llm.base import documents, labels, prepare
 from tablewright.sources.workspace import stage
 from tests.llm.conftest import SF
 from tests.llm.test_ngram_join import plain_components
@@ -37,3 +40,33 @@ def test_every_stage_on_what_its_predecessor_kept(spark):
 
 def test_contract():
     assert len(corpus_pipeline.STAGES) == 5 and corpus_pipeline.ORACLE_SQL is None
+
+
+def test_sequences_follow_the_mixture_across_files(spark):
+    prepare(spark)
+    text = "concat('text ', id, repeat(' some more words of it', 10 + cast(id % 13 AS int)))"
+    docs = spark.range(3000).selectExpr(
+        "id AS doc_id", f"{text} AS text", "'en' AS lang", "if(id < 300, 'a', if(id < 900, 'b', 'c')) AS source", "10 AS n_chars"
+    )
+    conf = {"spark.sql.shuffle.partitions": "9", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        mixed = stage(corpus_pipeline.mix_sources(spark, docs, SF), "mixed")
+        assert len(mixed.inputFiles()) > 4
+        pieces = corpus_pipeline.pack_sequences(spark, mixed, SF).collect()
+        order = sorted(mixing.mix(docs.drop("text"), "source", ["doc_id"]).collect(), key=lambda r: r["position"])
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    source, tokens = {r["doc_id"]: r["source"] for r in order}, {r["doc_id"]: r["doc_tokens"] for r in pieces}
+    wanted = [x for r in order for x in [r["source"]] * tokens[r["doc_id"]]]
+    got = [x for r in sorted(pieces, key=lambda r: (r["sequence_id"], r["offset"])) for x in [source[r["doc_id"]]] * r["length"]]
+    assert len(got) == len(wanted)
+    tenth = len(got) // 10
+    shares = [Counter(wanted[i * tenth : (i + 1) * tenth]) for i in range(10)]
+    assert shares[0]["a"] > 0.1 * tenth and shares[9]["a"] == 0  # the smallest source runs out
+    for i, share in enumerate(shares):
+        here = Counter(got[i * tenth : (i + 1) * tenth])
+        assert all(abs(here[s] - share[s]) < 0.08 * tenth for s in "abc")
