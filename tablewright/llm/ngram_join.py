@@ -15,10 +15,14 @@ smaller counts. The index over these points has two levels.
   are passed over, and so are pairs of points.
 
 Pairs that survive are verified on the full sets. Documents with equal sets
-are one node from the start. A key with many members would give many pairs, so
-each key first links its members to one of them, then to another; leaves are
-only searched for pairs that are not yet connected. The result, components of
-the exact link graph, does not depend on which links were found first.
+are one node from the start, and count as many links as it has members. The
+join verifies every pair of nodes that passes the bounds, and so knows the
+number of links of each document.
+
+Where components alone are asked for, most pairs need not be seen: each key
+first links its members to one of them, then to another, and leaves are only
+searched for pairs that are not yet connected. The components of the exact
+link graph do not depend on which links were found first.
 """
 
 from __future__ import annotations
@@ -296,7 +300,8 @@ class _Search:
         )
         filled = self.indexed.where("n > 0")
         classes = filled.groupBy("n", "mark1", "mark2").agg(
-            F.min("_order").alias("_first"), F.first("point").alias("point"), F.first("fine").alias("fine")
+            F.min("_order").alias("_first"), F.first("point").alias("point"), F.first("fine").alias("fine"),
+            F.count(F.lit(1)).alias("copies"),
         )
         # documents with equal sets are one node; ids may be shared, so they do not name it
         node = F.xxhash64("n", "mark1", "mark2")
@@ -379,39 +384,63 @@ class _Search:
         )
 
 
-def _with_components(docs: DataFrame, id_column: str, text: str, like: Similarity) -> DataFrame:
-    """_id, _order, _mark, n, _group and _component (its smallest id) of every row; without words, the group is missing."""
-    search = _Search(docs, id_column, text, like)
+def _components(search: _Search) -> DataFrame:
+    """(node, component) of the nodes that link, by as few pairs as that takes."""
+    spark = search.nodes.sparkSession
     found = components(search.links(search.star(None)))
-    release(docs.sparkSession)
+    release(spark)
     for step in (search.star, search.leaves):
         more = search.links(step(found))
         tied = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
         found = components(tied.unionByName(more))
         del more, tied
-        release(docs.sparkSession)
-    grouped = search.nodes.drop("point", "fine").join(found, "node", "left").withColumn("_group", F.coalesce("component", "node"))
+        release(spark)
+    return found
+
+
+def _of_rows(search: _Search, found: DataFrame, links: DataFrame | None = None) -> DataFrame:
+    """_id, _order, _mark, n, _group and _component (its smallest id) of every row; without words, the group is missing.
+
+    With all ``links`` (a, b) between nodes also n_links, the number of other rows that a row links with.
+    """
+    nodes = search.nodes.drop("point", "fine")
+    grouped = nodes.join(found, "node", "left").withColumn("_group", F.coalesce("component", "node"))
+    n_links = []
+    if links is not None:
+        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        copies = nodes.select(F.col("node").alias("b"), F.col("copies").alias("_there"))
+        linked = both.join(copies, "b").groupBy(F.col("a").alias("node")).agg(F.sum("_there").alias("_linked"))
+        grouped = grouped.join(linked, "node", "left").withColumn(
+            "n_links", F.col("copies") - 1 + F.coalesce("_linked", F.lit(0))
+        )
+        n_links = ["n_links"]
     smallest = grouped.groupBy("_group").agg(F.min("_first").alias("_named"))
-    named = grouped.select("n", "mark1", "mark2", "_group").join(smallest, "_group")
+    named = grouped.select("n", "mark1", "mark2", "_group", *n_links).join(smallest, "_group")
     result = search.indexed.drop("point", "fine", "keys").join(named, ["n", "mark1", "mark2"], "left")
-    return result.select("_id", "_order", "_mark", "n", "_group", F.coalesce("_named", "_order").alias("_component"))
+    return result.select("_id", "_order", "_mark", "n", "_group", F.coalesce("_named", "_order").alias("_component"), *n_links)
 
 
 def near_duplicates(docs: DataFrame, id_column: str, text: str, like: Similarity = Similarity()) -> DataFrame:
-    """id, n_shingles, component_id of every row; a component is named by its smallest id.
+    """id, n_shingles, component_id, n_links of every row; a component is named by its smallest id.
 
     Words are runs of anything but blanks, with A-Z in lower case; a document
     is the set of its n-grams. Two documents link if the sets' overlap is at
     least ``like.percent`` of their union; documents without words link with
     nothing and are components of their own, as is a missing text. Rows with
-    equal sets are linked, so repeated rows fall together. A missing id counts
+    equal sets are linked, so repeated rows fall together. ``n_links`` is the
+    number of other rows with which a row links. A missing id counts
     as the smallest and names its component as missing. Ids are whole
     numbers. Other columns are not read. An empty table gives an empty one.
     Sets are compared by 64-bit hashes of their n-grams.
     """
-    return _with_components(docs, id_column, text, like).select(
+    search = _Search(docs, id_column, text, like)
+    # a link is found twice where rows share id and set
+    links = stage(search.links(search.leaves(None)).distinct(), "all-links")
+    release(docs.sparkSession)
+    return _of_rows(search, components(links), links).select(
         F.col("_id").alias(id_column), F.col("n").alias("n_shingles"),
         F.when(F.col("_component") != NO_ID, F.col("_component")).alias("component_id"),
+        F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
     )
 
 
@@ -420,7 +449,8 @@ def without_near_duplicates(docs: DataFrame, id_column: str, text: str, like: Si
 
     Documents without words all stay. Rows equal in id and text count as one.
     """
-    found = stage(_with_components(docs, id_column, text, like), "components")
+    search = _Search(docs, id_column, text, like)
+    found = stage(_of_rows(search, _components(search)), "components")
     first = found.where("n > 0").groupBy("_group").agg(F.min(F.struct("_order", "_mark", "_id")).alias("_f"))
     keys = first.select("_f._id", "_f._mark").unionByName(found.where("n = 0").select("_id", "_mark"))
     return keep_rows(docs, id_column, F.xxhash64(text), keys)

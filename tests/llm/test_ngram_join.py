@@ -113,3 +113,24 @@ def test_messy_documents(messy, empty):
     assert {r["text"] for r in rows} >= {words(5, 60), words(4, 90), None, ""} and sum(r["doc_id"] in (1, 2) for r in rows) == 0
     assert sum(r["text"] == words(3, 90) for r in rows) == 1
     assert without_near_duplicates(empty, "doc_id", "text").count() == 0
+
+
+def test_links_are_counted(spark):
+    r = random.Random(11)
+    rows = []
+    for n, copies in ((40, 70), (150, 40), (30, 30), (2, 5)):
+        rows += family(r, n, copies, 2)
+    rows += rows[:9] + rows[75:80] + ["", "   ", "one", "alone here"]  # equal sets, and none
+    rows = list(enumerate(rows))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    sets = {d: plain_set(t, 3) for d, t in rows}
+    wanted = dict.fromkeys(sets, 0)
+    for a, b in combinations(sets, 2):
+        both = len(sets[a] & sets[b])
+        if both and 100 * both >= 90 * (len(sets[a]) + len(sets[b]) - both):
+            wanted[a] += 1
+            wanted[b] += 1
+    got = near_duplicates(df, "doc_id", "text").collect()
+    assert {x["doc_id"]: x["n_links"] for x in got} == wanted and max(wanted.values()) > 10
+    components = plain_components(dict(rows), 3, 90)
+    assert {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in got} == components
