@@ -25,13 +25,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.llm.textbytes import mixed
+from tablewright.sources.workspace import local_table
 
 SIZES = (3, 4)  # characters of an n-gram
 HASHES = 3
 BITS_PER_GRAM = 16
 MOST_GRAMS = 50_000  # per language; the commonest are kept
 MIN_SHARE = 0.02  # of a language's documents
-MAX_LANGUAGES = 64
+FEW_DOCUMENTS = 10  # of a language; with fewer, an n-gram of one of them is kept
 PART = 1 << 18  # characters worked on at once
 UNKNOWN = "und"
 
@@ -134,7 +135,10 @@ def _counted(languages: list[str]):
 
 @dataclass(frozen=True)
 class Filters:
-    """The bit-sliced filters: ``masks[slot]`` has bit l where language l set its bit."""
+    """The bit-sliced filters: ``masks[slot]`` has bit l where language l set its bit.
+
+    Beyond 64 languages a slot is a row of words of 64 bits.
+    """
 
     languages: list[str]
     masks: np.ndarray
@@ -147,6 +151,12 @@ class Filters:
             out = out & self.masks[_slots(hashes, k, len(self.masks))]
         return out
 
+    def holds(self, bits: np.ndarray, language: int) -> np.ndarray:
+        """1 where ``bits``, as looked up, name the language, else 0."""
+        if bits.ndim > 1:
+            bits, language = bits[:, language // 64], language % 64
+        return (bits >> bits.dtype.type(language)) & bits.dtype.type(1)
+
 
 def _slots(hashes: np.ndarray, k: int, size: int) -> np.ndarray:
     """The k-th slot of each hash; ``size`` is a power of two."""
@@ -157,11 +167,16 @@ def _slots(hashes: np.ndarray, k: int, size: int) -> np.ndarray:
 def build(languages: list[str], grams_of: list[np.ndarray]) -> Filters:
     most = max([len(g) for g in grams_of], default=0)
     size = 1 << max(10, math.ceil(math.log2(BITS_PER_GRAM * max(most, 1))))
-    kind = next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if len(languages) <= 8 * t().itemsize)
-    masks, chance = np.zeros(size, kind), []
+    words = -(-len(languages) // 64)
+    kinds = (np.uint8, np.uint16, np.uint32, np.uint64)
+    kind = next((t for t in kinds if len(languages) <= 8 * t().itemsize), np.uint64)
+    masks, chance = np.zeros((size, words) if words > 1 else size, kind), []
     for i, g in enumerate(grams_of):
         slots = np.unique(np.concatenate([_slots(g, k, size) for k in range(HASHES)])) if len(g) else np.zeros(0, np.int64)
-        masks[slots] |= kind(1 << i)
+        if words > 1:
+            masks[slots, i // 64] |= kind(1 << (i % 64))
+        else:
+            masks[slots] |= kind(1 << i)
         chance.append((len(slots) / size) ** HASHES)
     return Filters(languages, masks, chance)
 
@@ -169,16 +184,11 @@ def build(languages: list[str], grams_of: list[np.ndarray]) -> Filters:
 def train(docs: DataFrame, text: str, lang: str, rows: Column) -> Filters:
     """Filters from the rows of ``docs`` that ``rows`` selects and whose language is not missing.
 
-    All their whole texts are counted. What comes to the driver is bounded:
-    ``MOST_GRAMS`` n-grams for each of at most ``MAX_LANGUAGES`` languages.
+    All their whole texts are counted. What comes to the driver are at most
+    ``MOST_GRAMS`` n-grams for each language, as plain numbers.
     """
     chosen = docs.where(rows & F.col(lang).isNotNull()).select(F.col(text).alias("_text"), F.col(lang).alias("_lang"))
-    sizes = {
-        r["_lang"]: r["n"]
-        for r in chosen.groupBy("_lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect()
-    }
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    sizes = {r["_lang"]: r["n"] for r in chosen.groupBy("_lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     languages = sorted(sizes)
     counted = chosen.mapInArrow(_counted(languages), "gram bigint, language int, n bigint")
     total = counted.groupBy("language", "gram").agg(F.sum("n").alias("n"))
@@ -186,14 +196,15 @@ def train(docs: DataFrame, text: str, lang: str, rows: Column) -> Filters:
     for i, x in enumerate(languages):
         kept.append(np.zeros(0, np.uint64))
     if languages:
-        least = F.element_at(F.array(*[F.lit(max(2.0, MIN_SHARE * sizes[x])) for x in languages]), F.col("language") + 1)
-        common = total.where(F.col("n") >= least)
+        least = [(i, max(2.0 if sizes[x] >= FEW_DOCUMENTS else 1.0, MIN_SHARE * sizes[x])) for i, x in enumerate(languages)]
+        least = local_table(docs.sparkSession, least, "language int, _least double")
+        # bounded: one row per language
+        common = total.join(F.broadcast(least), "language").where("n >= _least")
         # the commonest of each language; ties by the hash
-        found = common.groupBy("language").agg(
-            F.slice(F.sort_array(F.collect_list(F.struct("n", "gram")), asc=False), 1, MOST_GRAMS).alias("top")
-        )
-        for r in found.collect():
-            kept[r["language"]] = np.array([g["gram"] for g in r["top"]], np.int64).view(np.uint64)
+        top = F.slice(F.sort_array(F.collect_list(F.struct("n", "gram")), asc=False), 1, MOST_GRAMS)
+        found = common.groupBy("language").agg(F.transform(top, lambda g: g["gram"]).alias("top")).toArrow()
+        for i, grams_of in zip(found.column("language").to_pylist(), found.column("top")):
+            kept[i] = np.asarray(grams_of.values, np.int64).view(np.uint64)
     return build(languages, kept)
 
 
@@ -209,7 +220,7 @@ def decide(filters: Filters, texts: Iterable[str | None], default: int = 0) -> I
             looked_up += np.diff(where)
             total = np.zeros(len(bits) + 1, np.int64)
             for i in range(len(filters.languages)):
-                np.cumsum((bits >> bits.dtype.type(i)) & bits.dtype.type(1), out=total[1:])
+                np.cumsum(filters.holds(bits, i), out=total[1:])
                 hits[:, i] += total[where[1:]] - total[where[:-1]]
         real = np.maximum(hits - looked_up[:, None] * chance, 0) / np.maximum(1 - chance, 1e-9)
         whole = real.sum(axis=1)

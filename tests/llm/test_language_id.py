@@ -1,8 +1,10 @@
 import numpy as np
 
-from tablewright.llm.language_id import UNKNOWN, build, decide, grams, identify, letters_of, train
+from tablewright.llm.language_id import UNKNOWN, build, decide, grams, identify, letters_of, predict, train
 from pyspark.sql import functions as F
 
+from tablewright.llm.base import prepare
+
 
 def test_letters():
     assert "".join(chr(c) if c else "_" for c in letters_of("  Ça va?? 12 OK! ")) == "_ça_va_ok_"
@@ -57,3 +59,16 @@ def test_messy_documents(messy, empty):
     assert identify(empty).count() == 0
     nothing = train(messy, "text", "lang", F.lit(False))
     assert nothing.languages == []
+
+
+def test_many_languages_and_one_of_a_single_document(spark):
+    prepare(spark)
+    r = np.random.default_rng(5)
+    stock = [["".join(chr(97 + c) for c in r.integers(0, 26, 6)) for _ in range(30)] for _ in range(150)]
+    rows = [(i, " ".join(r.permutation(stock[i % 150])), f"x{i % 150}") for i in range(450)]
+    rows.append((1000, "\u0436\u0443\u043a \u0431\u0435\u0436\u0438\u0442 \u043f\u043e \u0434\u043e\u0440\u043e\u0433\u0435", "once"))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    filters = train(docs, "text", "lang", F.lit(True))
+    assert len(filters.languages) == 151
+    found = {x["doc_id"]: x["lang_pred"] for x in predict(docs, "doc_id", "text", filters).collect()}
+    assert found == {i: lang for i, _, lang in rows}
