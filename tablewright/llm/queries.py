@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.llm import (
+    conversation_trie,
     exact_dedup,
+    filter_audit,
     language_id,
     license_scan,
     mixing,
@@ -17,8 +19,10 @@ from tablewright.llm import (
     quality_rules,
     sharding,
     suffix_dedup,
+    token_files,
 )
 from tablewright.llm.base import documents, labels, query
+from tablewright.sources.workspace import new_dir
 
 
 @query("op5_sharding", sharding.oracle())
@@ -74,3 +78,20 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_license_scan")
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.best_license(license_scan.scan(documents(spark, sf_dir), "doc_id", "text"))
+
+
+@query("op11_conversation_trie", conversation_trie.ORACLE)
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+@query("op12_token_files")
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_dir(spark, "tokens")
+    token_files.write_tokens(documents(spark, sf_dir), "doc_id", "text", public_tokenizers.path("word_bpe_49k.json"), path)
+    return token_files.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op13_filter_audit", filter_audit.ORACLE)
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(filter_audit.failures(documents(spark, sf_dir), labels(spark, sf_dir)))
