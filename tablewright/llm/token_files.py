@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tablewright.llm.textbytes import slices
 from tablewright.llm.token_codes import Codes, encode
 from tablewright.llm.word_ids import text_encoder
 from tablewright.operators.ranges import parts_for
@@ -25,29 +26,40 @@ END = 1
 FILE_TOKENS = 4_000_000  # a file ends with the document that reaches so many
 ROWS_PER_RANGE, BYTES_PER_RANGE = 500_000, 64 << 20
 OUT_ROWS = 2048  # documents in a batch that leaves a task
-OUT_BYTES = 16 << 20
+OUT_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20  # of texts encoded at once
 
 
-def _encoder(path: str, end: int, bounds: np.ndarray):
+def _number_type(tokenizer: str, end: int) -> str:
+    """The smallest type that holds all ids of a file."""
+    from tokenizers import Tokenizer
+
+    largest = max(end, *Tokenizer.from_file(tokenizer).get_vocab(with_added_tokens=True).values())
+    return "<u2" if largest < 1 << 16 else "<u4"
+
+
+def _encoder(path: str, end: int, bounds: np.ndarray, kind: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode_texts = text_encoder(path)
+        tail = np.array([end], kind).tobytes()
         for batch in batches:
-            ids, lengths = encode_texts(batch.column("_text"))
-            at = np.cumsum(lengths) - lengths
-            tail = np.array([end], "<u4").tobytes()
-            number = batch.column("_id")
-            values = number.fill_null(0).to_numpy(zero_copy_only=False)
-            part = np.where(number.is_null().to_numpy(zero_copy_only=False), 0, np.searchsorted(bounds, values, "right"))
-            tokens = [ids[s : s + n].astype("<u4").tobytes() + tail for s, n in zip(at.tolist(), lengths.tolist())]
-            yield pa.RecordBatch.from_arrays(
-                [number, batch.column("_tie"), pa.array(part, pa.int32()), pa.array(tokens, pa.large_binary()).cast(pa.binary())],
-                names=["_id", "_tie", "part", "tokens"],
-            )
+            for texts in slices(batch.column("_text"), SLICE_BYTES):
+                rows = batch.slice(texts.first, len(texts))
+                ids, lengths = encode_texts(rows.column("_text"))
+                ids, to = ids.astype(kind), np.cumsum(lengths).tolist()
+                number = rows.column("_id")
+                values = number.fill_null(0).to_numpy(zero_copy_only=False)
+                part = np.where(number.is_null().to_numpy(zero_copy_only=False), 0, np.searchsorted(bounds, values, "right"))
+                tokens = [ids[a:b].tobytes() + tail for a, b in zip([0, *to], to)]
+                yield pa.RecordBatch.from_arrays(
+                    [number, rows.column("_tie"), pa.array(part, pa.int32()), pa.array(tokens, pa.binary())],
+                    names=["_id", "_tie", "part", "tokens"],
+                )
 
     return run
 
 
-def _writer(file_tokens: int):
+def _writer(file_tokens: int, kind: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq, held = None, 0, 0
         names: list[int | None] = []
@@ -69,7 +81,7 @@ def _writer(file_tokens: int):
                     seq, held, names, tokens = (seq + 1 if p == part else 0), 0, [], []
                 part = p
                 names.append(doc_id)
-                tokens.append(np.frombuffer(data.as_buffer(), "<u4").copy())
+                tokens.append(np.frombuffer(data.as_buffer(), kind).copy())
                 held += len(tokens[-1])
         if held:
             yield file()
@@ -105,12 +117,13 @@ def write_tokens(
     size = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(text)).alias("b")).first()
     parts = max(parts_for(docs, size["n"], ROWS_PER_RANGE), -(-(size["b"] or 0) // BYTES_PER_RANGE))
     bounds = _bounds(flat.select("_id"), parts)
-    encoded = flat.mapInArrow(_encoder(tokenizer, end, bounds), "_id bigint, _tie bigint, part int, tokens binary")
+    kind = _number_type(tokenizer, end)
+    encoded = flat.mapInArrow(_encoder(tokenizer, end, bounds, kind), "_id bigint, _tie bigint, part int, tokens binary")
     ranged = encoded.repartitionById(len(bounds) + 1, F.col("part")).sortWithinPartitions(
         "part", F.col("_id").asc_nulls_first(), "_tie"
     )
     files = ranged.select("part", "_id", "tokens").mapInArrow(
-        _writer(file_tokens), "part bigint, seq bigint, tokens bigint, data binary"
+        _writer(file_tokens, kind), "part bigint, seq bigint, tokens bigint, data binary"
     )
     # closes the corpus: its folder is never empty
     last = spark.createDataFrame([(len(bounds) + 1, 0, 0, bytearray(encode([], [], np.zeros(0, np.uint32))))], files.schema)

@@ -12,7 +12,8 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable, Iterable
+from array import array
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,7 @@ import pyarrow.compute as pc
 
 from tablewright.llm.packing import byte_letters
 
-MOST_WORDS = 400_000  # distinct words whose ids are remembered by a task
+MOST_WORDS = 500_000  # distinct words whose ids are remembered by a task
 
 # Letters whose lower case is one letter and which are composed already, and
 # marks that neither begin a contraction nor a special token.
@@ -61,7 +62,7 @@ def _plain_merges(spec: dict) -> Callable[[bytes], list[int]] | None:
     return lambda piece: [of[r] for r in encode.encode_single_piece(piece + _WORD_END)]
 
 
-def word_encoder(path: str) -> Callable[[Iterable[str]], list[list[int]]]:
+def word_encoder(path: str) -> Callable[[Iterable[str]], Iterator[list[int]]]:
     """Ids of words by the file at ``path``, the same as those of the tokenizers library."""
     from tokenizers import Tokenizer
 
@@ -76,7 +77,7 @@ def word_encoder(path: str) -> Callable[[Iterable[str]], list[list[int]]]:
             return pieces[0] if len(pieces) == 1 else [i for p in pieces for i in p]
         return library.encode(word, add_special_tokens=False).ids
 
-    return lambda words: [one(w) for w in words]
+    return lambda words: (one(w) for w in words)
 
 
 def text_encoder(path: str) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
@@ -95,6 +96,7 @@ def text_encoder(path: str) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray
         return whole
 
     encode, known = word_encoder(path), {}
+    pack = lambda ids: array("I", ids).tobytes()
 
     def run(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         words = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
@@ -103,23 +105,25 @@ def text_encoder(path: str) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray
         del words
         distinct = coded.dictionary.to_pylist()
         new = [w for w in distinct if w not in known]
-        if len(known) + len(new) > MOST_WORDS:
+        # packed: a fifth of what lists of numbers take
+        fresh = {w: pack(x) for w, x in zip(new, encode(new))}
+        found = [known.get(w) or fresh.get(w, b"") for w in distinct]
+        if len(known) + len(fresh) <= MOST_WORDS:
+            known.update(fresh)
+        elif 2 * len(fresh) > len(distinct):  # the texts have changed: most words are others than those remembered
             known.clear()
-            new = distinct
-        known.update(zip(new, encode(new)))
-        found = [known[w] for w in distinct]
-        size = np.array([len(x) for x in found], np.int64)
-        flat = np.fromiter((i for x in found for i in x), np.uint32, int(size.sum()))
+        size = np.array([len(x) // 4 for x in found], np.int64)
+        flat = np.frombuffer(b"".join(found), np.uint32)
         first = np.cumsum(size) - size
-        at = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        del coded, distinct, found
+        at = coded.indices.to_numpy(zero_copy_only=False)
+        del coded, distinct, found, new, fresh
         sizes = size[at]
         ends = np.cumsum(sizes)
         ids = np.empty(int(ends[-1]) if len(ends) else 0, np.uint32)
-        for lo in range(0, len(at), 1 << 20):  # bounded index arrays, however long the texts are
-            part = slice(lo, lo + (1 << 20))
+        for lo in range(0, len(at), 1 << 18):  # bounded index arrays, however long the texts are
+            part = slice(lo, lo + (1 << 18))
             base = int(ends[lo] - sizes[lo])
-            total = int(ends[min(lo + (1 << 20), len(at)) - 1]) - base
+            total = int(ends[min(lo + (1 << 18), len(at)) - 1]) - base
             shift = np.repeat(first[at[part]] - (ends[part] - sizes[part] - base), sizes[part])
             ids[base : base + total] = flat[shift + np.arange(total)]
         bounds = np.concatenate([[0], np.cumsum(per_text)])
