@@ -48,26 +48,26 @@ def best_widths(ids: np.ndarray) -> list[int]:
 
 
 def _pack(values: np.ndarray, width: int) -> bytes:
-    shifts = np.arange(width, dtype=np.uint32)
     parts = []
     for at in range(0, len(values), _SLICE):
-        bits = (values[at : at + _SLICE, None] >> shifts) & np.uint32(1)
-        parts.append(np.packbits(bits.astype(np.uint8).reshape(-1), bitorder="little").tobytes())
+        raw = values[at : at + _SLICE].astype("<u4").view(np.uint8).reshape(-1, 4)
+        bits = np.unpackbits(raw[:, : (width + 7) // 8], axis=1, bitorder="little")[:, :width]
+        parts.append(np.packbits(bits.reshape(-1), bitorder="little").tobytes())
     return b"".join(parts)
 
 
 def _unpack(data: np.ndarray, width: int, start: int, stop: int) -> np.ndarray:
     """The chunks from ``start`` to ``stop``."""
-    out = np.empty(stop - start, np.uint32)
-    weights = (np.uint32(1) << np.arange(width, dtype=np.uint32)).astype(np.uint32)
+    out = np.zeros((stop - start, 4), np.uint8)
+    n_bytes = (width + 7) // 8
     for at in range(start, stop, _SLICE):
         to = min(at + _SLICE, stop)
         first = at * width // 8
         bits = np.unpackbits(data[first : (to * width + 7) // 8], bitorder="little")
         skip = at * width - first * 8
         rows = bits[skip : skip + (to - at) * width].reshape(-1, width)
-        out[at - start : to - start] = rows.astype(np.uint32) @ weights
-    return out
+        out[at - start : to - start, :n_bytes] = np.packbits(rows, axis=1, bitorder="little")
+    return out.reshape(-1).view("<u4").astype(np.uint32, copy=False)
 
 
 def _aligned(size: int) -> int:

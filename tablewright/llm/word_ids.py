@@ -12,8 +12,10 @@ from __future__ import annotations
 
 import json
 import re
-from array import array
-from collections.abc import Callable, Iterable, Iterator
+import sys
+import types
+from collections.abc import Callable
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +23,7 @@ import pyarrow.compute as pc
 
 from tablewright.llm.packing import byte_letters
 
-MOST_WORDS = 500_000  # distinct words whose ids are remembered by a task
+MOST_WORDS = 500_000  # distinct words whose ids are remembered by a worker process
 
 # Letters whose lower case is one letter and which are composed already, and
 # marks that neither begin a contraction nor a special token.
@@ -40,8 +42,8 @@ def drops_white_space(spec: dict) -> bool:
     return cut.get("type") == "Split" and cut.get("invert") is True and cut.get("pattern", {}).get("Regex") == SPLIT
 
 
-def _plain_merges(spec: dict) -> Callable[[bytes], list[int]] | None:
-    """Ids of a piece by tiktoken, or None where the file's merges are not in the order of its ids."""
+def _plain_merges(spec: dict) -> tuple[Callable[[bytes], list[int]], list[int]] | None:
+    """Ranks of a piece by tiktoken and the id of each rank, or None where the file's merges are not in the order of its ids."""
     model, letters = spec["model"], byte_letters()
     vocab, suffix = model["vocab"], model.get("end_of_word_suffix") or ""
     merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
@@ -52,32 +54,53 @@ def _plain_merges(spec: dict) -> Callable[[bytes], list[int]] | None:
     import tiktoken
 
     ranks: dict[bytes, int] = {bytes([b]): b for b in range(256)}
-    ids = np.zeros(256 + len(vocab), np.int64)
+    ids = [0] * 256
     for token in in_order:
         end = token.endswith(suffix)
         raw = bytes(letters[c] for c in (token[: -len(suffix)] if end else token)) + _WORD_END * end
-        ids[ranks.setdefault(raw, len(ranks))] = vocab[token]
+        if ranks.setdefault(raw, len(ranks)) == len(ids):
+            ids.append(0)
+        ids[ranks[raw]] = vocab[token]
     encode = tiktoken.Encoding("words", pat_str=".", mergeable_ranks=ranks, special_tokens={})._core_bpe
-    of = ids.tolist()
-    return lambda piece: [of[r] for r in encode.encode_single_piece(piece + _WORD_END)]
+    return encode.encode_single_piece, ids
 
 
-def word_encoder(path: str) -> Callable[[Iterable[str]], Iterator[list[int]]]:
-    """Ids of words by the file at ``path``, the same as those of the tokenizers library."""
+def word_encoder(path: str) -> tuple[Callable[[str], list[int]], np.ndarray]:
+    """Numbers of a word's tokens, and the id that each number stands for, which are those of the tokenizers library."""
     from tokenizers import Tokenizer
 
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     library = Tokenizer.from_file(path)
-    plain = _plain_merges(spec) if drops_white_space(spec) else None
+    merges = _plain_merges(spec) if drops_white_space(spec) else None
+    if merges is None:
+        size = 1 + max(library.get_vocab(with_added_tokens=True).values())
+        return lambda word: library.encode(word, add_special_tokens=False).ids, np.arange(size, dtype=np.uint32)
+    plain, ids = merges
+    base = len(ids)  # the library's own ids follow the numbers of the merges
+    size = 1 + max(library.get_vocab(with_added_tokens=True).values())
 
     def one(word: str) -> list[int]:
-        if plain and _PLAIN.fullmatch(word):
-            pieces = [plain(p.encode()) for p in _PIECE.findall(word.lower())]
-            return pieces[0] if len(pieces) == 1 else [i for p in pieces for i in p]
-        return library.encode(word, add_special_tokens=False).ids
+        if word.isascii() and word.isalpha():
+            return plain(word.lower().encode() + _WORD_END)
+        if _PLAIN.fullmatch(word):
+            return [i for p in _PIECE.findall(word.lower()) for i in plain(p.encode() + _WORD_END)]
+        return [base + i for i in library.encode(word, add_special_tokens=False).ids]
 
-    return lambda words: (one(w) for w in words)
+    return one, np.array([*ids, *range(size)], np.uint32)
+
+
+def _kept(path: str) -> dict:
+    """What this worker process remembers of a tokenizer: its encoder and the words it has met.
+
+    Functions of this library travel with their tasks and lose their globals
+    with them, so it is kept by a module of the process.
+    """
+    store = sys.modules.setdefault("_tablewright_words", types.ModuleType("_tablewright_words")).__dict__
+    if path not in store:
+        one, ids = word_encoder(path)
+        store[path] = {"one": one, "ids": ids, "known": {}}
+    return store[path]
 
 
 def text_encoder(path: str) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
@@ -95,28 +118,35 @@ def text_encoder(path: str) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray
 
         return whole
 
-    encode, known = word_encoder(path), {}
-    pack = lambda ids: array("I", ids).tobytes()
+    kept = _kept(path)
+    one, number_ids, known = kept["one"], kept["ids"], kept["known"]
+
+    def packed(words: list[str]) -> dict[str, bytes]:
+        """The numbers of each word as bytes, a fifth of what a list takes."""
+        numbers = [one(w) for w in words]
+        raw = np.fromiter(chain.from_iterable(numbers), np.uint32).tobytes()
+        ends = list(accumulate(4 * len(x) for x in numbers))
+        return {w: raw[a:b] for w, a, b in zip(words, [0, *ends], ends)}
 
     def run(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         words = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
         per_text = pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
         coded = words.flatten().dictionary_encode()
         del words
-        distinct = coded.dictionary.to_pylist()
-        new = [w for w in distinct if w not in known]
-        # packed: a fifth of what lists of numbers take
-        fresh = {w: pack(x) for w, x in zip(new, encode(new))}
-        found = [known.get(w) or fresh.get(w, b"") for w in distinct]
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        fresh = packed([w for w in distinct if w not in known])
         if len(known) + len(fresh) <= MOST_WORDS:
             known.update(fresh)
-        elif 2 * len(fresh) > len(distinct):  # the texts have changed: most words are others than those remembered
-            known.clear()
-        size = np.array([len(x) // 4 for x in found], np.int64)
-        flat = np.frombuffer(b"".join(found), np.uint32)
+            found = list(map(known.__getitem__, distinct))
+        else:
+            found = [fresh[w] if (x := known.get(w)) is None else x for w in distinct]
+            if 2 * len(fresh) > len(distinct):  # the texts have changed: most words are others than those remembered
+                known.clear()
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat = number_ids[np.frombuffer(b"".join(found), np.uint32)]
         first = np.cumsum(size) - size
         at = coded.indices.to_numpy(zero_copy_only=False)
-        del coded, distinct, found, new, fresh
+        del coded, distinct, found, fresh
         sizes = size[at]
         ends = np.cumsum(sizes)
         ids = np.empty(int(ends[-1]) if len(ends) else 0, np.uint32)
