@@ -2,14 +2,32 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from dataclasses import dataclass
 from datetime import timedelta
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tablewright.operators.ranges import in_order
+from tablewright.operators.ranges import parts_for
 from tablewright.operators.slicing import ROWS_PER_SLICE, join_null_safe
+from tablewright.sources.workspace import stage
+
+
+@dataclass(frozen=True)
+class AsOf:
+    """Feature rows to be matched: their time, the columns wanted, what decides ties, and how long they are valid."""
+
+    features: DataFrame
+    ts: str
+    columns: tuple[str, ...]
+    tie_break: tuple[str, ...] = ()
+    ttl: timedelta | None = None
+    ts_alias: str | None = None
 
 
 def asof_join(
@@ -34,81 +52,164 @@ def asof_join(
     (every entity row survives) or ``"drop_expired"`` (a row is dropped if its
     key has feature rows but none of them is valid at its time). ``ts_alias``
     keeps the matched feature time under that name.
+    """
+    view = AsOf(features, feature_ts, tuple(columns), tuple(tie_break), ttl, ts_alias)
+    return asof_views(entities, [view], keys, entity_ts, unmatched, rows_per_slice)
+
 
-    Both sides are put into one ordered stream by a range exchange, and the
-    last feature seen is carried forward: no pairs. Inside a partition that is
-    a window; a key that fills several partitions gets the last feature of the
-    earlier ones, one row per partition and key, joined back. An instant may
-    be as large as it likes: entity rows of it are told apart by their hash,
-    since all of them get the same match.
+def asof_views(
+    entities: DataFrame, views: Sequence[AsOf], keys: Sequence[str], entity_ts: str, unmatched: str = "null",
+    rows_per_slice: int = ROWS_PER_SLICE,
+) -> DataFrame:
+    """``asof_join`` with several feature tables of the same keys, in one pass.
+
+    Entities and all feature rows are put into one ordered stream by a single
+    range exchange. Each sorted partition is read once, in Arrow batches, with
+    one carried row per view: no pairs, no window, no second shuffle. A key
+    that fills several partitions gets the last feature rows of the earlier
+    ones from a table of one row per partition. An instant may be as large as
+    it likes: entity rows of it are told apart by their hash, since all of
+    them get the same match. With ``drop_expired`` a row goes if that holds
+    for any of the views.
     """
     if unmatched not in ("null", "drop_expired"):
         raise ValueError(unmatched)
     keys = list(keys)
-    order_fields = [F.col(feature_ts).alias("ts"), *[F.col(c).alias(f"t{i}") for i, c in enumerate(tie_break)]]
-    feature_rows = features.select(
-        *keys,
-        F.col(feature_ts).alias("_ts"),
-        F.lit(0).alias("_side"),
-        F.struct(
-            F.struct(*order_fields).alias("rank"),
-            *[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)],
-        ).alias("_feature"),
-    ).withColumn("_rank", F.col("_feature.rank"))
-    entity_rows = entities.select(
-        *keys,
-        F.col(entity_ts).alias("_ts"),
-        F.lit(1).alias("_side"),
-        F.xxhash64(*entities.columns).alias("_spread"),
-        F.struct(*entities.columns).alias("_entity"),
+    kinds = [f"_m{i}" for i in range(len(views))]
+    parts = []
+    for i, view in enumerate(views):
+        rank = F.struct(F.col(view.ts).alias("ts"), *[F.col(c).alias(f"t{j}") for j, c in enumerate(view.tie_break)])
+        parts.append(
+            view.features.select(
+                *keys, F.col(view.ts).alias("_ts"), F.lit(0).alias("_side"), rank.alias(f"_r{i}"),
+                F.struct(F.col(view.ts).alias("ts"), *[F.col(c).alias(f"c{j}") for j, c in enumerate(view.columns)]).alias(f"_m{i}"),
+            )
+        )
+    parts.append(
+        entities.select(
+            *keys, F.col(entity_ts).alias("_ts"), F.lit(1).alias("_side"), F.xxhash64(*entities.columns).alias("_spread"),
+            F.struct(*entities.columns).alias("_entity"),
+        )
+    )
+    stream = parts[0]
+    for part in parts[1:]:
+        stream = stream.unionByName(part, allowMissingColumns=True)
+    order = [F.col(c).asc_nulls_first() for c in [*keys, "_ts", "_side", *[f"_r{i}" for i in range(len(views))], "_spread"]]
+    n_parts = parts_for(entities, entities.count() + sum(v.features.count() for v in views), rows_per_slice)
+    # one number tells neighbouring keys apart, and whether a key goes on in the next partition
+    key = F.xxhash64(*[x for k in keys for x in (F.col(k).isNull(), F.col(k))]) if keys else F.lit(0).cast("bigint")
+    ordered = stream.repartitionByRange(n_parts, *order).sortWithinPartitions(*order).select(
+        key.alias("_key"), "_side", "_entity", *kinds
+    )
+    schema = T.StructType(
+        [
+            T.StructField("_part", T.IntegerType()), T.StructField("_first", T.LongType()), T.StructField("_last", T.LongType()),
+            T.StructField("_open", T.BooleanType()), *ordered.select("_entity", *kinds).schema.fields,
+        ]
     )
-    stream = feature_rows.unionByName(entity_rows, allowMissingColumns=True)
-    stream = in_order(stream, [*keys, "_ts", "_side", "_rank", "_spread"], rows_per_slice)
+    carried = stage(ordered.mapInArrow(_carrier(len(views)), schema), "asof")
+    rows = _carry_between_partitions(carried, kinds)
 
-    here = Window.partitionBy("_part", *keys)
-    seen = here.orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
-    carried = stream.withColumn("_match", F.last("_feature", ignorenulls=True).over(seen))
+    for i, view in enumerate(views):
+        if view.ttl is not None and view.ttl.total_seconds() != 0:
+            valid = F.col(f"_m{i}.ts") >= F.col(f"_entity.{entity_ts}") - F.lit(view.ttl)
+            stale = F.col(f"_m{i}").isNotNull() & ~valid
+            if unmatched == "drop_expired":
+                rows = rows.where(~stale)
+            rows = rows.withColumn(f"_m{i}", F.when(valid, F.col(f"_m{i}")))
     if unmatched == "drop_expired":
-        carried = carried.withColumn("_known", F.count("_feature").over(here) > 0)
-    carried = _carry_between_partitions(carried, stream, keys)
-    out = carried.where(F.col("_side") == 1)
-
-    matched_ts = F.col("_match.rank.ts")
-    if ttl is not None and ttl.total_seconds() != 0:
-        valid = matched_ts >= F.col("_ts") - F.lit(ttl)
-        out = out.withColumn("_match", F.when(valid, F.col("_match")))
-    if unmatched == "drop_expired":
-        out = out.where(F.col("_match").isNotNull() | ~F.col("_known"))
+        rows = _without_known(rows, views, keys, kinds)
     result: list[Column] = [F.col(f"_entity.{c}").alias(c) for c in entities.columns]
-    if ts_alias:
-        result.append(matched_ts.alias(ts_alias))
-    result += [F.col(f"_match.c{i}").alias(c) for i, c in enumerate(columns)]
-    return out.select(*result)
+    for i, view in enumerate(views):
+        if view.ts_alias:
+            result.append(F.col(f"_m{i}.ts").alias(view.ts_alias))
+        result += [F.col(f"_m{i}.c{j}").alias(c) for j, c in enumerate(view.columns)]
+    return rows.select(*result)
+
+
+def _carrier(n_views: int):
+    """Entity rows of a sorted partition with the last feature row of each view, then one row about the partition."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        names = ["_part", "_first", "_last", "_open", "_entity", *[f"_m{i}" for i in range(n_views)]]
+        first = last = None
+        opening = True  # still within the first key of the partition
+        carry: list[pa.Array] = []
+        entity_type = None
+
+        def batch_of(n: int, edge: bool, opens, entity: pa.Array, matches: list[pa.Array]) -> pa.RecordBatch:
+            ends = [pa.array([x if edge else None] * n, pa.int64()) for x in (first, last)]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([part] * n, pa.int32()), *ends, pa.array(opens, pa.bool_()), entity, *matches], names=names
+            )
 
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            key = batch.column("_key").to_numpy(zero_copy_only=False)
+            if first is None:
+                first = last = int(key[0])
+                entity_type = batch.column("_entity").type
+                carry = [pa.nulls(1, batch.column(f"_m{i}").type) for i in range(n_views)]
+            at = np.arange(n)
+            change = np.empty(n, bool)
+            change[0], change[1:] = key[0] != last, key[1:] != key[:-1]
+            begin = np.maximum.accumulate(np.where(change, at, 0))
+            goes_on = np.cumsum(change) == 0  # the key of the batch before
+            entity = np.flatnonzero(batch.column("_side").to_numpy(zero_copy_only=False) == 1)
+            matches = []
+            for i in range(n_views):
+                rows = batch.column(f"_m{i}")
+                seen = np.maximum.accumulate(np.where(rows.is_valid().to_numpy(zero_copy_only=False), at, -1))
+                here = seen >= begin
+                where = np.where(here, seen, n)  # row n is the one carried in
+                none = ~here & ~goes_on
+                pool = pa.concat_arrays([rows, carry[i]])
+                matches.append(pool.take(pa.array(where[entity], pa.int64(), mask=none[entity])))
+                carry[i] = pool.take(pa.array(where[-1:], pa.int64(), mask=none[-1:]))
+            if len(entity):
+                opens = (goes_on & opening)[entity]
+                yield batch_of(len(entity), False, opens, batch.column("_entity").take(pa.array(entity)), matches)
+            opening = opening and bool(goes_on[-1])
+            last = int(key[-1])
+        if first is not None:
+            yield batch_of(1, True, [None], pa.nulls(1, entity_type), carry)
 
-def _carry_between_partitions(carried: DataFrame, stream: DataFrame, keys: list[str]) -> DataFrame:
-    """Add what the other partitions of a key know: its last feature before, and whether it has any.
+    return run
 
-    Only the first and the last key of a partition can go on in another one,
-    so the table joined back has two rows per partition at most.
+
+def _carry_between_partitions(carried: DataFrame, kinds: list[str]) -> DataFrame:
+    """The entity rows; those of a partition's first key get what earlier partitions know of it.
+
+    The table joined back has one row per partition.
     """
-    newest = stream.groupBy("_part", *keys).agg(
-        F.max_by("_feature", F.when(F.col("_feature").isNotNull(), F.col("_pos"))).alias("_newest")
+    edges = carried.where(F.col("_first").isNotNull())
+    same_key = Window.partitionBy("_last").orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)
+    by_part = Window.orderBy("_part")
+    known = edges.select("_part", "_first", "_last", *[F.last(m, ignorenulls=True).over(same_key).alias(m) for m in kinds])
+    before = known.select(
+        "_part",
+        *[F.when(F.lag("_last").over(by_part) == F.col("_first"), F.lag(m).over(by_part)).alias(f"_in{m}") for m in kinds],
     )
-    all_of = Window.partitionBy(*keys)
-    before = all_of.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    carry = (
-        newest.withColumn("_parts", F.count(F.lit(1)).over(all_of))
-        .withColumn("_carry", F.last("_newest", ignorenulls=True).over(before))
-        .withColumn("_any", F.count("_newest").over(all_of) > 0)
-        .where("_parts > 1")
-        .drop("_parts", "_newest")
+    rows = carried.where(F.col("_first").isNull()).join(F.broadcast(before), "_part", "left")
+    return rows.select(
+        "_entity", *[F.coalesce(m, F.when(F.col("_open"), F.col(f"_in{m}"))).alias(m) for m in kinds]
     )
-    joined = join_null_safe(carried, carry, ["_part", *keys])
-    joined = joined.withColumn("_match", F.coalesce("_match", "_carry"))
-    if "_known" in carried.columns:
-        joined = joined.withColumn("_known", F.col("_known") | F.coalesce("_any", F.lit(False)))
-    return joined.drop("_carry", "_any")
+
+
+def _without_known(rows: DataFrame, views: Sequence[AsOf], keys: list[str], kinds: list[str]) -> DataFrame:
+    """Drop rows without a match in a view that has rows of their key, all of them later; only such rows are joined."""
+    some = F.lit(False)
+    for m in kinds:
+        some = some | F.col(m).isNull()
+    open_rows = rows.where(some).select("*", *[F.col(f"_entity.{k}").alias(k) for k in keys])
+    for m, view in zip(kinds, views):
+        known = view.features.select(*keys).distinct().withColumn("_known", F.lit(True))
+        open_rows = join_null_safe(open_rows, known, keys)
+        open_rows = open_rows.where(F.col(m).isNotNull() | F.col("_known").isNull()).drop("_known")
+    return rows.where(~some).unionByName(open_rows.select("_entity", *kinds))
 
 
 def one_row_per_instant(df: DataFrame, keys: Sequence[str], ts: str, tie_break: Sequence[str]) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewright.operators.asof import asof_join
+from tablewright.operators.asof import AsOf, asof_views
 from tablewright.operators.incremental import upsert_unique
 from tablewright.operators.joins import lookup
 from tablewright.operators.ordering import latest_per_key
@@ -75,19 +75,22 @@ def historical_features(
 ) -> DataFrame:
     """The entity rows with the value each feature had at that row's time.
 
-    Views that share their key are joined one after the other; each join
-    carries the last value forward within the key (see ``asof_join``).
+    Views that share their keys are matched in one pass over one ordered
+    stream (see ``asof_views``).
     """
-    out = entities
+    by_keys: dict[tuple[str, ...], list[AsOf]] = {}
+    present = set(entities.columns)
     for view, features in service.projections:
-        clash = [f for f in features if f in out.columns]
+        clash = [f for f in features if f in present]
         if clash:
             raise ValueError(f"view {view.name}: {clash} already present")
-        out = asof_join(
-            out, view.table(features), view.keys, entity_ts, view.ts, features, view.tie_break, view.ttl, unmatched,
-            **options,
-        )
-    return out
+        present |= set(features)
+        rows = AsOf(view.table(features), view.ts, tuple(features), tuple(view.tie_break), view.ttl)
+        by_keys.setdefault(tuple(view.keys), []).append(rows)
+    out = entities
+    for keys, views in by_keys.items():
+        out = asof_views(out, views, keys, entity_ts, unmatched, **options)
+    return out.select(*entities.columns, *service.features)
 
 
 class OnlineTable:

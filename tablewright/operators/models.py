@@ -93,6 +93,18 @@ def _unit(*parts: Column) -> Column:
     return F.pmod(F.xxhash64(*parts), F.lit(1 << 30)) / F.lit(float(1 << 30))
 
 
+def proposed(unique: str, name: str, steps: int = STEPS, seed: int = SEED) -> Column:
+    """The value a feature (``_x_name``) gets in the seeded random proposal number ``_step`` of a row."""
+    key = [F.col(unique), F.col("_step"), F.lit(f"{name}/{seed}")]
+    reach = F.col("_step") / F.lit(float(steps))
+    moves = _unit(*key, F.lit("moves")) < F.greatest(reach, F.lit(0.25))
+    target = _unit(*key, F.lit("target"))
+    amount = _unit(*key, F.lit("amount")) * reach
+    moved = F.col(f"_x_{name}") + amount * (target - F.col(f"_x_{name}"))
+    changed = F.least(F.lit(1.0), F.greatest(F.lit(0.0), moved))
+    return F.when((F.col("_step") > 0) & moves, changed).otherwise(F.col(f"_x_{name}"))
+
+
 def counterfactual_search(
     df: DataFrame, unique: str, features: Sequence[str], score: Scorer, class_index: int,
     threshold: float = REACHED, steps: int = STEPS, seed: int = SEED,
@@ -109,16 +121,7 @@ def counterfactual_search(
     no proposal got there.
     """
     features = list(features)
-
-    def proposal(name: str) -> Column:
-        key = [F.col(unique), F.col("_step"), F.lit(f"{name}/{seed}")]
-        reach = F.col("_step") / F.lit(float(steps))
-        moves = _unit(*key, F.lit("moves")) < F.greatest(reach, F.lit(0.25))
-        target = _unit(*key, F.lit("target"))
-        amount = _unit(*key, F.lit("amount")) * reach
-        moved = F.col(f"_x_{name}") + amount * (target - F.col(f"_x_{name}"))
-        changed = F.least(F.lit(1.0), F.greatest(F.lit(0.0), moved))
-        return F.when((F.col("_step") > 0) & moves, changed).otherwise(F.col(f"_x_{name}"))
+    proposal = lambda name: proposed(unique, name, steps, seed)
 
     base = df.select(unique, *[F.col(c).cast("double").alias(f"_x_{c}") for c in features])
     tried = base.withColumn("_step", F.explode(F.sequence(F.lit(0), F.lit(steps))))

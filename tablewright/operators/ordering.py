@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablewright.operators.moving import moving_mean
 from tablewright.operators.slicing import ROWS_PER_SLICE, micros, row_number
 
 
@@ -120,27 +121,7 @@ def identity_now(df: DataFrame, keys: Sequence[str], value: str, ts: str, unique
 
 
 def identity_history(
-    df: DataFrame, keys: Sequence[str], value: str, ts: str, unique: str, n: int = 256, block: int = 65_536,
-    rows_per_slice: int = ROWS_PER_SLICE,
+    df: DataFrame, keys: Sequence[str], value: str, ts: str, unique: str, n: int = 256, rows_per_slice: int = ROWS_PER_SLICE
 ) -> DataFrame:
-    """At every row, the mean over it and the ``n - 1`` rows before it.
-
-    Rows are numbered per key, blocks of ``block`` numbers become the unit of
-    work, and the last ``n - 1`` rows of a block are copied into the next one
-    as its context, so no task needs a whole key.
-    """
-    if block < n:
-        raise ValueError("a block must hold at least one frame")
-    flat = df.select(*keys, value, ts, unique)
-    numbered = row_number(flat, keys, [ts, unique], name="_at", rows_per_slice=rows_per_slice)
-    index = F.col("_at") - 1
-    number = F.floor(index / block)
-    in_tail = F.pmod(index, F.lit(block)) >= block - (n - 1)
-    homes = F.when(in_tail, F.array(number, number + 1)).otherwise(F.array(number))
-    spread = numbered.withColumn("_own", number).withColumn("_block", F.explode(homes))
-    frame = Window.partitionBy(*keys, "_block").orderBy("_at").rowsBetween(-(n - 1), 0)
-    return (
-        spread.withColumn("mean_value", F.avg(value).over(frame))
-        .where(F.col("_own") == F.col("_block"))
-        .select(*keys, ts, unique, "mean_value")
-    )
+    """At every row, the mean over it and the ``n - 1`` rows before it (see ``moving_mean``)."""
+    return moving_mean(df, keys, value, [ts, unique], n, rows_per_part=rows_per_slice)

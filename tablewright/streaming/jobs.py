@@ -1,13 +1,15 @@
 """Continuous drift, identity and materialisation.
 
-Each job writes what changed in a micro-batch to a folder named after the
-batch id. A batch that is repeated after a failure overwrites its own folder,
-so the result holds every batch once. The readers return the newest value.
+Each job writes what changed in a micro-batch under the batch's id: drift to a
+folder of that name, which a repeated batch overwrites, identity and
+materialisation to a log that knows its batches and folds them (see ``log``).
+The readers return the newest value.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +17,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tablewright.operators.monitor import moments, welch
-from tablewright.operators.ordering import last_rows, pick_per_key
-from tablewright.operators.slicing import join_null_safe, pinned
+from tablewright.operators.ordering import pick_per_key
+from tablewright.operators.slicing import join_null_safe, micros, pinned
+from tablewright.streaming.log import BATCH, BatchLog
+from tablewright.streaming.push import COMPACT_EVERY
+from tablewright.streaming.state import NewestRows, newest_of_batch
 
 
 def file_stream(
@@ -51,6 +56,27 @@ def run_available(
     return query
 
 
+def run_logged(
+    df: DataFrame, out: str, mode: str, name: str, fold: Callable[[DataFrame], DataFrame], compact_every: int
+) -> BatchLog:
+    """Process all that is there and stop; each batch is committed to a log, which is folded now and then."""
+    log = BatchLog(df.sparkSession, out)
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        if log.write(batch_id, {name: rows}) and log.batches_since_base(name) >= compact_every:
+            log.compact({name: fold})
+
+    query = (
+        df.writeStream.outputMode(mode)
+        .foreachBatch(write)
+        .option("checkpointLocation", f"{out}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return log
+
+
 def changes(spark: SparkSession, out: str) -> DataFrame:
     """All changes written so far, with the batch they came from."""
     return spark.read.option("basePath", f"{out}/data").parquet(f"{out}/data").withColumn(
@@ -59,17 +85,19 @@ def changes(spark: SparkSession, out: str) -> DataFrame:
 
 
 def stream_materialize(
-    events: DataFrame, keys: Sequence[str], ts: str, tie_break: Sequence[str], out: str
+    events: DataFrame, keys: Sequence[str], ts: str, tie_break: Sequence[str], out: str, compact_every: int = COMPACT_EVERY
 ) -> DataFrame:
     """Keep the newest row per key by event time; a late older row changes nothing.
 
     The state holds one row per key, and rows combine before they reach it.
+    Every so many batches the changes are folded into one base, so a reader
+    opens that and the batches after it.
     """
     rest = [c for c in events.columns if c not in keys]
     newest = events.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(ts, *tie_break)).alias("_row"))
     flat = newest.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
-    run_available(flat, out, "update")
-    return pick_per_key(changes(events.sparkSession, out), keys, ["batch_id"], "last").drop("batch_id")
+    log = run_logged(flat, out, "update", "newest", lambda rows: pick_per_key(rows, keys, [BATCH], "last"), compact_every)
+    return pick_per_key(log.read("newest"), keys, [BATCH], "last").drop(BATCH)
 
 
 def stream_drift(
@@ -107,26 +135,38 @@ def moments_by_window(df: DataFrame, ts: str, columns: Sequence[str], window: st
 
 
 def stream_identity(
-    events: DataFrame, keys: Sequence[str], value: str, ts: str, unique: str, out: str, n: int = 256
+    events: DataFrame, keys: Sequence[str], value: str, ts: str, unique: str, out: str, n: int = 256,
+    ttl: timedelta | None = None, compact_every: int = COMPACT_EVERY,
 ) -> DataFrame:
     """Mean over the newest ``n`` rows of each key, after every batch.
 
-    The state is a table of ``n`` rows per key, one version per batch. Each
-    batch is cut to its newest ``n`` per key where the rows are, so a busy key
-    does not pass through one task.
+    A key's newest rows lie in ``n`` slots of the state store; a row that
+    enters takes the slot of the oldest, so a batch reads and writes the keys
+    it touches and, of those, the rows that change. Rows are cut to the newest
+    ``n`` per key before they are shuffled. With a ``ttl``, rows so much older
+    than their key's newest one are forgotten. Every so many batches the means
+    are folded.
     """
+    fields = events.select(F.col(unique).alias("_unique"), F.col(value).cast("double").alias("_value")).schema.fields
+    flat = events.select(*keys, micros(ts).alias("_at"), F.col(unique).alias("_unique"), F.col(value).cast("double").alias("_value"))
+    kept = flat.mapInPandas(newest_of_batch(list(keys), n), flat.schema)
+    means = kept.groupBy(*keys).transformWithStateInPandas(
+        statefulProcessor=NewestRows(list(keys), T.StructType([T.StructField("_at", T.LongType()), *fields]), n, ttl),
+        outputStructType=T.StructType(
+            [*flat.select(*keys).schema.fields, T.StructField("mean_value", T.DoubleType()), T.StructField("n", T.LongType())]
+        ),
+        outputMode="update",
+        timeMode="none",
+    )
     spark = events.sparkSession
-    columns = [*keys, ts, unique, value]
-    schema = events.select(*columns).schema
-
-    def batch(rows: DataFrame, batch_id: int) -> DataFrame:
-        fresh = rows.select(*columns)
-        if batch_id > 0:
-            fresh = fresh.unionByName(spark.read.schema(schema).parquet(f"{out}/data/batch_id={batch_id - 1}"))
-        return last_rows(fresh, keys, [F.desc(ts), F.desc(unique)], unique, n)
-
-    run_available(events, out, "append", batch)
-    state = changes(spark, out)
-    last = state.agg(F.max("batch_id").alias("b")).first()["b"]
-    kept = spark.read.schema(schema).parquet(f"{out}/data/batch_id={last}")
-    return kept.groupBy(*keys).agg(F.avg(value).alias("mean_value"), F.count(F.lit(1)).alias("n"))
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider, None)
+    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        log = run_logged(means, out, "update", "means", lambda rows: pick_per_key(rows, keys, [BATCH], "last"), compact_every)
+    finally:
+        if before is None:
+            spark.conf.unset(provider)
+        else:
+            spark.conf.set(provider, before)
+    return pick_per_key(log.read("means"), keys, [BATCH], "last").drop(BATCH)

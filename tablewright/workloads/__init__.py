@@ -10,6 +10,7 @@ from tablewright.workloads import (  # noqa: F401  (registering)
     ordering,
     preparation,
     scans,
+    serving,
     streams,
     versions,
 )

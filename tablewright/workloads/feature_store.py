@@ -110,19 +110,6 @@ def materialize_again(spark, sf):
     return online.materialize(START, MIDDLE)
 
 
-@query(
-    "online_features",
-    f"SELECT c_custkey AS user_id, value, event_type FROM customer LEFT JOIN ({LATEST.format('2024-01-15')}) "
-    "ON c_custkey = user_id",
-)
-def online_features(spark, sf):
-    view = all_events(spark, sf)
-    online = OnlineTable(spark, view)
-    online.materialize(START, MIDDLE)
-    service = FeatureService("serving", ((view, ("value", "event_type")),))
-    return online.features(table(spark, sf, "customer").selectExpr("c_custkey AS user_id"), service)
-
-
 @query("etl_load", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
 def etl_load(spark, sf):
     source = table(spark, sf, "orders").selectExpr("o_orderkey AS O_OrderKey", "o_custkey AS O_CUSTKEY", "o_totalprice")

@@ -6,8 +6,7 @@ from pyspark.sql import functions as F
 
 from tablewright.operators.asof import asof_join, one_row_per_instant
 from tablewright.operators.incremental import new_rows, upsert
-from tablewright.operators.joins import anti, decode, lookup, merge
-from tablewright.operators.ordering import latest_per_key
+from tablewright.operators.joins import anti, decode, merge
 from tablewright.plans.charts import top_items
 from tablewright.workloads.base import query, table
 
@@ -152,20 +151,6 @@ def collapse_instants(spark, sf):
     return one_row_per_instant(rows, ["o_custkey"], "o_orderdate", ["o_orderkey"])
 
 
-@query(
-    "lookup_online",
-    """
-    WITH s AS (SELECT user_id, value, event_type FROM events
-      QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)
-    SELECT c_custkey AS user_id, event_type, value FROM customer LEFT JOIN s ON c_custkey = user_id
-    """,
-)
-def lookup_online(spark, sf):
-    snapshot = latest_per_key(table(spark, sf, "events"), ["user_id"], "ts", ["event_id"])
-    keys = table(spark, sf, "customer").selectExpr("c_custkey AS user_id")
-    return lookup(keys, snapshot, "user_id", ["event_type", "value"])
-
-
 @query(
     "decode_label",
     "SELECT c_custkey, c_nationkey, n_name AS country FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey",

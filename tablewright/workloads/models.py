@@ -4,9 +4,11 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tablewright.operators import models as m
+from tablewright.operators.counterfactual import nearest_counterfactual
 from tablewright.operators.joins import lookup
 from tablewright.operators.ordering import sorted_codes
 from tablewright.operators.prep import MinMax, encode_labels
+from tablewright.operators.training import train_network
 from tablewright.workloads.base import query, table
 from tablewright.workloads.preparation import COUNTRY_FEATURES, country_training_set
 
@@ -15,12 +17,12 @@ FEATURES = ["size", "price"]
 
 @query("train_classifier")
 def train_classifier(spark, sf):
-    """Train the dense network on the train rows and predict the test rows."""
+    """Train the dense network on the train rows, two epochs by two tasks, and predict the test rows."""
     data = country_training_set(spark, sf)
     train = data.table.where("split = 'train'")
-    model = m.train_network(train, COUNTRY_FEATURES, "code", data.codes.count())
+    model = train_network(train, COUNTRY_FEATURES, "code", data.codes.count(), "o_orderkey", workers=2)
     test = data.table.where("split = 'test'")
-    return m.predict(test, m.scorer(model)).select("o_orderkey", "code", "predicted")
+    return m.predict(test, m.foreign_scorer(model.loader(), COUNTRY_FEATURES)).select("o_orderkey", "code", "predicted")
 
 
 def part_model(spark, sf):
@@ -66,7 +68,7 @@ def score_foreign(spark, sf):
 @query("counterfactual_search")
 def counterfactual(spark, sf):
     scaled, _, model, _ = part_model(spark, sf)
-    return m.counterfactual_search(scaled, "p_partkey", FEATURES, m.scorer(model), class_index=0)
+    return nearest_counterfactual(scaled, "p_partkey", FEATURES, m.scorer(model), class_index=0)
 
 
 @query("feature_attribution")
@@ -153,3 +155,28 @@ def counterfactual_validity(spark, sf):
     return score(wide).select(
         "p_partkey", "inside", (F.col("probabilities")[1] >= m.REACHED).alias("reached"), "unchanged"
     )
+
+
+@query(
+    "counterfactual_nearest",
+    LINEAR
+    + """SELECT p_partkey, true AS reached, round(CASE
+        WHEN 0.25 * size + 0.75 * price >= 0.6 THEN 0
+        WHEN 0.25 * size + 0.75 >= 0.6 THEN (0.6 - 0.25 * size - 0.75 * price) / 0.75
+        ELSE 1 - price + (0.6 - 0.25 * size - 0.75) / 0.25 END, 6) AS nearest, true AS near
+      FROM x""",
+)
+def counterfactual_nearest(spark, sf):
+    """Of a linear rule the nearest point is known: the heavier feature moves first. The search ends within 0.001 of it."""
+    scaled, score = linear_parts(spark, sf)
+    found = nearest_counterfactual(scaled, "p_partkey", FEATURES, score, 1, threshold=0.6)
+    distance = found.groupBy("p_partkey").agg(
+        F.min(F.col("proposed").isNotNull()).alias("reached"), F.sum(F.abs("difference")).alias("_found")
+    )
+    rest = 0.6 - 0.25 * F.col("size") - 0.75 * F.col("price")
+    nearest = F.when(rest <= 0, 0.0).when(0.25 * F.col("size") + 0.75 >= 0.6, rest / 0.75).otherwise(
+        1 - F.col("price") + (0.6 - 0.25 * F.col("size") - 0.75) / 0.25
+    )
+    both = scaled.withColumn("_nearest", nearest).join(distance, "p_partkey")
+    near = F.col("_found").between(F.col("_nearest") - 1e-9, F.col("_nearest") + 1e-3)
+    return both.select("p_partkey", "reached", F.round("_nearest", 6).alias("nearest"), near.alias("near"))

@@ -131,10 +131,8 @@ def identity_history(spark, sf):
     """,
 )
 def identity_history_sliced(spark, sf):
-    """The same with every event type cut into slices and blocks."""
-    return o.identity_history(
-        cents(spark, sf), ["event_type"], "cents", "ts", "event_id", block=512, rows_per_slice=100
-    )
+    """The same with every event type cut into many partitions, shorter than a frame."""
+    return o.identity_history(cents(spark, sf), ["event_type"], "cents", "ts", "event_id", rows_per_slice=100)
 
 
 @query("sort_by", "SELECT event_id, ts, value FROM events ORDER BY value DESC, event_id")

@@ -7,6 +7,7 @@ from tablewright.functions.payload import request, response, response_data
 from tablewright.operators.ordering import sorted_codes
 from tablewright.operators.prep import MinMax, encode_labels, split
 from tablewright.operators.versions import VersionedTable
+from tablewright.sources.snapshot import read_snapshot, write_snapshot
 from tablewright.sources.tables import read_csv, read_parquet, write_csv, write_parquet
 from tablewright.sources.workspace import new_dir
 from tablewright.workloads.base import query, table
@@ -180,8 +181,8 @@ def online_sink(spark, sf):
 
     newest = latest_per_key(table(spark, sf, "events"), ["user_id"], "ts", ["event_id"])
     path = new_dir(spark, "online")
-    write_parquet(newest.select("user_id", "ts", "event_type", "value"), path)
-    return read_parquet(spark, path)
+    write_snapshot(newest.select("user_id", "ts", "event_type", "value"), path)
+    return read_snapshot(spark, path)
 
 
 @query(

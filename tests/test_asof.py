@@ -150,3 +150,64 @@ def test_a_hot_instant_is_cut_too(spark, unmatched):
     features = [("hot", when(), c, c) for c in range(600)]
     want = brute(entities, features, None, unmatched)
     assert joined(spark, entities, features, rows_per_slice=30, unmatched=unmatched) == want
+
+
+def test_many_views_in_one_pass(spark):
+    from tablewright.operators.asof import AsOf, asof_views
+
+    rng = random.Random(11)
+    keys = ["a", "a", "a", "b", None]
+    entities = [(i, rng.choice(keys), rng.randrange(60)) for i in range(150)]
+    tables = [[(rng.choice(keys), rng.randrange(60), c, rng.randrange(1000)) for c in range(80)] for _ in range(3)]
+    ttls = [None, 7, 0]
+    e = spark.createDataFrame([(i, k, at(t)) for i, k, t in entities], "id bigint, k string, ts timestamp_ntz")
+    views = []
+    for j, (rows_, ttl) in enumerate(zip(tables, ttls)):
+        f = spark.createDataFrame(
+            [(k, at(t), str(c) if j == 1 else c, v) for k, t, c, v in rows_],
+            f"k string, fts timestamp_ntz, created {'string' if j == 1 else 'bigint'}, v{j} bigint",
+        )
+        tie = () if j == 2 else ("created",)
+        if j == 2:
+            f = f.groupBy("k", "fts").agg(F.max("v2").alias("v2"))
+        views.append(AsOf(f, "fts", (f"v{j}",), tie, None if ttl is None else timedelta(seconds=ttl)))
+    wants = []
+    for j, (rows_, ttl) in enumerate(zip(tables, ttls)):
+        if j == 1:
+            rows_ = [(k, t, str(c), v) for k, t, c, v in rows_]
+        if j == 2:
+            rows_ = [(k, t, v, v) for k, t, c, v in rows_]
+        wants.append(brute(entities, rows_, ttl))
+    for slices in (7, 1000, 10**6):
+        out = asof_views(e, views, ["k"], "ts", rows_per_slice=slices).collect()
+        assert len(out) == 150
+        for r in out:
+            assert (r["v0"], r["v1"], r["v2"]) == tuple(w[r["id"]] for w in wants)
+    kept = {r["id"] for r in asof_views(e, views, ["k"], "ts", "drop_expired", rows_per_slice=20).collect()}
+    drops = [brute(entities, [(k, t, str(c), v) for k, t, c, v in rows_] if j == 1 else rows_, ttl, "drop_expired")
+             for j, (rows_, ttl) in enumerate(zip(tables, ttls))]
+    assert kept == set.intersection(*[set(d) for d in drops])
+
+
+def test_one_range_exchange_whatever_the_number_of_views(spark):
+    from tablewright.operators.asof import AsOf, asof_views
+
+    e, f = frames(spark, [(1, "a", 5)], [("a", 1, 0, 3)])
+    views = [AsOf(f.withColumnRenamed("v", f"v{j}"), "fts", (f"v{j}",), ("created",)) for j in range(4)]
+    out = asof_views(e, views, ["k"], "ts")
+    assert out.first().asDict() == {"id": 1, "k": "a", "ts": at(5), "v0": 3, "v1": 3, "v2": 3, "v3": 3}
+    # the match reads what one pass has staged: only the table of one row per partition is shuffled
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("rangepartitioning") == 0 and "SortMergeJoin" not in plan
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 8)), max_size=25),
+    st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 8)), max_size=25),
+    st.sampled_from([2, 5, 100]),
+)
+def test_partitions_of_any_size(spark, people, history, slices):
+    entities = [(i, k, t) for i, (k, t) in enumerate(people)]
+    features = [(k, t, c, 10 * c) for c, (k, t) in enumerate(history)]
+    assert joined(spark, entities, features, rows_per_slice=slices) == brute(entities, features)

@@ -9,6 +9,7 @@ import pytest
 from pyspark.ml.functions import array_to_vector  # noqa: F401  (import check)
 from pyspark.sql import functions as F
 
+from tablewright.operators import counterfactual as cf
 from tablewright.operators import models as m
 
 FEATURES = ["a", "b", "c"]
@@ -115,3 +116,62 @@ def test_background_mean(spark):
     df = spark.createDataFrame([(i, float(i), 2.0) for i in range(300)], "id bigint, a double, b double")
     got = {r["feature"]: r["mean_background_value"] for r in m.background_mean(df, ["id"], ["a", "b"]).collect()}
     assert got == {"a": 49.5, "b": 2.0}
+
+
+def linear(weights, features=FEATURES):
+    def score(df):
+        p = sum((F.col(c) * w for c, w in zip(features, weights)), F.lit(0.0))
+        return df.withColumn("probabilities", F.array(1 - p, p))
+
+    return score
+
+
+def closed_form(x, weights, threshold):
+    """The least sum of changes within [0, 1] that lifts a weighted sum to the threshold; None if none does."""
+    missing, total = threshold - sum(a * w for a, w in zip(x, weights)), 0.0
+    for a, w in sorted(zip(x, weights), key=lambda e: -abs(e[1])):
+        room = (1 - a if w > 0 else a) * abs(w)
+        take = min(max(missing, 0.0), room)
+        total, missing = total + (take / abs(w) if w else 0.0), missing - take
+    return total if missing <= 1e-12 else None
+
+
+def distances(out):
+    total, seen = defaultdict(float), {}
+    for r in out.collect():
+        seen[r["id"]] = r["proposed"] is not None
+        total[r["id"]] += abs(r["difference"] or 0.0)
+    return {i: total[i] if ok else None for i, ok in seen.items()}
+
+
+@pytest.mark.parametrize("weights, threshold", [((0.25, 0.5, 0.25), 0.7), ((-0.3, 0.9, 0.2), 0.8), ((0.4, 0.4, 0.0), 0.9)])
+def test_directed_search_finds_the_nearest_point_of_a_linear_rule(data, weights, threshold):
+    some, score = data.where("id < 60"), linear(weights)
+    got = distances(cf.nearest_counterfactual(some, "id", FEATURES, score, 1, threshold))
+    random_draws = distances(m.counterfactual_search(some, "id", FEATURES, score, 1, threshold))
+    for r in some.collect():
+        want = closed_form([r[c] for c in FEATURES], weights, threshold)
+        if want is None:
+            assert got[r["id"]] is None
+            continue
+        assert want - 1e-9 <= got[r["id"]] <= want + 1e-3
+        assert random_draws[r["id"]] is None or got[r["id"]] <= random_draws[r["id"]] + 1e-9
+
+
+def test_directed_search_on_a_curved_model(spark, data, logistic):
+    some, score = data.where("id < 60"), m.scorer(logistic)
+    found = cf.nearest_counterfactual(some, "id", FEATURES, score, 2, 0.5)
+    got, draws = distances(found), distances(m.counterfactual_search(some, "id", FEATURES, score, 2, 0.5))
+    assert all(got[i] is not None and got[i] <= d + 1e-9 for i, d in draws.items() if d is not None)
+    wide = found.groupBy("id").pivot("feature", FEATURES).agg(F.first("proposed")).dropna()
+    assert wide.where("a < 0 OR a > 1 OR b < 0 OR b > 1 OR c < 0 OR c > 1").count() == 0
+    assert all(r["probabilities"][2] >= 0.5 - 1e-9 for r in score(wide).collect())
+
+
+def test_directed_search_of_rows_out_of_reach_repeated_and_incomplete(spark):
+    rows = [(1, 0.0, 0.0, 0.0), (1, 0.0, 0.0, 0.0), (2, 1.0, 1.0, 1.0), (3, None, 0.5, 0.5)]
+    df = spark.createDataFrame(rows, "id bigint, a double, b double, c double")
+    got = distances(cf.nearest_counterfactual(df, "id", FEATURES, linear((0.2, 0.2, 0.2)), 1, 0.59))
+    assert got[2] == 0.0 and got[3] is None and abs(got[1] - 2.95) < 1e-3
+    assert distances(cf.nearest_counterfactual(df, "id", FEATURES, linear((0.1, 0.1, 0.1)), 1, 0.5)) == {1: None, 2: None, 3: None}
+    assert cf.nearest_counterfactual(df.limit(0), "id", FEATURES, linear((1, 0, 0)), 1).collect() == []

@@ -74,8 +74,8 @@ def test_identity_history_in_blocks(spark):
         for n, (_, i, _) in enumerate(own):
             part = [v for _, _, v in own[max(0, n - 15) : n + 1]]
             want[i] = sum(part) / len(part)
-    for block, limit in [(16, 100), (64, 5000), (100_000, 100)]:
-        out = o.identity_history(df, ["m"], "v", "ts", "id", n=16, block=block, rows_per_slice=limit)
+    for limit in (7, 100, 5000):
+        out = o.identity_history(df, ["m"], "v", "ts", "id", n=16, rows_per_slice=limit)
         assert {r["id"]: r["mean_value"] for r in out.collect()} == want
 
 

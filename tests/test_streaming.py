@@ -74,3 +74,45 @@ def test_drift_per_window_and_late_rows(spark):
     batch = jobs.moments_by_window(stored.where("v < 1000"), "ts", ["v"], "1 day", "2 days")
     want = {r["window_start"]: (r["n_live"], r["t"]) for r in welch(batch.join(fixed, "column_name")).collect()}
     assert got == want and got[T0][0] == 20
+
+
+def test_identity_state_of_late_missing_and_crowding_rows(spark):
+    first = [(i, "a", T0 + timedelta(minutes=i), float(i)) for i in range(30)] + [(100, None, T0, 4.0), (101, "b", None, 8.0)]
+    late = [(200 + i, "a", T0 - timedelta(minutes=i + 1), 1000.0) for i in range(5)]  # older than all of a full state
+    some = [(300, "a", T0 + timedelta(minutes=12, seconds=30), 7.0), (301, "b", T0, None), (302, None, T0, 6.0)]
+    stream, stored = feed(spark, [first, late, some])
+    out = jobs.stream_identity(stream, ["k"], "v", "ts", "id", new_dir(spark, "out"), n=20)
+    assert rows(out) == rows(identity_now(stored, ["k"], "v", "ts", "id", n=20))
+
+
+def test_a_batch_writes_only_the_keys_it_touches(spark):
+    from tablewright.streaming.log import BatchLog
+
+    data = [(i, f"k{i % 50}", T0 + timedelta(minutes=i), float(i)) for i in range(400)]
+    stream, stored = feed(spark, [data, [(900, "k7", T0 + timedelta(days=9), 5.0)], [(901, "new", T0, 5.0)]])
+    target = new_dir(spark, "out")
+    out = jobs.stream_identity(stream, ["k"], "v", "ts", "id", target, n=5)
+    assert rows(out) == rows(identity_now(stored, ["k"], "v", "ts", "id", n=5))
+    written = BatchLog(spark, target).read("means").groupBy("_batch").agg(F.count(F.lit(1)).alias("n"), F.max("k").alias("k"))
+    assert rows(written) == [(0, 50, "k9"), (1, 1, "k7"), (2, 1, "new")]
+
+
+def test_state_with_a_time_to_live_and_compaction(spark):
+    data = events()
+    stream, stored = feed(spark, [data[i : i + 100] for i in range(0, 300, 100)])
+    out = jobs.stream_identity(stream, ["k"], "v", "ts", "id", new_dir(spark, "out"), n=40, ttl=timedelta(minutes=600), compact_every=2)
+    newest = stored.groupBy("k").agg(F.max("ts").alias("m"))
+    recent = stored.join(newest, "k").where("ts >= m - INTERVAL 600 MINUTES")
+    assert rows(out) == rows(identity_now(recent, ["k"], "v", "ts", "id", n=40))
+
+
+def test_materialized_changes_are_folded(spark):
+    from tablewright.streaming.log import BatchLog
+
+    data = events()
+    stream, stored = feed(spark, [data[i : i + 50] for i in range(0, 300, 50)])
+    target = new_dir(spark, "out")
+    out = jobs.stream_materialize(stream, ["k"], "ts", ["id"], target, compact_every=2)
+    assert rows(out.select("k", "id")) == rows(pick_per_key(stored, ["k"], ["ts", "id"], "last").select("k", "id"))
+    entries = BatchLog(spark, target).entries()
+    assert len(entries) <= 2 and entries[0]["base"]
