@@ -8,16 +8,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.operators.models import REACHED, SEED, STEPS, Scorer, proposed
+from tablewright.operators.ranges import parts_for
 from tablewright.sources.workspace import stage
 
 BEAM = 4  # points of a row that are carried from round to round
 GRID = 16  # places tried at once between one that fails and one that reaches
 BISECTIONS = 3  # narrowings of a feature's way back, each by GRID
+ROWS_PER_TASK = 200_000  # points tried
 _FAR = 1e9  # the estimate of a point that does not lead towards the goal
 
 _POINT = ["est", "d", "p", "x"]
 
 
+def _once(value: Column) -> Column:
+    """The value, computed once: a generator keeps the optimiser from writing the expression into all its uses."""
+    return F.explode(F.array(value))
+
+
 def _distance(x: Column, origin: Column) -> Column:
     moved = F.zip_with(x, origin, lambda a, b: F.abs(a - b))
     return F.aggregate(moved, F.lit(0.0), lambda total, v: total + v)
@@ -26,7 +33,7 @@ def _distance(x: Column, origin: Column) -> Column:
 def _scored(points: DataFrame, features: Sequence[str], score: Scorer, class_index: int) -> DataFrame:
     """``points`` (with the array ``x``) and the probability ``p`` of the class."""
     wide = points.withColumns({c: F.col("x")[j] for j, c in enumerate(features)})
-    return score(wide).withColumn("p", F.col("probabilities")[class_index].cast("double")).drop(*features, "probabilities")
+    return score(wide).withColumn("p", _once(F.col("probabilities")[class_index].cast("double"))).drop(*features, "probabilities")
 
 
 def _with(x: Column, j: Column, value: Column) -> Column:
@@ -41,7 +48,7 @@ def _explored(tried: DataFrame, threshold: float, beam: int) -> DataFrame:
     """
     gain = F.col("p") - F.col("p0")
     est = F.when(gain > 0, F.col("d") * (F.lit(threshold) - F.col("p0")) / gain).otherwise(F.lit(_FAR) + F.col("d"))
-    points = tried.withColumn("est", F.round(est, 9)).withColumn("point", F.struct(*_POINT))
+    points = tried.withColumn("est", F.round(est, 9)).withColumn("point", _once(F.struct(*_POINT)))
     reached = F.col("p") >= threshold
     # bounded sets: the moves from the points of one beam
     first = lambda array: F.slice(F.array_sort(array), 1, beam)
@@ -78,7 +85,7 @@ def _moves(state: DataFrame, n: int, seed: int, round_: int) -> DataFrame:
     further = (F.col("m") >= 0) & (kind < 2) & (own != target)
     tried = tried.where(~F.col("from.way") | further)
     x = F.when(F.col("m") < 0, F.col("from.x")).otherwise(_with(F.col("from.x"), j, target))
-    return tried.select("id", "x0", "p0", "goals", "last", F.col("from.way").alias("way"), x.alias("x"))
+    return tried.select("id", "x0", "p0", "goals", "last", F.col("from.way").alias("way"), _once(x).alias("x"))
 
 
 def _back(state: DataFrame, features: Sequence[str], score: Scorer, class_index: int, threshold: float) -> DataFrame:
@@ -96,8 +103,9 @@ def _back(state: DataFrame, features: Sequence[str], score: Scorer, class_index:
         tried = ways.withColumn("t", F.explode(F.sequence(F.lit(1), F.lit(GRID - 1)))).withColumn("share", F.greatest(share, F.lit(0.0)))
         origin, own = F.element_at("x0", F.col("j") + 1), F.element_at("y", F.col("j") + 1)
         x = _with(F.col("y"), F.col("j"), origin + F.col("share") * (own - origin))
-        found = _scored(tried.withColumn("x", x), features, score, class_index)
+        found = _scored(tried.withColumn("x", _once(x)), features, score, class_index)
         reached = F.min(F.when(F.col("p") >= threshold, F.col("share")))
+        # rows of an id lie together, so this moves nothing
         ways = found.groupBy("id", "j").agg(
             F.first("x0").alias("x0"), F.first("y").alias("y"), F.least(F.first("high"), reached).alias("high"),
             F.first("low").alias("low"), F.collect_list(F.struct("share", "p")).alias("seen"),
@@ -146,25 +154,26 @@ def nearest_counterfactual(
     rows = df.select(F.col(unique).alias("id"), x0.alias("x0")).dropDuplicates(["id"])
     own = _scored(rows.withColumn("x", F.col("x0")), features, score, class_index).withColumnRenamed("p", "p0")
     base = stage(own.drop("x"), "origin")
+    parts = parts_for(base, base.count() * (STEPS + 1), ROWS_PER_TASK)
     drawn = base.withColumns({f"_x_{c}": F.col("x0")[j] for j, c in enumerate(features)}).withColumn(
         "_step", F.explode(F.sequence(F.lit(0), F.lit(STEPS)))
     )
     none = F.lit(None).cast("struct<d: double, p: double, x: array<double>>").alias("last")
     nowhere = F.array().cast("array<struct<est: double, d: double, p: double, x: array<double>>>").alias("goals")
-    x = F.array(*[proposed("id", c, STEPS, seed) for c in features]).alias("x")
+    x = _once(F.array(*[proposed("id", c, STEPS, seed) for c in features])).alias("x")
     # the row itself, proposal 0, is where its ways begin
     drawn = drawn.select("id", "x0", "p0", nowhere, none, (F.col("_step") == 0).alias("way"), x)
 
     def step(points: DataFrame) -> DataFrame:
-        tried = _scored(points, features, score, class_index).withColumn("d", _distance(F.col("x"), F.col("x0")))
+        tried = _scored(points, features, score, class_index).withColumn("d", _once(_distance(F.col("x"), F.col("x0"))))
         return stage(_explored(tried, threshold, beam), "search")
 
-    state = step(drawn.repartition("id"))
+    state = step(drawn.repartition(parts, "id"))
     open_rows = F.col("p0") < threshold  # a row that is there already has distance 0
     saved = F.coalesce(F.col("last.d"), F.lit(float(n + 1))) - F.coalesce(F.col("best.d"), F.lit(float(n + 1)))
     searched = state.where(open_rows)
     for round_ in range(rounds):
-        searched = step(_moves(searched.repartition("id"), n, seed, round_))
+        searched = step(_moves(searched.repartition(parts, "id"), n, seed, round_))
         # to reach the goal at all may take a round per feature
         if round_ + 1 >= n and not searched.where(saved > precision).limit(1).count():
             break
@@ -175,7 +184,7 @@ def nearest_counterfactual(
         .select(F.struct("id", "k").alias("id"), "x0", "best"), "starts",
     )
     for _ in range(n):
-        current = stage(_back(current.select("id", "x0", "best"), features, score, class_index, threshold), "back")
+        current = stage(_back(current.select("id", "x0", "best").repartition(parts, "id"), features, score, class_index, threshold), "back")
         if not current.where(F.col("_gain") > precision).limit(1).count():
             break
     nearest = current.groupBy(F.col("id.id").alias("id")).agg(F.min("best").alias("best"))

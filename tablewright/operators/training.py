@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -137,26 +138,49 @@ def _batches(records: Iterable[pa.RecordBatch], features: int, size: int) -> Ite
         yield x, y
 
 
-def _epoch(state: Adam, features: int, share: int, rate: float):
-    """One pass over a task's rows, step by step together with the other tasks."""
+def _epoch(state: Adam, features: int, share: int, rate: float, every: int, alone: bool):
+    """One pass over a task's rows, together with the other tasks."""
+
+    def together(context, mine: Adam, batches) -> tuple[float, float]:
+        """One batch of all tasks, their gradients summed; its loss and rows."""
+        sums = np.zeros(sum(w.size for w in mine.weights) + 2)
+        batch = next(batches, None)
+        if batch is not None:
+            found, loss = gradient(mine.weights, *batch)
+            sums = np.concatenate([_flat(found), [loss, len(batch[1])]])
+        sums = sums if alone else _gathered(context, sums)  # a task that has run out adds nothing
+        if sums[-1]:
+            mine.step(_shaped(sums[:-2] / sums[-1], mine.weights), rate)
+        return float(sums[-2]), float(sums[-1])
+
+    def apart(context, mine: Adam, batches) -> tuple[float, float]:
+        """So many batches of each task by itself, then the mean of what they hold, by rows."""
+        before, loss, n = mine.steps, 0.0, 0
+        for batch in islice(batches, every):
+            found, lost = gradient(mine.weights, *batch)
+            mine.step([g / len(batch[1]) for g in found], rate)
+            loss, n = loss + lost, n + len(batch[1])
+        if alone:
+            return loss, float(n)
+        held = _flat([*mine.weights, *mine.first, *mine.second])
+        sums = _gathered(context, np.concatenate([held * n, [loss, n]]))
+        if sums[-1]:
+            mean = _shaped(sums[:-2] / sums[-1], [*mine.weights, *mine.first, *mine.second])
+            k = len(mine.weights)
+            mine.weights, mine.first, mine.second = mean[:k], mean[k : 2 * k], mean[2 * k :]
+            mine.steps = before + every
+        return float(sums[-2]), float(sums[-1])
 
     def run(records: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = BarrierTaskContext.get()
         mine = Adam([w.copy() for w in state.weights], [m.copy() for m in state.first], [v.copy() for v in state.second], state.steps)
-        empty = np.zeros(sum(w.size for w in mine.weights) + 2)
         total = seen = 0.0
         batches = _batches(records, features, share)
         while True:
-            batch = next(batches, None)
-            sums = empty
-            if batch is not None:
-                found, loss = gradient(mine.weights, *batch)
-                sums = np.concatenate([_flat(found), [loss, len(batch[1])]])
-            sums = _gathered(context, sums)  # a task that has run out adds nothing
-            if not sums[-1]:
+            loss, n = (together if every == 1 else apart)(context, mine, batches)
+            if not n:
                 break
-            mine.step(_shaped(sums[:-2] / sums[-1], mine.weights), rate)
-            total, seen = total + sums[-2], seen + sums[-1]
+            total, seen = total + loss, seen + n
         if context.partitionId() == 0:
             parts = [_flat(a).tobytes() for a in (mine.weights, mine.first, mine.second)]
             yield pa.RecordBatch.from_arrays(
@@ -197,23 +221,27 @@ def evaluate(df: DataFrame, features: Sequence[str], label: str, weights: list[n
 def train_network(
     df: DataFrame, features: Sequence[str], label: str, n_classes: int, unique: str, epochs: int = 2, seed: int = 42,
     validation: DataFrame | None = None, hidden: Sequence[int] = HIDDEN, batch: int = BATCH, workers: int | None = None,
-    rate: float = RATE,
+    rate: float = RATE, every: int = 1,
 ) -> Network:
     """A dense network trained by Adam on batches of ``batch`` rows, drawn in a seeded order that epochs share.
 
     Rows are shuffled once by the hash of ``unique`` and the seed, and dealt
-    to ``workers`` tasks (by default as many as there are cores, and never more
-    than rows of a batch), each of which brings its share of every batch. The tasks run
-    together in a barrier stage; after each batch their gradients are summed
-    in the order of the tasks, so all hold the same weights and a run can be
-    repeated. A task holds one batch of Arrow records at a time. Weights and
+    to ``workers`` tasks (by default as many as there are cores), which run
+    together in a barrier stage. With ``every`` 1 each task brings its share of
+    every batch, and after each batch the gradients are summed in the order of
+    the tasks, which is the training of one process at the price of a meeting
+    of all tasks per batch, which takes Spark about a second. With more, each task takes so many batches of its own rows, and
+    then all go on with the mean of their weights and moments. Either way all
+    hold the same numbers and a run can be repeated. A task holds one batch of Arrow records at a time. Weights and
     moments come back to the driver after an epoch, so what a lost executor
     costs is an epoch. Rows with a missing feature or label are left out.
     """
     features = list(features)
     spark = df.sparkSession
-    workers = min(workers or spark.sparkContext.defaultParallelism, batch)
-    share = -(-batch // workers)
+    workers = workers or spark.sparkContext.defaultParallelism
+    if every == 1:
+        workers = min(workers, batch)
+    share = -(-batch // workers) if every == 1 else batch
     columns = [*[F.col(c).cast("double").alias(c) for c in features], F.col(label).cast("bigint").alias("_label")]
     known = df.select(*columns, F.xxhash64(F.col(unique), F.lit(seed)).alias("_draw"), F.col(unique).alias("_unique")).dropna()
     for c in features:
@@ -225,7 +253,7 @@ def train_network(
     for epoch in range(epochs):
         rows = dealt.repartitionById(workers, F.col("_worker")).sortWithinPartitions("_part", "_pos").select(*features, "_label")
         done = rows.mapInArrow(
-            _epoch(state, len(features), share, rate),
+            _epoch(state, len(features), share, rate, every, workers == 1),
             "weights binary, first binary, second binary, steps bigint, loss double, rows double", barrier=True,
         ).collect()  # one row: the state after the epoch, of the size of the network; none if there was nothing to learn
         entry = {"epoch": epoch + 1, "loss": None}

@@ -20,7 +20,7 @@ def train_classifier(spark, sf):
     """Train the dense network on the train rows, two epochs by two tasks, and predict the test rows."""
     data = country_training_set(spark, sf)
     train = data.table.where("split = 'train'")
-    model = train_network(train, COUNTRY_FEATURES, "code", data.codes.count(), "o_orderkey", workers=2)
+    model = train_network(train, COUNTRY_FEATURES, "code", data.codes.count(), "o_orderkey", workers=2, every=32)
     test = data.table.where("split = 'test'")
     return m.predict(test, m.foreign_scorer(model.loader(), COUNTRY_FEATURES)).select("o_orderkey", "code", "predicted")
 
@@ -68,7 +68,7 @@ def score_foreign(spark, sf):
 @query("counterfactual_search")
 def counterfactual(spark, sf):
     scaled, _, model, _ = part_model(spark, sf)
-    return nearest_counterfactual(scaled, "p_partkey", FEATURES, m.scorer(model), class_index=0)
+    return nearest_counterfactual(scaled, "p_partkey", FEATURES, m.scorer(model), class_index=0, rounds=6)
 
 
 @query("feature_attribution")
@@ -169,7 +169,7 @@ def counterfactual_validity(spark, sf):
 def counterfactual_nearest(spark, sf):
     """Of a linear rule the nearest point is known: the heavier feature moves first. The search ends within 0.001 of it."""
     scaled, score = linear_parts(spark, sf)
-    found = nearest_counterfactual(scaled, "p_partkey", FEATURES, score, 1, threshold=0.6)
+    found = nearest_counterfactual(scaled, "p_partkey", FEATURES, score, 1, threshold=0.6, rounds=6)
     distance = found.groupBy("p_partkey").agg(
         F.min(F.col("proposed").isNotNull()).alias("reached"), F.sum(F.abs("difference")).alias("_found")
     )
