@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tablewright.operators import models as m
 from tablewright.operators.counterfactual import nearest_counterfactual
 from tablewright.operators.joins import lookup
+from tablewright.operators.online_index import IndexedTable
 from tablewright.operators.ordering import sorted_codes
 from tablewright.operators.prep import MinMax, encode_labels
 from tablewright.operators.training import train_network
@@ -180,3 +181,20 @@ def counterfactual_nearest(spark, sf):
     both = scaled.withColumn("_nearest", nearest).join(distance, "p_partkey")
     near = F.col("_found").between(F.col("_nearest") - 1e-9, F.col("_nearest") + 1e-3)
     return both.select("p_partkey", "reached", F.round("_nearest", 6).alias("nearest"), near.alias("near"))
+
+
+@query(
+    "entity_key_only_linear",
+    LINEAR
+    + """SELECT DISTINCT l_partkey AS p_partkey, CASE WHEN 0.25 * size + 0.75 * price > 0.5 THEN 1 ELSE 0 END AS predicted
+      FROM lineitem JOIN x ON p_partkey = l_partkey""",
+)
+def entity_key_only_linear(spark, sf):
+    """From keys alone, by a fixed rule: features from the indexed serving table, scaled and scored."""
+    parts = table(spark, sf, "part").selectExpr("p_partkey", "CAST(p_size AS DOUBLE) AS size", "p_retailprice AS price")
+    _, score = linear_parts(spark, sf)
+    stored = IndexedTable(spark, ["p_partkey"], rows_per_bucket=500)
+    stored.write(parts)
+    found = stored.lookup(table(spark, sf, "lineitem").selectExpr("l_partkey AS p_partkey").distinct(), FEATURES)
+    scaled = MinMax.fit(parts, FEATURES).transform(found)
+    return m.predict(scaled, score).select("p_partkey", "predicted")

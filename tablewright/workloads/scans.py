@@ -8,7 +8,7 @@ from tablewright.operators.ordering import sorted_codes
 from tablewright.operators.prep import MinMax, encode_labels, split
 from tablewright.operators.versions import VersionedTable
 from tablewright.sources.snapshot import read_snapshot, write_snapshot
-from tablewright.sources.tables import read_csv, read_parquet, write_csv, write_parquet
+from tablewright.sources.tables import list_objects, read_csv, read_parquet, write_csv, write_parquet
 from tablewright.sources.workspace import new_dir
 from tablewright.workloads.base import query, table
 
@@ -230,3 +230,16 @@ def parse_properties(spark, sf):
     return table(spark, sf, "events").select(
         "event_id", F.from_json("props", "struct<k:bigint>")["k"].alias("k")
     )
+
+
+@query("list_objects", "SELECT event_type, 1 AS files, true AS filled, true AS recent FROM events GROUP BY event_type")
+def listed(spark, sf):
+    """The files a partitioned write left, one folder a type, from the listing alone."""
+    path = new_dir(spark, "artifacts")
+    write_parquet(table(spark, sf, "events").repartition(1, "event_type"), path, ["event_type"])
+    found = list_objects(spark, path, "*.parquet")
+    folder = F.element_at(F.split("path", "/"), -2)
+    return found.groupBy(F.regexp_extract(folder, "event_type=(.*)", 1).alias("event_type")).agg(
+        F.count(F.lit(1)).cast("int").alias("files"), F.min(F.col("length") > 0).alias("filled"),
+        F.min(F.col("modificationTime") > F.lit("2024-01-01").cast("timestamp")).alias("recent"),
+    )
