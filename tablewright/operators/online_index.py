@@ -18,8 +18,10 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablewright.operators.asof import asof_join
 from tablewright.operators.features import FeatureService, FeatureView, OnlineTable
 from tablewright.operators.incremental import upsert_unique
+from tablewright.operators.ranges import in_order
 from tablewright.operators.slicing import join_null_safe
 from tablewright.operators.versions import VersionedTable, diff, row_hash
 from tablewright.sources.workspace import new_dir, stage
@@ -49,13 +51,23 @@ class IndexedTable(VersionedTable):
     def _hash(self) -> Column:
         return F.xxhash64(*[F.col(f"`{k}`") for k in self.keys])
 
-    def _put(self, rows: DataFrame, n_buckets: int) -> DataFrame:
-        """Write rows into files by bucket; returns their index rows."""
+    def _placed(self, rows: DataFrame, layout: int, index: DataFrame | None = None) -> DataFrame:
+        """``rows`` with the bucket of their keys."""
+        return rows.withColumn(BUCKET, F.pmod(self._hash(), F.lit(layout)).cast("int"))
+
+    _noted_names: tuple[str, ...] = ()
+
+    def _noted(self) -> list[Column]:
+        """Further columns of which the index keeps the least of each bucket."""
+        return []
+
+    def _put(self, placed: DataFrame, layout: int, tasks: int) -> DataFrame:
+        """Write rows with a bucket into files by it; returns their index rows."""
+        rows = placed.drop(BUCKET)
         names = rows.columns
         path = new_dir(self.spark, "buckets")
-        placed = rows.withColumn(HASH, self._hash()).withColumn(BUCKET, F.pmod(F.col(HASH), F.lit(n_buckets)).cast("int"))
         (
-            placed.repartition(n_buckets, BUCKET).sortWithinPartitions(BUCKET, HASH)
+            placed.withColumn(HASH, self._hash()).repartition(max(tasks, 1), BUCKET).sortWithinPartitions(BUCKET, HASH)
             .write.partitionBy(BUCKET)
             .option(f"parquet.bloom.filter.enabled#{HASH}", "true")
             .option(f"parquet.bloom.filter.expected.ndv#{HASH}", str(self.rows_per_bucket))
@@ -63,15 +75,16 @@ class IndexedTable(VersionedTable):
         )
         stored = self.spark.read.schema(T.StructType([*rows.schema.fields, T.StructField(BUCKET, T.IntegerType())])).parquet(path)
         row = row_hash(rows.schema, names)
-        hashed = stored.select(F.col(BUCKET).alias("bucket"), F.input_file_name().alias("file"), row.alias("h"))
+        hashed = stored.select(F.col(BUCKET).alias("bucket"), F.input_file_name().alias("file"), row.alias("h"), *self._noted())
         return hashed.groupBy("bucket", "file").agg(
             F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("h").cast("decimal(38,0)")).cast("decimal(38,0)").alias("hash_sum"),
-            F.bit_xor("h").alias("hash_xor"),
-        ).withColumn("n_buckets", F.lit(n_buckets))
+            F.bit_xor("h").alias("hash_xor"), *[F.min(c).alias(c) for c in self._noted_names],
+        ).withColumn("n_buckets", F.lit(layout))
 
     def _commit(self, index: DataFrame, schema: T.StructType, note: str, version: int) -> int:
         path = new_dir(self.spark, "index")
-        index.select(*T.StructType.fromDDL(INDEX_SCHEMA).names).coalesce(1).write.parquet(path)  # one row per bucket
+        names = [*T.StructType.fromDDL(INDEX_SCHEMA).names, *self._noted_names]
+        index.select(*names).coalesce(1).write.parquet(path)  # one row per bucket
         total = self.spark.read.schema(INDEX_SCHEMA).parquet(path).agg(
             F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n"), F.coalesce(F.sum("hash_sum"), F.lit(0)).cast("decimal(38,0)").cast("string").alias("s"),
             F.coalesce(F.bit_xor("hash_xor"), F.lit(0)).alias("x"),
@@ -84,7 +97,7 @@ class IndexedTable(VersionedTable):
         version = (after["version"] if after else self.newest()) + 1
         rows = stage(df, "snapshot")  # counted and written
         n_buckets = max(-(-rows.count() // self.rows_per_bucket), 1)
-        return self._commit(self._put(rows, n_buckets), df.schema, note, version)
+        return self._commit(self._put(self._placed(rows, n_buckets), n_buckets, n_buckets), df.schema, note, version)
 
     def upsert(self, delta: DataFrame, note: str = "", after: Row | None = None) -> int:
         """Replace or add the rows of ``delta`` (unique keys); only buckets that hold them are read and written."""
@@ -94,19 +107,21 @@ class IndexedTable(VersionedTable):
             raise ValueError(f"columns differ: {sorted(set(delta.columns) ^ set(schema.names))}")
         delta = stage(delta.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields]), "delta")
         index = self.index(current)
-        known = index.agg(F.max("n_buckets")).first()[0] or 1
-        if current["n_rows"] + delta.count() > GROWTH * known * self.rows_per_bucket:
+        size = index.agg(F.max("n_buckets").alias("layout"), F.max("bucket").alias("last")).first()
+        layout, buckets = size["layout"] or 1, (size["last"] or 0) + 1
+        if current["n_rows"] + delta.count() > GROWTH * buckets * self.rows_per_bucket:
             return self.write(upsert_unique(self.read_entry(current), delta, self.keys), note, current)
-        touched = delta.select(F.pmod(self._hash(), F.lit(known)).cast("int").alias("bucket")).distinct()
+        touched = stage(self._placed(delta, layout, index).select(F.col(BUCKET).alias("bucket")).distinct(), "touched")
         merged = upsert_unique(self._rows(index.join(touched, "bucket", "left_semi"), schema), delta, self.keys)
         kept = index.join(touched, "bucket", "left_anti")
-        return self._commit(kept.unionByName(self._put(merged, known)), schema, note, current["version"] + 1)
+        written = self._put(self._placed(merged, layout, index), layout, touched.count())
+        return self._commit(kept.unionByName(written), schema, note, current["version"] + 1)
 
     # -- reading
 
     def index(self, entry: Row | None = None) -> DataFrame:
         """bucket, file, n_rows, hash_sum, hash_xor, n_buckets of a version, one row per bucket."""
-        return self.spark.read.schema(INDEX_SCHEMA).parquet((entry or self.entry())["path"])
+        return self.spark.read.parquet((entry or self.entry())["path"])
 
     def _rows(self, index: DataFrame, schema: T.StructType, with_hash: bool = False) -> DataFrame:
         """The rows of the index's files; no folder is listed."""
@@ -126,8 +141,8 @@ class IndexedTable(VersionedTable):
         typed = request.select(*[F.col(f"`{k}`").cast(schema[k].dataType).alias(k) for k in self.keys]).distinct()
         wanted = stage(typed.withColumn(HASH, self._hash()), "request")
         index = self.index(entry)
-        n_buckets = index.agg(F.max("n_buckets")).first()[0] or 1
-        buckets = wanted.select(F.pmod(F.col(HASH), F.lit(n_buckets)).cast("int").alias("bucket")).distinct()
+        layout = index.agg(F.max("n_buckets")).first()[0] or 1
+        buckets = self._placed(wanted, layout, index).select(F.col(BUCKET).alias("bucket")).distinct()
         rows = self._rows(index.join(buckets, "bucket", "left_semi"), schema, with_hash=True)
         few = wanted.select(HASH).distinct().limit(PUSHED_KEYS + 1).collect()
         if len(few) <= PUSHED_KEYS:
@@ -148,12 +163,42 @@ class IndexedTable(VersionedTable):
         one, two = self.index(a), self.index(b)
         schemas = [T.StructType.fromJson(json.loads(x["schema"])) for x in (a, b)]
         sizes = [x.agg(F.max("n_buckets")).first()[0] for x in (one, two)]
-        if sizes[0] == sizes[1] and schemas[0] == schemas[1]:
+        if sizes[0] == sizes[1] and schemas[0] == schemas[1]:  # else the same key may lie in buckets of other numbers
             content = ["bucket", "n_rows", "hash_sum", "hash_xor"]
             one, two = one.join(two, content, "left_anti"), two.join(one, content, "left_anti")
         return diff(self._rows(one, schemas[0]), self._rows(two, schemas[1]), self.keys)
 
 
+class RangedTable(IndexedTable):
+    """An indexed table whose buckets are ranges of the first key, so that changes close together touch few of them.
+
+    The index keeps the least key of each range. The first version's ranges
+    come from a range exchange; later rows find theirs by an as-of join with
+    the least keys, those below all of them in the first range. Rows of equal
+    first key share a range, and a missing one comes first.
+    """
+
+    _noted_names = ("low",)
+
+    def _noted(self) -> list[Column]:
+        return [F.col(f"`{self.keys[0]}`").alias("low")]
+
+    def write(self, df: DataFrame, note: str = "", after: Row | None = None) -> int:
+        version = (after["version"] if after else self.newest()) + 1
+        ordered = in_order(df, [self.keys[0]], self.rows_per_bucket)
+        parts = ordered.agg(F.max("_part")).first()[0] or 0
+        placed = ordered.withColumn(BUCKET, F.col("_part").cast("int")).drop("_part", "_pos")
+        # ranges of another version have another number, as their bounds differ
+        return self._commit(self._put(placed, version, parts + 1), df.schema, note, version)
+
+    def _placed(self, rows: DataFrame, layout: int, index: DataFrame | None = None) -> DataFrame:
+        first = self.keys[0]
+        bounds = index.where(F.col("low").isNotNull()).select(F.col("low").alias("_low"), F.col("bucket").alias("_of"))
+        least = index.agg(F.min("bucket")).first()[0] or 0
+        found = asof_join(rows, bounds, [], first, "_low", ["_of"], ["_of"])
+        return found.withColumn(BUCKET, F.coalesce("_of", F.lit(least)).cast("int")).drop("_of")
+
+
 class IndexedOnlineTable(OnlineTable):
     """The latest feature row per key in an indexed table: lookups and refreshes read and write their buckets alone."""
 

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from tablewright.operators.features import FeatureService
 from tablewright.operators.ondemand import Derived, OnDemandView, historical, online, plan
-from tablewright.operators.online_index import IndexedOnlineTable, IndexedTable
+from tablewright.operators.online_index import IndexedOnlineTable, IndexedTable, RangedTable
 from tablewright.operators.ordering import latest_per_key
 from tablewright.workloads.base import query, table
 from tablewright.workloads.feature_store import END, LATEST, MIDDLE, START, all_events, view_of
@@ -148,3 +148,38 @@ def online_index_diff(spark, sf):
     online_table.materialize(START, datetime(2024, 1, 24))
     online_table.materialize_incremental(END)
     return online_table.store.changes(1, 2)
+
+
+def range_versions(spark, sf):
+    """Orders in ranges of their keys, and a second version that changes some neighbours and adds a few below all."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    stored = RangedTable(spark, ["o_orderkey"], rows_per_bucket=BUCKET_ROWS)
+    stored.write(orders)
+    changed = orders.where("o_orderkey BETWEEN 100 AND 250").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    added = orders.where("o_orderkey <= 3").withColumn("o_orderkey", F.col("o_orderkey") - 1_000_000)
+    stored.upsert(changed.unionByName(added))
+    return stored
+
+
+@query(
+    "range_version_diff",
+    """
+    SELECT o_orderkey, 'changed' AS change FROM orders WHERE o_orderkey BETWEEN 100 AND 250
+    UNION ALL SELECT o_orderkey - 1000000, 'added' FROM orders WHERE o_orderkey <= 3
+    """,
+)
+def range_version_diff(spark, sf):
+    """What changed between two versions, from the ranges whose contents differ."""
+    return range_versions(spark, sf).changes(1, 2)
+
+
+@query(
+    "range_version_read",
+    """
+    SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey BETWEEN 100 AND 250 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice
+    FROM orders UNION ALL SELECT o_orderkey - 1000000, o_custkey, o_totalprice FROM orders WHERE o_orderkey <= 3
+    """,
+)
+def range_version_read(spark, sf):
+    """The second version: new files for the ranges that changed, the first version's for the others."""
+    return range_versions(spark, sf).read()

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tablewright.operators.incremental import upsert_unique
 from tablewright.operators.joins import lookup
-from tablewright.operators.online_index import IndexedTable
+from tablewright.operators.online_index import IndexedTable, RangedTable
 from tablewright.operators.versions import diff, fingerprint
 from tests.conftest import rows
 
@@ -98,3 +98,40 @@ def test_empty_tables_and_requests(spark, stored):
     assert table.read().count() == 1
     with pytest.raises(ValueError):
         table.upsert(frame(spark, [(1, "p")]).drop("w"))
+
+
+def test_ranges_changed_in_one_place_read_and_write_about_that_place(spark):
+    keys = [(i, "p") for i in range(2000)] + [(None, "p")]
+    table = RangedTable(spark, ["a", "b"], rows_per_bucket=100)
+    table.write(frame(spark, keys))
+    assert rows(table.read()) == rows(frame(spark, keys)) and table.index().count() > 12
+    delta = frame(spark, [(i, "p") for i in range(700, 720)] + [(710, "new")], seed=3)
+    table.upsert(delta)
+    want = upsert_unique(frame(spark, keys), delta, ["a", "b"])
+    assert rows(table.read()) == rows(want) and rows(table.read(1)) == rows(frame(spark, keys))
+    assert table.entry()["fingerprint"] == fingerprint(want).first()["fingerprint"]
+    before, after = ({r["bucket"]: r["file"] for r in table.index(table.entry(v)).collect()} for v in (1, 2))
+    assert sum(before[b] != after[b] for b in before) <= 2
+    found = table.changes(1, 2)
+    assert rows(found) == rows(diff(table.read(1), table.read(2), ["a", "b"]))
+    assert len({f for f in found.inputFiles() if "_bucket" in f}) <= 4
+    asked = spark.createDataFrame([(705, "p"), (None, "p"), (-5, "p"), (9999, "p"), (710, "new")], "a bigint, b string")
+    assert rows(table.lookup(asked, ["v"])) == rows(lookup(asked, want, ["a", "b"], ["v"]))
+    assert len([f for f in table.rows_for(asked.limit(1)).inputFiles() if "_bucket" in f]) == 1
+
+
+def test_ranges_of_texts_take_keys_outside_them(spark):
+    def named(pairs):
+        return spark.createDataFrame(pairs, "k string, v bigint")
+
+    table = RangedTable(spark, ["k"], rows_per_bucket=10)
+    table.write(named([(f"m{i:03d}", i) for i in range(60)]))
+    more = named([("a", 1), ("zz", 2), (None, 3), ("m005", 4)])
+    table.upsert(more)
+    assert rows(table.read()) == rows(upsert_unique(named([(f"m{i:03d}", i) for i in range(60)]), more, ["k"]))
+    table.upsert(named([("a", 9)]))
+    assert rows(table.changes(2, 3)) == [("a", "changed")] and rows(table.changes(1, 3))[0][1] == "added"
+    empty = RangedTable(spark, ["k"])
+    empty.write(named([]))
+    empty.upsert(named([("x", 1)]))
+    assert rows(empty.read()) == [("x", 1)]
