@@ -15,9 +15,7 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 @pytest.fixture(scope="module")
 def slow():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)
 
 
 def check(rows, texts, slow):
@@ -88,3 +86,17 @@ def test_costs_are_balanced():
         in_order[-1] += cost(n)
         have += n
     assert np.std(list(spent.values())) < 0.5 * np.std(in_order)
+
+
+def test_special_tokens_in_texts_are_the_library_s(slow):
+    encode = encoder(PATH)
+    for text in ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>x", "<|endoftext", "x" * 50 + "<|endoftext|>\n"]:
+        assert token_ids(encode, text).tolist() == [*slow.encode(text, add_special_tokens=False).ids, 0]
+
+
+def test_the_packer_travels_by_value():
+    from pyspark import cloudpickle
+
+    from tablewright.llm.packing import _packer
+
+    assert b"tablewright.llm.packing\x94\x8c\x07encoder" not in cloudpickle.dumps(_packer(PATH, 1024, 100, 10, False))
