@@ -147,7 +147,7 @@ def distances(out):
 @pytest.mark.parametrize("weights, threshold", [((0.25, 0.5, 0.25), 0.7), ((-0.3, 0.9, 0.2), 0.8), ((0.4, 0.4, 0.0), 0.9)])
 def test_directed_search_finds_the_nearest_point_of_a_linear_rule(data, weights, threshold):
     some, score = data.where("id < 60"), linear(weights)
-    got = distances(cf.nearest_counterfactual(some, "id", FEATURES, score, 1, threshold, rounds=8))
+    got = distances(cf.nearest_counterfactual(some, "id", FEATURES, score, 1, threshold, rounds=4))
     random_draws = distances(m.counterfactual_search(some, "id", FEATURES, score, 1, threshold))
     for r in some.collect():
         want = closed_form([r[c] for c in FEATURES], weights, threshold)
@@ -160,7 +160,7 @@ def test_directed_search_finds_the_nearest_point_of_a_linear_rule(data, weights,
 
 def test_directed_search_on_a_curved_model(spark, data, logistic):
     some, score = data.where("id < 60"), m.scorer(logistic)
-    found = cf.nearest_counterfactual(some, "id", FEATURES, score, 2, 0.5, rounds=8)
+    found = cf.nearest_counterfactual(some, "id", FEATURES, score, 2, 0.5, rounds=4)
     got, draws = distances(found), distances(m.counterfactual_search(some, "id", FEATURES, score, 2, 0.5))
     assert all(got[i] is not None and got[i] <= d + 1e-9 for i, d in draws.items() if d is not None)
     wide = found.groupBy("id").pivot("feature", FEATURES).agg(F.first("proposed")).dropna()
