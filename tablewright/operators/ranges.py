@@ -2,8 +2,8 @@
 
 A window over a key sends all its rows to one task, and a window without a key
 sends the whole table there. Here the table is range-partitioned by (keys,
-order columns) into as many partitions as its size asks for, without an upper
-bound, sorted inside each partition and written to the shared folder together
+order columns) into as many partitions as its size asks for, small ones only
+while they are few, sorted inside each partition and written to the shared folder together
 with the number of its partition. Rows of one key are then neighbours, in one
 partition or in several that follow each other, and a result for the key is
 the result inside the partition plus a summary (one row per partition) of the
@@ -24,10 +24,20 @@ ROWS_PER_PART = 1_000_000
 _INDEX_BITS = 33  # of monotonically_increasing_id below the partition number
 
 
+# Parts smaller than this are made while there are few of them: every part costs a task, a file and a line on the driver.
+LEAST_ROWS = 100_000
+FEW_PARTS = 200
+
+
+def bounded_parts(rows: int, rows_per_part: int) -> int:
+    """Parts of at most so many rows, or of ``LEAST_ROWS`` where that would make more than ``FEW_PARTS``."""
+    return max(min(math.ceil(rows / rows_per_part), max(FEW_PARTS, math.ceil(rows / LEAST_ROWS))), 1)
+
+
 def parts_for(df: DataFrame, rows: int, rows_per_part: int = ROWS_PER_PART) -> int:
-    """Partitions for so many rows: bounded rows each, and the cores kept busy."""
+    """Partitions for so many rows: bounded rows each (see ``bounded_parts``), and the cores kept busy."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return max(math.ceil(rows / rows_per_part), min(cores, math.ceil(rows / 10_000)), 1)
+    return max(bounded_parts(rows, rows_per_part), min(cores, math.ceil(rows / 10_000)))
 
 
 def in_order(

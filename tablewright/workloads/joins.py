@@ -113,7 +113,7 @@ def join_asof(spark, sf):
     """,
 )
 def join_asof_hot_keys(spark, sf):
-    """The same join with a slice size at which most users are cut along time."""
+    """The same join with a slice size at which users are cut along time, as many as the number of slices allows."""
     entities, history = entities_and_history(spark, sf)
     return asof_join(
         entities, history, ["user_id"], "ts", "feature_ts", ["feature"], ["feature_id"], unmatched="drop_expired",

@@ -131,7 +131,7 @@ def identity_history(spark, sf):
     """,
 )
 def identity_history_sliced(spark, sf):
-    """The same with every event type cut into many partitions, shorter than a frame."""
+    """The same with every event type cut into many partitions, on small tables shorter than a frame."""
     return o.identity_history(cents(spark, sf), ["event_type"], "cents", "ts", "event_id", rows_per_slice=100)
 
 

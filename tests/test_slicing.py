@@ -112,3 +112,17 @@ def test_one_position_with_most_rows(spark):
     found = rank_cutoffs(df, ["k"], ["day", "id"], lambda n: F.ceil(n / 2), rows_per_slice=limit)
     got = {r["k"]: tuple(r["_cutoff"]) for r in found.collect()}
     assert got == {k: (lambda r: (r[2], r[0]))(sorted(g, key=order)[-(-len(g) // 2) - 1]) for k, g in groups.items()}
+
+
+def test_number_of_small_parts_is_bounded(spark):
+    """Parts below the least size are made while there are few of them, whatever is asked for; numbers stay right."""
+    from tablewright.operators.ranges import FEW_PARTS, LEAST_ROWS, bounded_parts
+
+    assert bounded_parts(1000, 25) == 40
+    assert bounded_parts(6_000_000, 25) == FEW_PARTS
+    assert bounded_parts(600 * LEAST_ROWS, 25) == 600
+    assert bounded_parts(36_000_000, 1_000_000) == 36 and bounded_parts(0, 25) == 1
+    df = spark.range(FEW_PARTS + 300).selectExpr("id % 3 AS k", "id")
+    assert in_order(df, ["k", "id"], rows_per_part=1).agg(F.max("_part")).first()[0] < FEW_PARTS
+    out = row_number(df, ["k"], ["id"], rows_per_slice=1).collect()
+    assert {r["id"]: r["row_number"] for r in out} == {i: i // 3 + 1 for i in range(FEW_PARTS + 300)}
