@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from tablewright.operators.asof import asof_join
 from tablewright.operators.features import FeatureService, FeatureView, OnlineTable
 from tablewright.operators.incremental import upsert_unique
-from tablewright.operators.ranges import in_order
+from tablewright.operators.ranges import bounded_parts, in_order
 from tablewright.operators.slicing import join_null_safe
 from tablewright.operators.versions import VersionedTable, diff, row_hash
 from tablewright.sources.workspace import new_dir, stage
@@ -61,8 +61,8 @@ class IndexedTable(VersionedTable):
         """Further columns of which the index keeps the least of each bucket."""
         return []
 
-    def _put(self, placed: DataFrame, layout: int, tasks: int) -> DataFrame:
-        """Write rows with a bucket into files by it; returns their index rows."""
+    def _put(self, placed: DataFrame, layout: int, tasks: int, rows_per_file: int) -> DataFrame:
+        """Write rows with a bucket into files by it, of about so many rows; returns their index rows."""
         rows = placed.drop(BUCKET)
         names = rows.columns
         path = new_dir(self.spark, "buckets")
@@ -70,7 +70,7 @@ class IndexedTable(VersionedTable):
             placed.withColumn(HASH, self._hash()).repartition(max(tasks, 1), BUCKET).sortWithinPartitions(BUCKET, HASH)
             .write.partitionBy(BUCKET)
             .option(f"parquet.bloom.filter.enabled#{HASH}", "true")
-            .option(f"parquet.bloom.filter.expected.ndv#{HASH}", str(self.rows_per_bucket))
+            .option(f"parquet.bloom.filter.expected.ndv#{HASH}", str(max(rows_per_file, self.rows_per_bucket)))
             .parquet(path)
         )
         stored = self.spark.read.schema(T.StructType([*rows.schema.fields, T.StructField(BUCKET, T.IntegerType())])).parquet(path)
@@ -96,8 +96,10 @@ class IndexedTable(VersionedTable):
         """Store ``df``, whose keys must be unique, as the new current version."""
         version = (after["version"] if after else self.newest()) + 1
         rows = stage(df, "snapshot")  # counted and written
-        n_buckets = max(-(-rows.count() // self.rows_per_bucket), 1)
-        return self._commit(self._put(self._placed(rows, n_buckets), n_buckets, n_buckets), df.schema, note, version)
+        n = rows.count()
+        n_buckets = bounded_parts(n, self.rows_per_bucket)
+        written = self._put(self._placed(rows, n_buckets), n_buckets, n_buckets, n // n_buckets)
+        return self._commit(written, df.schema, note, version)
 
     def upsert(self, delta: DataFrame, note: str = "", after: Row | None = None) -> int:
         """Replace or add the rows of ``delta`` (unique keys); only buckets that hold them are read and written."""
@@ -109,12 +111,13 @@ class IndexedTable(VersionedTable):
         index = self.index(current)
         size = index.agg(F.max("n_buckets").alias("layout"), F.max("bucket").alias("last")).first()
         layout, buckets = size["layout"] or 1, (size["last"] or 0) + 1
-        if current["n_rows"] + delta.count() > GROWTH * buckets * self.rows_per_bucket:
+        n = current["n_rows"] + delta.count()
+        if bounded_parts(n, self.rows_per_bucket) > GROWTH * buckets:
             return self.write(upsert_unique(self.read_entry(current), delta, self.keys), note, current)
         touched = stage(self._placed(delta, layout, index).select(F.col(BUCKET).alias("bucket")).distinct(), "touched")
         merged = upsert_unique(self._rows(index.join(touched, "bucket", "left_semi"), schema), delta, self.keys)
         kept = index.join(touched, "bucket", "left_anti")
-        written = self._put(self._placed(merged, layout, index), layout, touched.count())
+        written = self._put(self._placed(merged, layout, index), layout, touched.count(), n // buckets)
         return self._commit(kept.unionByName(written), schema, note, current["version"] + 1)
 
     # -- reading
@@ -186,10 +189,11 @@ class RangedTable(IndexedTable):
     def write(self, df: DataFrame, note: str = "", after: Row | None = None) -> int:
         version = (after["version"] if after else self.newest()) + 1
         ordered = in_order(df, [self.keys[0]], self.rows_per_bucket)
-        parts = ordered.agg(F.max("_part")).first()[0] or 0
+        size = ordered.agg(F.max("_part").alias("last"), F.count(F.lit(1)).alias("n")).first()
+        parts = (size["last"] or 0) + 1
         placed = ordered.withColumn(BUCKET, F.col("_part").cast("int")).drop("_part", "_pos")
         # ranges of another version have another number, as their bounds differ
-        return self._commit(self._put(placed, version, parts + 1), df.schema, note, version)
+        return self._commit(self._put(placed, version, parts, size["n"] // parts), df.schema, note, version)
 
     def _placed(self, rows: DataFrame, layout: int, index: DataFrame | None = None) -> DataFrame:
         first = self.keys[0]

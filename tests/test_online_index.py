@@ -135,3 +135,18 @@ def test_ranges_of_texts_take_keys_outside_them(spark):
     empty.write(named([]))
     empty.upsert(named([("x", 1)]))
     assert rows(empty.read()) == [("x", 1)]
+
+
+def test_number_of_buckets_is_bounded(spark):
+    """Many rows in tiny buckets make no more than so many files; an upsert keeps them and the rows are right."""
+    from tablewright.operators.ranges import FEW_PARTS
+
+    rows = spark.range(FEW_PARTS + 100).selectExpr("id AS k", "id AS v")
+    for kind in (IndexedTable, RangedTable):
+        table = kind(spark, ["k"], rows_per_bucket=1)
+        table.write(rows)
+        assert table.index().count() <= FEW_PARTS
+        table.upsert(spark.range(3).selectExpr("id AS k", "-1L AS v"))
+        got = {r["k"]: r["v"] for r in table.read().collect()}
+        assert got == {i: -1 if i < 3 else i for i in range(FEW_PARTS + 100)}
+        assert sorted(tuple(r) for r in table.changes(1, 2).collect()) == [(i, "changed") for i in range(3)]
