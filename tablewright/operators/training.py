@@ -21,6 +21,7 @@ HIDDEN = (32, 64, 128, 256)
 BATCH = 32
 RATE, BETA1, BETA2, EPSILON = 1e-3, 0.9, 0.999, 1e-7
 LEAST = 1e-7  # probabilities are kept so far from 0 and 1 in logarithms
+MEETINGS = 64  # of tasks that go on alone in between, per epoch at most
 
 
 def initial(sizes: Sequence[int], seed: int) -> list[np.ndarray]:
@@ -74,6 +75,7 @@ class Adam:
     first: list[np.ndarray] = field(default_factory=list)
     second: list[np.ndarray] = field(default_factory=list)
     steps: int = 0
+    scratch: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list, repr=False)
 
     def __post_init__(self):
         if not self.first:
@@ -83,10 +85,22 @@ class Adam:
     def step(self, gradients: Sequence[np.ndarray], rate: float = RATE) -> None:
         self.steps += 1
         scale = rate * np.sqrt(1 - BETA2**self.steps) / (1 - BETA1**self.steps)
-        for w, m, v, g in zip(self.weights, self.first, self.second, gradients):
-            m += (1 - BETA1) * (g - m)
-            v += (1 - BETA2) * (g * g - v)
-            w -= scale * m / (np.sqrt(v) + EPSILON)
+        if not self.scratch:
+            self.scratch = [(np.empty_like(w), np.empty_like(w)) for w in self.weights]
+        # (1 - b1) (g - m), (1 - b2) (g g - v) and scale m / (sqrt(v) + e), in room that is kept from step to step
+        for w, m, v, g, (a, b) in zip(self.weights, self.first, self.second, gradients, self.scratch):
+            np.subtract(g, m, out=a)
+            a *= 1 - BETA1
+            m += a
+            np.multiply(g, g, out=a)
+            a -= v
+            a *= 1 - BETA2
+            v += a
+            np.sqrt(v, out=a)
+            a += EPSILON
+            np.multiply(m, scale, out=b)
+            b /= a
+            w -= b
 
 
 @dataclass(frozen=True)
@@ -158,7 +172,9 @@ def _epoch(state: Adam, features: int, share: int, rate: float, every: int, alon
         before, loss, n = mine.steps, 0.0, 0
         for batch in islice(batches, every):
             found, lost = gradient(mine.weights, *batch)
-            mine.step([g / len(batch[1]) for g in found], rate)
+            for g in found:
+                g /= len(batch[1])
+            mine.step(found, rate)
             loss, n = loss + lost, n + len(batch[1])
         if alone:
             return loss, float(n)
@@ -218,6 +234,11 @@ def evaluate(df: DataFrame, features: Sequence[str], label: str, weights: list[n
     }
 
 
+def between_meetings(rows: int, batch: int, every: int) -> int:
+    """Batches a task takes by itself, of so many rows: ``every``, or as many as make no more than ``MEETINGS`` of an epoch."""
+    return max(every, -(-(-(-rows // batch)) // MEETINGS))
+
+
 def train_network(
     df: DataFrame, features: Sequence[str], label: str, n_classes: int, unique: str, epochs: int = 2, seed: int = 42,
     validation: DataFrame | None = None, hidden: Sequence[int] = HIDDEN, batch: int = BATCH, workers: int | None = None,
@@ -231,7 +252,9 @@ def train_network(
     every batch, and after each batch the gradients are summed in the order of
     the tasks, which is the training of one process at the price of a meeting
     of all tasks per batch, which takes Spark about a second. With more, each task takes so many batches of its own rows, and
-    then all go on with the mean of their weights and moments. Either way all
+    then all go on with the mean of their weights and moments; where that
+    would make more than ``MEETINGS`` meetings of an epoch, it takes as many
+    batches as make so few. Every row is learned from in every epoch. Either way all
     hold the same numbers and a run can be repeated. A task holds one batch of Arrow records at a time. Weights and
     moments come back to the driver after an epoch, so what a lost executor
     costs is an epoch. Rows with a missing feature or label are left out.
@@ -248,6 +271,8 @@ def train_network(
         known = known.where(~F.isnan(c))
     shuffled = in_order(known, ["_draw", "_unique"]).drop("_draw", "_unique")
     dealt = stage(shuffled.withColumn("_worker", F.pmod(F.col("_pos"), F.lit(workers)).cast("int")), "shuffled")
+    if every > 1 and workers > 1:
+        every = between_meetings(dealt.groupBy("_worker").count().agg(F.max("count")).first()[0] or 0, batch, every)
     state = Adam(initial([len(features), *hidden, n_classes], seed))
     history = []
     for epoch in range(epochs):

@@ -82,3 +82,15 @@ def test_empty_and_tiny_tables(spark, data):
     assert net.history[0]["loss"] is None
     net = t.train_network(data.where("id = 1"), FEATURES, "y", 3, "id", epochs=1, hidden=(4,), validation=data.limit(0))
     assert net.history[0]["val_accuracy"] is None and net.history[0]["loss"] > 0
+
+
+def test_meetings_of_an_epoch_are_bounded(data, monkeypatch):
+    """With more rows tasks meet no more often; every row still counts, and training repeats."""
+    assert t.between_meetings(32 * 64 * 32, 32, 32) == 32  # what the tasks were told, while that makes few meetings
+    for rows in (5_000_000, 30_000_000):
+        assert -(-(-(-rows // 32)) // t.between_meetings(rows, 32, 32)) <= t.MEETINGS
+    train = lambda every: t.train_network(data, FEATURES, "y", 3, "id", hidden=(8, 6), workers=2, every=every)
+    seldom = train(4)
+    monkeypatch.setattr(t, "MEETINGS", 3)  # 11 batches of a task
+    often = train(2)
+    assert often.history == seldom.history and all((x == y).all() for x, y in zip(often.weights, seldom.weights))
