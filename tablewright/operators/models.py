@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.functions.scalars import argmax
+from tablewright.operators.ranges import parts_for
 from tablewright.operators.slicing import join_null_safe
 from tablewright.sources.workspace import local_table
 
@@ -24,6 +25,7 @@ SEED = 42
 STEPS = 50
 REACHED = 0.3
 BACKGROUND = 100
+POINTS_PER_TASK = 2_000_000  # points scored
 
 Scorer = Callable[[DataFrame], DataFrame]  # adds an array column "probabilities"
 
@@ -93,6 +95,15 @@ def _unit(*parts: Column) -> Column:
     return F.pmod(F.xxhash64(*parts), F.lit(1 << 30)) / F.lit(float(1 << 30))
 
 
+def _spread(df: DataFrame, unique: str, points: int) -> DataFrame:
+    """``df`` dealt by id into tasks that score a bounded number of points, so many of each row.
+
+    A table in few files would else be multiplied in as few tasks. All points
+    of an id are in one task, so what is grouped by it moves no more.
+    """
+    return df.repartition(parts_for(df, df.count() * points, POINTS_PER_TASK), unique)
+
+
 def proposed(unique: str, name: str, steps: int = STEPS, seed: int = SEED) -> Column:
     """The value a feature (``_x_name``) gets in the seeded random proposal number ``_step`` of a row."""
     key = [F.col(unique), F.col("_step"), F.lit(f"{name}/{seed}")]
@@ -113,18 +124,17 @@ def counterfactual_search(
 
     Every row gets ``steps`` seeded proposals: step by step more features may
     move, and each that does is drawn towards a random point of the domain.
-    All proposals of all rows are scored as one table, and a grouped minimum
+    All proposals of all rows are scored as one table, those of a row in one task, and a grouped minimum
     of (distance, step) picks the nearest that reaches the threshold; proposal
     0 is the row itself. A proposal is a function of the row's id and the
-    step, so the winner is built again rather than carried through the
-    shuffle. Result: one row per id and feature; ``proposed`` is null where
+    step, so the winner is built again rather than carried along. Result: one row per id and feature; ``proposed`` is null where
     no proposal got there.
     """
     features = list(features)
     proposal = lambda name: proposed(unique, name, steps, seed)
 
     base = df.select(unique, *[F.col(c).cast("double").alias(f"_x_{c}") for c in features])
-    tried = base.withColumn("_step", F.explode(F.sequence(F.lit(0), F.lit(steps))))
+    tried = _spread(base, unique, steps + 1).withColumn("_step", F.explode(F.sequence(F.lit(0), F.lit(steps))))
     tried = tried.withColumns({c: proposal(c) for c in features})
     distance = sum((F.abs(F.col(c) - F.col(f"_x_{c}")) for c in features), F.lit(0.0))
     scored = score(tried).withColumn("_p", F.col("probabilities")[class_index])
@@ -168,8 +178,9 @@ def feature_attribution(
     pair; a feature's share is the mean change of the probability when its
     turn comes. The shares of a row sum exactly to f(row) minus the mean of f
     over the background. The background is a small sample (100 rows by
-    default); pairs are made by exploding its indices and joining on them, and
-    all probabilities of a row collapse to sums before the shuffle.
+    default); rows are dealt to tasks by their id, pairs are made there by
+    exploding its indices and joining on them, and all probabilities of a row
+    collapse to sums in the same task.
     """
     features = list(features)
     sample = [tuple(float(v) for v in r) for r in background.select(*features).collect()]
@@ -178,6 +189,7 @@ def feature_attribution(
     table = local_table(df.sparkSession, rows, fields)
 
     base = df.select(unique, *[F.col(c).cast("double").alias(f"_x_{c}") for c in features])
+    base = _spread(base, unique, max(len(rows), 1) * (len(features) + 1))
     paired = join_null_safe(
         base.withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(len(rows) - 1)))), F.broadcast(table), ["_b"], "inner"
     )

@@ -70,6 +70,27 @@ def test_attribution_adds_up(data, logistic):
     assert all(math.isclose(s, f_x[i][k] - f_b[k], abs_tol=1e-9) for (i, k), s in sums.items())
 
 
+@pytest.mark.parametrize("kind", ["attribution", "search"])
+def test_points_of_a_table_in_one_part_are_scored_by_many_tasks(spark, data, kind, monkeypatch):
+    """How many tasks score follows from the points, not from the files that the rows lie in."""
+    seen = []
+
+    def score(df):
+        seen.append(df.rdd.getNumPartitions())
+        return df.withColumn("probabilities", F.array(1 - F.col("a"), F.col("a")))
+
+    monkeypatch.setattr(m, "POINTS_PER_TASK", 3000)
+    few = data.where("id < 100").coalesce(1)
+    if kind == "attribution":
+        points = 100 * 30 * (len(FEATURES) + 1)
+        out = m.feature_attribution(few, "id", FEATURES, score, m.background_sample(data, ["id"], FEATURES, n=30), 2)
+    else:
+        points = 100 * (m.STEPS + 1)
+        out = m.counterfactual_search(few, "id", FEATURES, score, class_index=1)
+    assert seen == [-(-points // 3000)]
+    assert out.select("id").distinct().count() == 100
+
+
 def test_attribution_of_an_unused_feature_is_zero(spark, data):
     def only_a():
         return lambda x: np.stack([1 - x[:, 0], x[:, 0]], axis=1)
