@@ -95,26 +95,36 @@ def _back(state: DataFrame, features: Sequence[str], score: Scorer, class_index:
     reaches and one that does not, by ``GRID`` places at a time.
     """
     n = len(features)
+    # numbers in columns of their own and bits of places: a grouped row stays a few words, and nothing is sorted
     ways = state.where(F.col("best").isNotNull()).select(
-        "id", "x0", F.col("best.x").alias("y"), F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("j"),
+        "id", *[F.col("x0")[i].alias(f"_o{i}") for i in range(n)], *[F.col("best.x")[i].alias(f"_y{i}") for i in range(n)],
+        F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("j"),
     ).withColumns({"low": F.lit(-1.0 / GRID), "high": F.lit(1.0)})
+    kept = [*[f"_o{i}" for i in range(n)], *[f"_y{i}" for i in range(n)], "low", "high"]
+    share_at = lambda t: F.greatest(F.col("low") + (F.col("high") - F.col("low")) * t / GRID, F.lit(0.0))
     for _ in range(BISECTIONS):
-        share = F.col("low") + (F.col("high") - F.col("low")) * F.col("t") / GRID
-        tried = ways.withColumn("t", F.explode(F.sequence(F.lit(1), F.lit(GRID - 1)))).withColumn("share", F.greatest(share, F.lit(0.0)))
-        origin, own = F.element_at("x0", F.col("j") + 1), F.element_at("y", F.col("j") + 1)
-        x = _with(F.col("y"), F.col("j"), origin + F.col("share") * (own - origin))
-        found = _scored(tried.withColumn("x", _once(x)), features, score, class_index)
-        reached = F.min(F.when(F.col("p") >= threshold, F.col("share")))
+        tried = ways.withColumn("t", F.explode(F.sequence(F.lit(1), F.lit(GRID - 1)))).withColumn("share", _once(share_at(F.col("t"))))
+        moved = [
+            F.when(F.col("j") == i, F.col(f"_o{i}") + F.col("share") * (F.col(f"_y{i}") - F.col(f"_o{i}"))).otherwise(F.col(f"_y{i}"))
+            for i in range(n)
+        ]
+        found = _scored(tried.withColumn("x", _once(F.array(*moved))), features, score, class_index)
+        bits = lambda there: F.bit_or(F.when(there, F.expr("shiftleft(1, t)")))
         # rows of an id lie together, so this moves nothing
         ways = found.groupBy("id", "j").agg(
-            F.first("x0").alias("x0"), F.first("y").alias("y"), F.least(F.first("high"), reached).alias("high"),
-            F.first("low").alias("low"), F.collect_list(F.struct("share", "p")).alias("seen"),
+            *[F.first(c).alias(c) for c in kept],
+            F.coalesce(bits(F.col("p") >= threshold), F.lit(0)).alias("_hit"), F.coalesce(bits(F.col("p") < threshold), F.lit(0)).alias("_miss"),
         )
-        fails = F.filter("seen", lambda s: (s["p"] < threshold) & (s["share"] < F.col("high")))
-        ways = ways.withColumn(
-            "low", F.aggregate(fails, F.col("low"), lambda a, s: F.greatest(a, s["share"]))
-        ).drop("seen")
-        ways = stage(ways, "ways")
+        # the first place that reaches, and the last before it that does not
+        before = F.when(F.col("_hit") != 0, F.expr("_miss & ((_hit & -_hit) - 1)")).otherwise(F.col("_miss"))
+        first, last = F.expr("bit_count((_hit & -_hit) - 1)"), F.length(F.bin(before)) - 1
+        ways = ways.select(
+            "id", "j", *kept[:-2],
+            F.when(before != 0, F.greatest(F.col("low"), share_at(last))).otherwise(F.col("low")).alias("low"),
+            F.when(F.col("_hit") != 0, F.least(F.col("high"), share_at(first))).otherwise(F.col("high")).alias("high"),
+        )
+    arrays = [F.array(*[F.col(f"_{c}{i}") for i in range(n)]).alias(name) for c, name in (("o", "x0"), ("y", "y"))]
+    ways = ways.select("id", "j", "high", *arrays)
     origin, own = F.element_at("x0", F.col("j") + 1), F.element_at("y", F.col("j") + 1)
     gain = (1 - F.col("high")) * F.abs(own - origin)
     moved = _with(F.col("y"), F.col("j"), F.when(F.col("high") < 1, origin + F.col("high") * (own - origin)).otherwise(own))
@@ -150,11 +160,12 @@ def nearest_counterfactual(
     counts as out of reach.
     """
     features, n = list(features), len(features)
-    x0 = F.array(*[F.col(c).cast("double") for c in features])
-    rows = df.select(F.col(unique).alias("id"), x0.alias("x0")).dropDuplicates(["id"])
+    # tasks of bounded rows from here to the end, however few files the rows lie in
+    parts = parts_for(df, df.count() * (STEPS + 1), ROWS_PER_TASK)
+    flat = df.select(F.col(unique).alias("id"), *[F.col(c).cast("double").alias(f"_o{i}") for i, c in enumerate(features)])
+    rows = flat.repartition(parts, "id").dropDuplicates(["id"]).select("id", F.array(*[f"_o{i}" for i in range(n)]).alias("x0"))
     own = _scored(rows.withColumn("x", F.col("x0")), features, score, class_index).withColumnRenamed("p", "p0")
     base = stage(own.drop("x"), "origin")
-    parts = parts_for(base, base.count() * (STEPS + 1), ROWS_PER_TASK)
     drawn = base.withColumns({f"_x_{c}": F.col("x0")[j] for j, c in enumerate(features)}).withColumn(
         "_step", F.explode(F.sequence(F.lit(0), F.lit(STEPS)))
     )
@@ -187,9 +198,9 @@ def nearest_counterfactual(
         current = stage(_back(current.select("id", "x0", "best").repartition(parts, "id"), features, score, class_index, threshold), "back")
         if not current.where(F.col("_gain") > precision).limit(1).count():
             break
-    nearest = current.groupBy(F.col("id.id").alias("id")).agg(F.min("best").alias("best"))
+    nearest = current.select("id.id", "best").repartition(parts, "id").groupBy("id").agg(F.min("best").alias("best"))
     there = base.where(F.col("p0") >= threshold).select("id", F.struct(F.lit(0.0).alias("d"), F.col("p0").alias("p"), F.col("x0").alias("x")).alias("best"))
-    current = base.join(nearest.unionByName(there), "id", "left")
+    current = base.repartition(parts, "id").join(nearest.unionByName(there).repartition(parts, "id"), "id", "left")
     cells = F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col("x0")[j].alias("original"), F.col("best.x")[j].alias("proposed"))
         for j, c in enumerate(features)
