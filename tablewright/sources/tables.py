@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 # Fixed value: the column a pandas row index turns into in Parquet.
 PANDAS_INDEX = "__index_level_0__"
+OPEN_FILES = 32  # of one task in a partitioned write
 
 
 def nanos_to_timestamp(col: Column) -> Column:
@@ -85,11 +86,21 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Write a Parquet table to a new path, optionally in one folder per value."""
-    writer = df.write
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    """Write a Parquet table to a new path, optionally in one folder per value.
+
+    A task keeps the files of up to ``OPEN_FILES`` folders open and writes rows
+    as they come; only with more folders it sorts its rows by folder.
+    """
+    if not partition_by:
+        df.write.parquet(path)
+        return
+    conf, name = df.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    before = conf.get(name, None)
+    conf.set(name, OPEN_FILES)
+    try:
+        df.write.partitionBy(*partition_by).parquet(path)
+    finally:
+        conf.unset(name) if before is None else conf.set(name, before)
 
 
 def list_objects(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:

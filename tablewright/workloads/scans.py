@@ -236,7 +236,7 @@ def parse_properties(spark, sf):
 def listed(spark, sf):
     """The files a partitioned write left, one folder a type, from the listing alone."""
     path = new_dir(spark, "artifacts")
-    write_parquet(table(spark, sf, "events").repartition(1, "event_type"), path, ["event_type"])
+    write_parquet(table(spark, sf, "events").repartition("event_type"), path, ["event_type"])
     found = list_objects(spark, path, "*.parquet")
     folder = F.element_at(F.split("path", "/"), -2)
     return found.groupBy(F.regexp_extract(folder, "event_type=(.*)", 1).alias("event_type")).agg(
