@@ -61,3 +61,23 @@ def test_projection_and_filter_reach_the_scan(spark):
 def test_stage_pins_rows(spark):
     df = stage(spark.range(5).withColumn("r", F.rand()))
     assert rows(df) == rows(df)
+
+
+def test_partitioned_write_keeps_files_open(spark, tmp_path, monkeypatch):
+    """Rows go to their folders unsorted, a file each and task; the session's own setting comes back."""
+    from pyspark.sql import DataFrameWriter
+
+    name, seen, write = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.parquet
+
+    def parquet(self, *args, **kwargs):
+        seen.append(spark.conf.get(name))
+        return write(self, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    before = spark.conf.get(name)
+    folders = t.OPEN_FILES + 8  # more than are kept open
+    df = spark.range(folders * 5).selectExpr("id", f"id % {folders} AS k").repartition(1)
+    t.write_parquet(df, f"{tmp_path}/out", ["k"])
+    assert seen == [str(t.OPEN_FILES)] and spark.conf.get(name) == before
+    assert t.list_objects(spark, f"{tmp_path}/out", "*.parquet").count() == folders
+    assert sorted(map(tuple, spark.read.parquet(f"{tmp_path}/out").collect())) == [(i, i % folders) for i in range(folders * 5)]
