@@ -196,3 +196,28 @@ def test_directed_search_of_rows_out_of_reach_repeated_and_incomplete(spark):
     assert got[2] == 0.0 and got[3] is None and abs(got[1] - 2.95) < 1e-3
     assert distances(cf.nearest_counterfactual(df, "id", FEATURES, linear((0.1, 0.1, 0.1)), 1, 0.5, rounds=5)) == {1: None, 2: None, 3: None}
     assert cf.nearest_counterfactual(df.limit(0), "id", FEATURES, linear((1, 0, 0)), 1).collect() == []
+
+
+def test_moving_back_stages_no_points(spark, data, monkeypatch):
+    """Narrowing keeps a few numbers of each way, collects no arrays of points and moves them to no other task."""
+    plans, stage = {}, cf.stage
+
+    def seen(df, label="stage"):
+        plans.setdefault(label, []).append(df._jdf.queryExecution().optimizedPlan().toString())
+        return stage(df, label)
+
+    def score(df):
+        p = 0.25 * F.col("a") + 0.75 * F.col("b")
+        return df.withColumn("probabilities", F.array(1 - p, p))
+
+    monkeypatch.setattr(cf, "stage", seen)
+    found = cf.nearest_counterfactual(data.where("id < 40"), "id", FEATURES, score, 1, threshold=0.6, rounds=4)
+    assert "ways" not in plans and all("collect_list" not in p for p in plans["back"])
+    moved = defaultdict(float)
+    for r in found.collect():
+        moved[r["id"]] += abs(r["difference"])
+    for r in data.where("id < 40").collect():
+        rest = 0.6 - 0.25 * r["a"] - 0.75 * r["b"]
+        first = min(max(rest, 0) / 0.75, 1 - r["b"])
+        least = first + max(rest - 0.75 * first, 0) / 0.25
+        assert least - 1e-9 <= moved[r["id"]] <= least + 1e-3
