@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import gc
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,12 +19,26 @@ ORACLES: dict[str, str] = {}
 BATCH_BYTES = 16 << 20
 
 
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     configure(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set(_BATCH, str(BATCH_BYTES))
     return spark
 
 
+@contextmanager
+def batches_below(spark: SparkSession, size: int) -> Iterator[None]:
+    """Jobs run inside hand Arrow batches below so many bytes to Python."""
+    before = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH, before)
+
+
 def query(name: str, sql: str | None = None):
     """Register ``fn(spark, sf_dir)``, with the SQL whose rows it must equal where there is one."""
 

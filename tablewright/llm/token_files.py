@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tablewright.llm.base import batches_below
 from tablewright.llm.textbytes import slices
 from tablewright.llm.token_codes import Codes, encode
 from tablewright.llm.word_ids import text_encoder
@@ -128,9 +129,9 @@ def write_tokens(
     # closes the corpus: its folder is never empty
     last = spark.createDataFrame([(len(bounds) + 1, 0, 0, bytearray(encode([], [], np.zeros(0, np.uint32))))], files.schema)
     # one row is one file; the line break the text writer adds lies behind the codes
-    files.unionByName(last).select(
-        "part", "seq", "tokens", F.col("data").cast("string").alias("value")
-    ).write.partitionBy("part", "seq", "tokens").text(path)
+    rows = files.unionByName(last).select("part", "seq", "tokens", F.col("data").cast("string").alias("value"))
+    with batches_below(spark, SLICE_BYTES):  # texts are worked on in slices of that size, larger batches only take memory
+        rows.write.partitionBy("part", "seq", "tokens").text(path)
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:

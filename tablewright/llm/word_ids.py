@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 
 from tablewright.llm.packing import byte_letters
 
-MOST_WORDS = 500_000  # distinct words whose ids are remembered by a worker process
+MOST_WORDS = 150_000  # distinct words whose ids are remembered by a worker process
 
 # Letters whose lower case is one letter and which are composed already, and
 # marks that neither begin a contraction nor a special token.
@@ -140,7 +140,7 @@ def text_encoder(path: str) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray
             found = list(map(known.__getitem__, distinct))
         else:
             found = [fresh[w] if (x := known.get(w)) is None else x for w in distinct]
-            if 2 * len(fresh) > len(distinct):  # the texts have changed: most words are others than those remembered
+            if 5 * len(fresh) > 4 * len(distinct):  # the texts have changed: most words are others than those remembered
                 known.clear()
         size = np.fromiter(map(len, found), np.int64, len(found)) // 4
         flat = number_ids[np.frombuffer(b"".join(found), np.uint32)]

@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 
 from tablewright.llm.token_codes import Codes, best_widths, encode
 from tablewright.llm.token_files import directory, read_tokens, tokens_at, write_tokens
-from tablewright.llm.word_ids import text_encoder
+from tablewright.llm.word_ids import _kept, text_encoder
 from tablewright.sources.workspace import new_dir
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -83,6 +83,19 @@ def test_ids_are_those_of_the_library(library):
         at += n
 
 
+def test_few_words_are_remembered(library):
+    # a stream of ever new words beside some that come in every slice
+    encode_texts, known = text_encoder(PATH), _kept(PATH)["known"]
+    known.clear()
+    usual = [f"usual{i:x}" for i in range(20_000)]
+    for k in range(12):
+        fresh = [f"new{k:x}z{i:x}" for i in range(30_000)]
+        ids, lengths = encode_texts(pa.array([" ".join(usual), " ".join(fresh)]))
+        assert len(known) <= 160_000
+    assert ids[: lengths[0]].tolist() == library.encode(" ".join(usual), add_special_tokens=False).ids
+    assert ids[lengths[0] :].tolist() == library.encode(" ".join(fresh), add_special_tokens=False).ids
+
+
 def test_every_plain_token_is_its_own_word(library):
     # the merges of the file, run by tiktoken, give the library's ids for the words its vocabulary is made of
     vocabulary = sorted(t[:-4] for t in library.get_vocab() if t.endswith("</w>"))
