@@ -2,7 +2,7 @@
 
 Hashing sends every n-gram of a document into a group; the counts of the
 groups are a point, and the overlap of two documents is at most the sum of the
-smaller counts. The index over these points has two levels.
+smaller counts. It works on keys:
 
 * The groups are dealt into blocks, one more than two linked documents of that
   size can differ in n-grams. So linked documents have the same counts in all
@@ -10,19 +10,23 @@ smaller counts. The index over these points has two levels.
   together. (Boxes over whole points do not prune here: documents of equal
   length have nearly equal coarse counts, and the bound of a box that holds
   many of them is always large enough.)
-* Inside a key, the points are packed by size into the leaves of an R-tree.
-  Pairs of leaves whose boxes bound the overlap below what the threshold needs
-  are passed over, and so are pairs of points.
-
-Pairs that survive are verified on the full sets. Documents with equal sets
-are one node from the start, and count as many links as it has members. The
-join verifies every pair of nodes that passes the bounds, and so knows the
-number of links of each document.
-
-Where components alone are asked for, most pairs need not be seen: each key
-first links its members to one of them, then to another, and leaves are only
-searched for pairs that are not yet connected. The components of the exact
-link graph do not depend on which links were found first.
+* Keys that hold the same nodes count as one, with their number as its weight.
+
+Components come first, and most pairs need not be seen for them: in a round
+each node is verified against one other, of those at the centres of its keys
+the one with which it shares the most. A few rounds leave few keys with more
+than one component. The small ones of these make pairs, which bounds by count
+vectors thin out before they are verified on the full sets; the members of
+large ones are cut into leaves by size, and a task verifies leaf against leaf
+and hands on no more links than connect what it holds. The components of the
+exact link graph do not depend on which links were found first.
+
+All links lie inside components. To count them, a component's nodes are cut
+into leaves as well, and a task counts for each node of a leaf the partners in
+another. No pair leaves a task: rows grow with the nodes, and with the leaves
+that a component of more than one fills; only the comparisons inside tasks
+grow with the square of a component. Documents with equal sets are one node
+from the start, and count as many links as it has members.
 """
 
 from __future__ import annotations
@@ -43,8 +47,11 @@ from tablewright.operators.ranges import row_number_in_key
 from tablewright.sources.workspace import stage
 
 GROUPS_PER_BLOCK = 4096
-POINT = 32  # groups of the points in the R-tree
-LEAF = 64
+POINT = 32  # groups of the points
+ROUNDS = 3  # of one verified pair per node, before the keys that are left are searched
+SMALL_KEY = 16  # members of a key that make pairs
+LEAF, LEAF_GRAMS = 128, 1 << 18  # nodes of a leaf, and about so many n-grams at most (16 nodes in any case)
+COLUMNS = 4096  # n-grams compared at once
 NO_ID = -(2**63)
 
 
@@ -272,6 +279,88 @@ def _verified(percent: int):
     return run
 
 
+def overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets in ``a`` with all in ``b``."""
+    flat = [np.concatenate(x) for x in (a, b)]
+    row = [np.repeat(np.arange(len(x)), [len(v) for v in x]) for x in (a, b)]
+    grams = np.intersect1d(*flat)
+    out = np.zeros((len(a), len(b)), np.int64)
+    for at in range(0, len(grams), COLUMNS):
+        part = grams[at : at + COLUMNS]
+        held = []
+        for sets, values, of in zip((a, b), flat, row):
+            place = np.minimum(np.searchsorted(part, values), len(part) - 1)
+            has = part[place] == values
+            held.append(np.zeros((len(sets), len(part)), np.float32))
+            held[-1][of[has], place[has]] = 1
+        out += (held[0] @ held[1].T).astype(np.int64)
+    return out
+
+
+def _forest(links: np.ndarray, a: list[int], b: list[int]) -> Iterator[tuple[int, int]]:
+    """Links that connect as much as all of them."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := root.setdefault(x, x)) != x:
+            root[x] = x = root.setdefault(up, up)
+        return x
+
+    for i, j in zip(*(v.tolist() for v in np.nonzero(links))):
+        x, y = find(a[i]), find(b[j])
+        if x != y:
+            root[max(x, y)] = min(x, y)
+            yield a[i], b[j]
+
+
+def _leaf_links(like: Similarity, count: bool):
+    """Of neighbouring rows with the same ``_pair`` (two leaves): each node's number of links, or links that connect all."""
+
+    def compared(rows: list[tuple]) -> list[tuple[int, int]]:
+        sides = []
+        for other in (1, 0):  # a leaf that meets itself has rows of side 2; rows may share id and set
+            sides.append(list({r[1]: r for r in rows if r[0] != other}.values()))
+        p, q = sides
+        if not p or not q:
+            return []
+        common = overlaps([r[3] for r in p], [r[3] for r in q])
+        size = [np.array([len(r[3]) for r in x], np.int64) for x in sides]
+        links = 100 * common >= like.percent * (size[0][:, None] + size[1][None, :] - common)
+        nodes = [[r[1] for r in x] for x in sides]
+        links &= np.array(nodes[0])[:, None] != np.array(nodes[1])[None, :]
+        if not count:
+            return list(_forest(links, *nodes))
+        copies = [np.array([r[2] for r in x], np.int64) for x in sides]
+        found = list(zip(nodes[0], (links @ copies[1]).tolist()))
+        if p[0][0] != 2:
+            found += zip(nodes[1], (links.T @ copies[0]).tolist())
+        return [x for x in found if x[1]]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(found: list[tuple[int, int]]) -> pa.RecordBatch:
+            a, b = zip(*found) if found else ((), ())
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+        pair, held, found = None, [], []
+        for batch, texts in batches_of(batches, "_text"):
+            sets, where = shingle_sets(texts, like.words)
+            first, second = marks(sets, where)
+            fits = (first == np.asarray(batch.column("mark1"))) & (second == np.asarray(batch.column("mark2")))
+            columns = [batch.column(c).to_pylist() for c in ("_pair", "side", "node", "copies")]
+            for i, (of, side, node, copies) in enumerate(zip(*columns)):
+                if of != pair:
+                    found += compared(held)
+                    pair, held = of, []
+                if fits[i]:
+                    held.append((side, node, copies, sets[where[i] : where[i + 1]].copy()))
+            if found:
+                yield out(found)
+                found = []
+        yield out(compared(held))
+
+    return run
+
+
 def _may_link(a: str, b: str, percent: int) -> Column:
     """The sum of the smaller counts reaches the overlap that the sizes ask for."""
     most = f"aggregate(zip_with({a}.point, {b}.point, (x, y) -> least(x, y)), 0, (s, x) -> s + x)"
@@ -310,7 +399,7 @@ class _Search:
         postings = self.indexed.select(F.explode("keys").alias("key"), "_order")
         several = postings.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
         members = postings.join(several, "key").join(self.of, "_order").select("key", "node").distinct()
-        self.members = stage(self._open(members, "node"), "members")
+        self.members = stage(self._merged(self._open(stage(members, "postings"), "node")), "members")
         del postings, several, members
         release(docs.sparkSession)
         self.texts = flat.select(F.col("_order").alias("_first"), "_text")
@@ -321,6 +410,16 @@ class _Search:
         more = members.groupBy("key").agg(F.min(label).alias("_l"), F.max(label).alias("_h")).where("_l <> _h").select("key")
         return members.join(more, "key", "left_semi")
 
+    @staticmethod
+    def _merged(members: DataFrame) -> DataFrame:
+        """The members of one of the keys that hold the same nodes, with the number of these keys."""
+        held = members.groupBy("key").agg(
+            F.count(F.lit(1)).alias("_c"), F.bit_xor(F.xxhash64("node")).alias("_x"),
+            F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("_y"),
+        )
+        one = held.groupBy("_c", "_x", "_y").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("weight"))
+        return members.join(one.select("key", "weight", F.col("_c").alias("size")), "key")
+
     def labelled(self, found: DataFrame | None) -> DataFrame:
         if found is None:
             return self.members.withColumn("component", F.col("node"))
@@ -352,64 +451,98 @@ class _Search:
         return full.mapInArrow(_verified(percent), "a bigint, b bigint")
 
     def star(self, found: DataFrame | None) -> DataFrame:
-        """Pairs of one member of each key with the others; of the largest component once some are known."""
+        """A pair for each member that its key's centre is not connected with: with the centre it shares the most keys with.
+
+        Centres are the smallest members, of the largest component once some are known.
+        """
         known = self.labelled(found)
         pick = F.min("node") if found is None else F.max(F.struct("component", "node"))["node"]
         label = F.min("component") if found is None else F.max("component")
         centre = known.groupBy("key").agg(pick.alias("a"), label.alias("_c"))
-        return known.join(centre, "key").where("node <> a AND component <> _c").select("a", F.col("node").alias("b"))
-
-    def leaves(self, found: DataFrame | None) -> DataFrame:
-        """All pairs of unconnected members of a key that pass the bounds of their leaves and their own."""
+        met = known.join(centre, "key").where("node <> a AND component <> _c")
+        shared = met.groupBy("node", "a").agg(F.sum("weight").alias("_s"))
+        return shared.groupBy(F.col("node").alias("b")).agg(F.max(F.struct("_s", "a"))["a"].alias("a")).select("a", "b")
+
+    def small(self, known: DataFrame) -> DataFrame:
+        """The pairs of unconnected members of the small keys."""
+        few = known.where(f"size <= {SMALL_KEY}").join(self.nodes.select("node", "n"), "node").select("key", "node", "n", "component")
+        p, q = few.alias("p"), few.alias("q")
         percent = self.like.percent
-        known = self.labelled(found).join(self.nodes.select("node", "n", "point"), "node")
-        packed = row_number_in_key(known, ["key"], ["n", "point", "node"], "_row")
-        packed = stage(packed.withColumn("leaf", F.expr(f"_row div {LEAF}L")).drop("_row"), "leaves")
-        high = F.array(*[F.max(F.col("point")[i]) for i in range(POINT)])
-        boxes = packed.groupBy("key", "leaf").agg(
-            high.alias("point"), F.min("n").alias("n"), F.max("n").alias("most"),
-            F.min("component").alias("low"), F.max("component").alias("top"),
+        return p.join(q, "key").where(
+            (F.col("p.node") < F.col("q.node")) & (F.col("p.component") != F.col("q.component"))
+            & (F.least("p.n", "q.n") * 100 >= F.greatest("p.n", "q.n") * percent)
+        ).select(F.col("p.node").alias("a"), F.col("q.node").alias("b"))
+
+    def large(self, known: DataFrame) -> DataFrame:
+        """Links that connect the members of the large keys."""
+        many = known.where(f"size > {SMALL_KEY}").select(F.col("key").alias("group"), "node", "component")
+        return self.by_leaves(many, False)
+
+    def by_leaves(self, rows: DataFrame, count: bool) -> DataFrame:
+        """What the tasks find in all pairs of leaves of each group (group, node, component) whose sizes allow links."""
+        sized = rows.join(self.nodes.select("node", "n"), "node").withColumn("band", F.floor(F.log2("n")).cast("int"))
+        each = f"greatest(16, least({LEAF}, {LEAF_GRAMS} >> band))"
+        numbered = row_number_in_key(sized, ["group", "band"], ["n", "node"], "_row")
+        packed = stage(numbered.withColumn("leaf", F.expr(f"_row div {each}")).drop("_row"), "leaves")
+        boxes = packed.groupBy("group", "band", "leaf").agg(
+            F.min("n").alias("n"), F.max("n").alias("most"), F.min("component").alias("low"), F.max("component").alias("top")
         )
         p, q = boxes.alias("p"), boxes.alias("q")
-        near = p.join(q, "key").where(
-            (F.col("p.leaf") <= F.col("q.leaf"))
-            & (F.col("p.most") * 100 >= F.col("q.n") * percent)
-            & ~((F.col("p.low") == F.col("p.top")) & (F.col("q.low") == F.col("q.top")) & (F.col("p.low") == F.col("q.low")))
-            & _may_link("p", "q", percent)
-        ).select("key", F.col("p.leaf").alias("leaf"), F.col("q.leaf").alias("other"))
-        p, q = packed.alias("p"), packed.withColumnRenamed("leaf", "other").alias("q")
-        met = near.join(p, ["key", "leaf"]).join(q, ["key", "other"])
-        return met.where((F.col("p.component") != F.col("q.component")) & _may_link("p", "q", percent)).select(
-            F.col("p.node").alias("a"), F.col("q.node").alias("b")
-        )
+        same = (F.col("p.band") == F.col("q.band")) & (F.col("p.leaf") == F.col("q.leaf"))
+        ok = F.struct("p.band", "p.leaf") <= F.struct("q.band", "q.leaf")
+        ok = ok & (F.col("p.most") * 100 >= F.col("q.n") * self.like.percent)
+        if not count:  # of one component, all is known
+            ok = ok & (F.least("p.low", "q.low") < F.greatest("p.top", "q.top"))
+        place = lambda x, side: F.struct(F.col(f"{x}.band").alias("band"), F.col(f"{x}.leaf").alias("leaf"), side.alias("side"))
+        sides = F.when(same, F.array(place("p", F.lit(2)))).otherwise(F.array(place("p", F.lit(0)), place("q", F.lit(1))))
+        met = p.join(q, "group").where(ok).select(
+            "group", F.concat_ws("/", "group", "p.band", "p.leaf", "q.band", "q.leaf").alias("_pair"), F.explode(sides).alias("_s")
+        ).select("group", "_pair", "_s.*")
+        placed = met.join(packed.select("group", "band", "leaf", "node"), ["group", "band", "leaf"]).select("_pair", "side", "node")
+        named = placed.join(self.nodes.select("node", "_first", "mark1", "mark2", "copies"), "node")
+        dealt = self.texts.join(named, "_first").drop("_first").repartition("_pair").sortWithinPartitions("_pair")
+        return dealt.mapInArrow(_leaf_links(self.like, count), "a bigint, b bigint")
 
 
 def _components(search: _Search) -> DataFrame:
     """(node, component) of the nodes that link, by as few pairs as that takes."""
     spark = search.nodes.sparkSession
-    found = components(search.links(search.star(None)))
-    release(spark)
-    for step in (search.star, search.leaves):
-        more = search.links(step(found))
-        tied = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        found = components(tied.unionByName(more))
-        del more, tied
+    found = None
+
+    def joined(more: DataFrame) -> DataFrame:
+        if found is None:
+            return components(more)
+        return components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+
+    for _ in range(ROUNDS):
+        found = joined(search.links(search.star(found)))
         release(spark)
+    known = stage(search.labelled(found), "open")
+    if known.isEmpty():
+        return found
+    more = stage(search.links(search.small(known)), "links")
+    release(spark)
+    found = joined(more.unionByName(search.large(known)))
+    del more, known
+    release(spark)
     return found
 
 
-def _of_rows(search: _Search, found: DataFrame, links: DataFrame | None = None) -> DataFrame:
+def _links_of(search: _Search, found: DataFrame) -> DataFrame:
+    """node and _linked, the rows of other nodes it links with."""
+    counted = search.by_leaves(found.select(F.col("component").alias("group"), "node", "component").distinct(), True)
+    return counted.groupBy(F.col("a").alias("node")).agg(F.sum("b").alias("_linked"))
+
+
+def _of_rows(search: _Search, found: DataFrame, linked: DataFrame | None = None) -> DataFrame:
     """_id, _order, _mark, n, _group and _component (its smallest id) of every row; without words, the group is missing.
 
-    With all ``links`` (a, b) between nodes also n_links, the number of other rows that a row links with.
+    With ``linked`` (see ``_links_of``) also n_links, the number of other rows that a row links with.
     """
     nodes = search.nodes.drop("point", "fine")
     grouped = nodes.join(found, "node", "left").withColumn("_group", F.coalesce("component", "node"))
     n_links = []
-    if links is not None:
-        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        copies = nodes.select(F.col("node").alias("b"), F.col("copies").alias("_there"))
-        linked = both.join(copies, "b").groupBy(F.col("a").alias("node")).agg(F.sum("_there").alias("_linked"))
+    if linked is not None:
         grouped = grouped.join(linked, "node", "left").withColumn(
             "n_links", F.col("copies") - 1 + F.coalesce("_linked", F.lit(0))
         )
@@ -434,10 +567,10 @@ def near_duplicates(docs: DataFrame, id_column: str, text: str, like: Similarity
     Sets are compared by 64-bit hashes of their n-grams.
     """
     search = _Search(docs, id_column, text, like)
-    # a link is found twice where rows share id and set
-    links = stage(search.links(search.leaves(None)).distinct(), "all-links")
+    found = _components(search)
+    linked = stage(_links_of(search, found), "linked")
     release(docs.sparkSession)
-    return _of_rows(search, components(links), links).select(
+    return _of_rows(search, found, linked).select(
         F.col("_id").alias(id_column), F.col("n").alias("n_shingles"),
         F.when(F.col("_component") != NO_ID, F.col("_component")).alias("component_id"),
         F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),

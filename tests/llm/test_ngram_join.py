@@ -7,12 +7,14 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from tablewright.llm import ngram_join
 from tablewright.llm.ngram_join import (
     Similarity,
     block_keys,
     fine_points,
     most_shared,
     near_duplicates,
+    overlaps,
     points,
     shingle_sets,
     without_near_duplicates,
@@ -134,3 +136,35 @@ def test_links_are_counted(spark):
     assert {x["doc_id"]: x["n_links"] for x in got} == wanted and max(wanted.values()) > 10
     components = plain_components(dict(rows), 3, 90)
     assert {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in got} == components
+
+
+def test_overlaps_of_all_pairs(monkeypatch):
+    monkeypatch.setattr(ngram_join, "COLUMNS", 7)
+    r = np.random.default_rng(2)
+    sets = [np.unique(r.integers(0, 60, n).astype(np.uint64)) for n in (1, 5, 30, 60, 200, 3)]
+    want = [[len(set(x.tolist()) & set(y.tolist())) for y in sets[:4]] for x in sets]
+    assert overlaps(sets, sets[:4]).tolist() == want
+    assert overlaps(sets[:1], [np.array([999], np.uint64)]).tolist() == [[0]]
+
+
+def test_a_large_group_of_near_copies_makes_no_pairs_of_all(spark, monkeypatch):
+    # each differs from the base by a few words of its own, so most of the pairs link
+    r = random.Random(3)
+    base = [f"a{r.randrange(10**6)}" for _ in range(400)]
+    texts = []
+    for i in range(300):
+        c = list(base)
+        c[r.randrange(len(c))] = f"b{i}"
+        texts.append(" ".join(c))
+    rows, plain = [], ngram_join.stage
+
+    def counted(df, label="stage"):
+        out = plain(df, label)
+        rows.append((out.count(), label))
+        return out
+
+    monkeypatch.setattr(ngram_join, "stage", counted)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    got = near_duplicates(df, "doc_id", "text").collect()
+    assert {(x["component_id"], x["n_links"]) for x in got} == {(0, 299)}
+    assert max(n for n, label in rows if label not in ("postings", "members")) <= 600, rows
