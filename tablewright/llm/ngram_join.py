@@ -17,9 +17,13 @@ each node is verified against one other, of those at the centres of its keys
 the one with which it shares the most. A few rounds leave few keys with more
 than one component. The small ones of these make pairs, which bounds by count
 vectors thin out before they are verified on the full sets; the members of
-large ones are cut into leaves by size, and a task verifies leaf against leaf
-and hands on no more links than connect what it holds. The components of the
-exact link graph do not depend on which links were found first.
+large ones are cut into leaves by size, and a task compares leaf with leaf by
+their count vectors. Nodes that these could link, directly or by others, in
+whatever keys, make a group, in which they are compared once more: few pairs go
+the way of the small keys' pairs, and where pairs outnumber nodes the texts are
+sent, and a task verifies leaf against leaf and hands on no more links than
+connect what it holds. The components of the exact link graph do not depend on
+which links were found first.
 
 All links lie inside components. To count them, a component's nodes are cut
 into leaves as well, and a task counts for each node of a leaf the partners in
@@ -51,6 +55,7 @@ POINT = 32  # groups of the points
 ROUNDS = 3  # of one verified pair per node, before the keys that are left are searched
 SMALL_KEY = 16  # members of a key that make pairs
 LEAF, LEAF_GRAMS = 128, 1 << 18  # nodes of a leaf, and about so many n-grams at most (16 nodes in any case)
+WIDE_LEAF, WIDE_BYTES = 512, 1 << 18  # the same of a leaf of which only fine points are sent, and their bytes
 COLUMNS = 4096  # n-grams compared at once
 NO_ID = -(2**63)
 
@@ -198,10 +203,31 @@ def block_keys(sets: np.ndarray, where: np.ndarray, like: Similarity, wanted: np
     return np.concatenate(docs_out), np.concatenate(keys_out)
 
 
-def _indexed(like: Similarity):
+def _indexed(words: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent: set[tuple[int, int]] = set()  # copies in a task send their keys once
         for batch, texts in batches_of(batches, "_text"):
+            sets, where = shingle_sets(texts, words)
+            first, second = marks(sets, where)
+            at = np.arange(0, (len(texts) + 1) * POINT, POINT, dtype=np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *[batch.column(c) for c in ("_id", "_order", "_mark")],
+                    pa.array(np.diff(where), pa.int64()), pa.array(first), pa.array(second),
+                    pa.ListArray.from_arrays(pa.array(at), pa.array(points(sets, where))),
+                    pa.array(fine_points(sets, where), pa.binary()),
+                ],
+                names=["_id", "_order", "_mark", "n", "mark1", "mark2", "point", "fine"],
+            )
+
+    return run
+
+
+def _keyed(like: Similarity):
+    """The keys of every set; copies in a task send theirs once."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[tuple[int, int]] = set()
+        for _, texts in batches_of(batches, "_text"):
             sets, where = shingle_sets(texts, like.words)
             size = np.diff(where)
             first, second = marks(sets, where)
@@ -213,21 +239,38 @@ def _indexed(like: Similarity):
             docs, keys = block_keys(sets, where, like, wanted)
             order = np.argsort(docs, kind="stable")
             per_doc = np.searchsorted(docs[order], np.arange(len(texts) + 1)).astype(np.int32)
-            at = np.arange(0, (len(texts) + 1) * POINT, POINT, dtype=np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
-                    *[batch.column(c) for c in ("_id", "_order", "_mark")],
                     pa.array(size, pa.int64()), pa.array(first), pa.array(second),
-                    pa.ListArray.from_arrays(pa.array(at), pa.array(points(sets, where))),
-                    pa.array(fine_points(sets, where), pa.binary()),
                     pa.ListArray.from_arrays(pa.array(per_doc), pa.array(keys[order], pa.int64())),
                 ],
-                names=["_id", "_order", "_mark", "n", "mark1", "mark2", "point", "fine", "keys"],
+                names=["n", "mark1", "mark2", "keys"],
             )
 
     return run
 
 
+def _shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows (key, node) in order the different ones of keys with more than one node."""
+    key = node = np.zeros(0, np.int64)
+    sent = False  # the last row of the batch before
+    for batch in batches:
+        key, node = (np.concatenate([v, np.asarray(batch.column(c))]) for v, c in ((key, "key"), (node, "node")))
+        new = np.ones(len(key), bool)
+        new[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
+        key, node = key[new], node[new]
+        if not len(key):
+            continue
+        shared = np.zeros(len(key), bool)
+        shared[1:] = key[1:] == key[:-1]
+        shared[:-1] |= shared[1:]
+        shared[0] |= sent
+        out = shared.copy()
+        out[0] &= not sent
+        yield pa.RecordBatch.from_arrays([pa.array(key[out]), pa.array(node[out])], names=["key", "node"])
+        key, node, sent = key[-1:], node[-1:], bool(shared[-1])
+
+
 def _sets(words: int):
     """The sets of the rows whose marks are those asked for."""
 
@@ -313,6 +356,70 @@ def _forest(links: np.ndarray, a: list[int], b: list[int]) -> Iterator[tuple[int
             yield a[i], b[j]
 
 
+def most_shared_of_all(a: list[bytes], b: list[bytes]) -> np.ndarray:
+    """``most_shared`` of all fine points in ``a`` with all in ``b``, or more; all are folded onto the coarsest."""
+    size = min(len(x) for x in [*a, *b])
+    p, q = (
+        np.stack([np.minimum(np.frombuffer(x, np.uint8).reshape(-1, size).sum(axis=0), 255).astype(np.uint8) for x in v])
+        for v in (a, b)
+    )
+    out = np.empty((len(p), len(q)), np.int64)
+    for i, counts in enumerate(p):
+        out[i] = np.minimum(q, counts).sum(axis=1, dtype=np.uint32)
+    many = [np.flatnonzero((v == 255).any(axis=1)) for v in (p, q)]
+    if len(many[0]) and len(many[1]):
+        met = (p[many[0]] == 255).astype(np.float32) @ (q[many[1]] == 255).astype(np.float32).T
+        out[np.ix_(*many)] += (met > 0) * np.int64(1 << 40)
+    return out
+
+
+def _leaf_candidates(percent: int, tie: bool):
+    """Of neighbouring rows with the same ``_pair`` (two leaves): the pairs of unconnected nodes that the fine points allow.
+
+    To ``tie``, only as many as connect all that these connect. Else, where
+    they outnumber the nodes, the nodes that have such a partner, without b.
+    """
+
+    def compared(rows: list[tuple]) -> list[tuple]:
+        p, q = ([r for r in rows if r[1] != other] for other in (1, 0))  # a leaf that meets itself has rows of side 2
+        if not p or not q:
+            return []
+        n, component = ([np.array([r[at] for r in x], np.int64) for x in (p, q)] for at in (3, 4))
+        may = (100 + percent) * most_shared_of_all([r[5] for r in p], [r[5] for r in q]) >= percent * (n[0][:, None] + n[1])
+        may &= component[0][:, None] != component[1]
+        nodes = [[r[2] for r in x] for x in (p, q)]
+        if tie:
+            return [(a, b, None, None) for a, b in _forest(may, *nodes)]
+        itself = p[0][1] == 2
+        if itself:
+            may = np.triu(may)
+        if np.count_nonzero(may) <= len(rows):
+            return [(nodes[0][i], nodes[1][j], None, None) for i, j in zip(*(v.tolist() for v in np.nonzero(may)))]
+        held = [may.any(axis=1), may.any(axis=0)]
+        met = [(p, held[0] | held[1])] if itself else [(p, held[0]), (q, held[1])]
+        return [(x[i][2], None, *x[i][:2]) for x, of in met for i in np.flatnonzero(of).tolist()]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("_pair", pa.string()), ("side", pa.int32())])
+
+        def out(found: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in found], f.type) for i, f in enumerate(schema)], schema=schema)
+
+        pair, held, found = None, [], []
+        for batch in batches:
+            for row in zip(*[batch.column(c).to_pylist() for c in ("_pair", "side", "node", "n", "component", "fine")]):
+                if row[0] != pair:
+                    found += compared(held)
+                    pair, held = row[0], []
+                held.append(row)
+            if found:
+                yield out(found)
+                found = []
+        yield out(compared(held))
+
+    return run
+
+
 def _leaf_links(like: Similarity, count: bool):
     """Of neighbouring rows with the same ``_pair`` (two leaves): each node's number of links, or links that connect all."""
 
@@ -381,26 +488,26 @@ class _Search:
         kind = flat.schema["_id"].dataType.simpleString()
         self.indexed = stage(
             flat.mapInArrow(
-                _indexed(like),
-                f"_id {kind}, _order bigint, _mark bigint, n bigint, mark1 bigint, mark2 bigint, "
-                "point array<int>, fine binary, keys array<bigint>",
+                _indexed(like.words),
+                f"_id {kind}, _order bigint, _mark bigint, n bigint, mark1 bigint, mark2 bigint, point array<int>, fine binary",
             ),
             "indexed",
         )
-        filled = self.indexed.where("n > 0")
-        classes = filled.groupBy("n", "mark1", "mark2").agg(
+        classes = self.indexed.where("n > 0").groupBy("n", "mark1", "mark2").agg(
             F.min("_order").alias("_first"), F.first("point").alias("point"), F.first("fine").alias("fine"),
             F.count(F.lit(1)).alias("copies"),
         )
         # documents with equal sets are one node; ids may be shared, so they do not name it
         node = F.xxhash64("n", "mark1", "mark2")
         self.nodes = stage(classes.withColumn("node", node), "nodes")
-        self.of = filled.select("_order", node.alias("node")).distinct()
-        postings = self.indexed.select(F.explode("keys").alias("key"), "_order")
-        several = postings.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
-        members = postings.join(several, "key").join(self.of, "_order").select("key", "node").distinct()
-        self.members = stage(self._merged(self._open(stage(members, "postings"), "node")), "members")
-        del postings, several, members
+        # most keys are held by one document: they are only made on the way into the one shuffle that finds the others
+        keyed = flat.select("_text").mapInArrow(_keyed(like), "n bigint, mark1 bigint, mark2 bigint, keys array<bigint>")
+        postings = keyed.select(F.explode("keys").alias("key"), node.alias("node")).repartition("key")
+        members = stage(postings.sortWithinPartitions("key", "node").mapInArrow(_shared, "key bigint, node bigint"), "postings")
+        del classes, keyed, postings
+        release(docs.sparkSession)
+        self.members = stage(self._merged(members), "members")
+        del members
         release(docs.sparkSession)
         self.texts = flat.select(F.col("_order").alias("_first"), "_text")
 
@@ -473,15 +580,27 @@ class _Search:
             & (F.least("p.n", "q.n") * 100 >= F.greatest("p.n", "q.n") * percent)
         ).select(F.col("p.node").alias("a"), F.col("q.node").alias("b"))
 
-    def large(self, known: DataFrame) -> DataFrame:
-        """Links that connect the members of the large keys."""
+    def candidates(self, rows: DataFrame, tie: bool) -> DataFrame:
+        """What the fine points allow inside the groups (group, node, component), see ``_leaf_candidates``."""
+        # a fine point has a byte for two to four n-grams
+        met = self.leaves(rows, f"greatest(16, least({WIDE_LEAF}, {2 * WIDE_BYTES} >> band))", False)
+        dealt = met.join(self.nodes.select("node", "n", "fine"), "node").repartition("_pair").sortWithinPartitions("_pair")
+        found = dealt.mapInArrow(_leaf_candidates(self.like.percent, tie), "a bigint, b bigint, _pair string, side int")
+        return stage(found, "candidates")
+
+    def large(self, known: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The pairs of unconnected members of the large keys that pass the fine bound, and leaves with too many of them.
+
+        Large keys mostly repeat each other, so what may link in any of them is first brought together once.
+        """
         many = known.where(f"size > {SMALL_KEY}").select(F.col("key").alias("group"), "node", "component")
-        return self.by_leaves(many, False)
+        tied = components(self.candidates(many, True).select("a", "b")).withColumnRenamed("component", "group")
+        found = self.candidates(tied.join(many.select("node", "component").distinct(), "node"), False)
+        return found.where("b IS NOT NULL").select("a", "b"), found.where("b IS NULL").select("_pair", "side", F.col("a").alias("node"))
 
-    def by_leaves(self, rows: DataFrame, count: bool) -> DataFrame:
-        """What the tasks find in all pairs of leaves of each group (group, node, component) whose sizes allow links."""
+    def leaves(self, rows: DataFrame, each: str, count: bool) -> DataFrame:
+        """_pair, side, node, component of all pairs of leaves of each group (group, node, component) whose sizes allow links."""
         sized = rows.join(self.nodes.select("node", "n"), "node").withColumn("band", F.floor(F.log2("n")).cast("int"))
-        each = f"greatest(16, least({LEAF}, {LEAF_GRAMS} >> band))"
         numbered = row_number_in_key(sized, ["group", "band"], ["n", "node"], "_row")
         packed = stage(numbered.withColumn("leaf", F.expr(f"_row div {each}")).drop("_row"), "leaves")
         boxes = packed.groupBy("group", "band", "leaf").agg(
@@ -498,7 +617,12 @@ class _Search:
         met = p.join(q, "group").where(ok).select(
             "group", F.concat_ws("/", "group", "p.band", "p.leaf", "q.band", "q.leaf").alias("_pair"), F.explode(sides).alias("_s")
         ).select("group", "_pair", "_s.*")
-        placed = met.join(packed.select("group", "band", "leaf", "node"), ["group", "band", "leaf"]).select("_pair", "side", "node")
+        return met.join(packed.select("group", "band", "leaf", "node", "component"), ["group", "band", "leaf"]).select(
+            "_pair", "side", "node", "component"
+        )
+
+    def in_leaves(self, placed: DataFrame, count: bool) -> DataFrame:
+        """What the tasks find on the full sets in pairs of leaves (_pair, side, node)."""
         named = placed.join(self.nodes.select("node", "_first", "mark1", "mark2", "copies"), "node")
         dealt = self.texts.join(named, "_first").drop("_first").repartition("_pair").sortWithinPartitions("_pair")
         return dealt.mapInArrow(_leaf_links(self.like, count), "a bigint, b bigint")
@@ -520,17 +644,21 @@ def _components(search: _Search) -> DataFrame:
     known = stage(search.labelled(found), "open")
     if known.isEmpty():
         return found
-    more = stage(search.links(search.small(known)), "links")
+    pairs, dense = search.large(known)
+    release(spark)
+    more = stage(search.links(search.small(known).unionByName(pairs)), "links")
     release(spark)
-    found = joined(more.unionByName(search.large(known)))
-    del more, known
+    found = joined(more if dense.isEmpty() else more.unionByName(search.in_leaves(dense, False)))
+    del more, known, pairs, dense
     release(spark)
     return found
 
 
 def _links_of(search: _Search, found: DataFrame) -> DataFrame:
     """node and _linked, the rows of other nodes it links with."""
-    counted = search.by_leaves(found.select(F.col("component").alias("group"), "node", "component").distinct(), True)
+    rows = found.select(F.col("component").alias("group"), "node", "component").distinct()
+    placed = search.leaves(rows, f"greatest(16, least({LEAF}, {LEAF_GRAMS} >> band))", True).drop("component")
+    counted = search.in_leaves(placed, True)
     return counted.groupBy(F.col("a").alias("node")).agg(F.sum("b").alias("_linked"))
 
 
@@ -549,7 +677,7 @@ def _of_rows(search: _Search, found: DataFrame, linked: DataFrame | None = None)
         n_links = ["n_links"]
     smallest = grouped.groupBy("_group").agg(F.min("_first").alias("_named"))
     named = grouped.select("n", "mark1", "mark2", "_group", *n_links).join(smallest, "_group")
-    result = search.indexed.drop("point", "fine", "keys").join(named, ["n", "mark1", "mark2"], "left")
+    result = search.indexed.drop("point", "fine").join(named, ["n", "mark1", "mark2"], "left")
     return result.select("_id", "_order", "_mark", "n", "_group", F.coalesce("_named", "_order").alias("_component"), *n_links)
 
 

@@ -13,6 +13,7 @@ from tablewright.llm.ngram_join import (
     block_keys,
     fine_points,
     most_shared,
+    most_shared_of_all,
     near_duplicates,
     overlaps,
     points,
@@ -168,3 +169,82 @@ def test_a_large_group_of_near_copies_makes_no_pairs_of_all(spark, monkeypatch):
     got = near_duplicates(df, "doc_id", "text").collect()
     assert {(x["component_id"], x["n_links"]) for x in got} == {(0, 299)}
     assert max(n for n, label in rows if label not in ("postings", "members")) <= 600, rows
+
+
+def test_bounds_of_all_pairs():
+    r = np.random.default_rng(4)
+    sets = [np.unique(r.integers(0, 2**63, n).astype(np.uint64)) for n in (1, 40, 60, 63, 200, 900)]
+    sets = [np.unique(np.concatenate([x, sets[4][: i * 30]])) for i, x in enumerate(sets)]
+    fine = fine_points(np.concatenate(sets), np.cumsum([0, *map(len, sets)]))
+    got = most_shared_of_all(fine, fine[:3])
+    for i, j in np.ndindex(got.shape):
+        assert got[i, j] >= most_shared(fine[i], fine[j]) >= len(np.intersect1d(sets[i], sets[j]))
+    same = most_shared_of_all(fine[1:2], fine[1:2])
+    assert same.tolist() == [[len(sets[1])]]
+    full, half = bytes([255] * 16), bytes([255] + [3] * 15)  # 255 is that many or more
+    assert (most_shared_of_all([full, half], [half])[:, 0] > 1 << 30).all() and most_shared_of_all([bytes([9] * 16)], [full]) == 144
+
+
+def test_rows_of_shared_keys_across_batches():
+    rows = [(1, 5), (2, 1), (2, 1), (2, 3), (2, 4), (2, 4), (3, 7), (3, 7), (4, 1), (4, 2), (5, 9)]
+    for size in (1, 2, 3, 4, 11):
+        parts = [rows[i : i + size] for i in range(0, len(rows), size)] + [[]]
+        batches = [pa.RecordBatch.from_pydict({"key": pa.array([k for k, _ in x], pa.int64()), "node": pa.array([n for _, n in x], pa.int64())}) for x in parts]
+        got = [tuple(x.values()) for b in ngram_join._shared(batches) for x in b.to_pylist()]
+        assert got == [(2, 1), (2, 3), (2, 4), (4, 1), (4, 2)]
+
+
+def staged(monkeypatch):
+    tables, plain = defaultdict(list), ngram_join.stage
+
+    def kept(df, label="stage"):
+        tables[label].append(plain(df, label))
+        return tables[label][-1]
+
+    monkeypatch.setattr(ngram_join, "stage", kept)
+    return tables
+
+
+def test_only_shared_keys_are_written(spark, monkeypatch):
+    tables = staged(monkeypatch)
+    texts = list(enumerate(t for i in range(40) for t in family(random.Random(i), 100, 0, 0)))
+    df = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(4)
+    assert without_near_duplicates(df, "doc_id", "text").count() == 40
+    assert all("keys" not in t.columns for of in tables.values() for t in of)
+    assert tables["postings"][0].count() == 0
+
+
+def test_a_passage_that_many_hold_does_not_send_their_texts_leaf_by_leaf(spark, monkeypatch):
+    # three quarters of each text are the same, so they share keys, but only a few link
+    tables = staged(monkeypatch)
+    r = random.Random(5)
+    passage = " ".join(f"a{r.randrange(10**6)}" for _ in range(300))
+    texts = [passage + " " + " ".join(f"b{r.randrange(10**6)}" for _ in range(150)) for _ in range(150)]
+    texts += [t + " end" for t in texts[:5]]
+    read, plain = [], ngram_join._leaf_links
+    monkeypatch.setattr(ngram_join, "_leaf_links", lambda *x: read.append(x) or plain(*x))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    got = {x["doc_id"] for x in without_near_duplicates(df, "doc_id", "text", Similarity(5, 80)).collect()}
+    assert got == set(range(150)) == {c for _, c in plain_components(dict(enumerate(texts)), 5, 80).values()}
+    assert tables["open"][0].where("size > 16").count() > 300 and not read
+
+
+def test_groups_near_the_threshold_are_verified_once(spark, monkeypatch):
+    # many pairs that the points allow and the sets do not, in many keys at once
+    tables = staged(monkeypatch)
+    r = random.Random(6)
+    base = [f"a{r.randrange(10**6)}" for _ in range(400)]
+    texts = []
+    for _ in range(120):
+        c = list(base)
+        for at in r.sample(range(8, 392, 8), 9):
+            c[at] = f"b{r.randrange(10**6)}"
+        texts.append(" ".join(c))
+    monkeypatch.setattr(ngram_join, "WIDE_LEAF", 32)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    want = plain_components(dict(enumerate(texts)), 5, 80)
+    got = {x["doc_id"] for x in without_near_duplicates(df, "doc_id", "text", Similarity(5, 80)).collect()}
+    assert got == {c for _, c in want.values()}
+    first, second = tables["candidates"]
+    dense = second.where("b IS NULL").count()
+    assert 0 < dense <= 120 * 4 and first.count() > second.count()
