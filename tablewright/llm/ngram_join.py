@@ -55,7 +55,8 @@ POINT = 32  # groups of the points
 ROUNDS = 3  # of one verified pair per node, before the keys that are left are searched
 SMALL_KEY = 16  # members of a key that make pairs
 LEAF, LEAF_GRAMS = 128, 1 << 18  # nodes of a leaf, and about so many n-grams at most (16 nodes in any case)
-WIDE_LEAF, WIDE_BYTES = 512, 1 << 18  # the same of a leaf of which only fine points are sent, and their bytes
+TIE_LEAF, MEET_LEAF, POINT_BYTES = 2048, 512, 1 << 18  # nodes of leaves compared by fine points, and the points' bytes
+BOUND_ROWS = 256  # fine points of a leaf held at once against those of another
 COLUMNS = 4096  # n-grams compared at once
 NO_ID = -(2**63)
 
@@ -385,7 +386,11 @@ def _leaf_candidates(percent: int, tie: bool):
         if not p or not q:
             return []
         n, component = ([np.array([r[at] for r in x], np.int64) for x in (p, q)] for at in (3, 4))
-        may = (100 + percent) * most_shared_of_all([r[5] for r in p], [r[5] for r in q]) >= percent * (n[0][:, None] + n[1])
+        may = np.zeros((len(p), len(q)), bool)
+        for at in range(0, len(p), BOUND_ROWS):
+            some = slice(at, at + BOUND_ROWS)
+            shared = most_shared_of_all([r[5] for r in p[some]], [r[5] for r in q])
+            may[some] = (100 + percent) * shared >= percent * (n[0][some, None] + n[1])
         may &= component[0][:, None] != component[1]
         nodes = [[r[2] for r in x] for x in (p, q)]
         if tie:
@@ -583,7 +588,7 @@ class _Search:
     def candidates(self, rows: DataFrame, tie: bool) -> DataFrame:
         """What the fine points allow inside the groups (group, node, component), see ``_leaf_candidates``."""
         # a fine point has a byte for two to four n-grams
-        met = self.leaves(rows, f"greatest(16, least({WIDE_LEAF}, {2 * WIDE_BYTES} >> band))", False)
+        met = self.leaves(rows, f"greatest(16, least({TIE_LEAF if tie else MEET_LEAF}, {2 * POINT_BYTES} >> band))", False)
         dealt = met.join(self.nodes.select("node", "n", "fine"), "node").repartition("_pair").sortWithinPartitions("_pair")
         found = dealt.mapInArrow(_leaf_candidates(self.like.percent, tie), "a bigint, b bigint, _pair string, side int")
         return stage(found, "candidates")
@@ -641,7 +646,9 @@ def _components(search: _Search) -> DataFrame:
     for _ in range(ROUNDS):
         found = joined(search.links(search.star(found)))
         release(spark)
-    known = stage(search.labelled(found), "open")
+    other = F.when(F.col("component") != F.col("node"), F.col("component")).alias("component")
+    known = stage(search.labelled(found).select("key", "node", "size", other), "open")
+    known = known.withColumn("component", F.coalesce("component", "node"))
     if known.isEmpty():
         return found
     pairs, dense = search.large(known)

@@ -39,11 +39,12 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
 
     Cuts the lineage and pins the rows: later passes neither recompute the
     plan nor see another evaluation of it, and losing an executor costs
-    nothing that was already written.
+    nothing that was already written. These tables stay while the session
+    runs, so they are written densely.
     """
     spark = df.sparkSession
     path = new_dir(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -240,7 +240,9 @@ def test_groups_near_the_threshold_are_verified_once(spark, monkeypatch):
         for at in r.sample(range(8, 392, 8), 9):
             c[at] = f"b{r.randrange(10**6)}"
         texts.append(" ".join(c))
-    monkeypatch.setattr(ngram_join, "WIDE_LEAF", 32)
+    monkeypatch.setattr(ngram_join, "TIE_LEAF", 32)
+    monkeypatch.setattr(ngram_join, "MEET_LEAF", 32)
+    monkeypatch.setattr(ngram_join, "BOUND_ROWS", 20)
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
     want = plain_components(dict(enumerate(texts)), 5, 80)
     got = {x["doc_id"] for x in without_near_duplicates(df, "doc_id", "text", Similarity(5, 80)).collect()}
