@@ -20,6 +20,7 @@ from tablewright.sources.workspace import stage
 HIDDEN = (32, 64, 128, 256)
 BATCH = 32
 RATE, BETA1, BETA2, EPSILON = 1e-3, 0.9, 0.999, 1e-7
+ZERO = np.zeros(())  # which costs numpy less than a Python number
 LEAST = 1e-7  # probabilities are kept so far from 0 and 1 in logarithms
 MEETINGS = 64  # of tasks that go on alone in between, per epoch at most
 
@@ -67,6 +68,26 @@ def gradient(weights: Sequence[np.ndarray], x: np.ndarray, y: np.ndarray) -> tup
     return found, float(losses(out, y).sum())
 
 
+def _scale(steps: int, rate: float) -> float:
+    return rate * np.sqrt(1 - BETA2**steps) / (1 - BETA1**steps)
+
+
+def _moved(m: np.ndarray, v: np.ndarray, g: np.ndarray, scale: float, a: np.ndarray, b: np.ndarray) -> None:
+    """Moments after a gradient, and in ``b`` what weights lose; ``a`` is room that is kept from step to step."""
+    # (1 - b1) (g - m), (1 - b2) (g g - v) and scale m / (sqrt(v) + e)
+    np.subtract(g, m, out=a)
+    a *= 1 - BETA1
+    m += a
+    np.multiply(g, g, out=a)
+    a -= v
+    a *= 1 - BETA2
+    v += a
+    np.sqrt(v, out=a)
+    a += EPSILON
+    np.multiply(m, scale, out=b)
+    b /= a
+
+
 @dataclass
 class Adam:
     """Weights with their running moments."""
@@ -84,22 +105,11 @@ class Adam:
 
     def step(self, gradients: Sequence[np.ndarray], rate: float = RATE) -> None:
         self.steps += 1
-        scale = rate * np.sqrt(1 - BETA2**self.steps) / (1 - BETA1**self.steps)
+        scale = _scale(self.steps, rate)
         if not self.scratch:
             self.scratch = [(np.empty_like(w), np.empty_like(w)) for w in self.weights]
-        # (1 - b1) (g - m), (1 - b2) (g g - v) and scale m / (sqrt(v) + e), in room that is kept from step to step
         for w, m, v, g, (a, b) in zip(self.weights, self.first, self.second, gradients, self.scratch):
-            np.subtract(g, m, out=a)
-            a *= 1 - BETA1
-            m += a
-            np.multiply(g, g, out=a)
-            a -= v
-            a *= 1 - BETA2
-            v += a
-            np.sqrt(v, out=a)
-            a += EPSILON
-            np.multiply(m, scale, out=b)
-            b /= a
+            _moved(m, v, g, scale, a, b)
             w -= b
 
 
@@ -123,6 +133,15 @@ def _flat(arrays: Sequence[np.ndarray]) -> np.ndarray:
     return np.concatenate([a.ravel() for a in arrays])
 
 
+def _views(flat: np.ndarray, shapes: Sequence[tuple[int, ...]]) -> list[np.ndarray]:
+    ends = np.cumsum([0, *[np.prod(s) for s in shapes]])
+    return [flat[a:b].reshape(s) for a, b, s in zip(ends, ends[1:], shapes)]
+
+
+def _pairs(arrays: Sequence[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+    return list(zip(arrays[::2], arrays[1::2]))
+
+
 def _shaped(flat: np.ndarray, like: Sequence[np.ndarray]) -> list[np.ndarray]:
     out, at = [], 0
     for a in like:
@@ -131,6 +150,67 @@ def _shaped(flat: np.ndarray, like: Sequence[np.ndarray]) -> list[np.ndarray]:
     return out
 
 
+class Learner:
+    """Weights and moments of one task, in one array each, and the room that its batches need.
+
+    What it learns from a batch is what ``gradient`` and ``Adam`` do, operation by operation, but it makes no new
+    arrays of their size and takes one step for all layers.
+    """
+
+    def __init__(self, state: Adam, rate: float = RATE):
+        self.shapes, self.steps, self.rate = [w.shape for w in state.weights], state.steps, rate
+        self.weights, self.first, self.second = _flat(state.weights), _flat(state.first), _flat(state.second)
+        self.slopes = np.empty_like(self.weights)
+        self.scratch = np.empty_like(self.weights), np.empty_like(self.weights)
+        self.layers = _pairs(_views(self.weights, self.shapes))
+        self.found = _pairs(_views(self.slopes, self.shapes))
+        self.rooms = {}
+
+    def _room(self, n: int) -> tuple[list, list, list, np.ndarray]:
+        """For so many rows: what layers give, its slopes, where it is above 0, and the rows' numbers."""
+        if n not in self.rooms:  # only the last batch is of another size
+            widths = [w.shape[1] for w, _ in self.layers]
+            self.rooms = {n: tuple([np.empty((n, w), t) for w in widths] for t in (float, float, bool)) + (np.arange(n),)}
+        return self.rooms[n]
+
+    def learn(self, x: np.ndarray, y: np.ndarray) -> float:
+        """One step by the mean gradient of a batch; the sum of its losses."""
+        n, last = len(y), len(self.layers) - 1
+        outputs, deltas, on, rows = self._room(n)
+        z = x
+        for i, (w, b) in enumerate(self.layers):
+            z = np.matmul(z, w, out=outputs[i])
+            z += b
+            if i < last:
+                np.maximum(z, ZERO, out=z)
+        np.maximum(z, -500, out=z)
+        np.minimum(z, 500, out=z)
+        np.negative(z, out=z)
+        np.exp(z, out=z)
+        z += 1.0
+        out = np.divide(1.0, z, out=z)
+        total = np.maximum(np.add.reduce(out, axis=1), LEAST)
+        share = out[rows, y] / total
+        loss = -float(np.add.reduce(np.log(np.minimum(np.maximum(share, LEAST), 1.0))))
+        rest = 1 - out
+        delta = np.multiply(out, rest, out=deltas[last])
+        delta /= total[:, None]
+        delta[rows, y] -= rest[rows, y]
+        delta /= n
+        for i in range(last, -1, -1):
+            w, b = self.found[i]
+            np.matmul((outputs[i - 1] if i else x).T, deltas[i], out=w)
+            np.add.reduce(deltas[i], axis=0, out=b)
+            if i:
+                np.matmul(deltas[i], self.layers[i][0].T, out=deltas[i - 1])
+                deltas[i - 1] *= np.greater(outputs[i - 1], ZERO, out=on[i - 1])
+        self.steps += 1
+        a, b = self.scratch
+        _moved(self.first, self.second, self.slopes, _scale(self.steps, self.rate), a, b)
+        self.weights -= b
+        return loss
+
+
 def _gathered(context: BarrierTaskContext, values: np.ndarray) -> np.ndarray:
     """The sum over all tasks, added in the order of the tasks, so all tasks see the same number."""
     parts = context.allGather(base64.b64encode(values.astype(np.float64).tobytes()).decode())
@@ -167,29 +247,26 @@ def _epoch(state: Adam, features: int, share: int, rate: float, every: int, alon
             mine.step(_shaped(sums[:-2] / sums[-1], mine.weights), rate)
         return float(sums[-2]), float(sums[-1])
 
-    def apart(context, mine: Adam, batches) -> tuple[float, float]:
+    def apart(context, mine: Learner, batches) -> tuple[float, float]:
         """So many batches of each task by itself, then the mean of what they hold, by rows."""
         before, loss, n = mine.steps, 0.0, 0
         for batch in islice(batches, every):
-            found, lost = gradient(mine.weights, *batch)
-            for g in found:
-                g /= len(batch[1])
-            mine.step(found, rate)
-            loss, n = loss + lost, n + len(batch[1])
+            loss, n = loss + mine.learn(*batch), n + len(batch[1])
         if alone:
             return loss, float(n)
-        held = _flat([*mine.weights, *mine.first, *mine.second])
+        held = np.concatenate([mine.weights, mine.first, mine.second])
         sums = _gathered(context, np.concatenate([held * n, [loss, n]]))
         if sums[-1]:
-            mean = _shaped(sums[:-2] / sums[-1], [*mine.weights, *mine.first, *mine.second])
-            k = len(mine.weights)
-            mine.weights, mine.first, mine.second = mean[:k], mean[k : 2 * k], mean[2 * k :]
+            mine.weights[:], mine.first[:], mine.second[:] = np.split(sums[:-2] / sums[-1], 3)
             mine.steps = before + every
         return float(sums[-2]), float(sums[-1])
 
     def run(records: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = BarrierTaskContext.get()
-        mine = Adam([w.copy() for w in state.weights], [m.copy() for m in state.first], [v.copy() for v in state.second], state.steps)
+        if every == 1:
+            mine = Adam([w.copy() for w in state.weights], [m.copy() for m in state.first], [v.copy() for v in state.second], state.steps)
+        else:
+            mine = Learner(state, rate)
         total = seen = 0.0
         batches = _batches(records, features, share)
         while True:

@@ -94,3 +94,20 @@ def test_meetings_of_an_epoch_are_bounded(data, monkeypatch):
     monkeypatch.setattr(t, "MEETINGS", 3)  # 11 batches of a task
     often = train(2)
     assert often.history == seldom.history and all((x == y).all() for x, y in zip(often.weights, seldom.weights))
+
+
+def test_a_task_by_itself_keeps_its_arrays_and_learns_the_same():
+    """What a task learns from batches, the last one short, is the training of one process, to the bit while batches are whole."""
+    r = np.random.default_rng(3)
+    x, y = r.random((32 * 5 + 7, 3)), r.integers(0, 4, 32 * 5 + 7)
+    learner = t.Learner(t.Adam(t.initial([3, 8, 16, 4], 1)))
+    arrays, lost = [learner.weights, learner.first, learner.second], 0.0
+    for at in range(0, len(y), 32):
+        lost += learner.learn(x[at : at + 32], y[at : at + 32])
+        if at == 32 * 4:
+            whole, _ = t.train_here(x[:160], y[:160], 4, 1, 1, hidden=(8, 16))
+            assert (learner.weights == np.concatenate([w.ravel() for w in whole])).all()
+    weights, losses = t.train_here(x, y, 4, 1, 1, hidden=(8, 16))
+    assert np.allclose(learner.weights, np.concatenate([w.ravel() for w in weights]), rtol=1e-9, atol=1e-12)
+    assert np.isclose(lost / len(y), losses[0], rtol=1e-12) and learner.steps == 6
+    assert all(a is b for a, b in zip(arrays, [learner.weights, learner.first, learner.second]))
