@@ -14,12 +14,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.operators.ranges import in_order
-from tablewright.sources.workspace import stage
 
 # Hidden layers and batch of the network this trains, and the usual settings of Adam.
 HIDDEN = (32, 64, 128, 256)
 BATCH = 32
 RATE, BETA1, BETA2, EPSILON = 1e-3, 0.9, 0.999, 1e-7
+ROWS = 256  # that a trained network takes at a time
 ZERO = np.zeros(())  # which costs numpy less than a Python number
 LEAST = 1e-7  # probabilities are kept so far from 0 and 1 in logarithms
 MEETINGS = 64  # of tasks that go on alone in between, per epoch at most
@@ -122,7 +122,12 @@ class Network:
     history: tuple[dict, ...]
 
     def probabilities(self, x: np.ndarray) -> np.ndarray:
-        return forward(self.weights, np.asarray(x, np.float64))[-1]
+        """Rows go through the layers a few at a time: what the layers of a whole table give leaves the core's cache."""
+        x = np.asarray(x, np.float64)
+        out = np.empty((len(x), self.weights[-1].size))
+        for at in range(0, len(x), ROWS):
+            out[at : at + ROWS] = forward(self.weights, x[at : at + ROWS])[-1]
+        return out
 
     def loader(self) -> Callable[[], Callable[[np.ndarray], np.ndarray]]:
         """For ``models.foreign_scorer``."""
@@ -153,8 +158,8 @@ def _shaped(flat: np.ndarray, like: Sequence[np.ndarray]) -> list[np.ndarray]:
 class Learner:
     """Weights and moments of one task, in one array each, and the room that its batches need.
 
-    What it learns from a batch is what ``gradient`` and ``Adam`` do, operation by operation, but it makes no new
-    arrays of their size and takes one step for all layers.
+    What it learns from a batch is what ``gradient`` and ``Adam`` do, operation by operation; it keeps all arrays of
+    their size and takes one step for all layers.
     """
 
     def __init__(self, state: Adam, rate: float = RATE):
@@ -346,8 +351,8 @@ def train_network(
     known = df.select(*columns, F.xxhash64(F.col(unique), F.lit(seed)).alias("_draw"), F.col(unique).alias("_unique")).dropna()
     for c in features:
         known = known.where(~F.isnan(c))
-    shuffled = in_order(known, ["_draw", "_unique"]).drop("_draw", "_unique")
-    dealt = stage(shuffled.withColumn("_worker", F.pmod(F.col("_pos"), F.lit(workers)).cast("int")), "shuffled")
+    shuffled = in_order(known, ["_draw", "_unique"])  # in the shared folder
+    dealt = shuffled.withColumn("_worker", F.pmod(F.col("_pos"), F.lit(workers)).cast("int"))
     if every > 1 and workers > 1:
         every = between_meetings(dealt.groupBy("_worker").count().agg(F.max("count")).first()[0] or 0, batch, every)
     state = Adam(initial([len(features), *hidden, n_classes], seed))

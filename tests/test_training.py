@@ -1,5 +1,6 @@
 """Mini-batch training: gradients, one process against many tasks, and what is learnt."""
 
+import os
 import random
 
 import numpy as np
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tablewright.operators import models as m
 from tablewright.operators import training as t
+from tablewright.sources.workspace import shared_root
 
 FEATURES = ["a", "b", "c"]
 
@@ -111,3 +113,19 @@ def test_a_task_by_itself_keeps_its_arrays_and_learns_the_same():
     assert np.allclose(learner.weights, np.concatenate([w.ravel() for w in weights]), rtol=1e-9, atol=1e-12)
     assert np.isclose(lost / len(y), losses[0], rtol=1e-12) and learner.steps == 6
     assert all(a is b for a, b in zip(arrays, [learner.weights, learner.first, learner.second]))
+
+
+def test_shuffled_rows_are_written_once(spark, data):
+    root = f"{shared_root(spark)}/tablewright"
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    t.train_network(data, FEATURES, "y", 3, "id", epochs=0, hidden=(4,), workers=2, every=4)
+    assert [name.split("-")[0] for name in set(os.listdir(root)) - before] == ["ordered"]
+
+
+def test_a_network_predicts_a_few_rows_at_a_time(monkeypatch):
+    net = t.Network(("a", "b", "c"), t.initial([3, 8, 4], 1), ())
+    x = np.random.default_rng(2).random((700, 3))
+    seen, real = [], t.forward
+    monkeypatch.setattr(t, "forward", lambda w, part: seen.append(len(part)) or real(w, part))
+    assert np.allclose(net.probabilities(x), real(net.weights, x)[-1], rtol=1e-12) and max(seen) <= t.ROWS
+    assert net.probabilities(x[:0]).shape == (0, 4)
